@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from folio.llm.minhash import op9_minhash
+from folio.llm.substring_dedup import op10_substring_dedup
 
 QUERIES = {
     "op9_minhash": op9_minhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: DuckDB SQL, where SQL can say it.
