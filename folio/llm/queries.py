@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from folio.llm.minhash import op9_minhash
 from folio.llm.substring_dedup import op10_substring_dedup
+from folio.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
