@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from folio.llm.decontamination import op5_decontamination
 from folio.llm.minhash import op9_minhash
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op5_decontamination": op5_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,

@@ -37,13 +37,10 @@ IDENTITY_TERMS = (
     "réfugiés mujeres hombres musulmanes cristianos judíos extranjeros refugiados"
 ).split()
 
-#: Bytes that end a word here: all ASCII but letters and digits.
-_OTHER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(slot of every feature, feature count by text): a word and its prefixes."""
-    words = wb.split_words(*wb.utf8(column), True, _OTHER)
+    words = wb.split_words(*wb.utf8(column), True, wb.NOT_ALNUM)
     size = words.end - words.begin
     slots, rows = [words.hashes()], [words.row]
     for k in PREFIXES:

@@ -66,6 +66,9 @@ class Words:
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
+#: All ASCII but letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
 
 def fold_ascii(data: np.ndarray) -> np.ndarray:
     return data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
