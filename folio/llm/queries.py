@@ -6,9 +6,11 @@ from folio.llm.decontamination import op5_decontamination
 from folio.llm.minhash import op9_minhash
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
+from folio.llm.url_filter import op7_url_filter
 
 QUERIES = {
     "op5_decontamination": op5_decontamination,
+    "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
