@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from folio.llm.decontamination import op5_decontamination
+from folio.llm.licenses import op6_license_scan
 from folio.llm.minhash import op9_minhash
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
@@ -10,6 +11,7 @@ from folio.llm.url_filter import op7_url_filter
 
 QUERIES = {
     "op5_decontamination": op5_decontamination,
+    "op6_license_scan": op6_license_scan,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
