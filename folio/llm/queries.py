@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from folio.llm.decontamination import op5_decontamination
+from folio.llm.fingerprints import op4_fingerprints
 from folio.llm.licenses import op6_license_scan
 from folio.llm.minhash import op9_minhash
 from folio.llm.substring_dedup import op10_substring_dedup
@@ -10,6 +11,7 @@ from folio.llm.toxicity import op8_toxicity
 from folio.llm.url_filter import op7_url_filter
 
 QUERIES = {
+    "op4_fingerprints": op4_fingerprints,
     "op5_decontamination": op5_decontamination,
     "op6_license_scan": op6_license_scan,
     "op7_url_filter": op7_url_filter,
