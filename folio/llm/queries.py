@@ -7,12 +7,14 @@ from folio.llm.fingerprints import op4_fingerprints
 from folio.llm.licenses import op6_license_scan
 from folio.llm.line_dedup import op1_line_dedup
 from folio.llm.minhash import op9_minhash
+from folio.llm.mixing import op2_mixing
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
 from folio.llm.url_filter import op7_url_filter
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_mixing": op2_mixing,
     "op4_fingerprints": op4_fingerprints,
     "op5_decontamination": op5_decontamination,
     "op6_license_scan": op6_license_scan,
