@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordblocks as wb
-from folio.llm.common import cut, texts
+from folio.llm.common import cut, group_rows, texts
 from folio.llm.components import components
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 48, 6
+#: Members of a bucket that are held against each other in one task.
+TILE_DOCUMENTS = 2048
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -96,24 +98,64 @@ def _sketch(bands: int, rows: int):
 def _sets(batches):
     for batch in wb.text_chunks(batches, "text"):
         sets = [s.astype(np.int64) for _, s in shingle_sets(batch)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["hub", "doc_id", "shingles"]
-        )
-
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs(hub, doc_id) whose full shingle sets are similar enough.
 
-    Texts go to their pairs once, leave as sets keyed by hub, and meet the hub's
-    own set there; a hub with very many partners is split by the join.
-    """
-    wanted = pairs.select("hub", "doc_id").union(pairs.select("hub", F.col("hub").alias("doc_id")).distinct())
-    sets = docs.join(wanted, "doc_id").select("hub", "doc_id", "text").mapInArrow(_sets, "hub long, doc_id long, shingles array<long>")
-    sets = cut(sets, f"{name}-sets")
-    own = sets.where("hub = doc_id").select("hub", F.col("shingles").alias("hub_shingles"))
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs(hub, doc_id) whose full shingle sets are similar enough."""
+    own = sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_shingles"))
     both = F.size(F.array_intersect("shingles", "hub_shingles")).cast("long")
     either = F.size("shingles") + F.size("hub_shingles") - both
-    return sets.where("hub <> doc_id").join(own, "hub").where(100 * both >= percent * either).select("hub", "doc_id")
+    met = pairs.join(sets, "doc_id").join(own, "hub")
+    return cut(met.where(100 * both >= percent * either).select("hub", "doc_id").distinct(), name)
+
+
+def _apart(percent: int):
+    """Links between different components within each tile of a bucket."""
+
+    def run(batches):
+        for (_, a, b), group in group_rows(batches, ["band", "a", "b"]):
+            group = group.sort_by("doc_id")
+            ids, component, mine = (group.column(k).to_numpy() for k in ("doc_id", "component", "mine"))
+            lists = group.column("shingles").combine_chunks()
+            size = np.diff(lists.offsets.to_numpy())
+            _, shingle, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+            owner = np.repeat(np.arange(len(ids)), size)
+            often = times[shingle] > 1
+            owner, shingle = owner[often], (np.cumsum(times > 1) - 1)[shingle[often]]
+            both = np.zeros((len(ids), len(ids)), dtype=np.float32)
+            width = max(1, 20_000_000 // len(ids))
+            for start in range(0, int(shingle.max(initial=-1)) + 1, width):
+                part = (shingle >= start) & (shingle < start + width)
+                grid = np.zeros((len(ids), min(width, int(shingle.max()) + 1 - start)), dtype=np.float32)
+                grid[owner[part], shingle[part] - start] = 1
+                both += grid @ grid.T
+            either = size[:, None] + size[None, :] - both
+            ask = (component[:, None] < component[None, :]) & (100 * both >= percent * either) & (both > 0)
+            if a != b:
+                ask &= mine[:, None] != mine[None, :]
+            x, y = np.nonzero(ask)
+            _, one = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[x[one]]), pa.array(ids[y[one]])], names=["hub", "doc_id"])
+
+    return run
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: components of the links between components."""
+
+    def of(column):
+        known = labels.select(F.col("node").alias(column), F.col("component").alias(f"{column}_c"))
+        return known, F.coalesce(f"{column}_c", column)
+
+    hub, a = of("hub")
+    doc, b = of("doc_id")
+    between = components(links.join(hub, "hub", "left").join(doc, "doc_id", "left").select(a.alias("a"), b.alias("b")), "minhash-merge")
+    old = labels.union(  # a node that had no label so far was its own component
+        between.select("node", F.col("node").alias("component")).join(labels.select("node"), "node", "left_anti")
+    )
+    step = between.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    return old.join(step, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
@@ -130,10 +172,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
     document: it has the links of all of them and the largest n_shingles.  Rows
     without a doc_id are left out; further columns are ignored.
 
-    At 0.75 a pair escapes all 48 bands of 6 with probability 1e-4.  A bucket's
-    star is followed by a second pass over the buckets whose members did not end
-    up in one component: there pairs across components are tested as well, so
-    that a bucket loses no link to the choice of its hub.
+    At 0.75 a pair escapes all 48 bands of 6 with probability 1e-4.  A bucket
+    whose star leaves its members in several components is looked at again: in
+    tiles of bounded size its members' sets are held against those of the other
+    components, and just the links found come out.  So a bucket loses no link
+    between components to the choice of its hub.
     """
     docs = texts(docs).where("doc_id is not null")
     sketch = cut(docs.mapInArrow(_sketch(bands, band_rows), SKETCH), "minhash-sketch")
@@ -156,30 +199,54 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
     )
     hubs = cut(hubs, "minhash-hubs")
     shared = cut(entries.join(hubs, "band"), "minhash-shared")
-    near_size = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    # the list of ids grows with the documents, so it is never broadcast to them
+    members = shared.select("doc_id").union(hubs.select(F.col("hub").alias("doc_id"))).distinct()
+    sets = cut(
+        docs.join(members.hint("merge"), "doc_id").select("doc_id", "text").mapInArrow(_sets, "doc_id long, shingles array<long>"),
+        "minhash-sets",
+    )
+
+    def near_size(x, y):
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
     stars = shared.where((F.col("doc_id") > F.col("hub")) & near_size("n_shingles", "hub_n")).select("hub", "doc_id").distinct()
-    links = cut(_confirmed(docs, cut(stars, "minhash-stars"), percent, "minhash"), "minhash-links")
+    links = _confirmed(sets, stars, percent, "minhash-links")
     labels = components(links.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "minhash")
 
-    placed = shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
+    placed = shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
-    placed = cut(placed.select("band", "doc_id", "n_shingles", "component", "hub"), "minhash-placed")
+    placed = cut(placed, "minhash-placed")
     mixed = (
-        placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+        placed.groupBy("band")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("doc_id")).alias("who"),
+        )
+        .where("low < high")
+        .groupBy("size", "who")  # buckets of the same documents are compared once
+        .agg(F.min("band").alias("band"))
+        .select("band", F.ceil(F.col("size") / TILE_DOCUMENTS).cast("int").alias("tiles"))
+    )
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
+    spread = (
+        placed.join(cut(mixed, "minhash-mixed"), "band")
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("band", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "doc_id", "component")
     )
-    rest = cut(placed.where("doc_id <> hub").join(mixed, "band"), "minhash-rest")
-    other = rest.select("band", F.col("doc_id").alias("hub_"), F.col("n_shingles").alias("hub_n"), F.col("component").alias("hub_component"))
-    across = (
-        rest.join(other, "band")
-        .where((F.col("hub_component") < F.col("component")) & near_size("n_shingles", "hub_n"))
-        .select(F.col("hub_").alias("hub"), "doc_id")
-        .distinct()
+    keys = ["band", "a", "b"]
+    late = (
+        spread.join(sets, "doc_id")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(_apart(percent), "hub long, doc_id long")
     )
-    across = cut(across, "minhash-across")
-    if across.limit(1).count():
-        links = links.union(_confirmed(docs, across, percent, "minhash-second"))
-        labels = components(links.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "minhash-second")
+    late = cut(late.distinct(), "minhash-late")
+    if not late.isEmpty():
+        labels = cut(_merged(labels, late), "minhash-labels")
 
     labels = labels.select(F.col("node").alias("rep"), "component")
     return (
@@ -191,6 +258,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
     )
 
 
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is the smallest of its group (or null)."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op9_minhash(spark, sf_dir):
     from folio.llm.common import documents
 
