@@ -164,6 +164,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = TILE, coverage: flo
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs that hold no benchmark item (see leaks)."""
+    gone = leaks(docs, benchmark).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op5_decontamination(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return leaks(documents(spark, sf_dir), benchmark).drop("tiles")

@@ -12,6 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,5 +165,32 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     )
 
 
+def _replace(run: int):
+    """As _delete, but rows come out as they are, with the text that is kept."""
+    delete = _delete(run)
+
+    def task(batches):
+        for batch in batches:
+            names = batch.schema.names[:-1]
+            core = batch.select(["doc_id", "text", "_starts"])
+            kept = [b.column(3) for b in delete([core])]
+            if not kept:
+                continue
+            text = pa.concat_arrays(kept)
+            columns = {n: batch.column(n) for n in names} | {"text": text}
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.compute.utf8_length(text).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+
+    return task
+
+
+def without_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """docs with repeated runs of lines deleted from text (n_chars follows)."""
+    runs = repeated_runs(texts(docs).where("doc_id is not null"), run)
+    runs = runs.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("start").alias("_starts"))
+    return docs.join(runs, docs["doc_id"] == runs["_id"], "left").drop("_id").mapInArrow(_replace(run), docs.schema)
+
+
 def op1_line_dedup(spark, sf_dir):
     return dedup_lines(documents(spark, sf_dir)).drop("kept_text")
