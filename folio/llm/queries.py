@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from folio.llm.decontamination import op5_decontamination
 from folio.llm.fingerprints import op4_fingerprints
 from folio.llm.licenses import op6_license_scan
 from folio.llm.line_dedup import op1_line_dedup
+from folio.llm.lm_scoring import op3_lm_scoring
 from folio.llm.minhash import op9_minhash
 from folio.llm.mixing import op2_mixing
 from folio.llm.substring_dedup import op10_substring_dedup
@@ -15,6 +17,7 @@ from folio.llm.url_filter import op7_url_filter
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_fingerprints": op4_fingerprints,
     "op5_decontamination": op5_decontamination,
     "op6_license_scan": op6_license_scan,
@@ -22,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL, where SQL can say it.
