@@ -13,7 +13,7 @@ _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
 
 #: Modules that register queries when imported.
-MODULES: list[str] = ["folio.plans.metrics", "folio.plans.quality"]
+MODULES: list[str] = ["folio.plans.metrics", "folio.plans.quality", "folio.plans.relations"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
