@@ -59,7 +59,7 @@ def chunk_quality(chunks: DataFrame) -> DataFrame:
         F.max("char_end").alias("text_size"),
         F.count_if(F.col("size") < 50).alias("small_chunks"),
         F.count_if(ends_mid_sentence(F.col("chunk_text"))).alias("mid_sentence"),
-        F.count_if(F.col("gap") < 0).alias("overlaps"),
+        F.count_if(F.col("gap") < 0).alias("overlapping"),
     )
     # standard deviation over half the mean, in whole numbers: n*S2 - S^2 > S^2 / 4
     uneven = F.col("chunk_count") * F.col("squares") - F.col("total_size") ** 2 > F.col("total_size") ** 2 / 4
@@ -67,11 +67,11 @@ def chunk_quality(chunks: DataFrame) -> DataFrame:
         F.array(
             F.when(F.col("small_chunks") > 0, "small"),
             F.when(F.col("mid_sentence") > 0, "mid_sentence"),
-            F.when(F.col("overlaps") > 0, "overlap"),
+            F.when(F.col("overlapping") > 0, "overlap"),
             F.when(uneven, "uneven"),
         )
     )
-    return stats.drop("squares").withColumn("issues", F.array_join(issues, ","))
+    return stats.withColumn("issues", F.array_join(issues, ",")).drop("squares")
 
 
 def chunk_quality_score(quality: DataFrame) -> DataFrame:

@@ -154,3 +154,10 @@ def merge_canonicals(mentions: DataFrame, merges: DataFrame) -> DataFrame:
     """mentions with canonical_id repointed by merges(merge_id, keep_id)."""
     step = merges.select(F.col("merge_id").alias("canonical_id"), "keep_id")
     return mentions.join(step, "canonical_id", "left").withColumn("canonical_id", F.coalesce("keep_id", "canonical_id")).drop("keep_id")
+
+
+def apply_groupings(responses: DataFrame, response: str) -> DataFrame:
+    """document_id, entity_text, canonical_name from {canonical: [names]} JSON."""
+    groups = F.from_json(response, "map<string, array<string>>")
+    rows = responses.select("document_id", F.explode(groups).alias("canonical_name", "members"))
+    return rows.select("document_id", F.explode("members").alias("entity_text"), "canonical_name")
