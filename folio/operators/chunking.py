@@ -42,7 +42,7 @@ def chunk_neighbours(chunks: DataFrame, document: str = "document_id", index: st
 
 
 def ends_mid_sentence(text: Column) -> Column:
-    return ~F.rtrim(text).rlike(r"[.!?:;\"')\]]$")
+    return ~F.rtrim(text).rlike(r"[.!?:;\"')\]]\z")
 
 
 def chunk_quality(chunks: DataFrame) -> DataFrame:

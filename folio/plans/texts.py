@@ -24,7 +24,7 @@ def chunk_fixed(spark, d):
 
 _QUALITY = """, r as (select *, length(chunk_text) as size, lead(char_start) over (partition by document_id order by chunk_index) - char_end as gap from chunks),
     s as (select document_id, count(*) as chunk_count, sum(size) as total_size, min(size) as min_size, max(size) as max_size, sum(size * size) as squares, max(char_end) as text_size,
-    count(*) filter (where size < 50) as small_chunks, count(*) filter (where not regexp_matches(rtrim(chunk_text), '[.!?:;"'')\\]]$')) as mid_sentence,
+    count(*) filter (where size < 50) as small_chunks, count(*) filter (where not regexp_matches(rtrim(chunk_text), '[.!?:;"'')\\]]\\z')) as mid_sentence,
     count(*) filter (where gap < 0) as overlapping from r group by 1)"""
 
 
