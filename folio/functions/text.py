@@ -94,7 +94,8 @@ def parse_money(text: Column) -> Column:
 def json_response(text: Column, schema: str) -> Column:
     """Parse a response as JSON; failing that, the first {...} in it."""
     inner = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    return F.coalesce(F.from_json(text, schema), F.from_json(F.when(inner != "", inner), schema))
+    whole = F.ltrim(text).startswith("{") | F.ltrim(text).startswith("[")
+    return F.from_json(F.when(whole, text).when(inner != "", inner), schema)
 
 
 def labelled_field(text: Column, label: str) -> Column:

@@ -77,3 +77,20 @@ def pattern_edges(chunks: DataFrame, entities: DataFrame, patterns: dict[str, st
     confidence = F.lit(0.7) + 0.3 * (1 - (F.col("upto") - F.col("from_")) / reach)
     rows = pairs.where(F.col("source_id") != F.col("target_id"))
     return rows.select("document_id", "chunk_index", "source_id", "target_id", F.explode(kinds).alias("relationship_type"), confidence.alias("confidence"))
+
+
+def word_pair_edges(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """RELATED edges for "name of name", "name and name" and the like, where both
+    names are known in the document.
+
+    chunks has document_id and chunk_text; entities has document_id, canonical_id
+    and a lower-cased name.
+    """
+    pattern = r"\b([a-z]{3,}) (?:of|and|in|de|und|y|et) ([a-z]{3,})\b"
+    text = F.lower("chunk_text")
+    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("a"), F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("z"))
+    rows = chunks.select("document_id", F.inline(pairs).alias("a", "z")).distinct()
+    left = entities.select("document_id", F.col("name").alias("a"), F.col("canonical_id").alias("source_id"))
+    right = entities.select("document_id", F.col("name").alias("z"), F.col("canonical_id").alias("target_id"))
+    joined = rows.join(left, ["document_id", "a"]).join(right, ["document_id", "z"]).where("source_id <> target_id")
+    return joined.select("document_id", "source_id", "target_id").distinct()

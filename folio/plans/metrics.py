@@ -10,7 +10,16 @@ from folio.plans import bindings as b
 from folio.plans.bindings import sql
 from folio.plans.registry import query, table
 
-DONE, FAILED = F.count_if(F.col("status") == "completed"), F.count_if(F.col("status") == "failed")
+
+
+def done():
+    return F.count_if(F.col("status") == "completed")
+
+
+def failed():
+    return F.count_if(F.col("status") == "failed")
+
+
 LATE = "select max(ts) as as_of from tasks"
 
 
@@ -65,7 +74,7 @@ def resolution_quality_view(spark, d):
     round(quantile_cont(cents, 0.95), 2) as p95_cents, count(*) filter (where status = 'failed') as failures from tasks group by 1, 2"""))
 def throughput_view(spark, d):
     return b.tasks(spark, d).groupBy(F.date_trunc("hour", "ts").alias("hour"), "stage").agg(
-        F.count("*").alias("runs"), (F.sum("cents") / F.count("*")).alias("avg_cents"), F.round(F.percentile("cents", F.lit(0.95)), 2).alias("p95_cents"), FAILED.alias("failures"))
+        F.count("*").alias("runs"), (F.sum("cents") / F.count("*")).alias("avg_cents"), F.round(F.percentile("cents", F.lit(0.95)), 2).alias("p95_cents"), failed().alias("failures"))
 
 
 @query("pipeline_summary_mv", sql("tasks", """select project_id, status, stage, count(*) as runs, sum(cents) / count(*) as avg_cents,
@@ -99,7 +108,7 @@ def hourly_metrics_rollup(spark, d):
     from batches join items i using (batch_id) group by rollup (priority)"""))
 def batch_metrics(spark, d):
     rows = b.batches(spark, d).select("batch_id", "priority").join(b.items(spark, d), "batch_id")
-    return rows.rollup("priority").agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("documents"), DONE.alias("completed"), FAILED.alias("failed"))
+    return rows.rollup("priority").agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("documents"), done().alias("completed"), failed().alias("failed"))
 
 
 _STAGE = """count(*) as runs, sum(cents) as total_cents, sum(cents) / count(*) as avg_cents,
@@ -133,8 +142,8 @@ def batch_result_summary(spark, d):
     errors = F.collect_list(F.when(F.col("status") == "failed", F.col("document_id").cast("string")))
     listed = F.array_join(F.slice(F.array_sort(errors), 1, 10), ",")
     return b.items(spark, d).groupBy("batch_id").agg(
-        F.count("*").alias("total"), DONE.alias("completed"), FAILED.alias("failed"), m.rate(DONE, DONE + FAILED).alias("success_rate"),
-        F.when(FAILED > 0, listed).alias("first_errors"))
+        F.count("*").alias("total"), done().alias("completed"), failed().alias("failed"), m.rate(done(), done() + failed()).alias("success_rate"),
+        F.when(failed() > 0, listed).alias("first_errors"))
 
 
 @query("campaign_progress", sql("batches", """select project_id, count(*) as batches, count(*) filter (where status = 'completed') as completed,
@@ -142,9 +151,9 @@ def batch_result_summary(spark, d):
     case when count(*) filter (where status = 'completed') = count(*) then 'completed'
          when count(*) filter (where status <> 'pending') > 0 then 'in_progress' else 'pending' end as campaign_status from batches group by 1"""))
 def campaign_progress(spark, d):
-    state = F.when(DONE == F.count("*"), "completed").when(F.count_if(F.col("status") != "pending") > 0, "in_progress").otherwise("pending")
+    state = F.when(done() == F.count("*"), "completed").when(F.count_if(F.col("status") != "pending") > 0, "in_progress").otherwise("pending")
     return b.batches(spark, d).groupBy("project_id").agg(
-        F.count("*").alias("batches"), DONE.alias("completed"), m.rate(DONE, F.count("*")).alias("percent"), state.alias("campaign_status"))
+        F.count("*").alias("batches"), done().alias("completed"), m.rate(done(), F.count("*")).alias("percent"), state.alias("campaign_status"))
 
 
 @query("batch_performance_24h", sql("batches", """, w as (select max(created_at) as as_of from batches)
@@ -152,7 +161,7 @@ def campaign_progress(spark, d):
     from batches, w where created_at > as_of - interval 240 hour"""))
 def batch_performance_24h(spark, d):
     rows = m.within_hours(b.batches(spark, d), 240, ts="created_at")
-    return rows.agg(F.count("*").alias("batches"), DONE.alias("completed"), (F.sum("cents") / F.count("*")).alias("avg_cents"))
+    return rows.agg(F.count("*").alias("batches"), done().alias("completed"), (F.sum("cents") / F.count("*")).alias("avg_cents"))
 
 
 @query("active_batches", sql("batches", "select batch_id, priority, created_at from batches where status = 'processing' order by created_at desc, batch_id limit 10"))
@@ -166,7 +175,7 @@ def active_batches(spark, d):
 def campaign_report(spark, d):
     rows = b.items(spark, d).join(b.batches(spark, d).select("batch_id", "project_id"), "batch_id")
     return rows.groupBy("project_id").agg(
-        F.count("*").alias("documents"), m.rate(DONE, DONE + FAILED).alias("success_rate"), F.sum("size_mb").alias("size_mb"), F.countDistinct("batch_id").alias("batches"))
+        F.count("*").alias("documents"), m.rate(done(), done() + failed()).alias("success_rate"), F.sum("size_mb").alias("size_mb"), F.countDistinct("batch_id").alias("batches"))
 
 
 @query("processing_summary", sql("tasks", """select batch_id, count(distinct document_id) as documents,
@@ -190,8 +199,8 @@ def processing_summary(spark, d):
 def document_event_summary(spark, d):
     stages = F.collect_set(F.when(F.col("status") == "completed", F.col("stage")))
     return b.tasks(spark, d).groupBy("document_id").agg(
-        F.count("*").alias("events"), F.sum("cents").alias("total_cents"), FAILED.alias("errors"),
-        F.when(DONE > 0, F.array_join(F.array_sort(stages), ",")).alias("stages_completed"))
+        F.count("*").alias("events"), F.sum("cents").alias("total_cents"), failed().alias("errors"),
+        F.when(done() > 0, F.array_join(F.array_sort(stages), ",")).alias("stages_completed"))
 
 
 @query("failure_analysis", sql("tasks", """select case when grouping(message) = 0 then 'message' when grouping(stage) = 0 then 'stage'
@@ -323,7 +332,7 @@ def import_summary(spark, d):
 @query("import_completeness", sql("items", """select batch_id, share, case when share >= 0.95 then 'PASS' when share >= 0.9 then 'WARN' else 'FAIL' end as verdict
     from (select batch_id, count(*) filter (where status = 'completed') * 1.0 / count(*) as share from items group by 1)"""))
 def import_completeness(spark, d):
-    share = b.items(spark, d).groupBy("batch_id").agg((DONE / F.count("*")).alias("share"))
+    share = b.items(spark, d).groupBy("batch_id").agg((done() / F.count("*")).alias("share"))
     return share.withColumn("verdict", F.when(F.col("share") >= 0.95, "PASS").when(F.col("share") >= 0.9, "WARN").otherwise("FAIL"))
 
 
@@ -346,14 +355,14 @@ def import_checks(spark, d):
     zero = F.count_if(F.col("size_mb") == 0)
     checks = F.array(F.struct(F.lit("zero_size").alias("name"), F.col("zero").alias("n"), (F.col("zero") == 0).alias("passed")),
                      F.struct(F.lit("completed").alias("name"), F.col("done").alias("n"), (F.col("done") >= 0.99 * F.col("all")).alias("passed")))
-    return b.items(spark, d).agg(zero.alias("zero"), DONE.alias("done"), F.count("*").alias("all")).select(F.inline(checks))
+    return b.items(spark, d).agg(zero.alias("zero"), done().alias("done"), F.count("*").alias("all")).select(F.inline(checks))
 
 
 @query("verification_rollup", sql("items", """, v as (select batch_id, count(*) filter (where status = 'completed') * 1.0 / count(*) as share from items group by 1)
     select ['PASS', 'WARN', 'FAIL'][worst + 1] as verdict, count(*) as projects from (select batch_id % 100 as project,
     max(case when share >= 0.95 then 0 when share >= 0.3 then 1 else 2 end) as worst from v group by 1) group by 1"""))
 def verification_rollup(spark, d):
-    share = b.items(spark, d).groupBy("batch_id").agg((DONE / F.count("*")).alias("share"))
+    share = b.items(spark, d).groupBy("batch_id").agg((done() / F.count("*")).alias("share"))
     level = F.when(F.col("share") >= 0.95, 0).when(F.col("share") >= 0.3, 1).otherwise(2)
     worst = share.groupBy((F.col("batch_id") % 100).alias("project")).agg(F.max(level).alias("worst"))
     verdict = F.element_at(F.array(*map(F.lit, ("PASS", "WARN", "FAIL"))), F.col("worst") + 1)

@@ -13,7 +13,7 @@ _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
 
 #: Modules that register queries when imported.
-MODULES: list[str] = [f"folio.plans.{m}" for m in ("metrics", "quality", "relations", "texts", "entities", "storage", "streams")]
+MODULES: list[str] = [f"folio.plans.{m}" for m in ("metrics", "quality", "relations", "texts", "entities", "storage", "streams", "functions")]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

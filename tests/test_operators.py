@@ -1,0 +1,96 @@
+"""Operators on small fixtures, with values worked out by hand."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from folio.functions import text as t
+from folio.operators import extract as x
+from folio.operators.chunking import chunk_fixed
+from folio.operators.resolve import _groups, same_entity
+from folio.operators.rules import retry_strategy
+from folio.operators.windows import islands
+from folio.streaming import streams
+
+
+def test_chunk_fixed(spark):
+    docs = spark.createDataFrame([(n, "x" * n) for n in (0, 1000, 1001, 2500)], "doc_id long, text string")
+    got = {}
+    for r in chunk_fixed(docs).orderBy("doc_id", "chunk_index").collect():
+        got.setdefault(r.doc_id, []).append((r.char_start, r.char_end))
+    assert got == {1000: [(0, 1000)], 1001: [(0, 1000), (800, 1001)], 2500: [(0, 1000), (800, 1800), (1600, 2500)]}
+    one = chunk_fixed(spark.createDataFrame([("x" * 1001,)], "text string"), 1000, 0).collect()
+    assert [(r.char_start, r.char_end) for r in one] == [(0, 1000)]
+
+
+def test_chunks_cover_the_text(spark):
+    texts = ["".join(chr(97 + (i * 7 + n) % 26) for i in range(n)) for n in (5, 99, 100, 101, 350, 777)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = chunk_fixed(docs, 100, 30).orderBy("doc_id", "chunk_index").collect()
+    for i, whole in enumerate(texts):
+        built = ""
+        for r in (r for r in rows if r.doc_id == i):
+            assert whole[r.char_start : r.char_end] == r.chunk_text
+            built = built[: r.char_start] + r.chunk_text
+        assert built == whole
+
+
+def test_variations():
+    yes = [("smith, john", "j. smith", "PERSON"), ("abc corporation", "abc corp.", "ORG"), ("international business machines", "ibm", "ORG"),
+           ("1/2/2024", "1-2-2024", "DATE"), ("ann", "annabel", "OTHER")]
+    assert all(same_entity(*case) for case in yes)
+    assert not same_entity("john doe", "jane roe", "PERSON")
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text("abcde ", min_size=1, max_size=8), min_size=1, max_size=12))
+def test_groups_partition(names):
+    group = _groups(names, "PERSON", 0.8, True)
+    assert len(group) == len(names) and all(group[g] == g for g in group)
+
+
+def test_retry(spark):
+    rows = spark.createDataFrame([("resource", 2), ("transient", 4), ("rate_limit", 9), ("data", 0)], "c string, n int")
+    got = [tuple(r.s) for r in rows.select(retry_strategy(F.col("c"), F.col("n")).alias("s")).collect()]
+    assert got == [("linear", 180), ("exponential", 4), ("exponential", 3600), ("manual", 0)]
+
+
+def test_find_all_positions(spark):
+    text = "a1 b22 a1 c333"
+    found = spark.createDataFrame([(text,)], "text string").select(t.find_all(F.col("text"), r"[a-z]\d+").alias("f")).first().f
+    assert [(m.match, m.start, m.stop) for m in found] == [("a1", 0, 2), ("b22", 3, 6), ("a1", 7, 9), ("c333", 10, 14)]
+
+
+def test_rule_entities(spark):
+    text = "On January 1, 2024 the fee of $1,234.56 under 42 U.S.C. § 1983 fell due; also 12/31/2023."
+    rows = x.rule_entities(spark.createDataFrame([(1, 0, text)], "document_id long, chunk_index long, chunk_text string")).collect()
+    assert {(r.entity_type, r.entity_text) for r in rows} == {("DATE", "January 1, 2024"), ("DATE", "12/31/2023"), ("MONEY", "$1,234.56"), ("STATUTE", "42 U.S.C. § 1983")}
+    assert all(text[r.start : r.stop] == r.entity_text for r in rows)
+
+
+def test_strip_markdown(spark):
+    guide = "# Title\n\nSome **bold** and [a link](http://x.y).\n\n```py\ncode\n```\n"
+    out = spark.createDataFrame([(guide,)], "g string").select(t.strip_markdown(F.col("g")).alias("p")).first().p
+    assert out == "Title\nSome bold and a link.\ncode"
+
+
+def test_islands(spark):
+    rows = spark.createDataFrame([(1, 0, 8), (1, 0, 4), (1, 20, 36), (1, 5, 9)], "d int, a int, z int")
+    got = {(r.a, r.z): r.island for r in islands(rows, ["d"], "a", "z").collect()}
+    assert got[(0, 8)] == got[(0, 4)] == got[(5, 9)] != got[(20, 36)]
+
+
+def test_blocks_to_text(spark):
+    line = lambda d, p, top, text, c: (d, p, (top, 0.0, text), c)
+    rows = [line(1, 1, 0.5, "two", 95), line(1, 1, 0.1, "one", 85), line(1, 3, 0.1, "three", 90), line(1, 1, 0.9, "lost", 70)]
+    df = spark.createDataFrame(rows, "document_id long, page int, line struct<top:double,left:double,text:string>, confidence int")
+    assert x.blocks_to_text(df).first().text == "one\ntwo\n\n[blank page]\n\nthree"
+
+
+def test_stream_fold_equals_batch(spark, data):
+    from folio.plans import bindings as b
+    from folio.plans.registry import registered
+
+    batch = {tuple(r) for r in streams.status_of(b.tasks(spark, data)).collect()}
+    stream = registered()["stream_status_fold"](spark, data).select("document_id", "overall_status", "stages_completed", "error_count", "first_us", "last_us")
+    assert {tuple(r) for r in stream.collect()} == batch
