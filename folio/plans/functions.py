@@ -74,7 +74,7 @@ def json_llm_response(spark, d):
     return table(spark, d, "events").select("event_id", t.json_response(wrapped, "k bigint")["k"].alias("k"))
 
 
-@query("labelled_response_parse", sql("batches", "select batch_id, lower(priority) as category, 100 as confidence from batches".replace("100", "least(1.0, batch_id % 150 / 100.0)")))
+@query("labelled_response_parse", sql("batches", "select batch_id, lower(priority) as category, least(1.0, batch_id % 150 / 100.0) as confidence from batches"))
 def labelled_response_parse(spark, d):
     response = F.concat(F.lit("CATEGORY: "), "priority", F.lit("\nCONFIDENCE: "), ((F.col("batch_id") % 150) / 100.0).cast("string"), F.lit("\nREASONING: none"))
     rows = b.batches(spark, d).select("batch_id", response.alias("r"))
