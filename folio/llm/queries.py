@@ -10,6 +10,7 @@ from folio.llm.line_dedup import op1_line_dedup
 from folio.llm.lm_scoring import op3_lm_scoring
 from folio.llm.minhash import op9_minhash
 from folio.llm.mixing import op2_mixing
+from folio.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
 from folio.llm.url_filter import op7_url_filter
@@ -27,6 +28,3 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
-
-#: DuckDB SQL, where SQL can say it.
-ORACLES: dict[str, str] = {}

@@ -228,7 +228,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def held_out_rows(doc_id):
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
