@@ -19,7 +19,7 @@ U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 _GRAM = U(0xD6E8FEB86659FD93 | 1)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
