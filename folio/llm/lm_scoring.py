@@ -1,12 +1,14 @@
 """Language-model scores by logistic context mixing (operator 3).
 
-Bit predictors for hashed contexts of one to five bytes count what followed in
-the training texts.  A mixer combines their log-odds by weights that a gate
+Bit predictors for contexts of one to five bytes count what followed in the
+training texts, exactly.  A mixer combines their log-odds by weights that a gate
 selects (how many contexts are known, which bit), learnt online; an adaptive map
 refines its output.  Contexts reach back five bytes, so what a byte costs depends
-on the six-byte string it ends, and each task works out every distinct string
-once.  A second gate mixes, word by word, the bytes' probability with that of a
-dictionary of the training texts' words and with what the text itself has
+on the six-byte string it ends, and every distinct string of the corpus is worked
+out once, where the strings with its last three context bytes are.  Costs and the
+counts of all training words are tables that grow with the corpus; groups of
+texts look theirs up in it.  A second gate mixes, word by word, the bytes'
+probability with that of the dictionary and with what the text itself has
 repeated so far.  A word-count model is scored beside it as base.
 """
 
@@ -21,29 +23,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordblocks as wb
-from folio.llm.common import cut, documents, texts
+from folio.llm.common import cut, documents, group_rows, texts
 
 ORDERS = (1, 2, 3, 4, 5)
 REACH = ORDERS[-1]
-#: Slots of each order's table: bounded whatever the corpus.
-SLOT_BITS = (16, 19, 20, 20, 20)
-OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in SLOT_BITS])))
-SLOTS = int(OFFSETS[-1])
-PIECE = 1 << 13
+#: Orders whose counts travel to the tasks: at most 2**24 strings of three bytes.
+SHORT = 2
 END = 0xFF  # no byte of UTF-8: ends a text
 PRIOR = 0.1
 GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 RATE, STEADY = 0.1, 1000.0
-#: Distinct grams that one task turns into slot counts.
-GRAMS_PER_TASK = 4_000_000
+#: Distinct grams in a part of the count tables, and keys in a part of the lookup table.
+GRAMS_PER_PART, KEYS_PER_PART = 1_000_000, 4_000_000
+#: Bytes of text that look up their grams and words together.
+GROUP_BYTES = 8 << 20
+#: Set in the keys of words, to tell them from grams (48 bits) in the lookup table.
+WORD = wb.U(1 << 63)
 #: Most frequent words that travel to the tasks; the rest is looked up by a join.
 FREQUENT_WORDS = 1 << 18
 END_TOKEN = 0x656E64
 MEMO = 1_000_000
 CHUNK = 2 << 20
-#: Words (with the white space after them, by what stood before) in the dictionary.
-DICTIONARY = 1 << 18
 #: Training texts that the word gate is fitted to: about so many, by hash.
 GATE_TEXTS = 2_000
 WORD_GATES = 40
@@ -68,28 +69,61 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return code, first
 
 
-def slots_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Table slots (grams, 8 bits, orders) and the bits (grams, 8).
+class Counts:
+    """How often each string of order + 1 bytes stands in the training texts.
 
-    The slot is a hash of the context and of the bits of the byte so far; the
-    lowest bits keep the node so that one byte's slots lie near each other.
+    A string's key is its bytes as a number, so the strings that go on from one
+    context by the same first bits of a byte are neighbours, and their count is
+    a difference of two prefix sums.
     """
-    byte = (grams & wb.U(0xFF)).astype(np.int64)
-    shifts = np.arange(7, -1, -1)
-    bits = (byte[:, None] >> shifts) & 1
-    node = (1 << np.arange(8)) | (byte[:, None] >> (shifts + 1))  # 1 .. 255
-    out = np.empty((len(grams), 8, len(ORDERS)), dtype=np.int32)
-    for i, (order, size) in enumerate(zip(ORDERS, SLOT_BITS)):
-        context = (grams >> wb.U(8)) & wb.U((1 << (8 * order)) - 1)
-        h = context << wb.U(8) if order == 1 else wb.mix(context + wb.U(order << 56))
-        mask = (1 << size) - 1
-        out[:, :, i] = OFFSETS[i] + (((h & wb.U(mask & ~0xFF)).astype(np.int64)[:, None] | node) & mask)
-    return out, bits.astype(np.int8)
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, short: "Counts | None" = None):
+        """Of grams for all orders; with `short` orders up to SHORT are taken from it."""
+        self.tables = {} if short is None else dict(short.tables)
+        for order in ORDERS:
+            if order not in self.tables:
+                keys, at = np.unique(grams & self.mask(order), return_inverse=True)
+                sums = np.cumsum(np.bincount(at, weights=n, minlength=len(keys)))
+                self.tables[order] = keys, np.concatenate(([0.0], sums))
+
+    @staticmethod
+    def mask(order: int) -> np.uint64:
+        return wb.U((1 << (8 * (order + 1))) - 1)
+
+    def after(self, order: int, keys: np.ndarray) -> np.ndarray:
+        """(keys, 9): what follows the context with 0 .. 8 first bits of the byte."""
+        known, sums = self.tables[order]
+        out = np.empty((len(keys), 9))
+        for j in range(9):
+            low = (keys >> wb.U(8 - j)) << wb.U(8 - j)
+            out[:, j] = sums[np.searchsorted(known, low + wb.U(1 << (8 - j)))] - sums[np.searchsorted(known, low)]
+        return out
+
+    def of(self, grams: np.ndarray):
+        """A function from a slice to (ones, zeros, bits) of these grams, of
+        shapes (grams, 8, orders) and (grams, 8)."""
+        taken, other, at = [], [], []
+        for order in ORDERS:
+            keys, place = np.unique(grams & self.mask(order), return_inverse=True)
+            n = self.after(order, keys)
+            taken.append(n[:, 1:].astype(np.float32))
+            other.append((n[:, :-1] - n[:, 1:]).astype(np.float32))
+            at.append(place.astype(np.int32))
+
+        def part(a: int, b: int):
+            byte = (grams[a:b] & wb.U(0xFF)).astype(np.int64)
+            bits = (byte[:, None] >> np.arange(7, -1, -1)) & 1
+            yes = np.stack([t[p[a:b]] for t, p in zip(taken, at)], axis=2)
+            no = np.stack([t[p[a:b]] for t, p in zip(other, at)], axis=2)
+            up = bits[:, :, None] == 1
+            return np.where(up, yes, no), np.where(up, no, yes), bits
+
+        return part
 
 
 class Model(NamedTuple):
-    zeros: np.ndarray  # uint16 by slot
-    ones: np.ndarray
+    short: Counts  # counts of orders up to SHORT
+    grams: DataFrame  # gram, n, part: all strings, with what the training texts have of them
     weights: np.ndarray  # (gates, orders + 1)
     refine: np.ndarray  # (gates, buckets): log-odds
 
@@ -114,16 +148,17 @@ def _buckets(x: np.ndarray):
     return low, (at - low).astype(np.float32)
 
 
-def bit_costs(model: Model, odds: np.ndarray, grams: np.ndarray) -> np.ndarray:
+def bit_costs(weights: np.ndarray, refine: np.ndarray, counts: Counts, grams: np.ndarray) -> np.ndarray:
     """Bits that the last byte of each gram costs after the bytes before it."""
     out = np.empty(len(grams), dtype=np.float32)
+    part = counts.of(grams)
     for a in range(0, len(grams), 16_384):
-        slots, bits = slots_of(grams[a : a + 16_384])
-        inputs = _inputs(odds[slots])
+        ones, zeros, bits = part(a, a + 16_384)
+        inputs = _inputs(log_odds(ones, zeros))
         gate = _gate(inputs)
-        x = np.einsum("gbi,gbi->gb", inputs, model.weights[gate])
-        low, part = _buckets(x)
-        x = 0.5 * x + 0.5 * (model.refine[gate, low] * (1 - part) + model.refine[gate, low + 1] * part)
+        x = np.einsum("gbi,gbi->gb", inputs, weights[gate])
+        low, share = _buckets(x)
+        x = 0.5 * x + 0.5 * (refine[gate, low] * (1 - share) + refine[gate, low + 1] * share)
         sign = 1 - 2 * bits.astype(np.float32)
         out[a : a + 16_384] = np.logaddexp(0, sign * x).sum(axis=1) / np.log(2)
     return out
@@ -177,21 +212,14 @@ def _earlier(key: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 class Dictionary(NamedTuple):
-    keys: np.ndarray  # sorted
-    counts: np.ndarray
+    counts: DataFrame  # word, stood, n: all words of the training texts
     totals: np.ndarray  # by what stood before
 
-    def chance(self, p: Pieces, without: int = 0) -> np.ndarray:
-        """Share of the piece among those after the same kind of thing."""
-        key = p.key
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        n = np.where(self.keys[at] == key, self.counts[at], 0)
-        return np.maximum(n - without, 0) / np.maximum(self.totals[p.stood] - without, 1)
-
 
-def word_chances(p: Pieces, words: Dictionary, without: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(pieces, 3) chances by dictionary, by the text so far, and by what
-    followed the piece before in the text so far; and each piece's gate."""
+def word_chances(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, 3) chances by dictionary (share of the piece among those after
+    the same kind of thing), by the text so far, and by what followed the piece
+    before in the text so far; and each piece's gate."""
     fresh = np.concatenate(([True], p.text[1:] != p.text[:-1]))
     first = np.flatnonzero(fresh)
     n = np.arange(len(p.h)) - np.repeat(first, np.diff(np.append(first, len(p.h))))
@@ -200,7 +228,8 @@ def word_chances(p: Pieces, words: Dictionary, without: int = 0) -> tuple[np.nda
     own = _earlier(p.h, p.text) / np.maximum(n, 1)
     pair = _earlier(wb.mix(before) * wb.U(31) + p.h, p.text) / np.maximum(followed, 1)
     gate = np.minimum(np.log2(n + 1).astype(np.int64), 9) * 4 + np.minimum(followed, 3)
-    return np.stack([words.chance(p, without), own, pair], axis=1), gate
+    share = np.maximum(n_words - without, 0) / np.maximum(totals[p.stood] - without, 1)
+    return np.stack([share, own, pair], axis=1), gate
 
 
 def _count_pieces(batches):
@@ -228,35 +257,143 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
 
 def dictionary(docs: DataFrame) -> Dictionary:
     counts = docs.mapInArrow(_count_pieces, "word long, stood int, n long").groupBy("word", "stood").agg(F.sum("n").alias("n"))
-    top = most_frequent(cut(counts, "lm-pieces"), DICTIONARY).toArrow()
-    keys, n = top.column("word").to_numpy().astype(np.uint64), top.column("n").to_numpy().astype(np.float64)
-    totals = np.bincount(top.column("stood").to_numpy(), weights=n, minlength=4).astype(np.float64)
-    order = np.argsort(keys)
-    return Dictionary(np.append(keys[order], wb.U(2**64 - 1)), np.append(n[order], 0), totals)
+    counts = cut(counts, "lm-pieces")
+    totals = np.zeros(4)
+    for r in counts.groupBy("stood").agg(F.sum("n").alias("n")).collect():
+        totals[r["stood"]] = r["n"]
+    return Dictionary(counts, totals)
+
+
+PACKED = "part int, grouped long, keys binary, numbers binary"
+
+
+def _packs(keys: np.ndarray, parts: int):
+    """(order of the keys by part, [(part, from, to)]); in a part they stay in order."""
+    part = (wb.mix(keys) % wb.U(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    return order, [(q, a, b) for q, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
+
+
+def _packed(keys: np.ndarray, numbers: np.ndarray | None, parts: int, grouped: int | None = None) -> pa.RecordBatch:
+    order, places = _packs(keys, parts)
+    blobs = lambda x: [None] * len(places) if x is None else [x[a:b].tobytes() for _, a, b in places]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([q for q, _, _ in places], pa.int32()),
+            pa.array([grouped] * len(places), pa.int64()),
+            pa.array(blobs(keys[order]), pa.binary()),
+            pa.array(blobs(None if numbers is None else numbers[order].astype(np.float32)), pa.binary()),
+        ],
+        names=["part", "grouped", "keys", "numbers"],
+    )
+
+
+def _pack_words(parts: int):
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().astype(np.uint64) | WORD, batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > MEMO:
+                yield _packed(*map(np.concatenate, zip(*held)), parts)
+                held, size = [], 0
+        if held:
+            yield _packed(*map(np.concatenate, zip(*held)), parts)
+
+    return run
+
+
+def _group_keys(table: pa.Table) -> np.ndarray:
+    """Sorted distinct keys of a group's grams and words."""
+    held = []
+    for batch in wb.text_chunks(table.to_batches(), "text", CHUNK):
+        code, _ = symbols(*wb.utf8(batch.column(batch.schema.get_field_index("text"))))
+        held += [pd.unique(code), pd.unique(pieces_of(code).key) | WORD]
+    return np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+
+
+def _ask(parts: int):
+    def run(key, table):
+        return pa.Table.from_batches([_packed(_group_keys(table), None, parts, key[0].as_py())])
+
+    return run
+
+
+def _answer(batches):
+    """Numbers of the keys asked for; the table's rows of a part come first."""
+    part, table, known, numbers = None, [], None, None
+    for batch in batches:
+        for q, grouped, keys, given in zip(*[c.to_pylist() for c in batch.columns]):
+            if q != part:
+                part, table, known = q, [], None
+            if grouped is None:
+                table.append((np.frombuffer(keys, np.uint64), np.frombuffer(given, np.float32)))
+                continue
+            if known is None:
+                known, numbers = (np.concatenate(x) for x in zip(*table)) if table else (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+                order = np.argsort(known)
+                known, numbers, table = np.append(known[order], wb.U(2**64 - 1)), np.append(numbers[order], np.float32(0)), []
+            asked = np.frombuffer(keys, np.uint64)
+            at = np.searchsorted(known, asked)
+            found = np.where(known[at] == asked, numbers[at], np.float32(0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([grouped], pa.int64()), pa.array([q], pa.int32()), pa.array([found.tobytes()])], names=["grouped", "part", "numbers"]
+            )
+
+
+def looked_up(model: Model, words: Dictionary, docs: DataFrame) -> tuple[DataFrame, int]:
+    """grouped, part, numbers: by group of docs(grouped, text) the costs of its
+    grams and the counts of its words, in the order of _packs; how many parts.
+
+    Every part of the table is read by one task, which passes the groups'
+    questions by; a group asks for a key once, however often it has it.
+    """
+    parts = max(24, -(-(model.grams.count() + words.counts.count()) // KEYS_PER_PART))
+    costs = by_part(model.grams).mapInArrow(_costs(model.short, model.weights, model.refine, parts), PACKED)
+    known = costs.union(words.counts.select("word", "n").mapInArrow(_pack_words(parts), PACKED))
+    asked = docs.select("grouped", "text").groupBy("grouped").applyInArrow(_ask(parts), PACKED)
+    both = known.union(asked).repartition(parts, "part").sortWithinPartitions("part", F.col("grouped").asc_nulls_first())
+    return cut(both.mapInArrow(_answer, "grouped long, part int, numbers binary"), "lm-numbers"), parts
 
 
-def _gate_rows(model: Model, words: Dictionary):
+class Numbers:
+    """A group's grams and words with their costs and counts."""
+
+    def __init__(self, table: pa.Table, numbers: pa.Table, parts: int):
+        self.keys = _group_keys(table)
+        order, _ = _packs(self.keys, parts)
+        rows = sorted(zip(numbers.column("part").to_pylist(), numbers.column("numbers").to_pylist()))
+        self.numbers = np.empty(len(order), dtype=np.float32)
+        self.numbers[order] = np.concatenate([np.frombuffer(x, np.float32) for _, x in rows])
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        codes, unique = _distinct(keys)
+        return self.numbers[np.searchsorted(self.keys, unique)][codes].astype(np.float64)
+
+
+def _gate_rows(totals: np.ndarray, parts: int):
     """Per piece of the given texts: bits by bytes, word chances, gate."""
 
-    def run(batches):
-        odds = known_odds(model)
-        for batch in wb.text_chunks(batches, "text", CHUNK):
-            code, _ = symbols(*wb.utf8(batch.column(1)))
+    def run(table: pa.Table, numbers: pa.Table) -> pa.Table:
+        out = []
+        known = Numbers(table, numbers, parts) if table.num_rows else None
+        for batch in wb.text_chunks(table.to_batches(), "text", CHUNK):
+            code, _ = symbols(*wb.utf8(batch.column(batch.schema.get_field_index("text"))))
             p = pieces_of(code)
-            codes, unique = _distinct(code)
-            bits = np.add.reduceat(bit_costs(model, odds, unique)[codes].astype(np.float64), p.start)
-            chance, gate = word_chances(p, words, 1)
-            rows = np.concatenate([bits[:, None], chance, gate[:, None]], axis=1).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()])], names=["rows"])
+            bits = np.add.reduceat(known.of(code), p.start)
+            chance, gate = word_chances(p, known.of(p.key | WORD), totals, 1)
+            out.append(np.concatenate([bits[:, None], chance, gate[:, None]], axis=1).astype(np.float32).tobytes())
+        return pa.table({"rows": pa.array(out, pa.binary())})
 
     return run
 
 
-def fit_gate(model: Model, words: Dictionary, docs: DataFrame) -> np.ndarray:
-    """(gates, 4) shares of bytes, dictionary, text and pair, by EM over a
-    bounded sample of training texts, each word taken out of its own count."""
-    share = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1e6 * GATE_TEXTS / max(docs.count(), 1))
-    blobs = docs.where(share).mapInArrow(_gate_rows(model, words), "rows binary").toArrow().column("rows").to_pylist()
+def fit_gate(totals: np.ndarray, docs: DataFrame, numbers: DataFrame, parts: int) -> np.ndarray:
+    """(gates, 4) shares of bytes, dictionary, text and pair, by EM over the
+    given training texts, each word taken out of its own count."""
+    rows = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_gate_rows(totals, parts), "rows binary")
+    blobs = rows.toArrow().column("rows").to_pylist()
     mix = np.full((WORD_GATES, 4), 0.25)
     if not blobs:
         mix[:] = (1, 0, 0, 0)
@@ -272,14 +409,9 @@ def fit_gate(model: Model, words: Dictionary, docs: DataFrame) -> np.ndarray:
     return mix / mix.sum(axis=1, keepdims=True)
 
 
-def known_odds(model: Model) -> np.ndarray:
-    odds = log_odds(model.ones.astype(np.float32), model.zeros.astype(np.float32))
-    odds[(model.ones == 0) & (model.zeros == 0)] = 0
-    return odds
-
-
 def _count_grams(batches):
-    """Distinct grams with counts; merged over a task's texts now and then."""
+    """Distinct grams with counts of the texts to learn from (0 for those that
+    others alone have); merged over a task's texts now and then."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def merged():
@@ -291,9 +423,10 @@ def _count_grams(batches):
         return pa.RecordBatch.from_arrays([pa.array(unique.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
 
     for batch in wb.text_chunks(batches, "text"):
-        code, _ = symbols(*wb.utf8(batch.column(1)))
+        code, first = symbols(*wb.utf8(batch.column(1)))
         codes, unique = _distinct(code)
-        held.append((unique, np.bincount(codes, minlength=len(unique))))
+        learning = np.repeat(batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64), np.diff(first))
+        held.append((unique, np.bincount(codes, weights=learning, minlength=len(unique))))
         if sum(len(x[0]) for x in held) > MEMO:
             yield rows(*merged())
             held = []
@@ -301,47 +434,34 @@ def _count_grams(batches):
         yield rows(*merged())
 
 
-def _slot_counts(batches):
-    zeros, ones = np.zeros(SLOTS), np.zeros(SLOTS)
-    for batch in batches:
-        grams, n = (batch.column(i).to_numpy() for i in (0, 1))
-        for a in range(0, len(grams), 65_536):
-            slots, bits = slots_of(grams[a : a + 65_536].astype(np.uint64))
-            weight = np.repeat(n[a : a + 65_536].astype(np.float64), 8)
-            up = bits.ravel() == 1
-            for i in range(len(ORDERS)):
-                flat = slots[:, :, i].ravel() - OFFSETS[i]
-                size = 1 << SLOT_BITS[i]
-                ones[OFFSETS[i] : OFFSETS[i + 1]] += np.bincount(flat[up], weights=weight[up], minlength=size)
-                zeros[OFFSETS[i] : OFFSETS[i + 1]] += np.bincount(flat[~up], weights=weight[~up], minlength=size)
-    for piece in range(-(-SLOTS // PIECE)):
-        part = slice(piece * PIECE, (piece + 1) * PIECE)
-        if zeros[part].any() or ones[part].any():
-            both = np.concatenate([zeros[part], ones[part]]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([piece]), pa.array([both.tobytes()])], names=["piece", "counts"])
-
-
-def _sum_pieces(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("counts").to_pylist())
-    half = len(total) // 2
-    scale = np.maximum(np.maximum(total[:half], total[half:]) / 65_535, 1)  # keeps the ratio
-    counts = np.concatenate([total[:half] / scale, total[half:] / scale])
-    return pa.table({"piece": table.column("piece")[:1], "counts": [np.minimum(np.ceil(counts), 65_535).astype(np.uint16).tobytes()]})
-
-
-def _learn(zeros: np.ndarray, ones: np.ndarray):
-    """Online mixer training over a task's grams; each step is one block.
+def by_part(grams: DataFrame) -> DataFrame:
+    """gram, n, part: a part has all grams with the same three bytes before the last."""
+    parts = max(8, -(-grams.count() // GRAMS_PER_PART))
+    context = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFFFF))
+    grams = grams.select("gram", "n", F.pmod(F.xxhash64(context), F.lit(parts)).cast("int").alias("part"))
+    return grams.repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("gram"))
+
+
+def _parts(batches, short: Counts):
+    """(grams, n, counts) of each part, grams in an order by hash."""
+    for _, table in group_rows(batches, ["part"]):
+        grams, n = table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy()
+        yield grams, n, Counts(grams[n > 0], n[n > 0], short)
+
+
+def _learn(short: Counts):
+    """Online mixer training over a part's grams; each step is one block.
 
     A gram's own occurrence is taken out of the counts that predict it.
     """
 
     def run(batches):
-        weights = np.full((GATES, len(ORDERS) + 1), 0.3, dtype=np.float64)
-        seen = 0.0
-        for batch in batches:
-            grams, n = (batch.column(i).to_numpy() for i in (0, 1))
+        for grams, n, counts in _parts(batches, short):
+            grams, n = grams[n > 0], n[n > 0]
+            weights = np.full((GATES, len(ORDERS) + 1), 0.3, dtype=np.float64)
+            part = counts.of(grams)
             for a in range(0, len(grams), 4096):
-                inputs, bits, n8 = _left_out(grams[a : a + 4096].astype(np.uint64), n[a : a + 4096], zeros, ones)
+                inputs, bits, n8 = _left_out(part, n, a, a + 4096)
                 gate = _gate(inputs)
                 x = np.einsum("gbi,gbi->gb", inputs, weights[gate])
                 error = (bits - 1 / (1 + np.exp(-x))) * n8
@@ -350,67 +470,70 @@ def _learn(zeros: np.ndarray, ones: np.ndarray):
                 for i in range(inputs.shape[2]):
                     step = np.bincount(flat, weights=(error * inputs[:, :, i]).ravel(), minlength=GATES)
                     weights[:, i] += RATE * step / mass
-                seen += float(n[a : a + 4096].sum())
-        yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float64).tobytes()]), pa.array([seen])], names=["weights", "seen"])
+            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([float(n.sum())])], names=["weights", "seen"])
 
     return run
 
 
-def _left_out(grams, n, zeros, ones):
-    slots, bits = slots_of(grams)
+def _left_out(part, n, a, b):
+    ones, zeros, bits = part(a, b)
     up = bits[:, :, None] == 1
-    one = np.maximum(ones[slots].astype(np.float32) - up, 0)
-    zero = np.maximum(zeros[slots].astype(np.float32) - ~up, 0)
-    return _inputs(log_odds(one, zero)), bits, n[:, None].astype(np.float64)
+    one, zero = np.maximum(ones - up, 0), np.maximum(zeros - ~up, 0)
+    return _inputs(log_odds(one, zero)), bits, n[a:b, None].astype(np.float64)
 
 
-def _refining(zeros, ones, weights):
+def _refining(short: Counts, weights):
     """Counts of (gate, bucket of the mixer's log-odds): weight and ones."""
 
     def run(batches):
         total, up = np.zeros(GATES * BUCKETS), np.zeros(GATES * BUCKETS)
-        for batch in batches:
-            grams, n = (batch.column(i).to_numpy() for i in (0, 1))
+        for grams, n, counts in _parts(batches, short):
+            grams, n = grams[n > 0], n[n > 0]
+            part = counts.of(grams)
             for a in range(0, len(grams), 16_384):
-                inputs, bits, n8 = _left_out(grams[a : a + 16_384].astype(np.uint64), n[a : a + 16_384], zeros, ones)
+                inputs, bits, n8 = _left_out(part, n, a, a + 16_384)
                 gate = _gate(inputs)
-                low, part = _buckets(np.einsum("gbi,gbi->gb", inputs, weights[gate]))
-                for at, share in ((low, 1 - part), (low + 1, part)):
+                low, share = _buckets(np.einsum("gbi,gbi->gb", inputs, weights[gate]))
+                for at, mass in ((low, 1 - share), (low + 1, share)):
                     flat = (gate * BUCKETS + at).ravel()
-                    total += np.bincount(flat, weights=(share * n8).ravel(), minlength=len(total))
-                    up += np.bincount(flat, weights=(share * n8 * bits).ravel(), minlength=len(total))
+                    total += np.bincount(flat, weights=(mass * n8).ravel(), minlength=len(total))
+                    up += np.bincount(flat, weights=(mass * n8 * bits).ravel(), minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total, up]).tobytes()])], names=["counts"])
 
     return run
 
 
+def _costs(short: Counts, weights: np.ndarray, refine: np.ndarray, parts: int):
+    """Grams with their costs, packed by part of the lookup table."""
+
+    def run(batches):
+        for grams, _, counts in _parts(batches, short):
+            yield _packed(grams, bit_costs(weights, refine, counts, grams), parts)
+
+    return run
+
+
 def train(docs: DataFrame) -> Model:
-    """Train on every text of docs(doc_id, text); no text gives even odds."""
-    spark = docs.sparkSession
-    grams = cut(
-        docs.mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams"
-    )
-    tasks = max(8, -(-grams.count() // GRAMS_PER_TASK))
-    grams = grams.repartition(tasks)
-    pieces = grams.mapInArrow(_slot_counts, "piece long, counts binary").groupBy("piece").applyInArrow(_sum_pieces, "piece long, counts binary")
-    zeros, ones = np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16)
-    for row in cut(pieces, "lm-slots").toArrow().to_pylist():
-        both = np.frombuffer(row["counts"], np.uint16)
-        part = slice(row["piece"] * PIECE, row["piece"] * PIECE + len(both) // 2)
-        zeros[part], ones[part] = both[: len(both) // 2], both[len(both) // 2 :]
+    """Train on every learning text of docs(doc_id, text, learning); none gives even odds."""
+    counted = docs.select("doc_id", "text", "learning").mapInArrow(_count_grams, "gram long, n long")
+    grams = cut(counted.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
+    strings = grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * (SHORT + 1))) - 1)).alias("gram"))
+    table = strings.agg(F.sum("n").alias("n")).toArrow()
+    short = Counts(table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy())
+    short.tables = {order: short.tables[order] for order in ORDERS if order <= SHORT}
     shape = (GATES, len(ORDERS) + 1)
-    learnt = grams.mapInArrow(_learn(zeros, ones), "weights binary, seen double").where("seen > 0").toArrow().to_pylist()
+    learnt = by_part(grams).mapInArrow(_learn(short), "weights binary, seen double").where("seen > 0").toArrow().to_pylist()
     mass = sum(r["seen"] for r in learnt)
     weights = sum((np.frombuffer(r["weights"]).reshape(shape) * (r["seen"] / mass) for r in learnt), np.zeros(shape))
     weights = (weights if learnt else np.full(shape, 0.3)).astype(np.float32)
     counts = sum(
-        (np.frombuffer(r["counts"]) for r in grams.mapInArrow(_refining(zeros, ones, weights), "counts binary").toArrow().to_pylist()),
+        (np.frombuffer(r["counts"]) for r in by_part(grams).mapInArrow(_refining(short, weights), "counts binary").toArrow().to_pylist()),
         np.zeros(2 * GATES * BUCKETS),
     )
     total, up = counts.reshape(2, GATES, BUCKETS)
     center = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
     rate = (up + 4 * center) / (total + 4)
-    return Model(zeros, ones, weights, np.log(rate / (1 - rate)).astype(np.float32))
+    return Model(short, grams, weights, np.log(rate / (1 - rate)).astype(np.float32))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -430,36 +553,25 @@ def base_counts(docs: DataFrame) -> DataFrame:
 SCORED = "doc_id long, key long, n_bytes long, bits double, n_tokens long, n_known long, base double, rare array<long>"
 
 
-def _score(model: Model, dictionary_: Dictionary, mix: np.ndarray, frequent: np.ndarray, counts: np.ndarray):
+def _score(totals: np.ndarray, mix: np.ndarray, frequent: np.ndarray, counts: np.ndarray, parts: int):
     """Scores by text; words not among `frequent` (sorted) are handed on."""
 
-    def run(batches):
-        odds = known_odds(model)
-        known, cost = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    def rows(table: pa.Table, numbers: pa.Table):
         logs = np.log10(counts + 1.0)
         with np.errstate(divide="ignore"):
             bytes_share = np.log2(mix[:, 0])
-        for batch in wb.text_chunks(batches, "text", CHUNK):
+        known = Numbers(table, numbers, parts) if table.num_rows else None
+        for batch in wb.text_chunks(table.select(["doc_id", "text", "key"]).to_batches(), "text", CHUNK):
             data, offsets = wb.utf8(batch.column(1))
             code, _ = symbols(data, offsets)
-            codes, unique = _distinct(code)
-            at = np.minimum(np.searchsorted(known, unique), max(len(known) - 1, 0))
-            new = known[at] != unique if len(known) else np.ones(len(unique), dtype=bool)
-            each = np.empty(len(unique), dtype=np.float32)
-            each[~new] = cost[at[~new]]
-            each[new] = bit_costs(model, odds, unique[new])
-            if len(known) + new.sum() > MEMO:
-                known, cost = known[:0], cost[:0]
-            known, cost = np.concatenate([known, unique[new]]), np.concatenate([cost, each[new]])
-            order = np.argsort(known)
-            known, cost = known[order], cost[order]
             p = pieces_of(code)
-            chance, gate = word_chances(p, dictionary_)
+            chance, gate = word_chances(p, known.of(p.key | WORD), totals)
             with np.errstate(divide="ignore"):
                 by_words = np.log2((mix[gate, 1:] * chance).sum(axis=1))
-            by_bytes = bytes_share[gate] - np.add.reduceat(each[codes].astype(np.float64), p.start)
+            by_bytes = bytes_share[gate] - np.add.reduceat(known.of(code), p.start)
             bits = -np.bincount(p.text, weights=np.logaddexp2(by_bytes, by_words), minlength=batch.num_rows)
 
+            del code, p, chance, gate, by_words, by_bytes  # before the next arrays of a run's size
             words = wb.split_words(data, offsets, True)
             h, row = words.hashes(), words.row
             place = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
@@ -476,6 +588,9 @@ def _score(model: Model, dictionary_: Dictionary, mix: np.ndarray, frequent: np.
                 names=["doc_id", "key", "n_bytes", "bits", "n_tokens", "n_known", "base", "rare"],
             )
 
+    def run(table: pa.Table, numbers: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(rows(table, numbers)))
+
     return run
 
 
@@ -495,8 +610,9 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     columns are ignored.
     """
     docs = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    learning = docs.where(~held_out(F.col("doc_id")))
-    model = train(learning)
+    docs = docs.withColumn("learning", ~held_out(F.col("doc_id")))
+    learning = docs.where("learning").select("doc_id", "text")
+    model = train(docs)
     vocabulary = cut(base_counts(learning), "lm-words")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = most_frequent(vocabulary, FREQUENT_WORDS).toArrow()
@@ -504,8 +620,16 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     order = np.argsort(frequent)
     frequent, counts = np.append(frequent[order], wb.U(2**64 - 1)), np.append(top.column("n").to_numpy()[order], 0)
     words = dictionary(learning)
-    mix = fit_gate(model, words, learning)
-    scored = docs.withColumn("key", F.xxhash64("text")).mapInArrow(_score(model, words, mix, frequent, counts), SCORED)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    docs = docs.withColumn("key", F.xxhash64("text"))
+    docs = docs.withColumn("grouped", F.pmod(F.xxhash64("doc_id", "key"), F.lit(size // GROUP_BYTES + 1)))
+    # the gate's sample is a few groups of its own, so that fitting reads no other texts
+    share = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1e6 * GATE_TEXTS / max(learning.count(), 1))
+    sample = docs.where("learning").where(share).withColumn("grouped", -1 - F.pmod(F.col("key"), F.lit(8)))
+    numbers, parts = looked_up(model, words, docs.select("grouped", "text").union(sample.select("grouped", "text")))
+    mix = fit_gate(words.totals, sample, numbers.where("grouped < 0"), parts)
+    numbers = numbers.where("grouped >= 0")
+    scored = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_score(words.totals, mix, frequent, counts, parts), SCORED)
     scored = cut(scored.dropDuplicates(["doc_id", "key"]), "lm-scored")
     rare = scored.select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").count()
     more = (

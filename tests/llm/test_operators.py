@@ -290,3 +290,30 @@ def test_pipeline(spark, data):
         assert set(columns) <= set(docs.columns) and 0 < docs.count() <= seen, name
         seen = docs.count()
     assert docs.select(F.max("doc_id")).first()[0] is not None
+
+
+def test_lm_counts_grow_with_the_corpus(spark):
+    """Costs and word counts come from exact tables, however many contexts there are."""
+    from folio.llm import lm_scoring as lm
+
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rnd.choice(letters) for _ in range(10)) for _ in range(12_000)]
+    docs = [(i, " ".join(words[i::8] * 2), True) for i in range(8)] + [(8, "xyzzy quux", False)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, learning boolean")
+    model, dictionary = lm.train(df), lm.dictionary(df.where("learning").select("doc_id", "text"))
+    numbers, parts = lm.looked_up(model, dictionary, df.withColumn("grouped", F.lit(1).cast("long")))
+    known = lm.Numbers(df.toArrow(), numbers.toArrow(), parts)
+    grams, n = (model.grams.toArrow().column(c).to_numpy() for c in ("gram", "n"))
+    counts = lm.Counts(grams[n > 0].astype(np.uint64), n[n > 0])
+    order5 = collections.Counter()
+    for g, m in zip(grams.tolist(), n.tolist()):
+        order5[g >> 8] += m
+    some = grams[:5000].astype(np.uint64)
+    ones, zeros, _ = counts.of(some)(0, len(some))
+    assert (ones + zeros)[:, 0, 4].tolist() == [order5[g >> 8] for g in some.tolist()] and len(order5) > 80_000
+    assert np.allclose(known.of(some), lm.bit_costs(model.weights, model.refine, counts, some), atol=1e-4)
+    cost = np.array([known.of(lm.symbols(np.frombuffer(w.encode(), np.uint8), np.array([0, 10]))[0])[5:10].sum() for w in words[:200]])
+    assert cost.mean() < 5  # five bytes that are certain after the five before
+    pieces = lm.pieces_of(lm.symbols(np.frombuffer(docs[0][1].encode(), np.uint8), np.array([0, len(docs[0][1])]))[0])
+    assert known.of(pieces.key | lm.WORD)[1:-1].tolist() == [2.0 - (w in (docs[0][1].split()[0], docs[0][1].split()[-1])) for w in docs[0][1].split()[1:-1]]
