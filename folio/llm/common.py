@@ -10,14 +10,26 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder in spark.checkpoint.dir.
+
+    Where none is set, one of our own in local mode, whose tasks share the
+    driver's disk; an error on a cluster, whose executors don't.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="folio-checkpoint-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def written_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{shared_folder(spark)}/folio/{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back.
 
@@ -25,11 +37,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     its size is known to the planner when it chooses between join strategies.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/folio/{name}-{uuid.uuid4().hex}"
+    path = f"{written_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables that cut() wrote in this application.
+
+    Results are lazy and read them, so this is for when those are consumed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(written_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spare(taken, name: str) -> str:
+    """name, with underscores added until no column in `taken` is called so."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id, text) under those names, whatever else the table carries."""
     if (id_col, text_col) == ("doc_id", "text") and docs.schema["doc_id"].dataType.typeName() == "long":

@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from folio.llm import wordblocks as wb
 from folio.llm.automaton import SuffixAutomaton
-from folio.llm.common import documents, group_rows, texts
+from folio.llm.common import cut, documents, group_rows, texts
 
 WINDOW = 13
 SEED = 5
-#: Documents of one shard that are matched together before the shards' halves meet.
+#: Documents with one seed that are matched together.
 SHARD_DOCUMENTS = 2048
-SPAN = "shard long, split int, salt int, doc_id long, start int, words binary"
+#: Words of the shard's first document whose seeds make up one shard.
+REGION = 512
+SPAN = "shard long, split int, salt int, doc_id long, key long, start int, words binary"
+FRESH = "doc_id long, key long, start int, stop int, words binary"
 
 
 def selected_seeds(words: wb.Words, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,9 +58,10 @@ def _seeds(window: int, seed: int):
     def run(batches):
         for batch in wb.text_chunks(batches, "text"):
             words = wb.split_words(*wb.utf8(batch.column(1)), False)
-            h, row, _ = selected_seeds(words, window, seed)
+            h, row, place = selected_seeds(words, window, seed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.astype(np.int64)), batch.column(0).take(pa.array(row))], names=["seed", "doc_id"]
+                [pa.array(h.astype(np.int64)), batch.column(0).take(pa.array(row)), batch.column(2).take(pa.array(row)), pa.array(place.astype(np.int32))],
+                names=["seed", "doc_id", "key", "place"],
             )
 
     return run
@@ -72,9 +76,9 @@ def _spans(window: int, seed: int, per_shard: int):
             hashes = words.hashes()
             h, row, place = selected_seeds(words, window, seed)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            known = batch.column(2)
-            out = {"shard": [], "split": [], "salt": [], "doc_id": [], "start": [], "words": []}
-            for i, doc in enumerate(batch.column(0).to_pylist()):
+            known = batch.column(3)
+            out = {"shard": [], "split": [], "salt": [], "doc_id": [], "key": [], "start": [], "words": []}
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 shared = known[i].values
                 if shared is None or not len(shared):
                     continue
@@ -86,7 +90,9 @@ def _spans(window: int, seed: int, per_shard: int):
                 found[found == len(keys)] = 0
                 hit = keys[found] == own
                 at = place[bounds[i] : bounds[i + 1]][hit]
+                region = shared.field("place").to_numpy()[order][found[hit]] // REGION
                 low = shared.field("low").to_numpy()[order][found[hit]]
+                low = (wb.mix(low.astype(np.uint64)) + region.astype(np.uint64)).astype(np.int64)
                 # hot seeds are matched in salted parts first; all of a seed's documents agree on how many
                 parts = -(-shared.field("n").to_numpy()[order][found[hit]] // per_shard)
                 split = np.where(parts > 1, np.ceil(np.log2(np.maximum(parts, 1))), 0).astype(np.int64)
@@ -105,12 +111,13 @@ def _spans(window: int, seed: int, per_shard: int):
                     out["split"].append(int(split[a]))
                     out["salt"].append(salt % (1 << int(split[a])))
                     out["doc_id"].append(doc)
+                    out["key"].append(text)
                     out["start"].append(int(begin[a]))
                     out["words"].append(hashes[base + begin[a] : base + end[b]].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(out[k], t)
-                    for k, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))
+                    for k, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))
                 ],
                 names=list(out),
             )
@@ -118,27 +125,24 @@ def _spans(window: int, seed: int, per_shard: int):
     return run
 
 
-def _match(window: int, keys: list[str], hand_on: bool):
+def _match(window: int):
     """Stream each shard's spans, in document order, through its automaton.
 
     Yields the removed word ranges.  What was new in the shard is what a later
-    document can repeat, so only that enters the automaton.  With hand_on it is
-    the new words of the parts of hot shards that are yielded instead, to meet
-    the other parts' new words.
+    document can repeat, so only that enters the automaton.  The new words of
+    salted parts are yielded as well (with words), to meet the other parts'.
     """
 
     def run(batches):
-        for key, group in group_rows(batches, keys):
-            if hand_on and not key[1]:
-                continue
+        for (_, split, _), group in group_rows(batches, ["shard", "split", "salt"]):
             automaton = SuffixAutomaton()
-            out = {"shard": [], "split": [], "doc_id": [], "start": [], "stop": [], "words": []}
+            out = {"doc_id": [], "key": [], "start": [], "stop": [], "words": []}
 
-            def put(doc, start, stop, words):
-                for k, v in zip(out, (key[0], key[1], doc, start, stop, words)):
+            def put(*row):
+                for k, v in zip(out, row):
                     out[k].append(v)
 
-            ids, starts, texts_ = (group.column(k).to_pylist() for k in ("doc_id", "start", "words"))
+            ids, keys, starts, texts_ = (group.column(k).to_pylist() for k in ("doc_id", "key", "start", "words"))
             i = 0
             while i < len(ids):
                 fresh = []
@@ -148,28 +152,50 @@ def _match(window: int, keys: list[str], hand_on: bool):
                     seen = np.zeros(max(len(words) - window + 1, 0), dtype=bool)
                     if len(automaton.step) > 1:
                         seen[automaton.windows(words, window)] = True
-                    for a, b in () if hand_on else _runs(seen):
-                        put(doc, starts[i] + a, starts[i] + b + window - 1, None)
+                    for a, b in _runs(seen):
+                        put(doc, keys[i], starts[i] + a, starts[i] + b + window - 1, None)
                     for a, b in _runs(~seen):
                         piece = words[a : b + window - 1]
                         fresh.append(piece)
-                        if hand_on:
-                            put(doc, starts[i] + a, None, np.array(piece, dtype=np.uint64).tobytes())
+                        if split:
+                            put(doc, keys[i], starts[i] + a, None, np.array(piece, dtype=np.uint64).tobytes())
                     i += 1
                 if i < len(ids):  # nothing reads what the last document adds
                     for piece in fresh:
                         automaton.add(piece)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out[k], t)
-                    for k, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))
-                ],
+                [pa.array(out[k], t) for k, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
                 names=list(out),
             )
 
     return run
 
 
+def _fresh_windows(window: int):
+    """Every window of the parts' new words, as a 128-bit hash and its place."""
+
+    def run(batches):
+        for batch in batches:
+            for doc, key, start, _, words in zip(*[c.to_pylist() for c in batch.columns]):
+                h = np.frombuffer(words, dtype=np.uint64)
+                bounds = np.array([0, len(h)])
+                one, _ = wb.grams(h, bounds, window)
+                two, _ = wb.grams(wb.mix(h ^ wb.U(0x5851F42D4C957F2D)), bounds, window)
+                n = len(one)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(one.astype(np.int64)),
+                        pa.array(two.astype(np.int64)),
+                        pa.array(np.full(n, doc, np.int64)),
+                        pa.array(np.full(n, key, np.int64)),
+                        pa.array((start + np.arange(n)).astype(np.int32)),
+                    ],
+                    names=["one", "two", "doc_id", "key", "start"],
+                )
+
+    return run
+
+
 def _runs(flags: np.ndarray):
     """(first, one past the last) of each run of true flags."""
     edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
@@ -177,35 +203,35 @@ def _runs(flags: np.ndarray):
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED, per_shard: int = SHARD_DOCUMENTS) -> DataFrame:
-    """Word ranges [start, stop) of doc_id that an earlier document holds.
+    """Word ranges [start, stop) of the rows (doc_id, key) that an earlier document holds.
 
     A range is listed once for each shard that finds it; ranges may overlap.
-    docs has doc_id and text.
+    docs has doc_id, text and key, a hash of the text.
     """
-    seeds = docs.mapInArrow(_seeds(window, seed), "seed long, doc_id long")
+    seeds = docs.mapInArrow(_seeds(window, seed), "seed long, doc_id long, key long, place int")
     shared = (
         seeds.groupBy("seed")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
-        .where("low < high")
-        .select("seed", "low", "n")
+        .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+        .where("first.doc_id < high")
+        .select("seed", F.col("first.doc_id").alias("low"), F.col("first.place").alias("place"), "n")
     )
+    shared = cut(shared, "substring-seeds")  # a table, so that the join can be split where a seed is hot
     by_doc = (
-        seeds.join(shared, "seed")
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("seed", "low", "n")).alias("shared"))
+        seeds.select("seed", "doc_id", "key")
+        .join(shared, "seed")
+        .groupBy("doc_id", "key")
+        .agg(F.collect_set(F.struct("seed", "low", "place", "n")).alias("shared"))
     )
-    spans = docs.join(by_doc, "doc_id").select("doc_id", "text", "shared").mapInArrow(_spans(window, seed, per_shard), SPAN)
+    spans = docs.join(by_doc, ["doc_id", "key"]).select("doc_id", "text", "key", "shared").mapInArrow(_spans(window, seed, per_shard), SPAN)
     parts = ["shard", "split", "salt"]
-    matched = "shard long, split int, doc_id long, start int, stop int, words binary"
-    spans = spans.repartition(*parts).sortWithinPartitions(*parts, "doc_id", "start")
-    first = spans.mapInArrow(_match(window, parts, False), matched)
-    second = (
-        spans.mapInArrow(_match(window, parts, True), matched)  # the shuffle of spans is shared with `first`
-        .repartition("shard", "split")
-        .sortWithinPartitions("shard", "split", "doc_id", "start")
-        .mapInArrow(_match(window, parts[:2], False), matched)
-    )
-    return first.union(second).select("doc_id", "start", "stop")
+    spans = spans.repartition(*parts).sortWithinPartitions(*parts, "doc_id", "key", "start")
+    matched = cut(spans.mapInArrow(_match(window), FRESH), "substring-matched")
+    # windows that were new in several salted parts: the first document keeps them
+    fresh = matched.where("words is not null").mapInArrow(_fresh_windows(window), "one long, two long, doc_id long, key long, start int")
+    first = fresh.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    again = fresh.join(cut(first, "substring-fresh"), ["one", "two"]).where("first < doc_id")
+    found = matched.where("words is null").select("doc_id", "key", "start", "stop")
+    return found.union(again.select("doc_id", "key", "start", (F.col("start") + window).cast("int").alias("stop")))
 
 
 def _strip(batches):
@@ -243,27 +269,30 @@ def remove_repeated_substrings(docs: DataFrame, window: int = WINDOW) -> DataFra
     doc_id, n_words, n_removed, kept_text (kept words joined by one space) and
     kept_sha256 of that.  A null or empty text has no words; texts shorter than
     a window lose nothing.  Rows that repeat a doc_id are parts of one document
-    and do not remove each other's words; rows without a doc_id lose nothing.
+    and do not remove each other's words; each loses what its own text repeats
+    from smaller ids.  Rows without a doc_id lose nothing, and remove nothing.
     Further columns are ignored.
 
     Shards.  Every window selects its smallest five-word seed.  Seeds found in
-    two or more documents are the only ones that matter, and the smallest
-    document holding a seed names its shard, so all documents that share a
-    window meet in one shard with the words around it.  There an automaton of
-    what earlier documents brought answers each document's matching statistics.
-    Seeds in more than SHARD_DOCUMENTS documents are matched in salted parts
-    first; just what is new in each part goes on to the whole shard.
+    two or more documents are the only ones that matter.  The smallest document
+    holding a seed, and the region of REGION words where it stands there, name
+    the seed's shard, so all documents that share a window meet in one shard
+    with the words around it, and a shard does not grow with that document's
+    length.  There an automaton of what earlier documents brought answers each
+    document's matching statistics.  Seeds in more than SHARD_DOCUMENTS documents
+    are matched in salted parts; the windows that are new in each part are
+    settled by the least doc_id of every window, an aggregation.
     """
-    docs = texts(docs)
+    docs = texts(docs).withColumn("key", F.xxhash64("text"))
     known = docs.where("doc_id is not null")
     ranges = (
-        removed_spans(known, window).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+        removed_spans(known, window).groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     )
     rest = docs.where("doc_id is null").withColumn("ranges", F.lit(None).cast("array<struct<start int, stop int>>"))
     return (
-        known.join(ranges, "doc_id", "left")  # shares the shuffle of texts with removed_spans
+        known.join(ranges, ["doc_id", "key"], "left")  # shares the shuffle of texts with removed_spans
         .select("doc_id", "text", "ranges")
-        .union(rest)
+        .union(rest.select("doc_id", "text", "ranges"))
         .mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
     )
 
