@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from folio.llm.line_dedup import LONG_LINE
 from folio.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
 
 SPACE = "[ \\t\\n\\x0B\\f\\r]"
@@ -24,7 +25,8 @@ LINE_DEDUP = f"""with a as (select doc_id, text, unnest(string_split(text, chr(1
     k as (select x.doc_id, x.pos, x.p as p1, y.p as p2, z.p as p3, md5(x.solid || chr(10) || y.solid || chr(10) || z.solid) as h
           from n x join n y on y.doc_id = x.doc_id and y.pos = x.pos + 1 join n z on z.doc_id = x.doc_id and z.pos = x.pos + 2),
     o as (select *, row_number() over (partition by h order by doc_id, pos) as seen from k),
-    c as (select distinct doc_id, unnest([p1, p2, p3]) as p from o where seen > 1),
+    g as (select doc_id, p, row_number() over (partition by md5(solid) order by doc_id, pos) as seen from n where len(regexp_extract_all(solid, '[^{SPACE[1:]}+')) >= {LONG_LINE}),
+    c as (select distinct doc_id, unnest([p1, p2, p3]) as p from o where seen > 1 union select doc_id, p from g where seen > 1),
     s as (select a.doc_id, count(*) as n_lines, count(c.p) as n_removed, string_agg(line, chr(10) order by a.p) filter (where c.p is null) as kept
           from a left join c on c.doc_id = a.doc_id and c.p = a.p group by 1)
     select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from documents d left join s using (doc_id)"""
