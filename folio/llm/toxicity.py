@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.llm import wordblocks as wb
-from folio.llm.common import cut, documents, texts
+from folio.llm.common import cut, documents, spare, texts
 
 #: Labelled rows that training may take to the driver.
 TRAIN_ROWS = 12_000
@@ -207,24 +207,27 @@ def train(docs: DataFrame, labels: DataFrame, held_out, rows: int = TRAIN_ROWS)
 SCORE = "_toxicity"
 
 
-def _score(model: Model):
+def _score(model: Model, name: str):
     def run(batches):
         for batch in wb.text_chunks(batches, "text", CHUNK):
             slot, count = features(batch.column(batch.schema.get_field_index("text")))
             score = 1 / (1 + np.exp(-model.margin(slot, count)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, SCORE])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
     return run
 
 
-def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with the column _toxicity (0 to 1), from each row's whole text.
+def score_toxicity(docs: DataFrame, model: Model, name: str = SCORE) -> DataFrame:
+    """docs with a further column (0 to 1), from each row's whole text.
 
     A null text is empty and, having no features, scores the model's bias.
     Repeated rows, null ids and further columns do no harm: each row is scored
-    by its text alone and keeps its columns.
+    by its text alone and keeps its columns.  A column of docs that is called
+    `name` already is an error.
     """
-    return docs.mapInArrow(_score(model), T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())]))
+    if spare(docs.columns, name) != name:
+        raise ValueError(f"the documents have a column {name}")
+    return docs.mapInArrow(_score(model, name), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def held_out_rows(doc_id):
@@ -232,9 +235,9 @@ def held_out_rows(doc_id):
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score under THRESHOLD, with their columns."""
-    model = train(texts(docs), labels, held_out_rows)
-    return score_toxicity(docs, model).where(F.col(SCORE) < THRESHOLD).drop(SCORE)
+    """The rows of docs that score under THRESHOLD, with their columns, whatever these are called."""
+    model, name = train(texts(docs), labels, held_out_rows), spare(docs.columns, SCORE)
+    return score_toxicity(docs, model, name).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def op8_toxicity(spark, sf_dir):
