@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import cut, documents
+from folio.llm.common import cut, documents, spare
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Targets, unless given: shares of tokens to this power, rescaled to 1.
@@ -22,39 +22,52 @@ MOST_ROUNDS = 40
 #: Cells that one task rakes without a shuffle; more are raked across tasks.
 ONE_TASK_CELLS = 65_536
 SEED = 2
+#: Word classes that stand for topics, and letters from which a word is a content word.
+TOPICS, CONTENT_LETTERS = 8, 5
+NO_TOPIC = "none"
 
 
-def topic_of(text: Column) -> Column:
-    """A document's topic class, told from its make-up."""
-    return (
-        F.when(text.contains(" | "), "table")
-        .when(text.contains("!!"), "shouting")
-        .when(text.contains("$$$") | text.contains("&&&"), "noise")
-        .otherwise("prose")
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+
+
+def classes_of(words: Column) -> Column:
+    """How many content words of a text are in each word class.
+
+    A word's class is its hash: TOPICS classes of words, equal for all corpora.
+    The digits of all words are written down once and counted as text.
+    """
+    digits = F.array_join(
+        F.transform(words, lambda w: F.when(F.length(w) >= CONTENT_LETTERS, F.pmod(F.hash(w), F.lit(TOPICS)).cast("string")).otherwise("")), ""
     )
+    size = F.length(digits)
+    return F.array(*[(size - F.length(F.replace(digits, F.lit(str(k)), F.lit("")))).cast("long") for k in range(TOPICS)])
 
 
-def tokens_of(text: Column) -> Column:
-    return F.when(text.rlike(r"\S"), F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "))).otherwise(0).cast("long")
+def topic_of(classes: Column, shares: list[float]) -> Column:
+    """The word class that a text has most in excess of the corpus's share, in
+    standard deviations of a text of its length; ties go to the lower class."""
+    n = F.aggregate(classes, F.lit(0).cast("long"), lambda a, b: a + b)
+    excess = [
+        F.struct(((classes[k] - n * p) / F.sqrt(F.greatest(n * p, F.lit(1e-9)))).alias("by"), F.lit(-k).alias("k"), F.lit(f"words{k}").alias("topic"))
+        for k, p in enumerate(shares)
+    ]
+    return F.when(n > 0, F.greatest(*excess)["topic"]).otherwise(NO_TOPIC)
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """docs with the mixing columns under names of their own."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns(
-        {
-            "_mix_source": F.col("source").cast("string"),
-            "_mix_lang": F.col("lang").cast("string"),
-            "_mix_topic": topic_of(text),
-            "_mix_tokens": tokens_of(text),
-        }
+    """row (all columns of docs), source, lang, tokens and classes."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("words", words_of(F.coalesce("row.text", F.lit(""))))
+    return rows.select(
+        "row",
+        F.col("row.source").cast("string").alias("source"),
+        F.col("row.lang").cast("string").alias("lang"),
+        F.size("words").cast("long").alias("tokens"),
+        classes_of(F.col("words")).alias("classes"),
     )
 
 
-def _names(dimensions) -> list[str]:
-    return [f"_mix_{d}" for d in dimensions]
-
-
 def targets_of(cells: DataFrame, column: str, given: dict | None, temperature: float) -> DataFrame:
     """(value, target): given shares, or tempered shares of tokens; sum 1."""
     spark = cells.sparkSession
@@ -67,36 +80,44 @@ def targets_of(cells: DataFrame, column: str, given: dict | None, temperature: f
 
 
 def rake(cells: DataFrame, dimensions=DIMENSIONS, targets: dict | None = None, temperature: float = TEMPERATURE) -> DataFrame:
-    """Weights of the cells (one column per dimension, and tokens).
+    """Weights of the cells (one column per dimension, and tokens), and miss.
 
     Each round rescales the weights so that the weighted token shares meet one
     dimension's targets after the other's.  Values without a target get weight
     0; targets of values without tokens can't be met and are shared out by the
     next rescaling.  Ends when all shares are within TOLERANCE of their target,
-    or after MOST_ROUNDS.
+    or after MOST_ROUNDS: then the targets contradict each other on these cells.
+    If targets were given this is an error that names them; the default ones
+    are met as well as they can be.  miss is by how much the cell's worst
+    marginal misses its target, as a part of the target.
     """
-    names = _names(dimensions)
-    for d, name in zip(dimensions, names):
-        table = targets_of(cells, name, (targets or {}).get(d), temperature)
+    names = list(dimensions)
+    for name in names:
+        table = targets_of(cells, name, (targets or {}).get(name), temperature)
         cells = cells.join(table, cells[name].eqNullSafe(table["value"]), "left").drop("value")
         cells = cells.withColumn(f"{name}_target", F.coalesce("target", F.lit(0.0))).drop("target")
     cells = cut(cells.withColumn("weight", F.lit(1.0)), "mix-cells")
     few = cells.count() <= ONE_TASK_CELLS
+
+    def shares(table: DataFrame) -> dict[str, Column]:
+        return {n: F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(n)) for n in names}
+
     for _ in range(MOST_ROUNDS // ROUNDS):
         cells = cells.coalesce(1) if few else cells
-        for turn in range(ROUNDS):
+        for _turn in range(ROUNDS):
             for name in names:
-                share = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(name))
+                share = shares(cells)[name]
                 scaled = F.col("weight") * F.col(f"{name}_target") / share
-                if turn == ROUNDS - 1:  # how far off the marginal was, in the last turn
-                    cells = cells.withColumn(f"{name}_off", F.when(F.col(f"{name}_target") > 0, F.abs(share / F.col(f"{name}_target") - 1)))
                 cells = cells.withColumn("weight", F.when(share > 0, scaled).otherwise(F.lit(0.0)))
-        cells = cut(cells, "mix-weights")
-        off = cells.agg(F.max(F.greatest(*[F.col(f"{n}_off") for n in names], F.lit(0.0)))).first()[0]
-        cells = cells.drop(*[f"{n}_off" for n in names])
-        if off is None or off < TOLERANCE:
+        off = [F.when((F.col(f"{n}_target") > 0) & (F.col("weight") > 0), F.abs(s / F.col(f"{n}_target") - 1)).otherwise(0.0) for n, s in shares(cells).items()]
+        cells = cut(cells.withColumn("miss", F.greatest(*off, F.lit(0.0))), "mix-weights")
+        worst = cells.agg(F.max("miss")).first()[0]
+        if worst is None or worst < TOLERANCE:
             break
-    return cells.select(*names, "tokens", "weight")
+    else:
+        if targets:
+            raise ValueError(f"the targets for {sorted(targets)} can't be met together: a marginal is off by {worst:.1%} of its target")
+    return cells.select(*names, "tokens", "weight", "miss")
 
 
 def calibrate(cells: DataFrame, keep: float) -> float:
@@ -126,47 +147,45 @@ def calibrate(cells: DataFrame, keep: float) -> float:
 
 
 def chances(docs: DataFrame, dimensions=DIMENSIONS, targets: dict | None = None, keep: float = KEEP, seed: int = SEED) -> DataFrame:
-    """docs with _mix_weight, _mix_probability and _mix_sampled.
+    """row (all columns of docs), source, lang, topic, tokens, weight, miss,
+    probability and sampled, for each row of docs.
 
     A document's draw is a hash of its doc_id and text, so reruns and lost
     executors repeat it.  A null source or language is a value of its own; null
     and empty texts have no tokens and are sampled like their cell.  Cells
-    without tokens weigh nothing.
+    without tokens weigh nothing.  Repeated rows get the same draw.  The columns
+    of docs are kept apart, in row, so their names don't matter.  An empty table
+    gives an empty one.
     """
     rows = described(docs)
-    names = _names(dimensions)
-    cells = cut(rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("tokens")), "mix-counts")
+    known = cut(rows.select("source", "lang", "tokens", "classes"), "mix-documents")
+    totals = known.agg(*[F.coalesce(F.sum(F.col("classes")[k]), F.lit(0)) for k in range(TOPICS)]).first()
+    shares = [t / max(sum(totals), 1) for t in totals]
+    topic = topic_of(F.col("classes"), shares)
+    names = list(dimensions)
+    cells = cut(known.withColumn("topic", topic).groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mix-counts")
     weights = cut(rake(cells, dimensions, targets), "mix-raked")
     scale = calibrate(weights, keep)
     table = weights.select(
-        *[F.col(n).alias(f"{n}_cell") for n in names],
-        F.col("weight").alias("_mix_weight"),
-        F.least(F.lit(1.0), F.col("weight") * scale).alias("_mix_probability"),
+        *[F.col(n).alias(f"{n}_cell") for n in names], "weight", "miss", F.least(F.lit(1.0), F.col("weight") * scale).alias("probability")
     )
+    rows = rows.withColumn("topic", topic).drop("classes")
     same = None
     for n in names:
         one = F.col(n).eqNullSafe(F.col(f"{n}_cell"))
         same = one if same is None else same & one
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11) / float(1 << 53)
+    draw = F.shiftrightunsigned(F.xxhash64("row.doc_id", "row.text", F.lit(seed)), 11) / float(1 << 53)
     rows = rows.join(table, same, "left").drop(*[f"{n}_cell" for n in names])
-    return rows.withColumn("_mix_sampled", F.coalesce(draw < F.col("_mix_probability"), F.lit(False)))
+    return rows.withColumn("sampled", F.coalesce(draw < F.col("probability"), F.lit(False)))
 
 
 def mix_sources(docs: DataFrame, targets: dict | None = None, keep: float = KEEP, seed: int = SEED) -> DataFrame:
-    """The sampled rows of docs, with its columns and the mixing weight."""
-    names = docs.columns
-    return chances(docs, targets=targets, keep=keep, seed=seed).where("_mix_sampled").select(*names, F.col("_mix_weight").alias("mix_weight"))
+    """The sampled rows of docs, with its columns and mix_weight (mix_weight_
+    where docs has a column of that name)."""
+    name = spare(docs.columns, "mix_weight")
+    return chances(docs, targets=targets, keep=keep, seed=seed).where("sampled").select("row.*", F.col("weight").alias(name))
 
 
 def op2_mixing(spark, sf_dir):
     rows = chances(documents(spark, sf_dir))
-    return rows.select(
-        "doc_id",
-        F.col("_mix_source").alias("source"),
-        F.col("_mix_lang").alias("lang"),
-        F.col("_mix_topic").alias("topic"),
-        F.col("_mix_tokens").alias("n_tokens"),
-        F.col("_mix_weight").alias("weight"),
-        F.col("_mix_probability").alias("probability"),
-        F.col("_mix_sampled").alias("sampled"),
-    )
+    return rows.select("row.doc_id", "source", "lang", "topic", F.col("tokens").alias("n_tokens"), "weight", "probability", "sampled", "miss")
