@@ -8,8 +8,6 @@ so passages in another order, or broken up, count in full.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,50 +26,57 @@ FOUND = (
 )
 
 
-def tile(doc_at: np.ndarray, item_at: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (doc word, item word, length) from the places where the
-    rolling hashes of `size` words agree.
+def tile(doc: np.ndarray, place: np.ndarray, item: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles (doc word, item word, length) of a document's and an item's
+    word hashes; place has the document words' numbers, with gaps where words
+    that are in no shared seed were left out.
 
-    Agreements that follow each other on a diagonal are one maximal match.  The
-    longest is taken first (ties: the earliest in the document, then in the
-    item); what others lose to its marks is cut off and they queue again.
+    Each round finds the longest runs of words not yet marked that are equal in
+    both, by the run lengths that end at each document word, held for one item
+    word at a time; all of that length are marked, earliest in the document (then
+    in the item) first, until none of `size` words is left.  So memory follows
+    the document's words, not the pairs of places where seeds agree; every round
+    has a smaller length, so there are at most sqrt(2 * item words) of them.
     """
-    order = np.lexsort((doc_at, doc_at - item_at))
-    doc_at, item_at = doc_at[order], item_at[order]
-    new = np.ones(len(doc_at), dtype=bool)
-    new[1:] = (np.diff(doc_at - item_at) != 0) | (np.diff(doc_at) != 1)
-    first = np.flatnonzero(new)
-    run = np.diff(np.append(first, len(doc_at))) + size - 1
-    queue = [(-n, d, i) for n, d, i in zip(run.tolist(), doc_at[first].tolist(), item_at[first].tolist())]
-    heapq.heapify(queue)
-    in_doc: set[int] = set()
-    in_item: set[int] = set()
+    follows = np.zeros(len(doc), dtype=bool)
+    follows[1:] = np.diff(place) == 1
+    free, open_ = np.ones(len(doc), dtype=bool), np.ones(len(item), dtype=bool)
     tiles = []
-    while queue:
-        n, d, i = heapq.heappop(queue)
-        free, start = [], None
-        for j in range(-n + 1):
-            taken = j == -n or d + j in in_doc or i + j in in_item
-            if not taken and start is None:
-                start = j
-            elif taken and start is not None:
-                free.append((start, j - start))
-                start = None
-        if free == [(0, -n)]:
-            tiles.append((d, i, -n))
-            in_doc.update(range(d, d - n))
-            in_item.update(range(i, i - n))
-            continue
-        for j, length in free:
-            if length >= size:
-                heapq.heappush(queue, (-length, d + j, i + j))
-    return tiles
+    while True:
+        best, ends = size, []
+        run = np.zeros(len(doc), dtype=np.int32)
+        for j, word in enumerate(item.tolist()):
+            if not open_[j]:
+                run[:] = 0
+                continue
+            before = np.concatenate(([0], run[:-1])) * follows
+            run = np.where((doc == wb.U(word)) & free, before + 1, 0).astype(np.int32)
+            longest = int(run.max(initial=0))
+            if longest > best:
+                best, ends = longest, []
+            if longest == best:
+                ends.append((np.flatnonzero(run == best), j))
+        if not ends:
+            return tiles
+        at, last = np.concatenate([e for e, _ in ends]), np.concatenate([np.full(len(e), j) for e, j in ends])
+        for k in np.lexsort((last, at)).tolist():
+            d, i = int(at[k]) - best + 1, int(last[k]) - best + 1
+            if free[d] and free[d + best - 1] and open_[i] and open_[i + best - 1]:  # tiles are as long, so ends tell
+                tiles.append((int(place[d]), i, best))
+                free[d : d + best] = False
+                open_[i : i + best] = False
+
+
+def _ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """low[0], low[0] + 1, ... (count[0] of them), low[1], ..."""
+    return np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
 def _search(ids: list[int], items: list[str], size: int, coverage: float):
     """A task over document batches, for one block of benchmark items."""
     words = wb.split_words(*wb.utf8(pa.array(items, pa.string())), True, wb.NOT_ALNUM)
-    seeds, at = wb.grams(words.hashes(), words.first, size)
+    item_hashes = words.hashes()
+    seeds, at = wb.grams(item_hashes, words.first, size)
     row = np.repeat(np.arange(len(items)), np.diff(at))
     place = np.arange(len(seeds)) - at[row]
     order = np.argsort(seeds, kind="stable")
@@ -80,32 +85,46 @@ def _search(ids: list[int], items: list[str], size: int, coverage: float):
     quick = np.zeros(1 << 20, dtype=bool)
     quick[seeds >> wb.U(44)] = True
 
+    def candidates(found: np.ndarray):
+        """Items of whose words enough lie under the seeds found in a document.
+
+        found has distinct hashes, so this is bounded by the block's seeds."""
+        low, high = np.searchsorted(seeds, found, "left"), np.searchsorted(seeds, found, "right")
+        index = _ranges(low, high - low)
+        item, start = row[index], place[index]
+        order = np.lexsort((start, item))
+        item, start = item[order], start[order]
+        if not len(item):
+            return item
+        new = np.append(True, np.diff(item) != 0)
+        ahead = np.append(start[1:], 0) - start
+        ahead[np.append(new[1:], True)] = size  # of an item's last seed, all words
+        first = np.flatnonzero(new)
+        covered = np.add.reduceat(np.minimum(ahead, size), first)
+        return item[first][covered >= coverage * length[item[first]]]
+
     def run(batches):
         for batch in wb.text_chunks(batches, "text"):
             text = wb.split_words(*wb.utf8(batch.column(1)), True, wb.NOT_ALNUM)
-            h, begin = wb.grams(text.hashes(), text.first, size)
+            hashes = text.hashes()
+            h, begin = wb.grams(hashes, text.first, size)
             likely = np.flatnonzero(quick[h >> wb.U(44)])
-            low, high = np.searchsorted(seeds, h[likely], "left"), np.searchsorted(seeds, h[likely], "right")
-            likely, low, count = likely[high > low], low[high > low], (high - low)[high > low]
-            doc = np.repeat(np.searchsorted(begin, likely, "right") - 1, count)
-            spot = np.repeat(likely, count) - begin[doc]
-            index = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            item, item_spot = row[index], place[index]
-            order = np.lexsort((item, doc))
-            doc, spot, item, item_spot = doc[order], spot[order], item[order], item_spot[order]
-            edge = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(item) != 0))) if len(doc) else []
+            known = seeds[np.minimum(np.searchsorted(seeds, h[likely]), max(len(seeds) - 1, 0))] == h[likely] if len(seeds) else np.zeros(len(likely), bool)
+            likely = likely[known]
+            doc = np.searchsorted(begin, likely, "right") - 1
+            edge = np.flatnonzero(np.append(True, np.diff(doc) != 0)) if len(doc) else []
             out = []
             for a, b in zip(edge, [*edge[1:], len(doc)]):
-                n = int(length[item[a]])
-                reach = np.zeros(n + 1, dtype=np.int32)
-                np.add.at(reach, item_spot[a:b], 1)
-                np.add.at(reach, item_spot[a:b] + size, -1)
-                if np.count_nonzero(np.cumsum(reach)) < coverage * n:
-                    continue  # no tiling can cover more words than the seeds do
-                tiles = tile(spot[a:b], item_spot[a:b], size)
-                tiled = sum(t[2] for t in tiles)
-                if tiled >= coverage * n:
-                    out.append((batch.column(0)[int(doc[a])].as_py(), ids[item[a]], n, tiled, sorted(tiles), tiled / n))
+                d = int(doc[a])
+                spot, hit = likely[a:b] - begin[d], h[likely[a:b]]
+                for k in candidates(np.unique(hit)).tolist():
+                    own = item_hashes[words.first[k] : words.first[k + 1]]
+                    mine = spot[np.isin(hit, wb.grams(own, np.array([0, len(own)]), size)[0])]
+                    near = np.unique(mine[:, None] + np.arange(size)[None, :])  # words in seeds of this item
+                    tiles = tile(hashes[text.first[d] + near], near, own, size)
+                    tiled = sum(t[2] for t in tiles)
+                    if tiled >= coverage * len(own):
+                        out.append((batch.column(0)[d].as_py(), ids[k], len(own), tiled, sorted(tiles), tiled / len(own)))
             yield pa.RecordBatch.from_pylist(
                 [
                     {
@@ -149,7 +168,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = TILE, coverage: flo
 
     Items travel to the documents in blocks of about block_chars, chosen by hash;
     a larger benchmark takes more passes over the documents, not more memory.
-    The documents are never shuffled.
+    The documents are never shuffled.  What a task holds for a document and an
+    item follows their words, however often these repeat.
     """
     docs = texts(docs)
     items = texts(benchmark, "item_id").withColumnRenamed("doc_id", "item_id").where("text is not null").distinct()

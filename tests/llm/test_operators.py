@@ -89,56 +89,88 @@ def test_tiles_find_links_that_hubs_miss():
 
 
 def brute_windows(rows, size=13):
-    first, texts = {}, {}
+    """By (id, text): words, words removed and hash of what is kept."""
+    first = {}
     for i, x in rows:
-        w = texts[i] = words_of(x)
-        for j in range(len(w) - size + 1):
+        w = words_of(x)
+        for j in range(len(w) - size + 1) if i is not None else ():
             key = tuple(w[j : j + size])
             first[key] = min(first.get(key, 1 << 60), i)
     out = {}
-    for i, w in texts.items():
+    for i, x in rows:
+        w = words_of(x)
         keep = [True] * len(w)
-        for j in range(len(w) - size + 1):
+        for j in range(len(w) - size + 1) if i is not None else ():
             if first[tuple(w[j : j + size])] < i:
                 keep[j : j + size] = [False] * size
         kept = b" ".join(x for x, k in zip(w, keep) if k)
-        out[i] = (len(w), len(w) - sum(keep), hashlib.sha256(kept).hexdigest())
+        out[i, x] = (len(w), len(w) - sum(keep), hashlib.sha256(kept).hexdigest())
     return out
 
 
-def test_substring_dedup(spark, rows):
+@pytest.fixture(scope="module")
+def awkward(rows):
+    """Ids on two texts, repeated rows and rows without an id."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    other = " ".join(f"q{i}" for i in range(40))
+    lines = "\n".join(f"line {i} of the passage" for i in range(6))
+    more = [(2, other), (2, f"{passage}\n{lines}"), (1, passage), (1, lines), (2, "\n".join(f"own {i}" for i in range(6))), (None, passage), (None, lines), (-5, passage)]
+    return rows + more + [rows[0], rows[30]]
+
+
+def test_substring_dedup(spark, rows, awkward):
     from folio.llm.substring_dedup import remove_repeated_substrings
 
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_substrings(make(spark, rows)).collect()}
-    assert got == brute_windows(rows)
+    for given in (rows, awkward):
+        expected = brute_windows(given)
+        got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_substrings(make(spark, given)).collect()]
+        assert sorted(got, key=repr) == sorted(((i, *expected[i, x]) for i, x in given), key=repr)
+    assert remove_repeated_substrings(make(spark, rows).limit(0)).count() == 0
 
 
 def test_substring_dedup_of_hot_passages_in_parts(spark, rows):
     from folio.llm import substring_dedup as s
 
-    docs = make(spark, rows).select("doc_id", "text")
+    docs = make(spark, rows).select("doc_id", "text", F.xxhash64("text").alias("key"))
     gone = collections.defaultdict(set)
     for r in s.removed_spans(docs, per_shard=3).collect():
         gone[r.doc_id] |= set(range(r.start, r.stop))
     expected = brute_windows(rows)
-    assert all(len(gone[i]) == expected[i][1] for i in expected)
-
+    assert all(len(gone[i]) == expected[i, x][1] for i, x in rows)
 
-def test_line_dedup(spark, rows):
-    from folio.llm.line_dedup import dedup_lines
 
+def brute_lines(rows, order, long_line=12):
+    """By (id, text): lines deleted and text kept; order: of rows by (id, text)."""
     first, parts = {}, {}
-    for i, x in sorted(rows, key=lambda r: r[0]):
+    for i, x in sorted({r for r in rows if r[0] is not None}, key=order):
         lines = (x or "").split("\n")
         solid = [(j, line.strip(" \t\r\x0b\x0c")) for j, line in enumerate(lines) if line.strip(" \t\r\x0b\x0c")]
-        parts[i] = (x, lines, solid)
-        for k in range(len(solid) - 2):
-            first.setdefault(tuple(v for _, v in solid[k : k + 3]), (i, k))
-    got = {r.doc_id: r for r in dedup_lines(make(spark, rows)).collect()}
-    for i, (x, lines, solid) in parts.items():
-        drop = {j for k in range(len(solid) - 2) if first[tuple(v for _, v in solid[k : k + 3])] < (i, k) for j, _ in solid[k : k + 3]}
-        assert got[i].n_removed == len(drop), i
-        assert got[i].kept_text == ("\n".join(v for j, v in enumerate(lines) if j not in drop) if drop else x)
+        runs = [(k, 3) for k in range(len(solid) - 2)] + [(k, 1) for k, (_, v) in enumerate(solid) if len(v.split()) >= long_line]
+        parts[i, x] = lines, solid, runs
+        for k, n in sorted(runs):
+            first.setdefault(tuple(v for _, v in solid[k : k + n]), (order((i, x)), k))
+    out = {}
+    for (i, x), (lines, solid, runs) in parts.items():
+        drop = {j for k, n in runs if first[tuple(v for _, v in solid[k : k + n])] < (order((i, x)), k) for j, _ in solid[k : k + n]}
+        out[i, x] = len(drop), "\n".join(v for j, v in enumerate(lines) if j not in drop) if drop else x
+    return out | {(i, x): (0, x) for i, x in rows if i is None}
+
+
+def test_line_dedup(spark, rows, awkward):
+    from folio.llm.line_dedup import dedup_lines, without_repeated_lines
+
+    boiler = "this one long line of twelve or more words stands in several texts"
+    given = awkward + [(80, boiler), (81, f"x\n  {boiler}\t\ny"), (82, f"{' ' * 30_000}a\n{boiler}")]
+    key = {r.text: r.key for r in make(spark, given).select("text", F.xxhash64("text").alias("key")).collect()}
+    expected = brute_lines(given, lambda r: (r[0], key[r[1]]))
+    got = sorted(((r.doc_id, r.n_removed, r.kept_text) for r in dedup_lines(make(spark, given)).collect()), key=repr)
+    assert got == sorted(((i, *expected[i, x]) for i, x in given), key=repr)
+    assert expected[81, f"x\n  {boiler}\t\ny"][0] == 1
+    assert dedup_lines(make(spark, rows).limit(0)).count() == 0
+    named = make(spark, given).withColumns({"_id": F.lit(1), "_starts": F.lit("s"), "_key": F.lit(2), "start": F.lit(3)})
+    kept = without_repeated_lines(named)
+    assert kept.columns == named.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(((i, t) for i, _, t in got), key=repr)
 
 
 def test_tiling_finds_reordered_passages(spark):
@@ -154,11 +186,65 @@ def test_tiling_finds_reordered_passages(spark):
     assert leaks(docs, bench.limit(0)).count() == 0 and leaks(docs.limit(0), bench).count() == 0
 
 
-def test_tile_is_greedy():
-    from folio.llm.decontamination import tile
+def brute_tiles(doc, item, size):
+    """Greedy string tiling, straight from its definition."""
+    taken_doc, taken_item, tiles = set(), set(), []
+    while True:
+        best, matches = size - 1, []
+        for d in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and d + n not in taken_doc and i + n not in taken_item:
+                    n += 1
+                if n > best:
+                    best, matches = n, []
+                if n == best and n >= size:
+                    matches.append((d, i))
+        if not matches:
+            return tiles
+        for d, i in matches:
+            if not (set(range(d, d + best)) & taken_doc or set(range(i, i + best)) & taken_item):
+                tiles.append((d, i, best))
+                taken_doc |= set(range(d, d + best))
+                taken_item |= set(range(i, i + best))
+
+
+def test_tiling_against_its_definition(spark):
+    from folio.llm.decontamination import leaks, tile
+
+    rnd = random.Random(9)
+    for _ in range(60):
+        doc = [rnd.randrange(3) for _ in range(rnd.randrange(0, 40))]
+        item = [rnd.randrange(3) for _ in range(rnd.randrange(1, 25))]
+        got = tile(np.array(doc, np.uint64), np.arange(len(doc)), np.array(item, np.uint64), 3)
+        assert sorted(got) == sorted(brute_tiles(doc, item, 3))
+    words = "abc"
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 60)))) for i in range(40)]
+    items = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(3, 20)))) for i in range(15)]
+    expected = {}
+    for d, x in docs:
+        for i, y in items:
+            n = sum(t[2] for t in brute_tiles(x.split(), y.split(), 4)) if len(y.split()) >= 4 else 0
+            if n and n >= 0.5 * len(y.split()):
+                expected[d, i] = n
+    found = leaks(make(spark, docs), spark.createDataFrame(items, "item_id long, text string"), size=4, block_chars=100)
+    assert {(r.doc_id, r.item_id): r.tiled_words for r in found.collect()} == expected
+
+
+def test_tiling_of_a_long_repetitive_text():
+    import tracemalloc
+
+    from folio.llm.decontamination import _search
 
-    doc, item = np.array([0, 1, 2, 10]), np.array([5, 6, 7, 0])
-    assert sorted(tile(doc, item, 3)) == [(0, 5, 5), (10, 0, 3)]
+    import pyarrow as pa
+
+    search = _search([1], [" ".join(["la"] * 300)], 5, 0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([" ".join(["la"] * 20_000)])], names=["doc_id", "text"])
+    tracemalloc.start()
+    (out,) = list(search([batch]))
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+    assert out.to_pylist()[0]["tiled_words"] == 300
 
 
 def test_toxicity(spark):
@@ -186,6 +272,36 @@ def test_toxicity(spark):
     a, b = (r._toxicity for r in t.score_toxicity(mention, model).orderBy("doc_id").collect())
     assert abs(a - b) < 0.05 and 0 <= got[1000] == got[1001] < 0.7
     assert t.train(table.select("doc_id", "text"), marks.limit(0), t.held_out_rows).gain == 0.0
+    named = table.withColumns({"_toxicity": F.lit("mine"), "toxic": F.lit(1), "slot": F.lit(2)})
+    kept = t.without_toxic(named, marks)
+    assert kept.columns == named.columns and {r._toxicity for r in kept.collect()} == {"mine"}
+    assert t.without_toxic(table.limit(0), marks).count() == 0
+
+
+def test_toxicity_counterfactuals(spark):
+    """Naming a group, or another one, moves no score of a neutral text far."""
+    from folio.llm import toxicity as t
+
+    rnd = random.Random(8)
+    words = [f"wo{i}rd" for i in range(150)]
+    docs, labels = [], []
+    for i in range(600):
+        w = [rnd.choice(words) for _ in range(30)]
+        bad = i % 4 == 0
+        if bad:
+            w[5:9] = ["nastyword", rnd.choice(["muslims", "women", "refugees"]), "vilething", "nastyword"]
+        elif i % 9 == 0:
+            w[7] = rnd.choice(["muslims", "women", "refugees"])
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    table = make(spark, docs).select("doc_id", "text")
+    model = t.train(table, spark.createDataFrame(labels, "doc_id long, toxic int"), t.held_out_rows)
+    neutral = [x for i, x in docs if i % 4 and i % 9][:100]
+    pairs = [(i, x) for i, x in enumerate(neutral)] + [(1000 + i, x + " muslims") for i, x in enumerate(neutral)] + [(2000 + i, x + " atheists") for i, x in enumerate(neutral)]
+    got = {r.doc_id: r._toxicity for r in t.score_toxicity(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}
+    assert all(got[1000 + i] < 0.7 and abs(got[1000 + i] - got[2000 + i]) < 0.2 for i in range(len(neutral)))
+    held = t.score_toxicity(table, model).where(t.held_out_rows(F.col("doc_id"))).collect()
+    assert np.mean([(r._toxicity >= 0.7) == (r.doc_id % 4 == 0) for r in held]) > 0.95
 
 
 def test_fingerprints(spark, rows):
@@ -252,13 +368,56 @@ def test_mixing(spark, rows):
     from folio.llm import mixing as m
 
     docs = make(spark, [(i, "word " * (5 + i % 11)) for i in range(600)] + [(601, None)])
-    targets = {"source": {"s0": 0.6, "s1": 0.3, "s2": 0.1}, "lang": {"en": 1.0}, "topic": {"prose": 1.0}}
-    got = m.chances(docs, targets=targets, keep=0.4).toPandas()
-    mass = (got["_mix_tokens"] * got["_mix_weight"]).groupby(got["_mix_source"]).sum()
+    targets = {"source": {"s0": 0.6, "s1": 0.3, "s2": 0.1}, "lang": {"en": 1.0}}
+    got = m.chances(docs, dimensions=("source", "lang"), targets=targets, keep=0.4).drop("row").toPandas()
+    mass = (got["tokens"] * got["weight"]).groupby(got["source"]).sum()
     assert np.allclose(mass / mass.sum(), [0.6, 0.3, 0.1], atol=1e-3)
-    assert abs((got["_mix_tokens"] * got["_mix_probability"]).sum() / got["_mix_tokens"].sum() - 0.4) < 0.01
+    assert abs((got["tokens"] * got["probability"]).sum() / got["tokens"].sum() - 0.4) < 0.01
     assert m.mix_sources(docs).columns == [*docs.columns, "mix_weight"]
     assert m.mix_sources(docs.limit(0)).count() == 0
+    named = docs.withColumn("mix_weight", F.lit(9)).withColumn("tokens", F.lit(3)).withColumn("weight", F.lit(1)).withColumn("row", F.lit(2))
+    kept = m.mix_sources(named)
+    assert kept.columns == [*named.columns, "mix_weight_"] and {r.tokens for r in kept.collect()} == {3}
+
+
+def test_raking_against_brute_force(spark):
+    """Three marginals, in plain loops; and targets that contradict each other."""
+    from folio.llm import mixing as m
+
+    rnd = random.Random(4)
+    cells = [(s, g, t, rnd.randrange(1, 1000)) for s in "abc" for g in "xy" for t in "pq" if rnd.random() < 0.9]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.6, "y": 0.4}, "topic": {"p": 0.7, "q": 0.3}}
+    got = {(r.source, r.lang, r.topic): r for r in m.rake(df, targets=targets).collect()}
+    weight = {c[:3]: 1.0 for c in cells}
+    for _ in range(200):
+        for at, dim in enumerate(("source", "lang", "topic")):
+            for value, share in targets[dim].items():
+                mine = [c for c in cells if c[at] == value]
+                total = sum(c[3] * weight[c[:3]] for c in mine)
+                for c in mine:
+                    weight[c[:3]] *= share / total
+    assert all(math.isclose(got[k].weight, w, rel_tol=2e-3) and got[k].miss < 1e-3 for k, w in weight.items())
+    tied = spark.createDataFrame([("a", "x", 10), ("b", "y", 10)], "source string, lang string, tokens long")
+    with pytest.raises(ValueError, match="can't be met"):
+        m.rake(tied, ("source", "lang"), {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.5, "y": 0.5}})
+
+
+def test_topics_against_brute_force(spark):
+    from folio.llm import mixing as m
+
+    rnd = random.Random(6)
+    words = [f"content{i}" for i in range(60)] + ["a", "bc", "Of"]
+    docs = make(spark, [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 30)))) for i in range(60)] + [(61, None), (62, " \n ")])
+    got = {r.row.doc_id: r for r in m.chances(docs).collect()}
+    kind = {r.w: r.k for r in spark.createDataFrame([(w.lower(),) for w in words], "w string").selectExpr("w", "pmod(hash(w), 8) as k").collect()}
+    count = {i: collections.Counter(kind[w.lower()] for w in (got[i].row.text or "").split() if len(w) >= 5) for i in got}
+    total = sum((c for c in count.values()), collections.Counter())
+    for i, c in count.items():
+        n = sum(c.values())
+        by = {k: (c[k] - n * total[k] / sum(total.values())) / math.sqrt(max(n * total[k] / sum(total.values()), 1e-9)) for k in range(8)}
+        assert got[i].tokens == len((got[i].row.text or "").split())
+        assert got[i].topic == (f"words{max(by, key=lambda k: (by[k], -k))}" if n else "none")
 
 
 def test_lm_scores(spark, rows):
