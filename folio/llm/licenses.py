@@ -40,13 +40,20 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 class Template(NamedTuple):
     label: str
-    tokens: list[str]  # rarest in the corpus first
+    tokens: frozenset[str]
     needed: int  # shared tokens that reach the containment threshold
 
-    @property
-    def prefix(self) -> list[str]:
-        """A block with enough shared tokens holds at least one of these."""
-        return self.tokens[: len(self.tokens) - self.needed + 1]
+
+def parsed(templates: dict[str, str], containment: float) -> list[Template]:
+    sets = {label: frozenset(text.split()) for label, text in sorted(templates.items())}
+    return [Template(label, tokens, math.ceil(containment * len(tokens))) for label, tokens in sets.items()]
+
+
+def reach_of(templates: dict[str, str]) -> int:
+    """Words that a passage may take to hold a notice: half as many again as the
+    longest one's.  Blocks are twice as long and begin this far apart, so every
+    passage of this length lies whole in a block, across line ends too."""
+    return max((3 * len(text.split()) + 1) // 2 for text in templates.values())
 
 
 def folded(text: Column) -> Column:
@@ -66,45 +73,54 @@ def _starts(words: Column, text: Column, phrase: str) -> Column:
     return F.when(likely & (F.size(words) >= len(parts)), places).otherwise(F.array().cast("array<int>"))
 
 
-def ordered(blocks: DataFrame, templates: dict[str, str], containment: float) -> list[Template]:
-    """Templates with their tokens in the corpus's order of frequency.
+def blocks_of(words: Column, templates: list[Template], reach: int) -> Column:
+    """Array of (block, tokens): the distinct words that any template uses, of
+    each block of 2 * reach words that has enough of them for some template."""
+    vocabulary = sorted(frozenset().union(*[t.tokens for t in templates]))
+    least = min(t.needed for t in templates)
+    count = F.greatest(F.ceil(F.size(words) / F.lit(float(reach))).cast("int") - 1, F.lit(1))
+    tokens = lambda b: F.array_distinct(F.filter(F.slice(words, b * reach + 1, 2 * reach), lambda w: w.isin(vocabulary)))
+    every = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.struct(b.alias("block"), tokens(b).alias("tokens")))
+    return F.filter(every, lambda x: F.size(x["tokens"]) >= least)
 
-    Only counts of template tokens come back: as many rows as there are of these.
+
+def ranks_of(blocks: DataFrame, templates: list[Template]) -> dict[str, int]:
+    """The templates' tokens in the order of how many blocks have them, rarest first.
+
+    Only their counts come back: as many rows as there are of these.
     """
     counts = blocks.select(F.explode("tokens").alias("token")).groupBy("token").count()
     frequency = {r["token"]: r["count"] for r in counts.collect()}
-    return [
-        Template(label, sorted(set(text.split()), key=lambda t: (frequency.get(t, 0), t)), math.ceil(containment * len(set(text.split()))))
-        for label, text in sorted(templates.items())
-    ]
-
-
-def blocks_of(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
-    """Lines as (doc_id, key, line, size, tokens): the number of distinct words,
-    and those of them that any template uses."""
-    vocabulary = sorted({w for text in templates.values() for w in text.split()})
-    lines = docs.select(
-        "doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split(folded(F.col("text")), "\n")).alias("line", "block")
-    )
-    lines = lines.select("doc_id", "key", "line", F.array_distinct(words_of(F.col("block"))).alias("words"))
-    tokens = F.filter("words", lambda w: w.isin(vocabulary))
-    return lines.select("doc_id", "key", "line", F.size("words").alias("size"), tokens.alias("tokens")).where(F.size("tokens") > 0)
+    vocabulary = frozenset().union(*[t.tokens for t in templates])
+    return {token: i for i, token in enumerate(sorted(vocabulary, key=lambda t: (frequency.get(t, 0), t)))}
 
 
 def notices(blocks: DataFrame, templates: list[Template]) -> DataFrame:
-    """doc_id, key, line, label, containment of every block that holds enough
-    of a template's tokens."""
-    index = [(t.label, t.tokens, t.needed, token, i) for t in templates for i, token in enumerate(t.prefix)]
-    index = blocks.sparkSession.createDataFrame(index, "label string, template array<string>, needed int, token string, place int")
-    shared = F.size(F.array_intersect("template", "tokens"))
-    first = F.filter("template", lambda t: F.array_contains("tokens", t))[0]
+    """doc_id, key, block, label, containment of every block that holds enough of
+    a template's tokens.
+
+    Exact set-similarity join.  In the global order, rarest first, a template
+    and a block with enough tokens in common share one among the template's
+    first (prefix); the block must have as many tokens as are needed (length);
+    and from the place where they meet on, both must have them left (position).
+    """
+    ranks, least = ranks_of(blocks, templates), min(t.needed for t in templates)
+    index = []
+    for t in templates:
+        tokens = sorted(ranks[x] for x in t.tokens)
+        index += [(t.label, tokens, t.needed, token, i) for i, token in enumerate(tokens[: len(tokens) - t.needed + 1])]
+    index = blocks.sparkSession.createDataFrame(index, "label string, template array<int>, needed int, token int, place int")
+    table = F.create_map(*[F.lit(x) for item in ranks.items() for x in item])
+    ranked = blocks.select("doc_id", "key", "block", F.array_sort(F.transform("tokens", lambda t: table[t])).alias("tokens"))
+    prefix = F.slice("tokens", F.lit(1), F.size("tokens") - least + 1)
+    shared = F.array_intersect("template", "tokens")
     return (
-        blocks.withColumn("token", F.explode("tokens"))
-        .join(F.broadcast(index), "token")  # as many rows as the templates' prefixes have tokens
-        .where(F.col("size") >= F.col("needed"))  # length
-        .where(F.size("template") - F.col("place") >= F.col("needed"))  # position
-        .where((first == F.col("token")) & (shared >= F.col("needed")))
-        .select("doc_id", "key", "line", "label", (shared / F.size("template")).alias("containment"))
+        ranked.select("doc_id", "key", "block", "tokens", F.posexplode(prefix).alias("spot", "token"))
+        .join(index, "token")  # Spark knows the index's size, and broadcasts it if it is small
+        .where(F.size("tokens") >= F.col("needed"))  # length
+        .where(F.least(F.size("template") - F.col("place"), F.size("tokens") - F.col("spot")) >= F.col("needed"))  # position
+        .where((F.array_min(shared) == F.col("token")) & (F.size(shared) >= F.col("needed")))  # once, where they meet first
+        .select("doc_id", "key", "block", "label", (F.size(shared) / F.size("template")).alias("containment"))
     )
 
 
@@ -116,31 +132,31 @@ def scan_licenses(
     n_words; n_base, first_word, last_word: how often a phrase's words stand one
     after another, the smallest and the largest start (words count from 0; null
     without a place); base_labels: labels of those phrases.  labels adds those
-    of the templates of which a line holds at least `containment` of the
-    distinct words.  score is the best containment, 1 where a phrase stands.
-    Labels are distinct, sorted and joined by commas; empty if there are none.
-    A null doc_id is a value like others; repeated rows stay; further columns
-    are ignored.
+    of the templates of which a block of consecutive words, across line ends,
+    holds at least `containment` of the distinct words (see reach_of).  score is
+    the best containment, 1 where a phrase stands.  Labels are distinct, sorted
+    and joined by commas; empty if there are none.  A null doc_id is a value
+    like others; repeated rows stay; further columns are ignored.  An empty
+    table gives an empty one.
     """
-    docs = texts(docs)
-    blocks = cut(blocks_of(docs, templates), "license-blocks")
+    known, reach = parsed(templates, containment), reach_of(templates)
+    docs = texts(docs).select("doc_id", F.xxhash64("text").alias("key"), folded(F.col("text")).alias("text"))
+    docs = docs.withColumn("words", words_of(F.col("text")))
+    starts = [_starts(F.col("words"), F.col("text"), p).alias(f"{i}_places") for i, p in enumerate(phrases)]
+    docs = docs.select(
+        "doc_id", "key", F.size("words").cast("long").alias("n_words"), *starts, blocks_of(F.col("words"), known, reach).alias("blocks")
+    )
+    docs = cut(docs, "license-words")  # texts are taken apart once
     found = (
-        notices(blocks, ordered(blocks, templates, containment))
+        notices(docs.select("doc_id", "key", F.inline("blocks")), known)
         .groupBy("doc_id", "key")
         .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
         .select(F.col("doc_id").alias("found_id"), F.col("key").alias("found_key"), "more", "best")
     )
-    base = docs.select("doc_id", F.xxhash64("text").alias("key"), folded(F.col("text")).alias("text"))
-    base = base.withColumn("words", words_of(F.col("text")))
-    base = base.select(
-        "doc_id",
-        "key",
-        F.size("words").cast("long").alias("n_words"),
-        *[_starts(F.col("words"), F.col("text"), p).alias(label) for p, label in phrases.items()],
-    )
-    places = F.flatten(F.array(*[F.col(f"`{label}`") for label in phrases.values()]))
-    hit = F.array_compact(F.array(*[F.when(F.size(F.col(f"`{label}`")) > 0, F.lit(label)) for label in phrases.values()]))
-    base = base.select("doc_id", "key", "n_words", places.alias("places"), hit.alias("hit"))
+    spots = [F.col(f"{i}_places") for i in range(len(phrases))]
+    places = F.flatten(F.array(*spots))
+    hit = F.array_compact(F.array(*[F.when(F.size(spot) > 0, F.lit(label)) for spot, label in zip(spots, phrases.values())]))
+    base = docs.select("doc_id", "key", "n_words", places.alias("places"), hit.alias("hit"))
     own = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key"))
     every = F.array_union("hit", F.coalesce("more", F.array().cast("array<string>")))
     return base.join(found, own, "left").select(

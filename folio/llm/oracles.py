@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from folio.llm.line_dedup import LONG_LINE
-from folio.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
+from folio.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, reach_of
 
 SPACE = "[ \\t\\n\\x0B\\f\\r]"
 
@@ -34,6 +34,7 @@ LINE_DEDUP = f"""with a as (select doc_id, text, unnest(string_split(text, chr(1
 
 def _license_scan() -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    reach = reach_of(TEMPLATES)
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     templates = ", ".join(
         f"('{label}', {sorted(set(text.split()))!r}, {math.ceil(CONTAINMENT * len(set(text.split())))})" for label, text in sorted(TEMPLATES.items())
@@ -48,7 +49,8 @@ def _license_scan() -> str:
     p as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w),
     b as ({phrases}),
     base as (select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word, list_sort(list(distinct label)) as hit from b group by 1),
-    l as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), '{word}')) as words from t),
+    l as (select doc_id, list_distinct(list_slice(ws, k * {reach} + 1, k * {reach} + {2 * reach})) as words
+          from (select doc_id, ws, unnest(range(0, greatest(cast(ceil(len(ws) / {reach}.0) as bigint) - 1, 1))) as k from w)),
     m as (select label, tokens, needed from (values {templates}) v(label, tokens, needed)),
     n as (select doc_id, label, len(list_intersect(words, tokens)) * 1.0 / len(tokens) as containment from l join m on len(words) >= needed and len(list_intersect(words, tokens)) >= needed),
     found as (select doc_id, list(distinct label) as more, max(containment) as best from n group by 1)
