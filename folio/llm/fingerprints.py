@@ -22,21 +22,26 @@ ANCHORS = (
     "el los las y del al por con una su se lo como más"
 ).split()
 CHAIN = 2
+#: One word in so many, by hash, is an anchor whatever the language.
+RARE_ANCHORS = 16
 #: A chain that isn't complete this many words after its anchor is no signature.
 REACH = 12
-FAN = 1000
+FAN = 250
 START = "^"
 
 
 def signatures(text: Column, chain: int = CHAIN, reach: int = REACH) -> Column:
     """Sorted distinct 32-bit hashes of a text's signatures.
 
-    Words are runs of letters and digits, lower-cased.  The start of a text is an
-    anchor too, so any text with `chain` content words early on has a signature.
+    Words are runs of letters and digits, lower-cased.  Anchors are the listed
+    common words, one word in RARE_ANCHORS by its hash, and the start of the
+    text, so texts of any language have signatures all along.  A text without
+    any, being shorter than a chain, has its own hash as the only one; just the
+    empty text has none.
     """
     anchors = sorted(set(ANCHORS))
     words = F.concat(F.array(F.lit(START)), F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    return F.transform(
+    found = F.transform(
         F.array(words),  # bound once
         lambda ws: F.array_sort(
             F.array_distinct(
@@ -45,7 +50,7 @@ def signatures(text: Column, chain: int = CHAIN, reach: int = REACH) -> Column:
                         F.transform(
                             ws,
                             lambda w, i: F.when(
-                                w.isin([*anchors, START]),
+                                w.isin([*anchors, START]) | (F.pmod(F.hash(w), F.lit(RARE_ANCHORS)) == 0),
                                 F.concat(F.array(w), F.slice(F.filter(F.slice(ws, i + 2, reach), lambda v: ~v.isin(anchors)), 1, chain)),
                             ),
                         ),
@@ -55,7 +60,9 @@ def signatures(text: Column, chain: int = CHAIN, reach: int = REACH) -> Column:
                 )
             )
         ),
-    )[0]
+    )
+    own = lambda sigs: F.when((F.size(sigs) == 0) & (text != ""), F.array(F.hash(text))).otherwise(sigs)
+    return F.transform(found, own)[0]
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -119,17 +126,23 @@ def near_pairs(fingerprints: DataFrame, threshold: float = 0.6) -> DataFrame:
 
     fingerprints has doc_id and sigs.  Documents of equal sets are one class,
     named by its smallest doc_id; pairs are of classes, copies are not expanded
-    (equal fingerprints tell them).  Sets are partitioned by length, so that partners
-    are in one partition or the next; a pair must share a signature among the
-    first that the threshold leaves room for; what remains is verified in full.
-    Empty sets have no partners; null sets and ids are left out.
+    (equal fingerprints tell them).  Sets are partitioned by length, so that
+    partners are in one partition or the next; signatures are ordered by how
+    many classes have them, and a pair must share one among the rarest that the
+    threshold leaves room for; what remains is verified in full.  Empty sets
+    have no partners; null sets and ids are left out.
     """
     named = fingerprints.where("doc_id is not null and size(sigs) > 0").withColumn("same", F.sha2(fingerprint(F.col("sigs")), 256))
     classes = cut(named.groupBy("same").agg(F.min("doc_id").alias("class"), F.first("sigs").alias("sigs")), "spots-classes")
+    spots = classes.select("class", F.explode("sigs").alias("sig"))
+    rare = cut(spots.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1"), "spots-counts")
+    ranked = spots.join(rare, "sig").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("often", "sig"))).alias("ranked"))
     n = F.size("sigs")
     part = F.floor(F.log(n) / F.lit(math.log(1 / threshold)) + 1e-9).cast("int")
-    lead = F.slice("sigs", 1, n - F.ceil(n * threshold).cast("int") + 1)
-    index = classes.select("class", n.alias("n"), part.alias("part"), F.explode(lead).alias("sig"))
+    # signatures that one class alone has are the rarest; they take up the prefix but meet nothing
+    room = F.greatest(n - F.ceil(n * threshold).cast("int") + 1 - (n - F.size("ranked")), F.lit(0))
+    lead = F.transform(F.slice("ranked", F.lit(1), room), lambda x: x["sig"])
+    index = cut(classes.join(ranked, "class").select("class", n.alias("n"), part.alias("part"), F.explode(lead).alias("sig")), "spots-index")
     probe = index.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("part"), "sig")
     close = F.least("n", "n_b") >= threshold * F.greatest("n", "n_b")
     pairs = index.join(probe, ["part", "sig"]).where((F.col("class") != F.col("b")) & close)
@@ -148,8 +161,9 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     by the first as many code points of the next document's text, or all of it.
     Returns doc_id, n_chars, edited_sha256 (of the edited text in UTF-8),
     fingerprint, edited_fingerprint, near_edited, near_next, n_signatures.
-    A null text is empty; texts without a signature have an empty fingerprint.
-    A single document is its own next.  Further columns are ignored.
+    A null text is empty, and has the empty fingerprint, like no other text's.
+    A single document is its own next.  Rows that repeat an id follow each other
+    by text.  Further columns are ignored.
     """
     rows = with_next(texts(docs)).withColumn("text", F.coalesce("text", F.lit("")))
     n = F.length("text")
