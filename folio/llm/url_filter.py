@@ -102,6 +102,13 @@ def scores(urls: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
     return grams.join(model, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
+def dealt(urls: DataFrame) -> DataFrame:
+    """urls over as many tasks as there is work for: a URL makes a row for each
+    of its characters, but the table of URLs may be one small file."""
+    rows, cores = urls.count(), urls.sparkSession.sparkContext.defaultParallelism
+    return urls.repartition(max(min(2 * cores, rows // 500 + 1), rows // 50_000), "url")
+
+
 def judge_urls(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     """One row per row of pages(page_id, url): host, path, rule, verdict, score.
 
@@ -120,7 +127,7 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     fit = rule_of(F.col("host"), F.col("path"), rules)
     parted = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("fit", fit)
     urls = parted.groupBy("url").agg(F.first("fit.verdict").alias("judged"))
-    urls = cut(urls.withColumn("apart", F.pmod(F.xxhash64("url"), F.lit(5)) == 0), "urls")
+    urls = dealt(cut(urls.withColumn("apart", F.pmod(F.xxhash64("url"), F.lit(5)) == 0), "urls"))
     model = ratios(urls.select("url", F.when(~F.col("apart"), F.col("judged")).alias("label")), order)
     scored = cut(scores(urls, model, order).join(urls, "url"), "urls-scored")
     quantile = scored.where("apart").agg(
