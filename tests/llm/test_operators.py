@@ -81,13 +81,52 @@ def test_tiles_find_links_that_hubs_miss():
     base = np.arange(100)
     members = [base, np.concatenate([base[:85], 1000 + np.arange(15)]), np.concatenate([base[:84], 1000 + np.arange(15)])]
     batch = pa.RecordBatch.from_arrays(
-        [pa.array([1, 1, 1]), pa.array([0, 0, 0], pa.int32()), pa.array([0, 0, 0], pa.int32()), pa.array([0, 0, 0], pa.int32()), pa.array([3, 5, 9]),
-         pa.array([3, 5, 9]), pa.array([m.astype(np.int64) for m in members], pa.list_(pa.int64()))],
-        names=["band", "a", "b", "mine", "doc_id", "component", "shingles"])
+        [pa.array([1, 1, 1]), pa.array([3, 5, 9]), pa.array([3, 5, 9]), pa.array([m.astype(np.int64) for m in members], pa.list_(pa.int64()))],
+        names=["band", "doc_id", "component", "shingles"])
     links = {tuple(x) for out in _apart(75)([batch]) for x in zip(*[c.to_pylist() for c in out.columns])}
     assert (5, 9) in links
 
 
+def test_minhash_of_large_buckets(spark, rows, monkeypatch):
+    """Buckets beyond the tile size are joined on rare shingles, with the same result."""
+    from folio.llm import minhash as m
+
+    rnd = random.Random(12)
+    template = [f"t{i}" for i in range(60)]
+    given = []
+    for i in range(120):  # a template with own words: some alike, most not; and chains of near copies
+        own = [rnd.choice("abcdefghij") + str(rnd.randrange(10**6)) for _ in range(rnd.choice([4, 9, 14, 30]))]
+        given.append((i, " ".join(template + own)))
+    base = template + [f"z{i}" for i in range(40)]
+    for i in range(200, 230):
+        base = base[:-3] + [f"y{i}_{j}" for j in range(3)]
+        given.append((i, " ".join(base)))
+    expected = {r.doc_id: r.component_id for r in m.near_duplicates(make(spark, given)).collect()}
+    monkeypatch.setattr(m, "TILE_DOCUMENTS", 1)
+    got = {r.doc_id: r.component_id for r in m.near_duplicates(make(spark, given)).collect()}
+    sets = sets_of(given)
+    root = {i: i for i in sets}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    pairs = set()
+    for a in sets:
+        for z in sets:
+            both = len(sets[a] & sets[z])
+            if a < z and 100 * both >= 75 * (len(sets[a]) + len(sets[z]) - both):
+                pairs.add((a, z))
+                x, y = find(a), find(z)
+                root[max(x, y)] = min(x, y)
+    assert got == expected == {i: find(i) for i in sets}
+    members = spark.createDataFrame([(i, i) for i in sets], "doc_id long, component long")
+    table = make(spark, given).select("doc_id", "text").mapInArrow(m._sets, "doc_id long, shingles array<long>")
+    found = m._confirmed(table, m._prefix_pairs(members, table, 75), 75, "test-links")
+    assert {tuple(sorted(r)) for r in found.collect()} == pairs
+
+
 def brute_windows(rows, size=13):
     """By (id, text): words, words removed and hash of what is kept."""
     first = {}
@@ -318,6 +357,41 @@ def test_fingerprints(spark, rows):
     assert fingerprint_documents(make(spark, rows).limit(0)).count() == 0
 
 
+def test_fingerprints_against_brute_force(spark, rows):
+    """Signatures as tuples of words; likeness as their Jaccard."""
+    import regex
+
+    from folio.llm import fingerprints as f
+
+    given = rows + [(100, "12"), (101, "zebra"), (102, "???"), (103, "zebra"), (104, "日本 語の 文 です ね また 今日"), (None, "12"), (-3, "The cat sat on the mat, and the dog.")]
+    ordered = sorted(((i, x or "") for i, x in given), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    edits = [x[: len(x) - len(x) // 4] + ordered[(at + 1) % len(ordered)][1][: len(x) // 4] for at, (_, x) in enumerate(ordered)]
+    spoken = sorted({w for x in [x for _, x in given] + edits for w in regex.findall(r"[\p{L}\p{N}]+", (x or "").lower())})
+    table = spark.createDataFrame([(w,) for w in spoken], "w string").selectExpr("w", "pmod(hash(w), 16) = 0 as rare")
+    rare = {r.w for r in table.collect() if r.rare}
+
+    def spots(text):
+        words = ["^", *regex.findall(r"[\p{L}\p{N}]+", text.lower())]
+        out = set()
+        for i, w in enumerate(words):
+            if w in f.ANCHORS or w == "^" or w in rare:
+                chain = [v for v in words[i + 1 : i + 1 + f.REACH] if v not in f.ANCHORS][: f.CHAIN]
+                out |= {(w, *chain)} if len(chain) == f.CHAIN else set()
+        return out or ({text} if text else set())
+
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    got = collections.defaultdict(list)
+    for r in f.fingerprint_documents(make(spark, given)).collect():
+        got[r.doc_id].append(r)
+    for at, (i, x) in enumerate(ordered):
+        nxt = ordered[(at + 1) % len(ordered)][1]
+        edited = edits[at]
+        (row,) = got[i]
+        assert row.n_signatures == len(spots(x)) and len(row.fingerprint) == 8 * len(spots(x)), i
+        assert math.isclose(row.near_edited, jaccard(spots(x), spots(edited))) and math.isclose(row.near_next, jaccard(spots(x), spots(nxt))), i
+    assert got[100][0].fingerprint != got[101][0].fingerprint != got[102][0].fingerprint and got[101][0].fingerprint == got[103][0].fingerprint
+
+
 def test_next_keys(spark):
     from folio.llm.fingerprints import next_keys
 
@@ -345,6 +419,10 @@ def test_licenses(spark):
     docs = make(spark, [(1, "Licensed under CC BY-NC 4.0.\nAll rights\nreserved. All rights reserved"), (2, None), (3, "x"), (3, "Released under the MIT License."),
                         (None, "the GNU General Public License here"), (5, "über cc  by")])
     got = {(r.doc_id, r.n_words): r for r in scan_licenses(docs).collect()}
+    wrapped = make(spark, [(7, "Permission is hereby granted, free of charge,\nto any person obtaining a copy\nof this software"), (8, "word " * 500 + "Released under\nthe MIT license " + "word " * 300),
+                           (9, " ".join(f"{w} {'filler ' * 30}" for w in "released under the mit license".split()))])
+    assert {r.doc_id: r.labels for r in scan_licenses(wrapped).collect()} == {7: "mit-grant", 8: "mit", 9: ""}
+    assert scan_licenses(wrapped.limit(0)).count() == 0
     one = got[(1, 13)]
     assert (one.n_base, one.first_word, one.last_word, one.base_labels) == (3, 2, 10, "cc-by,reserved")
     assert got[(2, 0)].first_word is None and got[(2, 0)].labels == "" and got[(3, 1)].labels == ""
@@ -364,6 +442,44 @@ def test_urls(spark):
     assert judge_urls(df.limit(0)).count() == 0
 
 
+def test_url_model_against_brute_force(spark):
+    """Counts, smoothing, ratios, threshold and verdicts, worked out in loops."""
+    from folio.llm import url_filter as u
+
+    rnd = random.Random(7)
+    name = lambda n: "".join(rnd.choice("abcdef") for _ in range(n))
+    urls = [f"http://{name(3)}.net/de/{name(4)}" for _ in range(40)] + [f"http://{name(3)}.com/en/{name(4)}" for _ in range(40)]
+    urls += [f"http://{name(4)}.io/{rnd.choice(['de', 'en'])}/{name(3)}" for _ in range(30)] + ["", urls[0]]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in u.judge_urls(df).collect()}
+    apart = {r.url: r.apart for r in df.selectExpr("url", "pmod(xxhash64(url), 5) = 0 as apart").collect()}
+    judged = {x: got[i].verdict if got[i].rule else None for i, x in enumerate(urls)}
+    count = {"allow": collections.Counter(), "block": collections.Counter()}
+    pad = lambda x: u.START * u.ORDER + x.lower() + u.END
+    grams = lambda x: [pad(x)[i : i + u.ORDER + 1] for i in range(len(x) + 1)]
+    seen = set()
+    for x in set(urls):
+        seen |= set(grams(x))
+        if judged[x] and not apart[x]:
+            for g in grams(x):
+                for k in range(u.ORDER + 1):
+                    count[judged[x]][g[-k - 1 :]] += 1
+
+    def chance(g, kind):
+        p = 1 / u.ALPHABET
+        for k in range(u.ORDER + 1):
+            own, context = count[kind][g[-k - 1 :]], sum(n for h, n in count[kind].items() if len(h) == k + 1 and h[:k] == g[-k - 1 : -1])
+            p = (own + u.PSEUDO_COUNT * p) / (context + u.PSEUDO_COUNT)
+        return p
+
+    ratio = {g: math.log(chance(g, "allow")) - math.log(chance(g, "block")) for g in seen}
+    score = {x: sum(ratio[g] for g in grams(x)) / len(grams(x)) for x in set(urls)}
+    assert all(math.isclose(got[i].score, score[x], abs_tol=1e-9) for i, x in enumerate(urls))
+    good, bad = (sorted(score[x] for x in set(urls) if apart[x] and judged[x] == v) for v in ("allow", "block"))
+    threshold = (good[math.ceil(0.05 * len(good)) - 1] + bad[math.ceil(0.95 * len(bad)) - 1]) / 2
+    assert all(got[i].verdict == (judged[x] or ("allow" if score[x] >= threshold else "block")) for i, x in enumerate(urls))
+
+
 def test_mixing(spark, rows):
     from folio.llm import mixing as m
 
