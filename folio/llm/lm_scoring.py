@@ -9,7 +9,8 @@ out once, where the strings with its last three context bytes are.  Costs and th
 counts of all training words are tables that grow with the corpus; groups of
 texts look theirs up in it.  A second gate mixes, word by word, the bytes'
 probability with that of the dictionary and with what the text itself has
-repeated so far.  A word-count model is scored beside it as base.
+repeated so far; it is fitted on all training texts, by how often each
+combination of these stands in them.  A word-count model is scored beside it as base.
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ FREQUENT_WORDS = 1 << 18
 END_TOKEN = 0x656E64
 MEMO = 1_000_000
 CHUNK = 2 << 20
-#: Training texts that the word gate is fitted to: about so many, by hash.
-GATE_TEXTS = 2_000
 WORD_GATES = 40
+#: Steps of the word experts' log2 odds against the bytes, and steps to a bit.
+STEPS, FINENESS = 64, 2
 
 
 def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,41 +373,54 @@ class Numbers:
         return self.numbers[np.searchsorted(self.keys, unique)][codes].astype(np.float64)
 
 
-def _gate_rows(totals: np.ndarray, parts: int):
-    """Per piece of the given texts: bits by bytes, word chances, gate."""
+def combinations(gate: np.ndarray, bits: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """One number for a piece's gate and its three word chances against the bytes'.
 
-    def run(table: pa.Table, numbers: pa.Table) -> pa.Table:
-        out = []
-        known = Numbers(table, numbers, parts) if table.num_rows else None
-        for batch in wb.text_chunks(table.to_batches(), "text", CHUNK):
-            code, _ = symbols(*wb.utf8(batch.column(batch.schema.get_field_index("text"))))
-            p = pieces_of(code)
-            bits = np.add.reduceat(known.of(code), p.start)
-            chance, gate = word_chances(p, known.of(p.key | WORD), totals, 1)
-            out.append(np.concatenate([bits[:, None], chance, gate[:, None]], axis=1).astype(np.float32).tobytes())
-        return pa.table({"rows": pa.array(out, pa.binary())})
+    A chance counts as 1 / FINENESS bits at a time, rounded down (so what is
+    mixed stays a probability), up to 31 bits over and not below 2**-32 times
+    the bytes'; the lowest step is chance 0.
+    """
+    with np.errstate(divide="ignore"):
+        steps = np.floor((np.log2(chance) + bits[:, None]) * FINENESS)
+    steps = np.clip(steps + STEPS // 2, 0, STEPS - 1).astype(np.int64)
+    return ((gate * STEPS + steps[:, 0]) * STEPS + steps[:, 1]) * STEPS + steps[:, 2]
 
-    return run
 
+def odds_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gate, chances of bytes, dictionary, text and pair, relative to bytes)."""
+    steps = np.stack([codes // STEPS**2, codes // STEPS, codes], axis=1) % STEPS
+    odds = np.where(steps > 0, np.exp2((steps - STEPS // 2) / FINENESS), 0.0)
+    return codes // STEPS**3, np.concatenate([np.ones((len(codes), 1)), odds], axis=1)
 
-def fit_gate(totals: np.ndarray, docs: DataFrame, numbers: DataFrame, parts: int) -> np.ndarray:
-    """(gates, 4) shares of bytes, dictionary, text and pair, by EM over the
-    given training texts, each word taken out of its own count."""
-    rows = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_gate_rows(totals, parts), "rows binary")
-    blobs = rows.toArrow().column("rows").to_pylist()
+
+def fit_gate(scored: DataFrame) -> np.ndarray:
+    """(gates, 4) shares of bytes, dictionary, text and pair, by EM over how
+    often each combination stands in the training texts, where each word is
+    taken out of its own count.
+
+    There are at most WORD_GATES * STEPS**3 combinations, whatever the corpus's size.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for codes, n in zip(*[c.to_pylist() for c in batch.columns]):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(codes, np.int32)), pa.array(np.frombuffer(n, np.int64))], names=["code", "n"])
+
+    table = scored.where("fit_codes is not null").select("fit_codes", "fit_n").mapInArrow(run, "code int, n long")
+    table = table.groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
     mix = np.full((WORD_GATES, 4), 0.25)
-    if not blobs:
+    if not table.num_rows:
         mix[:] = (1, 0, 0, 0)
         return mix
-    rows = np.concatenate([np.frombuffer(x, np.float32).reshape(-1, 5) for x in blobs]).astype(np.float64)
-    gate = rows[:, 4].astype(np.int64)
-    chance = np.concatenate([np.exp2(-np.minimum(rows[:, :1], 1000)), rows[:, 1:4]], axis=1)
+    n = table.column("n").to_numpy().astype(np.float64)
+    gate, chance = odds_of(table.column("code").to_numpy().astype(np.int64))
     for _ in range(25):
         part = mix[gate] * chance
-        part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-300)
+        part *= (n / np.maximum(part.sum(axis=1), 1e-300))[:, None]
         for j in range(4):
-            mix[:, j] = (np.bincount(gate, weights=part[:, j], minlength=WORD_GATES) + 0.5) / (np.bincount(gate, minlength=WORD_GATES) + 2)
-    return mix / mix.sum(axis=1, keepdims=True)
+            mix[:, j] = np.bincount(gate, weights=part[:, j], minlength=WORD_GATES) + 0.5
+        mix /= mix.sum(axis=1, keepdims=True)
+    return mix
 
 
 def _count_grams(batches):
@@ -550,42 +564,59 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-SCORED = "doc_id long, key long, n_bytes long, bits double, n_tokens long, n_known long, base double, rare array<long>"
+SCORED = (
+    "doc_id long, key long, n_bytes long, bits double, codes binary, n_tokens long, n_known long, base double, rare array<long>, "
+    "fit_codes binary, fit_n binary"
+)
 
 
-def _score(totals: np.ndarray, mix: np.ndarray, frequent: np.ndarray, counts: np.ndarray, parts: int):
-    """Scores by text; words not among `frequent` (sorted) are handed on."""
+def _score(totals: np.ndarray, frequent: np.ndarray, counts: np.ndarray, ends: int, parts: int):
+    """By text the bits of its bytes, its pieces' combinations, and the base's
+    sum; words not among `frequent` (sorted) are handed on.  The combinations
+    that the gate is fitted to, of the training texts, are counted beside them."""
 
     def rows(table: pa.Table, numbers: pa.Table):
         logs = np.log10(counts + 1.0)
-        with np.errstate(divide="ignore"):
-            bytes_share = np.log2(mix[:, 0])
         known = Numbers(table, numbers, parts) if table.num_rows else None
-        for batch in wb.text_chunks(table.select(["doc_id", "text", "key"]).to_batches(), "text", CHUNK):
+        for batch in wb.text_chunks(table.select(["doc_id", "text", "key", "learning"]).to_batches(), "text", CHUNK):
             data, offsets = wb.utf8(batch.column(1))
             code, _ = symbols(data, offsets)
             p = pieces_of(code)
-            chance, gate = word_chances(p, known.of(p.key | WORD), totals)
-            with np.errstate(divide="ignore"):
-                by_words = np.log2((mix[gate, 1:] * chance).sum(axis=1))
-            by_bytes = bytes_share[gate] - np.add.reduceat(known.of(code), p.start)
-            bits = -np.bincount(p.text, weights=np.logaddexp2(by_bytes, by_words), minlength=batch.num_rows)
-
-            del code, p, chance, gate, by_words, by_bytes  # before the next arrays of a run's size
+            bits = np.add.reduceat(known.of(code), p.start)
+            del code
+            n_words = known.of(p.key | WORD)
+            chance, gate = word_chances(p, n_words, totals)
+            codes = combinations(gate, bits, chance).astype(np.int32)
+            learning = batch.column(3).to_numpy(zero_copy_only=False)[p.text]
+            fit = combinations(gate, bits, word_chances(p, n_words, totals, 1)[0])[learning]
+            fit, n = np.unique(fit, return_counts=True)
+            edge = np.searchsorted(p.text, np.arange(batch.num_rows + 1))
+            total = np.bincount(p.text, weights=bits, minlength=batch.num_rows)
+            blobs = [codes[a:b].tobytes() for a, b in zip(edge, edge[1:])]
+            del p, chance, gate, bits, n_words, codes, learning  # before the next arrays of a run's size
             words = wb.split_words(data, offsets, True)
             h, row = words.hashes(), words.row
             place = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
             hit = frequent[place] == h
-            n = np.diff(words.first)
-            end = logs[np.searchsorted(frequent, wb.U(END_TOKEN))] if wb.U(END_TOKEN) in frequent else 0.0
-            base = np.bincount(row[hit], weights=logs[place[hit]], minlength=len(n)) + end
-            found = np.bincount(row[hit], minlength=len(n)) + int(end > 0)
+            size = np.diff(words.first)
+            base = np.bincount(row[hit], weights=logs[place[hit]], minlength=len(size)) + np.log10(ends + 1.0)
+            found = np.bincount(row[hit], minlength=len(size)) + int(ends > 0)
             rare = pa.ListArray.from_arrays(
-                pa.array(np.searchsorted(row[~hit], np.arange(len(n) + 1)).astype(np.int32)), pa.array(h[~hit].astype(np.int64))
+                pa.array(np.searchsorted(row[~hit], np.arange(len(size) + 1)).astype(np.int32)), pa.array(h[~hit].astype(np.int64))
             )
+            nothing = [None] * (len(size) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *map(pa.array, (np.diff(offsets), bits, n + 1, found, base)), rare],
-                names=["doc_id", "key", "n_bytes", "bits", "n_tokens", "n_known", "base", "rare"],
+                [
+                    batch.column(0),
+                    batch.column(2),
+                    *map(pa.array, (np.diff(offsets), total)),
+                    pa.array(blobs, pa.binary()),
+                    *map(pa.array, (size + 1, found, base)),
+                    rare,
+                    pa.array([fit.astype(np.int32).tobytes(), *nothing], pa.binary()),
+                    pa.array([n.astype(np.int64).tobytes(), *nothing], pa.binary()),
+                ],
+                names=["doc_id", "key", "n_bytes", "bits", "codes", "n_tokens", "n_known", "base", "rare", "fit_codes", "fit_n"],
             )
 
     def run(table: pa.Table, numbers: pa.Table) -> pa.Table:
@@ -594,6 +625,20 @@ def _score(totals: np.ndarray, mix: np.ndarray, frequent: np.ndarray, counts: np
     return run
 
 
+def _mixed(mix: np.ndarray):
+    """Bits of each text: what its bytes cost, less what the words save."""
+
+    def run(batches):
+        for batch in batches:
+            bits = batch.column(3).to_numpy().copy()
+            for i, blob in enumerate(batch.column(2).to_pylist()):
+                gate, odds = odds_of(np.frombuffer(blob, np.int32).astype(np.int64))
+                bits[i] -= np.log2((mix[gate] * odds).sum(axis=1)).sum()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bits), *batch.columns[4:]], names=["doc_id", "key", "bits", *batch.schema.names[4:]])
+
+    return run
+
+
 def held_out_rows(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
@@ -605,9 +650,10 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     in training), train_tokens, base_score (log10 under add-one word counts),
     score (log10 probability of the text's bytes and end under the mixing
     model), n_bytes and bits_per_byte (null for an empty text).  Null texts are
-    empty; an empty text still has its end.  Rows that repeat doc_id and text
-    come out once; a row without doc_id counts as training text.  Further
-    columns are ignored.
+    empty; an empty text still has its end.  Repeated rows stay, and each counts
+    as a training text; so does a row without doc_id.  Further columns are
+    ignored.  An empty table gives an empty one; without training text all
+    bytes are even odds.
     """
     docs = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
     docs = docs.withColumn("learning", ~held_out(F.col("doc_id")))
@@ -615,6 +661,7 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     model = train(docs)
     vocabulary = cut(base_counts(learning), "lm-words")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = learning.count()  # the end's count; it needs no place among the frequent words
     top = most_frequent(vocabulary, FREQUENT_WORDS).toArrow()
     frequent = top.column("word").to_numpy().astype(np.uint64)
     order = np.argsort(frequent)
@@ -623,15 +670,10 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     docs = docs.withColumn("key", F.xxhash64("text"))
     docs = docs.withColumn("grouped", F.pmod(F.xxhash64("doc_id", "key"), F.lit(size // GROUP_BYTES + 1)))
-    # the gate's sample is a few groups of its own, so that fitting reads no other texts
-    share = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000)) < int(1e6 * GATE_TEXTS / max(learning.count(), 1))
-    sample = docs.where("learning").where(share).withColumn("grouped", -1 - F.pmod(F.col("key"), F.lit(8)))
-    numbers, parts = looked_up(model, words, docs.select("grouped", "text").union(sample.select("grouped", "text")))
-    mix = fit_gate(words.totals, sample, numbers.where("grouped < 0"), parts)
-    numbers = numbers.where("grouped >= 0")
-    scored = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_score(words.totals, mix, frequent, counts, parts), SCORED)
-    scored = cut(scored.dropDuplicates(["doc_id", "key"]), "lm-scored")
-    rare = scored.select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").count()
+    numbers, parts = looked_up(model, words, docs.select("grouped", "text"))
+    scored = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_score(words.totals, frequent, counts, ends, parts), SCORED)
+    scored = cut(scored, "lm-scored")
+    rare = scored.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").count()
     more = (
         rare.join(vocabulary, "word")
         .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("rare_key"))
@@ -639,6 +681,9 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     )
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("rare_key"))
     base = F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))
+    scored = scored.select("doc_id", "key", "codes", "bits", "n_bytes", "n_tokens", "n_known", "base").mapInArrow(
+        _mixed(fit_gate(scored)), "doc_id long, key long, bits double, n_bytes long, n_tokens long, n_known long, base double"
+    )
     return scored.join(more, same, "left").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

@@ -536,22 +536,114 @@ def test_topics_against_brute_force(spark):
         assert got[i].topic == (f"words{max(by, key=lambda k: (by[k], -k))}" if n else "none")
 
 
-def test_lm_scores(spark, rows):
-    from folio.llm.lm_scoring import score_texts
+def test_lm_scores(spark, rows, monkeypatch):
+    from folio.llm import lm_scoring as lm
 
-    got = {r.doc_id: r for r in score_texts(make(spark, rows)).collect()}
-    assert set(got) == {i for i, _ in rows}
+    given = rows + [rows[0], (8, "another text of that id"), (None, "no id")]
     count = collections.Counter()
-    for i, x in rows:
-        if zlib.crc32(str(i).encode()) % 7 != 2:
+    for i, x in given:
+        if zlib.crc32(str(i).encode()) % 7 != 2 or i is None:
             count.update(words_of(x, True) + [None])
     total = sum(count.values())
-    for i, x in rows:
+    expected = []
+    for i, x in given:
         tokens = words_of(x, True) + [None]
         base = sum(math.log10((count[w] + 1) / (total + len(count) + 1)) for w in tokens)
-        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(tokens), sum(count[w] > 0 for w in tokens), total)
-        assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and got[i].score < 0
-    assert got[0].score == got[1].score and got[2].score == got[3].score
+        expected.append((i, len((x or "").encode()), len(tokens), sum(count[w] > 0 for w in tokens), total, f"{base:.9g}"))
+    for frequent in (lm.FREQUENT_WORDS, 3):  # how many words travel with the tasks changes nothing
+        monkeypatch.setattr(lm, "FREQUENT_WORDS", frequent)
+        found = lm.score_texts(make(spark, given)).collect()
+        got = [(r.doc_id, r.n_bytes, r.n_tokens, r.n_known, r.train_tokens, f"{r.base_score:.9g}") for r in found]
+        assert sorted(got, key=repr) == sorted(expected, key=repr)
+        score = {(r.doc_id, r.n_bytes): r.score for r in found}
+        assert all(r.score < 0 for r in found) and score[2, 0] == score[3, 0] and len({r.score for r in found if r.doc_id in (0, 1)}) == 1
+    assert lm.score_texts(make(spark, rows).limit(0)).count() == 0
+
+
+def test_lm_score_against_brute_force(spark):
+    """The whole score, from counts to bits, in plain loops over the model's parameters."""
+    from folio.llm import lm_scoring as lm
+
+    rnd = random.Random(11)
+    words = ["the", "cat", "sat.", "dog", "ran", "far", "Über", "mat"]
+    given = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 25))) + rnd.choice(["", "\n", " x"])) for i in range(40)]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    learning = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in given}
+    got = {r.doc_id: r for r in lm.score_texts(df).collect()}
+    model = lm.train(df.withColumn("learning", ~lm.held_out_rows(F.col("doc_id"))))
+    tape = {i: [0] * 5 + list(x.encode()) + [lm.END] for i, x in given}
+    follow = collections.Counter()
+    for i, t in tape.items():
+        for at in range(5, len(t)) if learning[i] else ():
+            for order in lm.ORDERS:
+                for j in range(9):
+                    follow[order, tuple(t[at - order : at]), j, t[at] >> (8 - j)] += 1
+
+    def cost(t, at):
+        bits = 0.0
+        for j in range(8):
+            bit, odds = (t[at] >> (7 - j)) & 1, []
+            for order in lm.ORDERS:
+                context = tuple(t[at - order : at])
+                one, zero = (follow[order, context, j + 1, ((t[at] >> (8 - j)) << 1) | b] for b in (1, 0))
+                odds.append(math.log((one + lm.PRIOR) / (zero + lm.PRIOR)))
+            gate = sum(o != 0 for o in odds) * 8 + j
+            x = sum(o * w for o, w in zip(odds + [0.3], model.weights[gate].tolist()))
+            place = (min(max(x, -7.999), 7.999) + 8) * (lm.BUCKETS - 1) / 16
+            low = int(place)
+            fine = model.refine[gate]
+            x = 0.5 * x + 0.5 * (fine[low] * (1 - place + low) + fine[low + 1] * (place - low))
+            bits += math.log2(1 + math.exp(-x if bit else x))
+        return bits
+
+    def pieces(t):
+        """(bytes, what stood before, cost) of each piece."""
+        out, begin = [], 5
+        for at in range(5, len(t)):
+            if t[at] in (0x20, 9, 10, 11, 12, 13, lm.END):
+                before, second = t[begin - 1], t[begin - 2]
+                stood = 3 if before == 0 else 2 if before == 10 else 1 if second in (46, 33, 63) else 0
+                out.append((bytes(t[begin : at + 1]), stood, sum(cost(t, k) for k in range(begin, at + 1))))
+                begin = at + 1
+        return out
+
+    taken = {i: pieces(t) for i, t in tape.items()}
+    known, totals = collections.Counter(), collections.Counter()
+    for i, ps in taken.items():
+        for piece, stood, _ in ps if learning[i] else ():
+            known[piece, stood] += 1
+            totals[stood] += 1
+
+    def experts(ps, without):
+        seen, pairs, followed, before = collections.Counter(), collections.Counter(), collections.Counter(), None
+        for n, (piece, stood, bits) in enumerate(ps):
+            chance = [
+                max(known[piece, stood] - without, 0) / max(totals[stood] - without, 1),
+                seen[piece] / max(n, 1),
+                pairs[before, piece] / max(followed[before], 1),
+            ]
+            gate = min(int(math.log2(n + 1)), 9) * 4 + min(followed[before], 3)
+            odds = [1.0]
+            for c in chance:
+                step = min(max(math.floor((math.log2(c) + bits) * lm.FINENESS + 1e-9) + lm.STEPS // 2, 0), lm.STEPS - 1) if c else 0
+                odds.append(2 ** ((step - lm.STEPS // 2) / lm.FINENESS) if step else 0.0)
+            yield gate, odds, bits
+            seen[piece] += 1
+            followed[before] += 1
+            pairs[before, piece] += 1
+            before = piece
+
+    mix = np.full((lm.WORD_GATES, 4), 0.25)
+    fit = [e for i, ps in taken.items() if learning[i] for e in experts(ps, 1)]
+    for _ in range(25):
+        mass = np.full((lm.WORD_GATES, 4), 0.5)
+        for gate, odds, _b in fit:
+            part = mix[gate] * odds
+            mass[gate] += part / part.sum()
+        mix = mass / mass.sum(axis=1, keepdims=True)
+    for i, ps in taken.items():
+        bits = sum(b - math.log2(float(mix[g] @ np.array(o))) for g, o, b in experts(ps, 0))
+        assert math.isclose(got[i].score, -bits * math.log10(2), rel_tol=0.02, abs_tol=0.05), i
 
 
 def test_pipeline(spark, data):
