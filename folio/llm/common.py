@@ -30,7 +30,7 @@ def written_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/folio/{spark.sparkContext.applicationId}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back.
 
     The written table ends the lineage where a lost executor can't reach, and
@@ -38,7 +38,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{written_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

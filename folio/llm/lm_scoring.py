@@ -35,16 +35,18 @@ PRIOR = 0.1
 GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 RATE, STEADY = 0.1, 1000.0
-#: Distinct grams in a part of the count tables, and keys in a part of the lookup table.
-GRAMS_PER_PART, KEYS_PER_PART = 1_000_000, 4_000_000
+#: Bytes of text for each part of the count tables.
+PART_BYTES = 16 << 20
 #: Bytes of text that look up their grams and words together.
 GROUP_BYTES = 8 << 20
 #: Set in the keys of words, to tell them from grams (48 bits) in the lookup table.
 WORD = wb.U(1 << 63)
 #: Most frequent words that travel to the tasks; the rest is looked up by a join.
 FREQUENT_WORDS = 1 << 18
-END_TOKEN = 0x656E64
-MEMO = 1_000_000
+#: Distinct strings that a task counts before it hands them on.
+MEMO = 2_000_000
+#: Kinds of counts: byte strings, pieces, words of the base, totals.
+GRAM, PIECE, BASE, TOTAL = range(4)
 CHUNK = 2 << 20
 WORD_GATES = 40
 #: Steps of the word experts' log2 odds against the bytes, and steps to a bit.
@@ -124,7 +126,6 @@ class Counts:
 
 class Model(NamedTuple):
     short: Counts  # counts of orders up to SHORT
-    grams: DataFrame  # gram, n, part: all strings, with what the training texts have of them
     weights: np.ndarray  # (gates, orders + 1)
     refine: np.ndarray  # (gates, buckets): log-odds
 
@@ -212,11 +213,6 @@ def _earlier(key: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-class Dictionary(NamedTuple):
-    counts: DataFrame  # word, stood, n: all words of the training texts
-    totals: np.ndarray  # by what stood before
-
-
 def word_chances(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(pieces, 3) chances by dictionary (share of the piece among those after
     the same kind of thing), by the text so far, and by what followed the piece
@@ -233,16 +229,6 @@ def word_chances(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: in
     return np.stack([share, own, pair], axis=1), gate
 
 
-def _count_pieces(batches):
-    for batch in wb.text_chunks(batches, "text"):
-        p = pieces_of(symbols(*wb.utf8(batch.column(1)))[0])
-        codes, unique = pd.factorize(p.key)
-        stood = np.zeros(len(unique), dtype=np.int32)
-        stood[codes] = p.stood
-        n = np.bincount(codes, minlength=len(unique)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(unique.astype(np.int64)), pa.array(stood), pa.array(n)], names=["word", "stood", "n"])
-
-
 def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     """The rows of counts(n) above the least n that at most `limit` rows reach.
 
@@ -256,55 +242,127 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.where(F.lit(False) if least is None else F.col("n") >= least)
 
 
-def dictionary(docs: DataFrame) -> Dictionary:
-    counts = docs.mapInArrow(_count_pieces, "word long, stood int, n long").groupBy("word", "stood").agg(F.sum("n").alias("n"))
-    counts = cut(counts, "lm-pieces")
-    totals = np.zeros(4)
-    for r in counts.groupBy("stood").agg(F.sum("n").alias("n")).collect():
-        totals[r["stood"]] = r["n"]
-    return Dictionary(counts, totals)
-
-
-PACKED = "part int, grouped long, keys binary, numbers binary"
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the tables that a key is in: strings by the three bytes
+    before their last, so that a part has all that follows them; words by hash."""
+    return (wb.mix(np.where(keys >= WORD, keys, (keys >> wb.U(8)) & wb.U(0xFFFFFF))) % wb.U(parts)).astype(np.int64)
 
 
-def _packs(keys: np.ndarray, parts: int):
+def _packs(part: np.ndarray, parts: int):
     """(order of the keys by part, [(part, from, to)]); in a part they stay in order."""
-    part = (wb.mix(keys) % wb.U(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
-    order = np.argsort(part, kind="stable")
+    order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     return order, [(q, a, b) for q, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
 
 
-def _packed(keys: np.ndarray, numbers: np.ndarray | None, parts: int, grouped: int | None = None) -> pa.RecordBatch:
-    order, places = _packs(keys, parts)
-    blobs = lambda x: [None] * len(places) if x is None else [x[a:b].tobytes() for _, a, b in places]
+COUNTED = "kind int, part int, keys binary, n binary"
+
+
+def _counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    kinds, parts, keys, n = zip(*rows) if rows else ([], [], [], [])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([q for q, _, _ in places], pa.int32()),
-            pa.array([grouped] * len(places), pa.int64()),
-            pa.array(blobs(keys[order]), pa.binary()),
-            pa.array(blobs(None if numbers is None else numbers[order].astype(np.float32)), pa.binary()),
+            pa.array(kinds, pa.int32()),
+            pa.array(parts, pa.int32()),
+            pa.array([x.tobytes() for x in keys], pa.binary()),
+            pa.array([x.astype(np.int64).tobytes() for x in n], pa.binary()),
         ],
-        names=["part", "grouped", "keys", "numbers"],
+        names=["kind", "part", "keys", "n"],
     )
 
 
-def _pack_words(parts: int):
+def _sum_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    keys, n = (np.concatenate(x) for x in zip(*held))
+    keys, at = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(at, weights=n, minlength=len(keys))
+
+
+def _tally(parts: int):
+    """All counts of a task's texts, packed by kind and part.
+
+    Strings of texts that aren't learned from are counted as 0, to get a cost.
+    """
+
     def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append((batch.column(0).to_numpy().astype(np.uint64) | WORD, batch.column(1).to_numpy()))
-            size += batch.num_rows
-            if size > MEMO:
-                yield _packed(*map(np.concatenate, zip(*held)), parts)
-                held, size = [], 0
-        if held:
-            yield _packed(*map(np.concatenate, zip(*held)), parts)
+        held: dict[int, list] = {GRAM: [], PIECE: [], BASE: [], TOTAL: []}
+
+        def packed():
+            rows = []
+            for kind, some in held.items():
+                if not some:
+                    continue
+                keys, n = _sum_up(some)
+                part = np.zeros(len(keys), np.int64) if kind == TOTAL else part_of(keys | WORD if kind == BASE else keys, parts)
+                order, places = _packs(part, parts)
+                keys, n = keys[order], n[order]
+                rows += [(kind, q, keys[a:b], n[a:b]) for q, a, b in places]
+                some.clear()
+            return _counted(rows)
+
+        def put(kind, keys, weights=None):
+            codes, unique = _distinct(keys)
+            held[kind].append((unique, np.bincount(codes, weights=weights, minlength=len(unique))))
+
+        for batch in wb.text_chunks(batches, "text"):
+            data, offsets = wb.utf8(batch.column(batch.schema.get_field_index("text")))
+            learning = batch.column(batch.schema.get_field_index("learning")).to_numpy(zero_copy_only=False)
+            code, first = symbols(data, offsets)
+            put(GRAM, code, np.repeat(learning.astype(np.float64), np.diff(first)))
+            p = pieces_of(code)
+            own = learning[p.text]
+            put(PIECE, p.key[own] | WORD)
+            stood = np.bincount(p.stood[own], minlength=5)
+            stood[4] = learning.sum()  # ends of texts
+            held[TOTAL].append((np.arange(5, dtype=np.uint64), stood))
+            del code, p
+            words = wb.split_words(data, offsets, True)
+            put(BASE, words.hashes()[learning[words.row]])
+            if sum(len(x[0]) for some in held.values() for x in some) > MEMO:
+                yield packed()
+        yield packed()
 
     return run
 
 
+def _merge(batches):
+    """One row for each kind and part, of batches in that order."""
+    for (kind, part), table in group_rows(batches, ["kind", "part"]):
+        held = [(np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64)) for k, n in zip(*(table.column(c).to_pylist() for c in ("keys", "n")))]
+        yield _counted([(kind, part, *_sum_up(held))])
+
+
+def tallied(docs: DataFrame) -> tuple[DataFrame, int]:
+    """kind, part, keys, n: all counts of docs(text, learning), a row for each
+    kind and part; and how many parts. They grow with the bytes of text."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = int(max(24, size // PART_BYTES))
+    counts = docs.select("text", "learning").mapInArrow(_tally(parts), COUNTED)
+    merged = counts.repartition(parts, "part").sortWithinPartitions("kind", "part").mapInArrow(_merge, COUNTED)
+    return cut(merged, "lm-counts"), parts
+
+
+def _unpacked(batches):
+    for batch in batches:
+        for keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("keys", "n"))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["word", "n"])
+
+
+def words_in(counts: DataFrame, kind: int) -> DataFrame:
+    """word, n: the keys of a kind and their counts, a row each."""
+    return counts.where(F.col("kind") == kind).mapInArrow(_unpacked, "word long, n long")
+
+
+PACKED = "part int, grouped long, keys binary, numbers binary"
+
+
+def _pack_words(batches):
+    for batch in batches:
+        part, keys, n = (batch.column(batch.schema.get_field_index(c)) for c in ("part", "keys", "n"))
+        numbers = [np.frombuffer(x, np.int64).astype(np.float32).tobytes() for x in n.to_pylist()]
+        yield pa.RecordBatch.from_arrays([part, pa.nulls(len(part), pa.int64()), keys, pa.array(numbers, pa.binary())], names=["part", "grouped", "keys", "numbers"])
+
+
 def _group_keys(table: pa.Table) -> np.ndarray:
     """Sorted distinct keys of a group's grams and words."""
     held = []
@@ -316,7 +374,17 @@ def _group_keys(table: pa.Table) -> np.ndarray:
 
 def _ask(parts: int):
     def run(key, table):
-        return pa.Table.from_batches([_packed(_group_keys(table), None, parts, key[0].as_py())])
+        keys = _group_keys(table)
+        order, places = _packs(part_of(keys, parts), parts)
+        keys = keys[order]
+        return pa.table(
+            {
+                "part": pa.array([q for q, _, _ in places], pa.int32()),
+                "grouped": pa.array([key[0].as_py()] * len(places), pa.int64()),
+                "keys": pa.array([keys[a:b].tobytes() for _, a, b in places], pa.binary()),
+                "numbers": pa.nulls(len(places), pa.binary()),
+            }
+        )
 
     return run
 
@@ -343,19 +411,18 @@ def _answer(batches):
             )
 
 
-def looked_up(model: Model, words: Dictionary, docs: DataFrame) -> tuple[DataFrame, int]:
+def looked_up(model: Model, counts: DataFrame, parts: int, docs: DataFrame) -> DataFrame:
     """grouped, part, numbers: by group of docs(grouped, text) the costs of its
-    grams and the counts of its words, in the order of _packs; how many parts.
+    strings and the counts of its words, in the order of _packs.
 
     Every part of the table is read by one task, which passes the groups'
     questions by; a group asks for a key once, however often it has it.
     """
-    parts = max(24, -(-(model.grams.count() + words.counts.count()) // KEYS_PER_PART))
-    costs = by_part(model.grams).mapInArrow(_costs(model.short, model.weights, model.refine, parts), PACKED)
-    known = costs.union(words.counts.select("word", "n").mapInArrow(_pack_words(parts), PACKED))
-    asked = docs.select("grouped", "text").groupBy("grouped").applyInArrow(_ask(parts), PACKED)
+    costs = counts.where(F.col("kind") == GRAM).mapInArrow(_costs(model), PACKED)
+    known = costs.union(counts.where(F.col("kind") == PIECE).mapInArrow(_pack_words, PACKED))
+    asked = docs.groupBy("grouped").applyInArrow(_ask(parts), PACKED)
     both = known.union(asked).repartition(parts, "part").sortWithinPartitions("part", F.col("grouped").asc_nulls_first())
-    return cut(both.mapInArrow(_answer, "grouped long, part int, numbers binary"), "lm-numbers"), parts
+    return both.mapInArrow(_answer, "grouped long, part int, numbers binary")
 
 
 class Numbers:
@@ -363,7 +430,7 @@ class Numbers:
 
     def __init__(self, table: pa.Table, numbers: pa.Table, parts: int):
         self.keys = _group_keys(table)
-        order, _ = _packs(self.keys, parts)
+        order, _ = _packs(part_of(self.keys, parts), parts)
         rows = sorted(zip(numbers.column("part").to_pylist(), numbers.column("numbers").to_pylist()))
         self.numbers = np.empty(len(order), dtype=np.float32)
         self.numbers[order] = np.concatenate([np.frombuffer(x, np.float32) for _, x in rows])
@@ -423,44 +490,19 @@ def fit_gate(scored: DataFrame) -> np.ndarray:
     return mix
 
 
-def _count_grams(batches):
-    """Distinct grams with counts of the texts to learn from (0 for those that
-    others alone have); merged over a task's texts now and then."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def merged():
-        grams, counts = (np.concatenate(x) for x in zip(*held))
-        codes, unique = _distinct(grams)
-        return unique, np.bincount(codes, weights=counts, minlength=len(unique)).astype(np.int64)
-
-    def rows(unique, counts):
-        return pa.RecordBatch.from_arrays([pa.array(unique.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
-
-    for batch in wb.text_chunks(batches, "text"):
-        code, first = symbols(*wb.utf8(batch.column(1)))
-        codes, unique = _distinct(code)
-        learning = np.repeat(batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64), np.diff(first))
-        held.append((unique, np.bincount(codes, weights=learning, minlength=len(unique))))
-        if sum(len(x[0]) for x in held) > MEMO:
-            yield rows(*merged())
-            held = []
-    if held:
-        yield rows(*merged())
-
+def _parts(batches, short: Counts):
+    """(part, strings, n, counts) of each part."""
+    for batch in batches:
+        for part, keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("part", "keys", "n"))):
+            grams, n = np.frombuffer(keys, np.uint64), np.frombuffer(n, np.int64)
+            yield part, grams, n, Counts(grams[n > 0], n[n > 0], short)
 
-def by_part(grams: DataFrame) -> DataFrame:
-    """gram, n, part: a part has all grams with the same three bytes before the last."""
-    parts = max(8, -(-grams.count() // GRAMS_PER_PART))
-    context = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFFFF))
-    grams = grams.select("gram", "n", F.pmod(F.xxhash64(context), F.lit(parts)).cast("int").alias("part"))
-    return grams.repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("gram"))
 
-
-def _parts(batches, short: Counts):
-    """(grams, n, counts) of each part, grams in an order by hash."""
-    for _, table in group_rows(batches, ["part"]):
-        grams, n = table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy()
-        yield grams, n, Counts(grams[n > 0], n[n > 0], short)
+def _shuffled(grams: np.ndarray, n: np.ndarray):
+    """The strings of the training texts in an order by hash, so reruns agree."""
+    grams, n = grams[n > 0], n[n > 0]
+    order = np.argsort(wb.mix(grams))
+    return grams[order], n[order]
 
 
 def _learn(short: Counts):
@@ -470,8 +512,8 @@ def _learn(short: Counts):
     """
 
     def run(batches):
-        for grams, n, counts in _parts(batches, short):
-            grams, n = grams[n > 0], n[n > 0]
+        for _, grams, n, counts in _parts(batches, short):
+            grams, n = _shuffled(grams, n)
             weights = np.full((GATES, len(ORDERS) + 1), 0.3, dtype=np.float64)
             part = counts.of(grams)
             for a in range(0, len(grams), 4096):
@@ -501,7 +543,7 @@ def _refining(short: Counts, weights):
 
     def run(batches):
         total, up = np.zeros(GATES * BUCKETS), np.zeros(GATES * BUCKETS)
-        for grams, n, counts in _parts(batches, short):
+        for _, grams, n, counts in _parts(batches, short):
             grams, n = grams[n > 0], n[n > 0]
             part = counts.of(grams)
             for a in range(0, len(grams), 16_384):
@@ -517,51 +559,47 @@ def _refining(short: Counts, weights):
     return run
 
 
-def _costs(short: Counts, weights: np.ndarray, refine: np.ndarray, parts: int):
-    """Grams with their costs, packed by part of the lookup table."""
+def _costs(model: Model):
+    """Strings with their costs, part by part."""
 
     def run(batches):
-        for grams, _, counts in _parts(batches, short):
-            yield _packed(grams, bit_costs(weights, refine, counts, grams), parts)
+        for part, grams, _, counts in _parts(batches, model.short):
+            numbers = bit_costs(model.weights, model.refine, counts, grams).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.array([grams.tobytes()]), pa.array([numbers.tobytes()])],
+                names=["part", "grouped", "keys", "numbers"],
+            )
 
     return run
 
 
-def train(docs: DataFrame) -> Model:
-    """Train on every learning text of docs(doc_id, text, learning); none gives even odds."""
-    counted = docs.select("doc_id", "text", "learning").mapInArrow(_count_grams, "gram long, n long")
-    grams = cut(counted.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
-    strings = grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * (SHORT + 1))) - 1)).alias("gram"))
-    table = strings.agg(F.sum("n").alias("n")).toArrow()
+def _short(batches):
+    """gram, n: counts of the strings of SHORT + 1 bytes."""
+    for batch in batches:
+        for keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("keys", "n"))):
+            keys, n = _sum_up([(np.frombuffer(keys, np.uint64) & Counts.mask(SHORT), np.frombuffer(n, np.int64))])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[n > 0].astype(np.int64)), pa.array(n[n > 0].astype(np.int64))], names=["gram", "n"])
+
+
+def train(counts: DataFrame) -> Model:
+    """The mixer and its refinement, learnt on all strings of the training texts; none gives even odds."""
+    strings = counts.where(F.col("kind") == GRAM)
+    table = strings.mapInArrow(_short, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     short = Counts(table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy())
     short.tables = {order: short.tables[order] for order in ORDERS if order <= SHORT}
     shape = (GATES, len(ORDERS) + 1)
-    learnt = by_part(grams).mapInArrow(_learn(short), "weights binary, seen double").where("seen > 0").toArrow().to_pylist()
+    learnt = strings.mapInArrow(_learn(short), "weights binary, seen double").where("seen > 0").orderBy("weights").toArrow().to_pylist()
     mass = sum(r["seen"] for r in learnt)
     weights = sum((np.frombuffer(r["weights"]).reshape(shape) * (r["seen"] / mass) for r in learnt), np.zeros(shape))
     weights = (weights if learnt else np.full(shape, 0.3)).astype(np.float32)
-    counts = sum(
-        (np.frombuffer(r["counts"]) for r in by_part(grams).mapInArrow(_refining(short, weights), "counts binary").toArrow().to_pylist()),
+    sums = sum(
+        (np.frombuffer(r["counts"]) for r in strings.mapInArrow(_refining(short, weights), "counts binary").toArrow().to_pylist()),
         np.zeros(2 * GATES * BUCKETS),
     )
-    total, up = counts.reshape(2, GATES, BUCKETS)
+    total, up = sums.reshape(2, GATES, BUCKETS)
     center = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
     rate = (up + 4 * center) / (total + 4)
-    return Model(short, grams, weights, np.log(rate / (1 - rate)).astype(np.float32))
-
-
-def base_counts(docs: DataFrame) -> DataFrame:
-    """word (hash), n: lower-cased words of all texts, and their ends."""
-
-    def run(batches):
-        for batch in wb.text_chunks(batches, "text"):
-            h = wb.split_words(*wb.utf8(batch.column(1)), True).hashes()
-            codes, unique = pd.factorize(h)
-            word = np.append(unique, wb.U(END_TOKEN)).astype(np.int64)
-            n = np.append(np.bincount(codes, minlength=len(unique)), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], names=["word", "n"])
-
-    return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return Model(short, weights, np.log(rate / (1 - rate)).astype(np.float32))
 
 
 SCORED = (
@@ -657,22 +695,25 @@ def score_texts(docs: DataFrame, held_out=held_out_rows) -> DataFrame:
     """
     docs = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
     docs = docs.withColumn("learning", ~held_out(F.col("doc_id")))
-    learning = docs.where("learning").select("doc_id", "text")
-    model = train(docs)
-    vocabulary = cut(base_counts(learning), "lm-words")
+    counts, parts = tallied(docs)
+    model = train(counts)
+    totals = np.zeros(5)
+    for r in words_in(counts, TOTAL).collect():
+        totals[r["word"]] = r["n"]
+    ends = int(totals[4])  # the end's count; it needs no place among the frequent words
+    vocabulary = words_in(counts, BASE)
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = learning.count()  # the end's count; it needs no place among the frequent words
+    total, distinct = total + ends, distinct + (ends > 0)
     top = most_frequent(vocabulary, FREQUENT_WORDS).toArrow()
     frequent = top.column("word").to_numpy().astype(np.uint64)
     order = np.argsort(frequent)
-    frequent, counts = np.append(frequent[order], wb.U(2**64 - 1)), np.append(top.column("n").to_numpy()[order], 0)
-    words = dictionary(learning)
+    frequent, often = np.append(frequent[order], wb.U(2**64 - 1)), np.append(top.column("n").to_numpy()[order], 0)
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     docs = docs.withColumn("key", F.xxhash64("text"))
     docs = docs.withColumn("grouped", F.pmod(F.xxhash64("doc_id", "key"), F.lit(size // GROUP_BYTES + 1)))
-    numbers, parts = looked_up(model, words, docs.select("grouped", "text"))
-    scored = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_score(words.totals, frequent, counts, ends, parts), SCORED)
-    scored = cut(scored, "lm-scored")
+    numbers = looked_up(model, counts, parts, docs)  # in one plan with the scores, so that texts are shuffled once
+    scored = docs.groupBy("grouped").cogroup(numbers.groupBy("grouped")).applyInArrow(_score(totals[:4], frequent, often, ends, parts), SCORED)
+    scored = cut(scored, "lm-scored", "zstd")
     rare = scored.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").count()
     more = (
         rare.join(vocabulary, "word")

@@ -570,7 +570,7 @@ def test_lm_score_against_brute_force(spark):
     df = spark.createDataFrame(given, "doc_id long, text string")
     learning = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in given}
     got = {r.doc_id: r for r in lm.score_texts(df).collect()}
-    model = lm.train(df.withColumn("learning", ~lm.held_out_rows(F.col("doc_id"))))
+    model = lm.train(lm.tallied(df.withColumn("learning", ~lm.held_out_rows(F.col("doc_id"))))[0])
     tape = {i: [0] * 5 + list(x.encode()) + [lm.END] for i, x in given}
     follow = collections.Counter()
     for i, t in tape.items():
@@ -668,10 +668,12 @@ def test_lm_counts_grow_with_the_corpus(spark):
     words = ["".join(rnd.choice(letters) for _ in range(10)) for _ in range(12_000)]
     docs = [(i, " ".join(words[i::8] * 2), True) for i in range(8)] + [(8, "xyzzy quux", False)]
     df = spark.createDataFrame(docs, "doc_id long, text string, learning boolean")
-    model, dictionary = lm.train(df), lm.dictionary(df.where("learning").select("doc_id", "text"))
-    numbers, parts = lm.looked_up(model, dictionary, df.withColumn("grouped", F.lit(1).cast("long")))
+    table, parts = lm.tallied(df)
+    model = lm.train(table)
+    numbers = lm.looked_up(model, table, parts, df.withColumn("grouped", F.lit(1).cast("long")))
     known = lm.Numbers(df.toArrow(), numbers.toArrow(), parts)
-    grams, n = (model.grams.toArrow().column(c).to_numpy() for c in ("gram", "n"))
+    found = lm.words_in(table, lm.GRAM).toArrow()
+    grams, n = found.column("word").to_numpy(), found.column("n").to_numpy()
     counts = lm.Counts(grams[n > 0].astype(np.uint64), n[n > 0])
     order5 = collections.Counter()
     for g, m in zip(grams.tolist(), n.tolist()):
