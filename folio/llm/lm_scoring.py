@@ -38,7 +38,7 @@ RATE, STEADY = 0.1, 1000.0
 #: Bytes of text for each part of the count tables.
 PART_BYTES = 16 << 20
 #: Bytes of text that look up their grams and words together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 #: Set in the keys of words, to tell them from grams (48 bits) in the lookup table.
 WORD = wb.U(1 << 63)
 #: Most frequent words that travel to the tasks; the rest is looked up by a join.
@@ -57,19 +57,19 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """(gram of every byte and end, texts' bounds): five bytes back and the byte."""
     size = np.diff(offsets)
     first = np.concatenate(([0], np.cumsum(size + 1)))
-    row = np.repeat(np.arange(len(size)), size)
-    tape = np.zeros(len(data) + len(size) * (REACH + 1), dtype=np.uint64)
-    tape[np.arange(len(data)) + row * (REACH + 1) + REACH] = data
-    ends = offsets[1:] + np.arange(len(size)) * (REACH + 1) + REACH
+    starts = offsets[:-1] + np.arange(len(size)) * (REACH + 1)  # REACH zeros, the text, its end
+    real = np.ones(len(data) + len(size) * (REACH + 1), dtype=bool)
+    real[(starts[:, None] + np.arange(REACH)[None, :]).ravel()] = False
+    ends = starts + REACH + size
+    tape = np.zeros(len(real), dtype=np.uint64)
     tape[ends] = END
-    real = np.ones(len(tape), dtype=bool)
-    starts = (offsets[:-1] + np.arange(len(size)) * (REACH + 1))[:, None] + np.arange(REACH)[None, :]
-    real[starts.ravel()] = False
-    at = np.flatnonzero(real)
-    code = np.zeros(len(at), dtype=np.uint64)
-    for back in range(REACH, -1, -1):
-        code = (code << wb.U(8)) | tape[at - back]
-    return code, first
+    real[ends] = False
+    tape[real] = data
+    real[ends] = True
+    code = tape.copy()
+    for back in range(1, REACH + 1):
+        code[back:] |= tape[:-back] << wb.U(8 * back)
+    return code[real], first
 
 
 class Counts:
@@ -213,10 +213,14 @@ def _earlier(key: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_chances(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(pieces, 3) chances by dictionary (share of the piece among those after
-    the same kind of thing), by the text so far, and by what followed the piece
-    before in the text so far; and each piece's gate."""
+def dictionary_chance(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: int = 0) -> np.ndarray:
+    """Share of each piece among those after the same kind of thing."""
+    return np.maximum(n_words - without, 0) / np.maximum(totals[p.stood] - without, 1)
+
+
+def own_chances(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each piece's chance by the text so far, by what followed the piece before
+    in the text so far, and its gate."""
     fresh = np.concatenate(([True], p.text[1:] != p.text[:-1]))
     first = np.flatnonzero(fresh)
     n = np.arange(len(p.h)) - np.repeat(first, np.diff(np.append(first, len(p.h))))
@@ -225,8 +229,7 @@ def word_chances(p: Pieces, n_words: np.ndarray, totals: np.ndarray, without: in
     own = _earlier(p.h, p.text) / np.maximum(n, 1)
     pair = _earlier(wb.mix(before) * wb.U(31) + p.h, p.text) / np.maximum(followed, 1)
     gate = np.minimum(np.log2(n + 1).astype(np.int64), 9) * 4 + np.minimum(followed, 3)
-    share = np.maximum(n_words - without, 0) / np.maximum(totals[p.stood] - without, 1)
-    return np.stack([share, own, pair], axis=1), gate
+    return own, pair, gate
 
 
 def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
@@ -363,18 +366,35 @@ def _pack_words(batches):
         yield pa.RecordBatch.from_arrays([part, pa.nulls(len(part), pa.int64()), keys, pa.array(numbers, pa.binary())], names=["part", "grouped", "keys", "numbers"])
 
 
-def _group_keys(table: pa.Table) -> np.ndarray:
-    """Sorted distinct keys of a group's grams and words."""
-    held = []
-    for batch in wb.text_chunks(table.to_batches(), "text", CHUNK):
+class Taken(NamedTuple):
+    """A run of texts, its symbols and pieces with the distinct ones' numbers."""
+
+    batch: pa.RecordBatch
+    pieces: Pieces
+    gram_at: np.ndarray
+    grams: np.ndarray
+    word_at: np.ndarray
+    words: np.ndarray
+
+
+def _take_apart(table: pa.Table, columns: list[str]) -> list[Taken]:
+    out = []
+    for batch in wb.text_chunks(table.select(columns).to_batches(), "text", CHUNK):
         code, _ = symbols(*wb.utf8(batch.column(batch.schema.get_field_index("text"))))
-        held += [pd.unique(code), pd.unique(pieces_of(code).key) | WORD]
-    return np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+        p = pieces_of(code)
+        (gram_at, grams), (word_at, words) = _distinct(code), _distinct(p.key | WORD)
+        out.append(Taken(batch, p, gram_at.astype(np.int32), grams, word_at.astype(np.int32), words))
+    return out
+
+
+def _group_keys(taken: list[Taken]) -> np.ndarray:
+    """Sorted distinct keys of a group's strings and words."""
+    return np.sort(pd.unique(np.concatenate([x for t in taken for x in (t.grams, t.words)]))) if taken else np.zeros(0, np.uint64)
 
 
 def _ask(parts: int):
     def run(key, table):
-        keys = _group_keys(table)
+        keys = _group_keys(_take_apart(table, ["text"]))
         order, places = _packs(part_of(keys, parts), parts)
         keys = keys[order]
         return pa.table(
@@ -426,31 +446,28 @@ def looked_up(model: Model, counts: DataFrame, parts: int, docs: DataFrame) -> D
 
 
 class Numbers:
-    """A group's grams and words with their costs and counts."""
+    """A group's strings and words with their costs and counts."""
 
-    def __init__(self, table: pa.Table, numbers: pa.Table, parts: int):
-        self.keys = _group_keys(table)
+    def __init__(self, taken: list[Taken], numbers: pa.Table, parts: int):
+        self.keys = _group_keys(taken)
         order, _ = _packs(part_of(self.keys, parts), parts)
         rows = sorted(zip(numbers.column("part").to_pylist(), numbers.column("numbers").to_pylist()))
         self.numbers = np.empty(len(order), dtype=np.float32)
-        self.numbers[order] = np.concatenate([np.frombuffer(x, np.float32) for _, x in rows])
+        self.numbers[order] = np.concatenate([np.frombuffer(x, np.float32) for _, x in rows]) if rows else 0
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        codes, unique = _distinct(keys)
-        return self.numbers[np.searchsorted(self.keys, unique)][codes].astype(np.float64)
+        return self.numbers[np.searchsorted(self.keys, keys)]
 
 
-def combinations(gate: np.ndarray, bits: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """One number for a piece's gate and its three word chances against the bytes'.
+def steps_of(chance: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """A chance's log2 odds against the bytes', 1 / FINENESS bits at a time.
 
-    A chance counts as 1 / FINENESS bits at a time, rounded down (so what is
-    mixed stays a probability), up to 31 bits over and not below 2**-32 times
-    the bytes'; the lowest step is chance 0.
+    Rounded down, so what is mixed stays a probability; up to 31 bits over and
+    not below 2**-32 times the bytes'.  The lowest step is chance 0.
     """
     with np.errstate(divide="ignore"):
-        steps = np.floor((np.log2(chance) + bits[:, None]) * FINENESS)
-    steps = np.clip(steps + STEPS // 2, 0, STEPS - 1).astype(np.int64)
-    return ((gate * STEPS + steps[:, 0]) * STEPS + steps[:, 1]) * STEPS + steps[:, 2]
+        steps = np.floor((np.log2(chance) + bits) * FINENESS) + STEPS // 2
+    return np.clip(steps, 0, STEPS - 1).astype(np.int32)
 
 
 def odds_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -615,23 +632,26 @@ def _score(totals: np.ndarray, frequent: np.ndarray, counts: np.ndarray, ends: i
 
     def rows(table: pa.Table, numbers: pa.Table):
         logs = np.log10(counts + 1.0)
-        known = Numbers(table, numbers, parts) if table.num_rows else None
-        for batch in wb.text_chunks(table.select(["doc_id", "text", "key", "learning"]).to_batches(), "text", CHUNK):
-            data, offsets = wb.utf8(batch.column(1))
-            code, _ = symbols(data, offsets)
-            p = pieces_of(code)
-            bits = np.add.reduceat(known.of(code), p.start)
-            del code
-            n_words = known.of(p.key | WORD)
-            chance, gate = word_chances(p, n_words, totals)
-            codes = combinations(gate, bits, chance).astype(np.int32)
+        taken = _take_apart(table, ["doc_id", "text", "key", "learning"])
+        known = Numbers(taken, numbers, parts)
+        while taken:
+            batch, p, gram_at, grams, word_at, words = taken.pop()
+            bits = np.add.reduceat(known.of(grams)[gram_at], p.start).astype(np.float64)
+            n_words = known.of(words)[word_at].astype(np.float64)
+            own, pair, gate = own_chances(p)
+            late = steps_of(own, bits) * STEPS + steps_of(pair, bits)
+            gate = gate.astype(np.int32) * STEPS
+            codes = (gate + steps_of(dictionary_chance(p, n_words, totals), bits)) * STEPS**2 + late
             learning = batch.column(3).to_numpy(zero_copy_only=False)[p.text]
-            fit = combinations(gate, bits, word_chances(p, n_words, totals, 1)[0])[learning]
-            fit, n = np.unique(fit, return_counts=True)
+            fit = ((gate + steps_of(dictionary_chance(p, n_words, totals, 1), bits)) * STEPS**2 + late)[learning]
+            fit_at, fit = _distinct(fit)
+            n = np.bincount(fit_at, minlength=len(fit))
             edge = np.searchsorted(p.text, np.arange(batch.num_rows + 1))
             total = np.bincount(p.text, weights=bits, minlength=batch.num_rows)
             blobs = [codes[a:b].tobytes() for a, b in zip(edge, edge[1:])]
-            del p, chance, gate, bits, n_words, codes, learning  # before the next arrays of a run's size
+            # before the next arrays of a run's size
+            del p, gram_at, word_at, own, pair, gate, bits, n_words, codes, learning, late, fit_at
+            data, offsets = wb.utf8(batch.column(1))
             words = wb.split_words(data, offsets, True)
             h, row = words.hashes(), words.row
             place = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)

@@ -671,7 +671,7 @@ def test_lm_counts_grow_with_the_corpus(spark):
     table, parts = lm.tallied(df)
     model = lm.train(table)
     numbers = lm.looked_up(model, table, parts, df.withColumn("grouped", F.lit(1).cast("long")))
-    known = lm.Numbers(df.toArrow(), numbers.toArrow(), parts)
+    known = lm.Numbers(lm._take_apart(df.toArrow(), ["text"]), numbers.toArrow(), parts)
     found = lm.words_in(table, lm.GRAM).toArrow()
     grams, n = found.column("word").to_numpy(), found.column("n").to_numpy()
     counts = lm.Counts(grams[n > 0].astype(np.uint64), n[n > 0])
