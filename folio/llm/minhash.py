@@ -21,9 +21,9 @@ from folio.llm.components import components
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 48, 6
-#: Members of a bucket that are held against each other in one task; larger
-#: buckets are joined on their members' rarest shingles.
-TILE_DOCUMENTS = 512
+#: Members of a bucket that are held against each other in one task; of larger
+#: buckets just those whose rarest shingles meet are.
+TILE_DOCUMENTS = 2048
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -113,12 +113,12 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> Da
 
 
 def _apart(percent: int):
-    """Links between different components within each bucket."""
+    """Links between different components within each tile of a bucket."""
 
     def run(batches):
-        for _, group in group_rows(batches, ["band"]):
+        for (_, a, b), group in group_rows(batches, ["band", "a", "b"]):
             group = group.sort_by("doc_id")
-            ids, component = (group.column(k).to_numpy() for k in ("doc_id", "component"))
+            ids, component, mine = (group.column(k).to_numpy() for k in ("doc_id", "component", "mine"))
             lists = group.column("shingles").combine_chunks()
             size = np.diff(lists.offsets.to_numpy())
             _, shingle, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
@@ -134,6 +134,8 @@ def _apart(percent: int):
                 both += grid @ grid.T
             either = size[:, None] + size[None, :] - both
             ask = (component[:, None] < component[None, :]) & (100 * both >= percent * either) & (both > 0)
+            if a != b:
+                ask &= mine[:, None] != mine[None, :]
             x, y = np.nonzero(ask)
             _, one = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)
             yield pa.RecordBatch.from_arrays([pa.array(ids[x[one]]), pa.array(ids[y[one]])], names=["hub", "doc_id"])
@@ -141,20 +143,18 @@ def _apart(percent: int):
     return run
 
 
-def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """hub, doc_id: all pairs of members(doc_id, component) in different
-    components that can be similar enough.
+def _meeting(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """doc_id: those of members(doc_id, component) that can be similar enough to
+    one of another component.
 
     Shingles are ordered by how many members have them.  Of similar sets, the
     smaller one's rarest n - 2t/(1+t) n + 1 and the larger one's rarest
     n - t n + 1 must meet; a shingle that very many unlike members share (a
-    template's) is beyond the former.  So the pairs follow the links, not the
-    square of the members.
+    template's) is beyond the former.
     """
     t = percent / 100
-    rows = members.join(sets, "doc_id").dropDuplicates(["doc_id", "component"])
-    rows = cut(rows.select("doc_id", "component", F.size("shingles").alias("n"), "shingles"), "minhash-members")
-    single = rows.select("doc_id", "component", "n", F.explode("shingles").alias("shingle"))
+    rows = members.join(sets, "doc_id").select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    single = cut(rows, "minhash-members")
     often = cut(single.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"), "minhash-often")
     ranked = (
         single.join(often, "shingle")
@@ -165,12 +165,12 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     room = F.col("n") - F.ceil(F.col("n") * t - 1e-9).cast("int") + 1 - alone
     short = F.col("n") - F.ceil(F.col("n") * (2 * t / (1 + t)) - 1e-9).cast("int") + 1 - alone
     lead = F.slice("ranked", F.lit(1), F.greatest(room, F.lit(0)))
-    spots = ranked.select("doc_id", "component", "n", short.alias("short"), F.posexplode(lead).alias("place", "at"))
-    spots = cut(spots.select("doc_id", "component", "n", (F.col("place") < F.col("short")).alias("small"), F.col("at.shingle").alias("shingle")), "minhash-prefixes")
-    small = spots.where("small").select("shingle", F.col("doc_id").alias("hub"), F.col("component").alias("own"), F.col("n").alias("hub_n"))
-    later = (F.col("hub_n") < F.col("n")) | ((F.col("hub_n") == F.col("n")) & (F.col("hub") < F.col("doc_id")))
-    near = 100 * F.col("hub_n") >= percent * F.col("n")
-    return small.join(spots, "shingle").where(later & near & (F.col("own") != F.col("component"))).select("hub", "doc_id").distinct()
+    spots = ranked.select("doc_id", "component", short.alias("short"), F.posexplode(lead).alias("place", "at"))
+    spots = spots.select("doc_id", "component", (F.col("place") < F.col("short")).alias("small"), F.col("at.shingle").alias("shingle"))
+    spots = cut(spots, "minhash-prefixes")
+    met = spots.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("small").alias("small"))
+    met = cut(met.where("low < high and small").select("shingle"), "minhash-met")
+    return cut(spots.join(met, "shingle").select("doc_id").distinct(), "minhash-meeting")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -206,10 +206,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
 
     At 0.75 a pair escapes all 48 bands of 6 with probability 1e-4.  A bucket
     whose star leaves its members in several components is looked at again: the
-    members' sets are held against those of the other components, in one task
-    up to TILE_DOCUMENTS members, by an exact join on rare shingles beyond, and
-    just the links found come out.  So a bucket loses no link between components
-    to the choice of its hub.
+    members' sets are held against those of the other components, in tiles of
+    bounded size, and just the links found come out.  Of buckets of several
+    tiles only the members that share a rare shingle with another component take
+    part (see _meeting); no other can have a link.  So a bucket loses no link
+    between components to the choice of its hub.
     """
     docs = texts(docs).where("doc_id is not null")
     sketch = cut(docs.mapInArrow(_sketch(bands, band_rows), SKETCH), "minhash-sketch")
@@ -261,14 +262,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
         .where("low < high")
         .groupBy("size", "who")  # buckets of the same documents are compared once
         .agg(F.min("band").alias("band"))
-        .select("band", "size")
+        .select("band", F.ceil(F.col("size") / TILE_DOCUMENTS).cast("int").alias("tiles"))
     )
-    mixed = placed.join(cut(mixed, "minhash-mixed"), "band")
-    tiles = mixed.where(F.col("size") <= TILE_DOCUMENTS).select("band", "doc_id", "component").join(sets, "doc_id")
-    late = tiles.repartition("band").sortWithinPartitions("band").mapInArrow(_apart(percent), "hub long, doc_id long")
-    large = cut(mixed.where(F.col("size") > TILE_DOCUMENTS).select("doc_id", "component").distinct(), "minhash-large")
+    mixed = cut(mixed, "minhash-mixed")
+    spread, large = placed.join(mixed.where("tiles = 1"), "band"), mixed.where("tiles > 1")
     if not large.isEmpty():
-        late = late.union(_confirmed(sets, _prefix_pairs(large, sets, percent), percent, "minhash-late-links"))
+        large = cut(placed.join(large, "band"), "minhash-large")
+        meeting = _meeting(large.select("doc_id", "component").distinct(), sets, percent)
+        spread = spread.union(large.join(meeting, "doc_id", "left_semi").select(*spread.columns))
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
+    spread = (
+        spread.withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("band", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "doc_id", "component")
+    )
+    keys = ["band", "a", "b"]
+    late = (
+        spread.join(sets, "doc_id")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(_apart(percent), "hub long, doc_id long")
+    )
     late = cut(late.distinct(), "minhash-late")
     if not late.isEmpty():
         labels = cut(_merged(labels, late), "minhash-labels")

@@ -81,14 +81,15 @@ def test_tiles_find_links_that_hubs_miss():
     base = np.arange(100)
     members = [base, np.concatenate([base[:85], 1000 + np.arange(15)]), np.concatenate([base[:84], 1000 + np.arange(15)])]
     batch = pa.RecordBatch.from_arrays(
-        [pa.array([1, 1, 1]), pa.array([3, 5, 9]), pa.array([3, 5, 9]), pa.array([m.astype(np.int64) for m in members], pa.list_(pa.int64()))],
-        names=["band", "doc_id", "component", "shingles"])
+        [pa.array([1, 1, 1]), pa.array([0, 0, 0], pa.int32()), pa.array([0, 0, 0], pa.int32()), pa.array([0, 0, 0], pa.int32()), pa.array([3, 5, 9]),
+         pa.array([3, 5, 9]), pa.array([m.astype(np.int64) for m in members], pa.list_(pa.int64()))],
+        names=["band", "a", "b", "mine", "doc_id", "component", "shingles"])
     links = {tuple(x) for out in _apart(75)([batch]) for x in zip(*[c.to_pylist() for c in out.columns])}
     assert (5, 9) in links
 
 
 def test_minhash_of_large_buckets(spark, rows, monkeypatch):
-    """Buckets beyond the tile size are joined on rare shingles, with the same result."""
+    """Buckets of several tiles, thinned out by rare shingles, give the same result."""
     from folio.llm import minhash as m
 
     rnd = random.Random(12)
@@ -102,7 +103,7 @@ def test_minhash_of_large_buckets(spark, rows, monkeypatch):
         base = base[:-3] + [f"y{i}_{j}" for j in range(3)]
         given.append((i, " ".join(base)))
     expected = {r.doc_id: r.component_id for r in m.near_duplicates(make(spark, given)).collect()}
-    monkeypatch.setattr(m, "TILE_DOCUMENTS", 1)
+    monkeypatch.setattr(m, "TILE_DOCUMENTS", 2)
     got = {r.doc_id: r.component_id for r in m.near_duplicates(make(spark, given)).collect()}
     sets = sets_of(given)
     root = {i: i for i in sets}
@@ -123,8 +124,8 @@ def test_minhash_of_large_buckets(spark, rows, monkeypatch):
     assert got == expected == {i: find(i) for i in sets}
     members = spark.createDataFrame([(i, i) for i in sets], "doc_id long, component long")
     table = make(spark, given).select("doc_id", "text").mapInArrow(m._sets, "doc_id long, shingles array<long>")
-    found = m._confirmed(table, m._prefix_pairs(members, table, 75), 75, "test-links")
-    assert {tuple(sorted(r)) for r in found.collect()} == pairs
+    meeting = {r.doc_id for r in m._meeting(members, table, 75).collect()}
+    assert {i for p in pairs for i in p} <= meeting and len(meeting) < len(sets)
 
 
 def brute_windows(rows, size=13):
