@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folio.operators import metrics as m
+from folio.operators import rules
 from folio.plans import bindings as b
 from folio.plans.bindings import sql
 from folio.plans.registry import query, table
@@ -36,13 +37,17 @@ def entity_type_entropy(spark, d):
     return m.shannon_entropy(b.mentions(spark, d), ["source"], "entity_type")
 
 
-@query("pipeline_status_counts", sql("tasks", """select status, stage, count(*) as n,
-    sum(cents) filter (where status = 'completed') / count(*) filter (where status = 'completed') as avg_completed_cents
-    from tasks group by 1, 2"""))
+@query("pipeline_status_counts", sql("tasks files", """select 'status' as dimension, status as value, count(*) as n,
+    sum(cents) filter (where status = 'completed') * 1.0 / count(*) filter (where status = 'completed') as avg_completed_cents from tasks group by 2
+    union all select 'stage', stage, count(*), sum(cents) filter (where status = 'completed') * 1.0 / count(*) filter (where status = 'completed') from tasks group by 2
+    union all select 'file_type', coalesce(nullif(regexp_extract(path, '\\.([A-Za-z0-9]{1,5})$', 1), ''), 'none'), count(*), null from files group by 2"""))
 def pipeline_status_counts(spark, d):
-    done = F.when(F.col("status") == "completed", F.col("cents"))
-    return b.tasks(spark, d).groupBy("status", "stage").agg(
-        F.count("*").alias("n"), F.when(F.count(done) > 0, F.sum(done) / F.count(done)).alias("avg_completed_cents"))
+    paid = F.when(F.col("status") == "completed", F.col("cents"))
+    rows = m.grouped_summary(b.tasks(spark, d), "status", "stage", measures=[F.count("*").alias("n"), F.when(F.count(paid) > 0, F.sum(paid) / F.count(paid)).alias("avg_completed_cents")])
+    suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]{1,5})$", 1)
+    kinds = b.files(spark, d).groupBy(F.when(suffix != "", suffix).otherwise("none").alias("value")).agg(F.count("*").alias("n"))
+    kinds = kinds.select(F.lit("file_type").alias("dimension"), "value", "n", F.lit(None).cast("double").alias("avg_completed_cents"))
+    return rows.where("dimension <> 'total'").select(*kinds.columns).union(kinds)
 
 
 @query("status_percentages", sql("tasks", "select status, count(*) as n, count(*) * 100.0 / sum(count(*)) over () as percent from tasks group by 1"))
@@ -125,12 +130,16 @@ def performance_report(spark, d):
     return m.stage_metrics(b.tasks(spark, d), "batch_id")
 
 
-@query("error_summary", sql("tasks", f""", e as (select message, stage from tasks where status = 'failed' and ts > (select as_of from ({LATE})) - interval 240 hour)
+@query("error_summary", sql("tasks", f""", e as (select * from tasks where status = 'failed' and ts > (select as_of from ({LATE})) - interval 240 hour)
     select case when grouping(message) = 0 then 'message' when grouping(stage) = 0 then 'stage' else 'total' end as dimension,
-    coalesce(message, stage) as value, count(*) as n from e group by grouping sets ((message), (stage), ())"""))
+    coalesce(message, stage) as value, count(*) as n from e group by grouping sets ((message), (stage), ())
+    union all select 'sample', stage || ': ' || message, event_id from (select * from e order by ts desc, event_id desc limit 20)"""))
 def error_summary(spark, d):
+    """Counts, and the 20 latest failures as samples (n is their event)."""
     tasks = m.within_hours(b.tasks(spark, d), 240).where("status = 'failed'")
-    return m.grouped_summary(tasks, "message", "stage", measures=[F.count("*").alias("n")])
+    latest = tasks.orderBy(F.desc("ts"), F.desc("event_id")).limit(20)
+    samples = latest.select(F.lit("sample").alias("dimension"), F.concat_ws(": ", "stage", "message").alias("value"), F.col("event_id").alias("n"))
+    return m.grouped_summary(tasks, "message", "stage", measures=[F.count("*").alias("n")]).select(*samples.columns).union(samples)
 
 
 @query("batch_result_summary", sql("items", """select batch_id, count(*) as total, count(*) filter (where status = 'completed') as completed,
@@ -156,41 +165,67 @@ def campaign_progress(spark, d):
         F.count("*").alias("batches"), done().alias("completed"), m.rate(done(), F.count("*")).alias("percent"), state.alias("campaign_status"))
 
 
-@query("batch_performance_24h", sql("batches", """, w as (select max(created_at) as as_of from batches)
-    select count(*) as batches, count(*) filter (where status = 'completed') as completed, sum(cents) / count(*) as avg_cents
-    from batches, w where created_at > as_of - interval 240 hour"""))
+@query("batch_performance_24h", sql("batches items", """, w as (select max(created_at) as as_of from batches), r as (select batches.* from batches, w where created_at > as_of - interval 24 hour),
+    n as (select batch_id, count(*) as documents, count(*) filter (where status = 'failed') as failed from items where batch_id in (select batch_id from r) group by 1)
+    select count(*) as batches, count(*) filter (where status = 'completed') as completed, count(*) filter (where failed > 0) as with_failures, sum(cents) * 1.0 / count(*) as avg_cents,
+    sum(documents) * 1.0 / count(*) as documents_per_batch, count(*) filter (where status = 'completed') * 100.0 / count(*) as success_rate, sum(documents) / 24.0 as documents_per_hour
+    from r left join n using (batch_id)"""))
 def batch_performance_24h(spark, d):
-    rows = m.within_hours(b.batches(spark, d), 240, ts="created_at")
-    return rows.agg(F.count("*").alias("batches"), done().alias("completed"), (F.sum("cents") / F.count("*")).alias("avg_cents"))
+    rows = m.within_hours(b.batches(spark, d), 24, ts="created_at")
+    n = b.items(spark, d).groupBy("batch_id").agg(F.count("*").alias("documents"), failed().alias("failed"))
+    documents = F.sum("documents")
+    return rows.join(n, "batch_id", "left").agg(
+        F.count("*").alias("batches"), done().alias("completed"), F.count_if(F.col("failed") > 0).alias("with_failures"), (F.sum("cents") / F.count("*")).alias("avg_cents"),
+        (documents / F.count("*")).alias("documents_per_batch"), (done() * 100.0 / F.count("*")).alias("success_rate"), (documents / 24.0).alias("documents_per_hour"))
 
 
-@query("active_batches", sql("batches", "select batch_id, priority, created_at from batches where status = 'processing' order by created_at desc, batch_id limit 10"))
+@query("active_batches", sql("batches items", """, p as (select *, row_number() over (partition by status order by created_at desc, batch_id) as rn from batches where status in ('processing', 'completed')),
+    n as (select batch_id, count(*) filter (where status = 'completed') * 100.0 / count(*) as percent from items group by 1)
+    select batch_id, status, priority, created_at, coalesce(percent, 0) as percent from p left join n using (batch_id) where rn <= 10"""))
 def active_batches(spark, d):
-    return b.batches(spark, d).where("status = 'processing'").orderBy(F.desc("created_at"), "batch_id").limit(10).select("batch_id", "priority", "created_at")
+    """The ten newest batches in progress and the ten newest completed ones."""
+    batches = b.batches(spark, d)
+    newest = lambda s: batches.where(F.col("status") == s).orderBy(F.desc("created_at"), "batch_id").limit(10)
+    rows = newest("processing").union(newest("completed"))
+    n = b.items(spark, d).groupBy("batch_id").agg((done() * 100.0 / F.count("*")).alias("percent"))
+    return rows.join(n, "batch_id", "left").select("batch_id", "status", "priority", "created_at", F.coalesce("percent", F.lit(0.0)).alias("percent"))
 
 
 @query("campaign_report", sql("items batches", """select b.project_id, count(*) as documents,
     coalesce(count(*) filter (where i.status = 'completed') * 100.0 / nullif(count(*) filter (where i.status <> 'pending'), 0), 0) as success_rate,
-    sum(size_mb) as size_mb, count(distinct batch_id) as batches from items i join batches b using (batch_id) group by 1"""))
+    sum(size_mb) as size_mb, count(distinct batch_id) as batches, sum(i.cents) * 1.0 / count(*) as cents_per_document, count(*) * 3600.0 / sum(i.cents) as documents_per_hour,
+    count(*) filter (where size_mb between 1 and 25) as size_passed, count(*) filter (where i.cents > 100000) as value_passed,
+    count(*) filter (where size_mb between 1 and 25 and i.cents > 100000 and i.status = 'completed') as all_passed
+    from items i join batches b using (batch_id) group by 1"""))
 def campaign_report(spark, d):
+    """Success, time and the counts of documents that pass each validation; cents
+    stand for seconds."""
     rows = b.items(spark, d).join(b.batches(spark, d).select("batch_id", "project_id"), "batch_id")
+    sized, valued = F.col("size_mb").between(1, 25), F.col("cents") > 100000
     return rows.groupBy("project_id").agg(
-        F.count("*").alias("documents"), m.rate(done(), done() + failed()).alias("success_rate"), F.sum("size_mb").alias("size_mb"), F.countDistinct("batch_id").alias("batches"))
+        F.count("*").alias("documents"), m.rate(done(), done() + failed()).alias("success_rate"), F.sum("size_mb").alias("size_mb"), F.countDistinct("batch_id").alias("batches"),
+        (F.sum("cents") / F.count("*")).alias("cents_per_document"), (F.count("*") * 3600.0 / F.sum("cents")).alias("documents_per_hour"), F.count_if(sized).alias("size_passed"),
+        F.count_if(valued).alias("value_passed"), F.count_if(sized & valued & (F.col("status") == "completed")).alias("all_passed"))
 
 
-@query("processing_summary", sql("tasks", """select batch_id, count(distinct document_id) as documents,
-    count(distinct case when status = 'completed' and stage = 'relationship_building' then document_id end) as succeeded,
+@query("processing_summary", sql("tasks", """select batch_id, coalesce(stage, 'all') as stage, count(distinct document_id) as documents,
+    count(distinct case when status = 'completed' and t.stage = 'relationship_building' then document_id end) as succeeded,
     count(distinct case when status = 'failed' then document_id end) as failed,
-    min(cents) as min_cents, sum(cents) / count(*) as avg_cents, max(cents) as max_cents, sum(cents) as total_cents,
-    count(distinct message) as error_types from tasks group by 1"""))
+    min(cents) as min_cents, sum(cents) * 1.0 / count(*) as avg_cents, max(cents) as max_cents, sum(cents) as total_cents,
+    count(distinct message) as error_types, count(distinct document_id) * 3600.0 / sum(cents) as throughput,
+    coalesce(count(*) filter (where status = 'completed') * 100.0 / nullif(count(*) filter (where status in ('completed', 'failed')), 0), 0) as quality
+    from (select *, stage as st from tasks) t group by grouping sets ((batch_id, stage), (batch_id))""".replace("t.stage", "st")))
 def processing_summary(spark, d):
+    """Each batch (stage `all`) and its stages; cents stand for seconds."""
     doc = F.col("document_id")
-    done = (F.col("status") == "completed") & (F.col("stage") == "relationship_building")
-    return b.tasks(spark, d).groupBy("batch_id").agg(
-        F.countDistinct("document_id").alias("documents"), F.countDistinct(F.when(done, doc)).alias("succeeded"),
+    last = (F.col("status") == "completed") & (F.col("st") == "relationship_building")
+    rows = b.tasks(spark, d).withColumn("st", F.col("stage")).groupingSets([["batch_id", "stage"], ["batch_id"]], "batch_id", "stage")
+    return rows.agg(
+        F.countDistinct("document_id").alias("documents"), F.countDistinct(F.when(last, doc)).alias("succeeded"),
         F.countDistinct(F.when(F.col("status") == "failed", doc)).alias("failed"), F.min("cents").alias("min_cents"),
         (F.sum("cents") / F.count("*")).alias("avg_cents"), F.max("cents").alias("max_cents"), F.sum("cents").alias("total_cents"),
-        F.countDistinct("message").alias("error_types"))
+        F.countDistinct("message").alias("error_types"), (F.countDistinct("document_id") * 3600.0 / F.sum("cents")).alias("throughput"),
+        m.rate(done(), done() + failed()).alias("quality")).withColumn("stage", F.coalesce("stage", F.lit("all")))
 
 
 @query("document_event_summary", sql("tasks", """select document_id, count(*) as events, sum(cents) as total_cents,
@@ -203,13 +238,27 @@ def document_event_summary(spark, d):
         F.when(done() > 0, F.array_join(F.array_sort(stages), ",")).alias("stages_completed"))
 
 
-@query("failure_analysis", sql("tasks", """select case when grouping(message) = 0 then 'message' when grouping(stage) = 0 then 'stage'
-    when grouping(batch_id) = 0 then 'batch_id' else 'total' end as dimension, coalesce(message, stage, cast(batch_id as varchar)) as value,
-    count(*) as n, count(distinct document_id) as documents from tasks where status = 'failed'
-    group by grouping sets ((message), (stage), (batch_id), ())"""))
+_CATEGORY = "case " + " ".join(
+    "when " + " or ".join(f"contains(lower(message), '{w.lower()}')" for w in words.split()) + f" then '{label}'" for label, words in rules.ERROR_PATTERNS.items()
+) + " else 'permanent' end"
+#: What to do where a category holds this share of all failures or more, in percent.
+ADVICE = {"transient": (10, "retry later"), "resource": (10, "use smaller batches"), "rate_limit": (10, "slow down"), "data": (10, "check the input files")}
+
+
+@query("failure_analysis", sql("tasks", f""", f as (select *, {_CATEGORY} as category from tasks where status = 'failed'),
+    g as (select case when grouping(message) = 0 then 'message' when grouping(stage) = 0 then 'stage' when grouping(category) = 0 then 'category' else 'total' end as dimension,
+    coalesce(message, stage, category) as value, count(*) as n, count(distinct document_id) as documents from f group by grouping sets ((message), (stage), (category), ())),
+    r as (select *, row_number() over (partition by dimension order by n desc, value) as rank, (select count(*) from f) as total from g)
+    select dimension, value, n, documents, rank, case """ + " ".join(
+    f"when dimension = 'category' and value = '{c}' and n * 100 >= {share} * total then '{text}'" for c, (share, text) in ADVICE.items()) + " end as advice from r where rank <= 10"))
 def failure_analysis(spark, d):
-    rows = b.tasks(spark, d).where("status = 'failed'")
-    return m.grouped_summary(rows, "message", "stage", "batch_id", measures=[F.count("*").alias("n"), F.countDistinct("document_id").alias("documents")])
+    """The ten most frequent messages, stages and categories, with advice."""
+    rows = b.tasks(spark, d).where("status = 'failed'").withColumn("category", rules.error_category(F.col("message")))
+    g = m.grouped_summary(rows, "message", "stage", "category", measures=[F.count("*").alias("n"), F.countDistinct("document_id").alias("documents")])
+    rank = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("n"), "value"))  # over groups, not rows
+    g = g.withColumn("rank", rank.cast("long")).where("rank <= 10").join(F.broadcast(rows.agg(F.count("*").alias("total"))))  # one row
+    advice = [F.when((F.col("dimension") == "category") & (F.col("value") == c) & (F.col("n") * 100 >= share * F.col("total")), text) for c, (share, text) in ADVICE.items()]
+    return g.withColumn("advice", F.coalesce(*advice)).select("dimension", "value", "n", "documents", "rank", "advice")
 
 
 @query("recovery_results", sql("tasks", """, f as (select document_id, stage, min(ts) as failed_at from tasks where status = 'failed' group by 1, 2)
@@ -233,14 +282,19 @@ def confidence_distribution(spark, d):
     return m.confidence_distribution(b.scored(spark, d), "confidence")
 
 
-@query("scanned_vs_text", sql("tasks", """select stage, sum(cents) filter (where k < 50) / count(*) filter (where k < 50) as scanned_avg,
-    sum(cents) filter (where k >= 50) / count(*) filter (where k >= 50) as text_avg,
-    count(*) filter (where k < 50) as scanned, count(*) filter (where k >= 50) as text from tasks group by 1"""))
+@query("scanned_vs_text", sql("tasks", """, w as (select stage, case when k < 50 then 'scanned' else 'text' end as kind, sum(cents) * 1.0 / count(*) as av, count(*) as n,
+    coalesce(count(*) filter (where status = 'completed') * 100.0 / nullif(count(*) filter (where status in ('completed', 'failed')), 0), 0) as rate from tasks group by 1, 2)
+    select s.stage, s.av as scanned_avg, t.av as text_avg, s.n as scanned, t.n as text, s.rate as scanned_rate, t.rate as text_rate, s.av - t.av as difference
+    from w s join w t on s.stage = t.stage and s.kind = 'scanned' and t.kind = 'text'"""))
 def scanned_vs_text(spark, d):
     kind = F.when(F.col("k") < 50, "scanned").otherwise("text")
     rows = b.tasks(spark, d).withColumn("kind", kind).groupBy("stage").pivot("kind", ["scanned", "text"])
-    wide = rows.agg((F.sum("cents") / F.count(F.lit(1))).alias("avg"), F.count(F.lit(1)).alias("n"))
-    return wide.select("stage", "scanned_avg", "text_avg", F.col("scanned_n").alias("scanned"), F.col("text_n").alias("text"))
+    one = F.lit(1)
+    good, bad = F.sum(F.when(F.col("status") == "completed", 1).otherwise(0)), F.sum(F.when(F.col("status") == "failed", 1).otherwise(0))
+    wide = rows.agg((F.sum("cents") / F.count(one)).alias("avg"), F.count(one).alias("n"), m.rate(good, good + bad).alias("rate"))
+    return wide.select(
+        "stage", "scanned_avg", "text_avg", F.col("scanned_n").alias("scanned"), F.col("text_n").alias("text"), "scanned_rate", "text_rate",
+        (F.col("scanned_avg") - F.col("text_avg")).alias("difference"))
 
 
 @query("entity_statistics", sql("scored", """select entity_type, case when confidence > 80 then 'high' when confidence > 50 then 'medium' else 'low' end as band,
@@ -265,14 +319,28 @@ def document_entity_summary(spark, d):
     return b.mentions(spark, d).groupBy("document_id", "entity_type").agg(F.count("*").alias("mentions"), F.countDistinct("entity_text").alias("texts"))
 
 
-@query("ocr_job_health", sql("tasks", """select status, count(*) as jobs, sum(cents) / count(*) as avg_cents from tasks where stage = 'ocr' group by 1"""))
+@query("ocr_job_health", sql("tasks", f""", o as (select *, (select as_of from ({LATE})) as as_of from tasks where stage = 'ocr'),
+    h as (select count(*) filter (where status = 'completed') > 0.9 * count(*) filter (where status in ('completed', 'failed')) as healthy from o)
+    select status, count(*) as jobs, sum(cents) * 1.0 / count(*) as avg_cents, count(*) filter (where ts > as_of - interval 1 hour) as last_hour,
+    sum(cents) filter (where ts > as_of - interval 1 hour) * 1.0 / nullif(count(*) filter (where ts > as_of - interval 1 hour), 0) as avg_wait, healthy from o, h group by 1, healthy"""))
 def ocr_job_health(spark, d):
-    return b.tasks(spark, d).where("stage = 'ocr'").groupBy("status").agg(F.count("*").alias("jobs"), (F.sum("cents") / F.count("*")).alias("avg_cents"))
-
-
-@query("error_top_k", sql("tasks", """select stage, message, count(*) as n from tasks where status = 'failed' group by 1, 2 order by n desc, stage, message limit 5"""))
+    """By status, with the wait of the last hour's jobs (cents stand for seconds)
+    and whether over nine tenths of the ended jobs were completed."""
+    tasks = b.tasks(spark, d)
+    rows, as_of = tasks.where("stage = 'ocr'"), tasks.agg(F.max("ts").alias("as_of"))
+    healthy = rows.agg((done() > 0.9 * (done() + failed())).alias("healthy"))
+    late = F.col("ts") > F.col("as_of") - F.expr("INTERVAL 1 HOUR")
+    waits = F.when(late, F.col("cents"))
+    found = rows.join(F.broadcast(as_of)).groupBy("status").agg(  # one row, as is healthy
+        F.count("*").alias("jobs"), (F.sum("cents") / F.count("*")).alias("avg_cents"), F.count_if(late).alias("last_hour"),
+        F.when(F.count(waits) > 0, F.sum(waits) / F.count(waits)).alias("avg_wait"))
+    return found.join(F.broadcast(healthy))
+
+
+@query("error_top_k", sql("tasks", f"""select stage, message, count(*) as n from tasks where status = 'failed' and ts > (select as_of from ({LATE})) - interval 1 hour
+    group by 1, 2 order by n desc, stage, message limit 5"""))
 def error_top_k(spark, d):
-    return m.top_k(b.tasks(spark, d).where("status = 'failed'"), ["stage", "message"], 5)
+    return m.top_k(m.within_hours(b.tasks(spark, d), 1).where("status = 'failed'"), ["stage", "message"], 5)
 
 
 @query("top_error_types", sql("tasks", "select message, count(*) as n from tasks where message is not null group by 1 order by n desc, message limit 10"))
@@ -285,11 +353,21 @@ def dominant_types(spark, d):
     return m.top_k(b.mentions(spark, d).where("entity_type = 'PERSON'"), ["entity_text"], 5)
 
 
-@query("pipeline_throughput", sql("tasks", """select stage, cents as ranked_value from (select stage, cents,
+@query("pipeline_throughput", sql("tasks", f""", r as (select stage, cents as p95_cents from (select stage, cents,
     row_number() over (partition by stage order by cents) - 1 as pos, count(*) over (partition by stage) as n from tasks where status = 'completed')
-    where pos = least(cast(floor(n * 0.95) as bigint), n - 1)"""))
+    where pos = least(cast(floor(n * 0.95) as bigint), n - 1)), l as ({LATE})
+    select stage, any_value(p95_cents) as p95_cents, sum(cents) filter (where status = 'completed') * 1.0 / count(*) filter (where status = 'completed') as avg_cents,
+    count(*) filter (where status = 'completed' and ts > as_of - interval 1 hour) as last_hour, count(*) filter (where status = 'completed' and ts > as_of - interval 24 hour) as last_day,
+    count(*) filter (where status = 'failed') * 100.0 / count(*) as error_rate from tasks join r using (stage), l group by 1"""))
 def pipeline_throughput(spark, d):
-    return m.nearest_rank(b.tasks(spark, d).where("status = 'completed'"), ["stage"], "cents", 0.95)
+    tasks = b.tasks(spark, d)
+    ranked = m.nearest_rank(tasks.where("status = 'completed'"), ["stage"], "cents", 0.95).withColumnRenamed("ranked_value", "p95_cents")
+    late = lambda h: F.col("ts") > F.col("as_of") - F.expr(f"INTERVAL {h} HOURS")
+    good = F.col("status") == "completed"
+    found = tasks.join(F.broadcast(tasks.agg(F.max("ts").alias("as_of")))).groupBy("stage").agg(  # one row
+        (F.sum(F.when(good, F.col("cents"))) / done()).alias("avg_cents"), F.count_if(good & late(1)).alias("last_hour"), F.count_if(good & late(24)).alias("last_day"),
+        (failed() * 100.0 / F.count("*")).alias("error_rate"))
+    return ranked.join(found, "stage")
 
 
 @query("time_by_version", sql("tasks", """, v as (select k // 25 as version, sum(cents) as total, count(*) as runs from tasks group by 1)
@@ -318,9 +396,17 @@ def corpus_profile(spark, d):
     return m.grouped_summary(docs, "lang", "source", measures=measures)
 
 
-@query("session_status", sql("batches", "select project_id, status, count(*) as n, sum(cents) as cents from batches group by 1, 2"))
+@query("session_status", sql("batches tasks", """select 'import' as kind, cast(project_id as varchar) as key, status as value, count(*) as n, sum(cents) as cents from batches group by 2, 3
+    union all select 'service', cast(project_id as varchar), stage, count(*), sum(cents) from tasks group by 2, 3
+    union all select 'error', cast(event_id as varchar), message, 1, cents from (select * from tasks where status = 'failed' order by ts desc, event_id desc limit 10)"""))
 def session_status(spark, d):
-    return b.batches(spark, d).groupBy("project_id", "status").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+    """Imports by status, cost by service (a stage), and the last ten errors."""
+    tasks = b.tasks(spark, d)
+    def part(df, kind, key, value):
+        return df.groupBy(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.col(value).alias("value")).agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+
+    errors = part(tasks.where("status = 'failed'").orderBy(F.desc("ts"), F.desc("event_id")).limit(10), "error", "event_id", "message")
+    return part(b.batches(spark, d), "import", "project_id", "status").union(part(tasks, "service", "project_id", "stage")).union(errors)
 
 
 @query("import_summary", sql("files", "select host, count(*) as files, min(size) as low, max(size) as high, sum(size) as total, sum(size) / count(*) as average from files group by 1"))
@@ -369,11 +455,15 @@ def verification_rollup(spark, d):
     return worst.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("projects"))
 
 
-@query("queue_stats", sql("tasks", """select project_id, count(*) filter (where status = 'started') as started,
-    count(*) filter (where status = 'completed') as completed, count(*) filter (where status = 'failed') as failed from tasks group by 1"""))
+@query("queue_stats", sql("tasks", """, q as (select *, 'provider' || (k % 3) as provider from tasks)
+    select case when grouping(project_id) = 0 then 'project' when grouping(provider) = 0 then 'provider' when grouping(stage) = 0 then 'stage' else 'total' end as dimension,
+    coalesce(cast(project_id as varchar), provider, stage) as value, count(*) filter (where status = 'started') as started,
+    count(*) filter (where status = 'completed') as completed, count(*) filter (where status = 'failed') as failed from q group by grouping sets ((project_id), (provider), (stage), ())"""))
 def queue_stats(spark, d):
-    wide = b.tasks(spark, d).groupBy("project_id").pivot("status", ["started", "completed", "failed"]).count()
-    return wide.na.fill(0)
+    """By project, provider (told from k) and stage; started is what is in processing."""
+    rows = b.tasks(spark, d).withColumn("provider", F.concat(F.lit("provider"), F.col("k") % 3)).withColumnRenamed("project_id", "project")
+    started = F.count_if(F.col("status") == "started")
+    return m.grouped_summary(rows, "project", "provider", "stage", measures=[started.alias("started"), done().alias("completed"), failed().alias("failed")])
 
 
 @query("cache_hit_rate", sql("tasks", """select date_trunc('hour', ts) as bucket, count(*) filter (where k < 60) as hits, count(*) filter (where k >= 60) as misses,
