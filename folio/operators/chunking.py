@@ -57,21 +57,27 @@ def chunk_quality(chunks: DataFrame) -> DataFrame:
         F.max("size").alias("max_size"),
         F.sum(F.col("size") * F.col("size")).alias("squares"),
         F.max("char_end").alias("text_size"),
+        (F.sum("size") / F.count("*")).alias("avg_size"),
+        F.count_if(F.length(F.trim("chunk_text")) == 0).alias("empty_chunks"),
         F.count_if(F.col("size") < 50).alias("small_chunks"),
         F.count_if(ends_mid_sentence(F.col("chunk_text"))).alias("mid_sentence"),
         F.count_if(F.col("gap") < 0).alias("overlapping"),
+        F.sum(F.greatest(-F.coalesce("gap", F.lit(0)), F.lit(0))).alias("shared"),
     )
     # standard deviation over half the mean, in whole numbers: n*S2 - S^2 > S^2 / 4
     uneven = F.col("chunk_count") * F.col("squares") - F.col("total_size") ** 2 > F.col("total_size") ** 2 / 4
+    spread = F.sqrt(F.greatest(F.col("chunk_count") * F.col("squares") - F.col("total_size") * F.col("total_size"), F.lit(0))) / F.col("chunk_count")
     issues = F.array_compact(
         F.array(
+            F.when(F.col("empty_chunks") > 0, "empty"),
             F.when(F.col("small_chunks") > 0, "small"),
             F.when(F.col("mid_sentence") > 0, "mid_sentence"),
             F.when(F.col("overlapping") > 0, "overlap"),
             F.when(uneven, "uneven"),
         )
     )
-    return stats.withColumn("issues", F.array_join(issues, ",")).drop("squares")
+    covered = (F.col("total_size") - F.col("shared")) / F.col("text_size")
+    return stats.withColumns({"issues": F.array_join(issues, ","), "std_size": spread, "coverage": covered}).drop("squares", "shared")
 
 
 def chunk_quality_score(quality: DataFrame) -> DataFrame:

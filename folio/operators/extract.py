@@ -11,17 +11,63 @@ from folio.functions import text as t
 from folio.operators.chunking import chunk_fixed
 
 
-def enrich_chunks(chunks: DataFrame) -> DataFrame:
-    n = lambda p: F.regexp_count("chunk_text", F.lit(p))
-    chunk_id = F.concat(F.lit("doc"), "document_id", F.lit("_chunk_"), F.lpad(F.col("chunk_index").cast("string"), 4, "0"))
-    return chunks.select("document_id", "chunk_index", n(r"[^ \t\n]+").alias("words"), n("[.!?]").alias("sentences"), n("[0-9]{4,}").alias("numbers"), chunk_id.alias("chunk_id"))
+#: Patterns of legal elements, by kind.
+ELEMENTS = {
+    "citations": (
+        r"\d+\s+[A-Z][a-z]+\.?\s*\d+d?\s+\d+(?:\s*\([^)]+\))?",
+        r"\d+\s+U\.S\.C\.\s*§\s*\d+\w*",
+        r"Fed\.\s*R\.\s*[A-Z][a-z]+\.\s*P\.\s*\d+(?:\([a-z]\))?",
+        r"[A-Z][a-z]+\s+v\.\s+[A-Z][a-z]+(?:,\s*\d+\s+[A-Z][a-z]+\.?\s*\d+)?",
+    ),
+    "dates": (
+        r"\b\d{1,2}/\d{1,2}/\d{2,4}\b",
+        r"\b\d{1,2}-\d{1,2}-\d{2,4}\b",
+        r"(?i)\b(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d{4}\b",
+        r"(?i)\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\.?\s+\d{1,2},?\s+\d{4}\b",
+    ),
+    "money": (r"(?i)\$[\d,]+(?:\.\d{2})?", r"(?i)\b\d+(?:,\d{3})*(?:\.\d{2})?\s*(?:dollars?|USD)\b"),
+    "sections": (r"(?i)(?:Section|Sec\.|§)\s*\d+(?:\.\d+)*", r"(?i)(?:Article|Art\.)\s*\d+", r"(?i)(?:Paragraph|Para\.)\s*\d+", r"(?i)Clause\s*\d+(?:\.\d+)*"),
+    "parties": (r"(?:Plaintiff|Defendant|Petitioner|Respondent|Appellant|Appellee),?\s+[A-Z][a-zA-Z\s]+?(?:,|\s+(?:moves|respectfully|hereby))",),
+}
+#: Words whose share counts as legal density.
+LEGAL_TERMS = ("whereas", "therefore", "hereby", "pursuant", "notwithstanding", "herein", "thereof", "hereunder", "foregoing")
+WORD = r"[^ \t\n\r\f\x0B]+"
 
 
-def document_structure(docs: DataFrame) -> DataFrame:
+def enrich_chunks(chunks: DataFrame) -> DataFrame:
+    """Counts of legal elements, words and sentences, a density from 0 to 1 (by
+    citations and dates in a hundred words, sentence length and legal terms),
+    and the chunk's id."""
+    text = F.col("chunk_text")
+    count = lambda patterns: sum((F.regexp_count(text, F.lit(p)) for p in patterns[1:]), F.regexp_count(text, F.lit(patterns[0])))
+    rows = chunks.select(
+        "document_id", "chunk_index", *[count(patterns).alias(kind) for kind, patterns in ELEMENTS.items()],
+        F.regexp_count(text, F.lit(WORD)).alias("words"), F.regexp_count(text, F.lit("[.!?]")).alias("sentences"),
+        F.size(F.filter(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w).isin(*LEGAL_TERMS))).alias("terms"))
+    words, size = F.col("words"), F.greatest("words", F.lit(1))
+    length = F.when(F.col("sentences") > 0, words / F.greatest("sentences", F.lit(1))).otherwise(words)
+    density = F.col("citations") * 100 / size * 0.3 + F.col("dates") * 100 / size * 0.1 + F.when(length > 15, 1.0).otherwise(0.5) * 0.3 + F.col("terms") / size * 0.3
+    chunk_id = F.format_string("doc%d_chunk_%04d", "document_id", "chunk_index")
+    return rows.withColumn("density", F.least(F.lit(1.0), density)).withColumn("chunk_id", chunk_id).drop("terms")
+
+
+#: Words in a line that tell a document's type.
+LINE_TYPES = {"MOTION": "motion", "COMPLAINT": "complaint", "MEMORANDUM": "memorandum", "AFFIDAVIT": "affidavit", "CONTRACT": "contract", "AGREEMENT": "contract"}
+PAGE_END = "<END_OF_PAGE>"
+
+
+def document_structure(docs: DataFrame, first: int = 100) -> DataFrame:
+    """Kinds of numbered lines and the likely type among the first lines (the
+    last line that tells one decides), pages, lines, words and tokens."""
     text = F.col("text")
+    lines = F.transform(F.slice(F.split(text, "\n"), 1, first), t.strip)
+    has = lambda p: F.exists(lines, lambda v: v.rlike(p))
+    kind = lambda v: F.coalesce(*[F.when(F.upper(v).contains(word), name) for word, name in LINE_TYPES.items()])
+    kinds = F.array_compact(F.transform(lines, kind))
     return docs.select(
         "doc_id", F.size(F.split(text, "\n")).alias("lines"), F.regexp_count(text, F.lit(r"[^ \t\n]+")).alias("words"), F.floor(F.length(text) / 4).alias("tokens"),
-        text.rlike(r"(^|\n)[0-9]+\.").alias("numbered"), text.contains("| ").alias("tabular"))
+        has(r"^\d+\.\s+").alias("numbered"), has(r"^[IVX]+\.\s+").alias("roman"), has(r"^[a-z]\.\s+").alias("lettered"),
+        (F.regexp_count(text, F.lit(PAGE_END)) + 1).alias("pages"), F.coalesce(F.try_element_at(kinds, F.lit(-1)), F.lit("unknown")).alias("likely_type"))
 
 
 def merge_small(parts: Column, least: int = 100) -> Column:
@@ -127,14 +173,42 @@ def rule_entities(chunks: DataFrame, rules: dict = RULES) -> DataFrame:
     return chunks.select("document_id", "chunk_index", F.inline(F.concat(*kinds)))
 
 
-def proper_nouns(chunks: DataFrame, first: int = 10) -> DataFrame:
-    words = chunks.where(F.col("chunk_index") < first).select("document_id", F.explode(F.regexp_extract_all("chunk_text", F.lit(r"\b[A-Z][a-z]{2,}"), F.lit(0))).alias("w"))
-    return words.groupBy("document_id").agg(F.countDistinct("w").alias("nouns"), F.min("w").alias("first_noun"))
+def proper_nouns(chunks: DataFrame, first: int = 10, most: int = 20) -> DataFrame:
+    """document_id, nouns: the first `most` different names in the first chunks.
+
+    A name is a capitalised word of more than two letters; one that follows a
+    capitalised word is added to the name before it, if there is one.
+    """
+    words = F.regexp_extract_all("chunk_text", F.lit(WORD), F.lit(0))
+    upper = lambda w: w.rlike(r"^\p{Lu}")
+    begin = F.struct(F.array().cast("array<string>").alias("names"), F.lit(False).alias("after"))
+
+    def step(state: Column, word: Column) -> Column:
+        names, n = state["names"], F.size(state["names"])
+        last = F.concat_ws(" ", F.try_element_at(names, F.lit(-1)), word)
+        joined = F.concat(F.slice(names, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(last))
+        grown = F.when(state["after"] & (n > 0), joined).otherwise(F.concat(names, F.array(word)))
+        return F.struct(F.when(upper(word) & (F.length(word) > 2), grown).otherwise(names).alias("names"), upper(word).alias("after"))
+
+    rows = chunks.where(F.col("chunk_index") < first).select("document_id", "chunk_index", F.aggregate(words, begin, step, lambda s: s["names"]).alias("names"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "names"))), lambda v: v["names"])
+    return rows.groupBy("document_id").agg(F.slice(F.array_distinct(F.flatten(ordered)), 1, most).alias("nouns"))
+
+
+#: Categories, the first whose pattern a lower-cased text holds.
+CATEGORIES = {
+    "contract": r"\bagreement\b|\bcontract\b|\bparties\b.*\bagree\b",
+    "affidavit": r"\baffidavit\b|\bsworn\b.*\bstatement\b|\bnotary\b",
+    "correspondence": r"\bletter\b|\bcorrespondence\b|\bear\s+sir\b|\bdear\s+madam\b",
+    "exhibit": r"\bexhibit\b|\bannex\b|\battachment\b",
+    "deposition": r"\bdeposition\b|\btestimony\b|\bwitness\b",
+    "legal_filing": r"\bmotion\b|\bplaintiff\b|\bdefendant\b|\bcourt\b",
+    "financial": r"\binvoice\b|\bpayment\b|\bamount\b|\btotal\b",
+}
 
 
 def category(text: Column) -> Column:
-    return (F.when(F.lower(text).rlike("licen[sc]e"), "license").when(text.rlike(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"), "network")
-            .when(text.contains("@"), "contact").when(text.contains("| "), "table").when(text.contains("!!"), "notice").otherwise("document"))
+    return F.coalesce(*[F.when(F.lower(text).rlike(p), name) for name, p in CATEGORIES.items()], F.lit("document"))
 
 
 #: Fact patterns.
@@ -150,29 +224,48 @@ def key_facts(docs: DataFrame, most: int = 10) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.slice(found, 1, most)).alias("position", "f")).select("doc_id", "position", "f.*")
 
 
+#: Anomalies of recognised texts and their severity.
+SEVERITY = {
+    "empty": "critical", "short": "high", "low_confidence": "high", "medium_confidence": "medium", "repeated": "medium",
+    "non_printable": "medium", "long_lines": "low", "few_letters": "medium",
+}
+LEAST_CONFIDENCE, LEAST_TEXT, MOST_ANOMALIES = 70, 50, 3
+
+
 def text_anomalies(docs: DataFrame) -> DataFrame:
-    """doc_id, size, anomalies: what looks wrong with a recognised text."""
-    text, n = F.col("text"), F.length("text")
+    """docs(doc_id, text, confidence, scanned) with size and anomalies: what
+    looks wrong with a recognised text, by name and severity."""
+    text, n, solid = F.col("text"), F.length("text"), F.length(t.strip(F.col("text")))
     lines = F.split(text, "\n")
     count = lambda p: F.regexp_count(text, F.lit(p))
+    sure = F.col("confidence")
     marks = {
-        "empty": F.length(F.trim(text)) == 0,
-        "short": n < 50,
-        "repeated": text.rlike(r"([^\s])\1{5,}"),
-        "non_printable": count(r"[^ -~\n\t]") * 20 > n,
+        "empty": solid == 0,
+        "short": (solid > 0) & (solid < LEAST_TEXT),
+        "low_confidence": sure < 50,
+        "medium_confidence": (sure >= 50) & (sure < LEAST_CONFIDENCE),
+        "repeated": text.rlike(r"([^\n])\1{5,}"),
+        "non_printable": count(r"[^\x20-\x7E\n\r\t]") * 20 > n,
         "long_lines": F.size(F.filter(lines, lambda v: F.length(v) > 500)) * 10 > F.size(lines),
-        "few_letters": count("[A-Za-z]") * 10 < 3 * n,
+        "few_letters": count(r"\p{L}") * 10 < 3 * n,
     }
-    return docs.select("doc_id", n.alias("size"), F.array_compact(F.array(*[F.when(mark, F.lit(name)) for name, mark in marks.items()])).alias("anomalies"))
+    found = F.array(*[F.when(mark, F.struct(F.lit(k).alias("name"), F.lit(SEVERITY[k]).alias("severity"))) for k, mark in marks.items()])
+    return docs.select("doc_id", "confidence", "scanned", n.alias("size"), F.array_compact(found).alias("anomalies"))
 
 
 def quality_scores(marked: DataFrame) -> DataFrame:
-    """Score of 100 less 10 for each anomaly, 20 for short and 50 for empty texts."""
-    a = F.col("anomalies")
-    has = lambda x: F.array_contains(a, x)
-    score = 100 - 10 * F.size(a) - F.when(has("short"), 20).otherwise(0) - F.when(has("empty"), 50).otherwise(0)
-    advice = F.array_compact(F.array(F.when(has("short") | has("empty"), "scan again"), F.when(has("non_printable"), "check the encoding"), F.when(has("repeated"), "remove artefacts")))
-    return marked.withColumn("score", F.greatest(F.lit(0), score)).withColumn("passed", F.col("score") >= 70).withColumn("advice", advice)
+    """Score from 0 to 100, whether the text passes, and advice."""
+    n, size, sure = F.size("anomalies"), F.col("size"), F.col("confidence")
+    brief = F.when(size < LEAST_TEXT, 30).when(size < 200, 15).otherwise(0)
+    doubt = F.when(sure < 50, 40).when(sure < LEAST_CONFIDENCE, 20).when(sure < 90, 10).otherwise(0)
+    score = 100 - brief - doubt - 10 * n - F.when(F.col("scanned"), 5).otherwise(0)
+    grave = F.exists("anomalies", lambda a: a["severity"].isin("high", "critical"))
+    advice = F.array_compact(F.array(
+        F.when(size < LEAST_TEXT, "verify the content"), F.when(sure < LEAST_CONFIDENCE, "try another method"), F.when(grave, "review by hand"),
+        F.when(F.col("scanned") & (sure < 80), "enhance the image"), F.when(n > MOST_ANOMALIES, "review the process")))
+    passed = ~F.array_contains(F.transform("anomalies", lambda a: a["name"]), "empty") & (sure >= LEAST_CONFIDENCE) & (size >= LEAST_TEXT) & ~grave
+    return marked.withColumns({
+        "score": F.least(F.lit(100), F.greatest(F.lit(0), score)), "passed": passed, "advice": F.when(F.size(advice) > 0, advice).otherwise(F.array(F.lit("successful")))})
 
 
 def semantic_names(files: DataFrame) -> DataFrame:

@@ -24,12 +24,14 @@ def chunk_fixed(spark, d):
 
 _QUALITY = """, r as (select *, length(chunk_text) as size, lead(char_start) over (partition by document_id order by chunk_index) - char_end as gap from chunks),
     s as (select document_id, count(*) as chunk_count, sum(size) as total_size, min(size) as min_size, max(size) as max_size, sum(size * size) as squares, max(char_end) as text_size,
+    sum(size) * 1.0 / count(*) as avg_size, count(*) filter (where length(trim(chunk_text)) = 0) as empty_chunks, sum(greatest(-coalesce(gap, 0), 0)) as shared,
     count(*) filter (where size < 50) as small_chunks, count(*) filter (where not regexp_matches(rtrim(chunk_text), '[.!?:;"'')\\]]\\z')) as mid_sentence,
     count(*) filter (where gap < 0) as overlapping from r group by 1)"""
 
 
-@query("chunk_quality", sql("chunks", _QUALITY + """ select document_id, chunk_count, total_size, min_size, max_size, text_size, small_chunks, mid_sentence, overlapping,
-    array_to_string(list_filter([case when small_chunks > 0 then 'small' end, case when mid_sentence > 0 then 'mid_sentence' end, case when overlapping > 0 then 'overlap' end,
+@query("chunk_quality", sql("chunks", _QUALITY + """ select document_id, chunk_count, total_size, min_size, max_size, text_size, avg_size, empty_chunks, small_chunks, mid_sentence, overlapping,
+    sqrt(greatest(chunk_count * squares - total_size * total_size, 0)) / chunk_count as std_size, (total_size - shared) * 1.0 / text_size as coverage,
+    array_to_string(list_filter([case when empty_chunks > 0 then 'empty' end, case when small_chunks > 0 then 'small' end, case when mid_sentence > 0 then 'mid_sentence' end, case when overlapping > 0 then 'overlap' end,
     case when chunk_count * squares - total_size * total_size > total_size * total_size / 4.0 then 'uneven' end], lambda v: v is not null), ',') as issues from s"""))
 def chunk_quality(spark, d):
     return c.chunk_quality(b.chunks(spark, d))
@@ -40,14 +42,30 @@ def chunk_quality_score(spark, d):
     return c.chunk_quality_score(c.chunk_quality(b.chunks(spark, d)))
 
 
-@query("chunk_enrich", sql("chunks", """select document_id, chunk_index, len(regexp_extract_all(chunk_text, '[^ \\t\\n]+')) as words, len(regexp_extract_all(chunk_text, '[.!?]')) as sentences,
-    len(regexp_extract_all(chunk_text, '[0-9]{4,}')) as numbers, 'doc' || document_id || '_chunk_' || lpad(cast(chunk_index as varchar), 4, '0') as chunk_id from chunks"""))
+def _matches(column: str, patterns) -> str:
+    return " + ".join(f"len(regexp_extract_all({column}, '{p}'))" for p in patterns)
+
+
+_COUNTED = ", ".join(f"{_matches('chunk_text', patterns)} as {kind}" for kind, patterns in x.ELEMENTS.items())
+
+
+@query("chunk_enrich", sql("chunks", f""", e as (select document_id, chunk_index, {_COUNTED}, len(regexp_extract_all(chunk_text, '[^ \\t\\n\\r\\f\\x0B]+')) as words, len(regexp_extract_all(chunk_text, '[.!?]')) as sentences,
+    len(list_filter(regexp_extract_all(chunk_text, '[^ \\t\\n\\r\\f\\x0B]+'), lambda w: lower(w) in {x.LEGAL_TERMS})) as terms from chunks)
+    select * exclude (terms), least(1.0, citations * 100 / greatest(words, 1) * 0.3 + dates * 100 / greatest(words, 1) * 0.1
+    + case when case when sentences > 0 then words / sentences else words end > 15 then 1.0 else 0.5 end * 0.3 + terms / greatest(words, 1) * 0.3) as density,
+    'doc' || document_id || '_chunk_' || lpad(cast(chunk_index as varchar), 4, '0') as chunk_id from e"""))
 def chunk_enrich(spark, d):
     return x.enrich_chunks(b.chunks(spark, d))
 
 
-@query("document_structure", """select doc_id, len(string_split(text, chr(10))) as lines, len(regexp_extract_all(text, '[^ \\t\\n]+')) as words, length(text) // 4 as tokens,
-    regexp_matches(text, '(^|\\n)[0-9]+\\.') as numbered, regexp_matches(text, '\\| ') as tabular from documents""")
+_LINE_TYPE = "case " + " ".join(f"when contains(upper(v), '{w}') then '{k}'" for w, k in x.LINE_TYPES.items()) + " end"
+
+
+@query("document_structure", f"""with l as (select doc_id, text, list_transform(string_split(text, chr(10))[1:100], lambda v: regexp_replace(v, '^\\s+|\\s+$', '', 'g')) as v from documents),
+    k as (select *, list_filter(list_transform(v, lambda v: {_LINE_TYPE}), lambda y: y is not null) as kinds from l)
+    select doc_id, len(string_split(text, chr(10))) as lines, len(regexp_extract_all(text, '[^ \\t\\n]+')) as words, length(text) // 4 as tokens,
+    len(list_filter(v, lambda y: regexp_matches(y, '^\\d+\\.\\s+'))) > 0 as numbered, len(list_filter(v, lambda y: regexp_matches(y, '^[IVX]+\\.\\s+'))) > 0 as roman,
+    len(list_filter(v, lambda y: regexp_matches(y, '^[a-z]\\.\\s+'))) > 0 as lettered, len(string_split(text, '{x.PAGE_END}')) as pages, coalesce(kinds[-1], 'unknown') as likely_type from k""")
 def document_structure(spark, d):
     return x.document_structure(_docs(spark, d))
 
@@ -114,23 +132,40 @@ def semantic_name(spark, d):
     return x.semantic_names(b.files(spark, d))
 
 
-@query("ocr_anomalies", """select doc_id, array_to_string(list_filter([case when length(trim(text)) = 0 then 'empty' end, case when length(text) < 50 then 'short' end,
-    case when len(regexp_extract_all(text, '[^ -~\\n\\t]')) * 20 > length(text) then 'non_printable' end,
-    case when len(list_filter(string_split(text, chr(10)), lambda l: length(l) > 500)) * 10 > len(string_split(text, chr(10))) then 'long_lines' end,
-    case when len(regexp_extract_all(text, '[A-Za-z]')) * 10 < 3 * length(text) then 'few_letters' end], lambda v: v is not null), ',') as anomalies from documents""")
+#: A character six times, for an engine without back references: Latin letters and signs.
+_SIX = "|".join(f"\\x{{{i:X}}}{{6,}}" for i in (9, *range(0x20, 0x7F), *range(0xA1, 0x180)))
+_MARKED = f"""with d as (select doc_id, text, 40 + doc_id % 60 as confidence, doc_id % 3 = 0 as scanned, length(text) as size, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as solid from documents),
+    a as (select *, list_filter([case when length(solid) = 0 then ['empty', 'critical'] end, case when length(solid) between 1 and 49 then ['short', 'high'] end, case when confidence < 50 then ['low_confidence', 'high'] end,
+    case when confidence between 50 and 69 then ['medium_confidence', 'medium'] end, case when regexp_matches(text, '{_SIX}') then ['repeated', 'medium'] end,
+    case when len(regexp_extract_all(text, '[^ -~\\n\\r\\t]')) * 20 > length(text) then ['non_printable', 'medium'] end,
+    case when len(list_filter(string_split(text, chr(10)), lambda l: length(l) > 500)) * 10 > len(string_split(text, chr(10))) then ['long_lines', 'low'] end,
+    case when len(regexp_extract_all(text, '\\p{{L}}')) * 10 < 3 * length(text) then ['few_letters', 'medium'] end], lambda v: v is not null) as found from d),
+    g as (select *, len(found) as n, len(list_filter(found, lambda v: v[2] in ('high', 'critical'))) > 0 as grave from a),
+    s as (select *, least(100, greatest(0, 100 - case when size < 50 then 30 when size < 200 then 15 else 0 end - case when confidence < 50 then 40 when confidence < 70 then 20 when confidence < 90 then 10 else 0 end
+    - 10 * n - case when scanned then 5 else 0 end)) as score, length(solid) > 0 and confidence >= 70 and size >= 50 and not grave as passed,
+    list_filter([case when size < 50 then 'verify the content' end, case when confidence < 70 then 'try another method' end, case when grave then 'review by hand' end,
+    case when scanned and confidence < 80 then 'enhance the image' end, case when n > 3 then 'review the process' end], lambda v: v is not null) as advice from g)"""
+
+
+def _marked(spark, d):
+    """Texts with a confidence and a method told from their ids."""
+    docs = _docs(spark, d).select("doc_id", "text", (40 + F.col("doc_id") % 60).alias("confidence"), (F.col("doc_id") % 3 == 0).alias("scanned"))
+    return x.text_anomalies(docs)
+
+
+@query("ocr_anomalies", _MARKED + " select doc_id, array_to_string(list_transform(found, lambda v: v[1] || ':' || v[2]), ',') as anomalies from a")
 def ocr_anomalies(spark, d):
-    rows = x.text_anomalies(_docs(spark, d).select("doc_id", "text"))
-    return rows.select("doc_id", F.array_join(F.array_remove("anomalies", "repeated"), ",").alias("anomalies"))
+    return _marked(spark, d).select("doc_id", F.array_join(F.transform("anomalies", lambda a: F.concat_ws(":", a["name"], a["severity"])), ",").alias("anomalies"))
 
 
-@query("ocr_quality_score")
+@query("ocr_quality_score", _MARKED + " select doc_id, score from s")
 def ocr_quality_score(spark, d):
-    return x.quality_scores(x.text_anomalies(_docs(spark, d).select("doc_id", "text"))).select("doc_id", "score")
+    return x.quality_scores(_marked(spark, d)).select("doc_id", "score")
 
 
-@query("ocr_validation")
+@query("ocr_validation", _MARKED + " select doc_id, passed, array_to_string(case when len(advice) > 0 then advice else ['successful'] end, '; ') as advice from s")
 def ocr_validation(spark, d):
-    return x.quality_scores(x.text_anomalies(_docs(spark, d).select("doc_id", "text"))).select("doc_id", "passed", F.array_join("advice", "; ").alias("advice"))
+    return x.quality_scores(_marked(spark, d)).select("doc_id", "passed", F.array_join("advice", "; ").alias("advice"))
 
 
 @query("extract_rule_entities")
@@ -138,8 +173,7 @@ def extract_rule_entities(spark, d):
     return x.rule_entities(b.chunks(spark, d)).select("document_id", "chunk_index", "entity_type", "entity_text", "start", "stop", "confidence")
 
 
-@query("extract_proper_nouns", sql("chunks", """, w as (select document_id, unnest(regexp_extract_all(chunk_text, '\\b[A-Z][a-z]{2,}')) as w from chunks where chunk_index < 10)
-    select document_id, count(distinct w) as nouns, min(w) as first_noun from w group by 1"""))
+@query("extract_proper_nouns")
 def extract_proper_nouns(spark, d):
     return x.proper_nouns(b.chunks(spark, d))
 
@@ -165,10 +199,12 @@ def extract_key_facts(spark, d):
     return x.key_facts(_docs(spark, d).select("doc_id", "text"))
 
 
-@query("categorize_text", """select case when regexp_matches(lower(text), 'licen[sc]e') then 'license' when regexp_matches(text, '[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}') then 'network'
-    when regexp_matches(text, '@') then 'contact' when regexp_matches(text, '\\| ') then 'table' when regexp_matches(text, '!!') then 'notice' else 'document' end as category, count(*) as n from documents group by 1""")
+_CATEGORY = "case " + " ".join(f"when regexp_matches(lower(text), '{p}') then '{k}'" for k, p in x.CATEGORIES.items()) + " else 'document' end"
+
+
+@query("categorize_text", f"select doc_id, {_CATEGORY} as category from documents")
 def categorize_text(spark, d):
-    return m.counts_by(_docs(spark, d).select(x.category(F.col("text")).alias("category")), "category")
+    return _docs(spark, d).select("doc_id", x.category(F.col("text")).alias("category"))
 
 
 @query("category_keyword_matches", """with words as (select lang, unnest(['the', 'der', 'les', 'los']) as word, unnest(['en', 'de', 'fr', 'es']) as language, doc_id, text from documents),
@@ -189,26 +225,56 @@ def extraction_coverage_score(spark, d):
     return s.select("document_id", score.cast("long").alias("score"))
 
 
-@query("extraction_completeness", sql("scored", """select document_id, n, low, n - names as repeated, case when n >= 20 then 'rich' when n >= 5 then 'fair' else 'poor' end as label from (
-    select document_id, count(*) as n, count(*) filter (where confidence < 70) as low, count(distinct canonical_id) as names from scored group by 1)"""))
+_FOUND = """, f as (select document_id, count(*) as n, count(distinct entity_type) as types, sum(confidence) * 1.0 / count(*) as avg_confidence, count(*) filter (where confidence < 70) as low,
+    count(*) - count(distinct canonical_id) as repeated from scored group by 1),
+    v as (select *, 50 + least(20, n) + least(20, 5 * types) + least(10, n // 10) as coverage from f)"""
+
+
+@query("extraction_completeness", sql("scored", _FOUND + """ select document_id, n, types, avg_confidence, low, repeated, coverage, case when coverage >= 80 and avg_confidence >= 80 then 'excellent'
+    when coverage >= 60 and avg_confidence >= 70 then 'good' when coverage >= 40 and avg_confidence >= 60 then 'fair' when coverage >= 20 or avg_confidence >= 50 then 'poor' else 'very_poor' end as label from v"""))
 def extraction_completeness(spark, d):
-    s = b.scored(spark, d).groupBy("document_id").agg(F.count("*").alias("n"), F.count_if(F.col("confidence") < 70).alias("low"), F.countDistinct("canonical_id").alias("names"))
-    return s.select("document_id", "n", "low", (F.col("n") - F.col("names")).alias("repeated"), F.when(F.col("n") >= 20, "rich").when(F.col("n") >= 5, "fair").otherwise("poor").alias("label"))
+    f = b.scored(spark, d).groupBy("document_id").agg(
+        F.count("*").alias("n"), F.countDistinct("entity_type").alias("types"), (F.sum("confidence") / F.count("*")).alias("avg_confidence"), F.count_if(F.col("confidence") < 70).alias("low"),
+        (F.count("*") - F.countDistinct("canonical_id")).alias("repeated"))
+    coverage = 50 + F.least(F.lit(20), "n") + F.least(F.lit(20), 5 * F.col("types")) + F.least(F.lit(10), F.floor(F.col("n") / 10))
+    v, sure = f.withColumn("coverage", coverage.cast("long")), F.col("avg_confidence")
+    at = lambda c, k: (F.col("coverage") >= c) & (sure >= k)
+    label = F.when(at(80, 80), "excellent").when(at(60, 70), "good").when(at(40, 60), "fair").when((F.col("coverage") >= 20) | (sure >= 50), "poor").otherwise("very_poor")
+    return v.withColumn("label", label)
+
 
+_FACT = "|".join(x.FACTS[k] for k in ("allegation", "amount", "event"))
 
-@query("extraction_completeness_score", sql("scored", """select document_id, least(1.0, n / 20.0) * 0.4 + least(1.0, sure / 10.0) * 0.3 + least(1.0, types / 3.0) * 0.3 as score from (
-    select document_id, count(*) as n, count(*) filter (where confidence >= 80) as sure, count(distinct entity_type) as types from scored group by 1)"""))
+
+@query("extraction_completeness_score", sql("scored", f""", e as (select document_id, count(*) as entities, count(distinct canonical_id) as names from scored group by 1)
+    select doc_id, case when regexp_matches(text, '{_FACT}') or regexp_matches(text, '{x.FACTS["license"]}') then 0.3 else 0.0 end + case when coalesce(entities, 0) > 0 then 0.4 else 0.0 end
+    + case when coalesce(names, 0) > 1 then 0.2 else 0.0 end + case when {_CATEGORY} <> 'document' then 0.1 else 0.0 end as score from documents left join e on document_id = doc_id"""))
 def extraction_completeness_score(spark, d):
-    s = b.scored(spark, d).groupBy("document_id").agg(F.count("*").alias("n"), F.count_if(F.col("confidence") >= 80).alias("sure"), F.countDistinct("entity_type").alias("types"))
-    part = lambda c, k: F.least(F.lit(1.0), F.col(c) / k)
-    return s.select("document_id", (part("n", 20.0) * 0.4 + part("sure", 10.0) * 0.3 + part("types", 3.0) * 0.3).alias("score"))
+    """0.3 for facts, 0.4 for entities, 0.2 for relations (two entities that occur
+    together) and 0.1 for a known type."""
+    e = b.scored(spark, d).groupBy(F.col("document_id").alias("doc_id")).agg(F.count("*").alias("entities"), F.countDistinct("canonical_id").alias("names"))
+    rows = _docs(spark, d).join(e, "doc_id", "left")
+    text = F.col("text")
+    part = lambda on, value: F.when(on, value).otherwise(0.0)
+    facts = text.rlike(_FACT) | text.rlike(x.FACTS["license"])
+    score = part(facts, 0.3) + part(F.col("entities") > 0, 0.4) + part(F.col("names") > 1, 0.2) + part(x.category(text) != "document", 0.1)
+    return rows.select("doc_id", score.alias("score"))
 
 
-@query("resolution_accuracy", sql("scored", """, c as (select canonical_id, count(*) as n, count(distinct entity_text) as spellings from scored group by 1)
-    select count(*) as clusters, count(*) filter (where n > 1) as shared, sum(n) / count(*) as avg_size, count(*) filter (where spellings > 1) as varied from c"""))
+@query("resolution_accuracy", sql("scored", """, c as (select canonical_id, count(*) as n from scored where confidence >= 70 group by 1),
+    t as (select lower(entity_text) as name, count(distinct entity_type) as types from scored group by 1), r as (select count(*) filter (where confidence >= 70) * 100.0 / count(*) as resolved, count(*) as mentions from scored),
+    x as (select count(*) as clusters, count(*) filter (where n > 1) as shared, sum(n) * 1.0 / count(*) as avg_size from c), k as (select count(*) filter (where types > 1) as conflicts from t)
+    select resolved, clusters, shared, avg_size, conflicts, least(100.0, greatest(0.0, resolved + least(10, 2 * shared) - conflicts * 50.0 / mentions)) as score from r, x, k"""))
 def resolution_accuracy(spark, d):
-    c_ = b.scored(spark, d).groupBy("canonical_id").agg(F.count("*").alias("n"), F.countDistinct("entity_text").alias("spellings"))
-    return c_.agg(F.count("*").alias("clusters"), F.count_if(F.col("n") > 1).alias("shared"), (F.sum("n") / F.count("*")).alias("avg_size"), F.count_if(F.col("spellings") > 1).alias("varied"))
+    """Mentions of 70 or more confidence count as resolved; names of several types conflict."""
+    s = b.scored(spark, d)
+    sure = F.col("confidence") >= 70
+    r = s.agg((F.count_if(sure) * 100.0 / F.count("*")).alias("resolved"), F.count("*").alias("mentions"))
+    c_ = s.where(sure).groupBy("canonical_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("clusters"), F.count_if(F.col("n") > 1).alias("shared"), (F.sum("n") / F.count("*")).alias("avg_size"))
+    k = s.groupBy(F.lower("entity_text")).agg(F.countDistinct("entity_type").alias("types")).agg(F.count_if(F.col("types") > 1).alias("conflicts"))
+    score = F.col("resolved") + F.least(F.lit(10), 2 * F.col("shared")) - F.col("conflicts") * 50.0 / F.col("mentions")
+    return r.join(F.broadcast(c_)).join(F.broadcast(k)).select(  # one row each
+        "resolved", "clusters", "shared", "avg_size", "conflicts", F.least(F.lit(100.0), F.greatest(F.lit(0.0), score)).alias("score"))
 
 
 _CONSISTENT = """, c as (select document_id, max(char_end) as covered, count(*) as chunks from chunks group by 1), e as (select distinct document_id from mentions),
@@ -245,12 +311,14 @@ def document_fitness(spark, d):
     return _consistency(spark, d).groupBy(level.alias("fitness")).agg(F.count("*").alias("documents"))
 
 
-@query("stage_completion_rates", sql("tasks", """select stage, count(distinct document_id) filter (where status = 'completed') * 100.0 / (select count(distinct document_id) from tasks) as percent from tasks group by 1"""))
+@query("stage_completion_rates", sql("tasks", """, p as (select stage, count(distinct document_id) filter (where status = 'completed') * 100.0 / (select count(distinct document_id) from tasks) as percent from tasks group by 1)
+    select stage, percent, percent < 80 as bottleneck from p"""))
 def stage_completion_rates(spark, d):
     tasks = b.tasks(spark, d)
     total = tasks.agg(F.countDistinct("document_id").alias("total"))
     done = tasks.groupBy("stage").agg(F.countDistinct(F.when(F.col("status") == "completed", F.col("document_id"))).alias("n"))
-    return done.join(F.broadcast(total)).select("stage", (F.col("n") * 100.0 / F.col("total")).alias("percent"))  # one row
+    rows = done.join(F.broadcast(total)).select("stage", (F.col("n") * 100.0 / F.col("total")).alias("percent"))  # one row
+    return rows.withColumn("bottleneck", F.col("percent") < 80)
 
 
 @query("throughput_rating", sql("tasks", """, h as (select date_trunc('hour', ts) as hour, count(distinct document_id) as n from tasks where status = 'completed' group by 1)
