@@ -14,6 +14,31 @@ def is_generic(name: Column, terms: tuple[str, ...], most: int) -> Column:
     return reduce(lambda a, b: a + b, [name.contains(t).cast("int") for t in terms]) > most
 
 
+#: Document types and words that tell them, in order.
+DOC_TYPES = {
+    "complaint": ("complaint", "petition", "claim"),
+    "answer": ("answer", "response", "reply"),
+    "motion": ("motion", "move", "request"),
+    "brief": ("brief", "memorandum", "memo"),
+    "order": ("order", "ruling", "decision"),
+    "notice": ("notice", "notification"),
+    "subpoena": ("subpoena", "summons"),
+    "deposition": ("deposition", "depo", "testimony"),
+    "interrogatory": ("interrogatory", "interrogatories", "questions"),
+    "agreement": ("agreement", "contract", "deal"),
+    "amendment": ("amendment", "modification", "addendum"),
+    "invoice": ("invoice", "bill", "statement"),
+    "letter": ("letter", "correspondence", "communication"),
+}
+
+
+def doc_type(text: Column) -> Column:
+    """The first type any of whose words the text contains."""
+    low = F.lower(text)
+    hits = [F.when(reduce(lambda a, b: a | b, [low.contains(p) for p in patterns]), kind) for kind, patterns in DOC_TYPES.items()]
+    return F.coalesce(*hits, F.lit("document"))
+
+
 def naming_issues(files: DataFrame) -> DataFrame:
     """file_id and what is wrong with its name, collisions included."""
     safe, n = F.col("safe"), F.length("safe")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,36 +94,61 @@ def same_entity(a: str, b: str, kind: str) -> bool:
     return False
 
 
+def _letters(names: list[str]) -> np.ndarray:
+    """How often each letter stands in each name, in columns by letter."""
+    letters = {c: i for i, c in enumerate(sorted(set("".join(names))))}
+    out = np.zeros((len(names), max(len(letters), 1)), dtype=np.int16)
+    for row, name in zip(out, names):
+        for c in name:
+            row[letters[c]] += 1
+    return out
+
+
 def _groups(names: list[str], kind: str, threshold: float, rules: bool) -> list[int]:
+    """The group (number of its seed) of each name, greedily.
+
+    Letters in common bound both the ratio and containment, so just the names
+    that can be alike are compared in full.
+    """
     low = [n.lower().strip() for n in names]
-    group = [-1] * len(low)
+    letters, size = _letters(low), np.array([len(n) for n in low])
+    initials = [_person(n) for n in low] if rules and kind == "PERSON" else []
+    person = np.array([hash((last, first[:1])) if first else i for i, (last, first) in enumerate(initials)])
+    group = np.full(len(low), -1)
     for i, seed in enumerate(low):
         if group[i] >= 0:
             continue
         group[i] = i
+        rest = i + 1 + np.flatnonzero(group[i + 1 :] < 0)
+        if not len(rest):
+            break
+        common = np.minimum(letters[rest], letters[i]).sum(axis=1)
+        may = 2 * common >= threshold * (size[rest] + size[i]) - 1e-9
+        if rules:
+            may |= common == np.minimum(size[rest], size[i])  # one can be contained
+            may |= (person[rest] == person[i]) if len(person) else kind in ("ORG", "DATE")
         matcher = difflib.SequenceMatcher()
         matcher.set_seq2(seed)
-        for j in range(i + 1, len(low)):
-            if group[j] < 0:
-                matcher.set_seq1(low[j])
-                alike = matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold
-                if alike or (rules and same_entity(seed, low[j], kind)):
-                    group[j] = i
-    return group
+        for j in rest[may].tolist():
+            matcher.set_seq1(low[j])
+            if matcher.ratio() >= threshold or (rules and same_entity(seed, low[j], kind)):
+                group[j] = i
+    return group.tolist()
 
 
 def resolve_greedy(mentions: DataFrame, threshold: float = 0.8, rules: bool = True) -> DataFrame:
-    """Greedy clusters of the names of each document and type.
+    """Greedy clusters of the mentions of each document and type.
 
     Names are taken in order of first appearance (chunk, ordinal); each that is
     still free seeds a group and draws in later ones that are alike, or (with
     rules) are variations of it.  A group is named by its longest text, the
-    first of these.  Distinct names are compared once and joined back by the
-    caller.  Returns document_id, entity_type, entity_text, canonical_name,
-    group_size, confidence, resolution_method.
+    first of these; group_size counts its mentions.  Distinct names are compared
+    once and joined back by the caller.  Confidence is 1 for a single mention and
+    0.8 for more; without rules always 0.7.  Returns document_id, entity_type,
+    entity_text, canonical_name, group_size, confidence, resolution_method.
     """
     first = F.min(F.struct("chunk_index", "ordinal")).alias("first")
-    names = mentions.groupBy("document_id", "entity_type", "entity_text").agg(first)
+    names = mentions.groupBy("document_id", "entity_type", "entity_text").agg(first, F.count("*").alias("n"))
     schema = "document_id long, entity_type string, entity_text string, canonical_name string, group_size long"
 
     def work(pdf):
@@ -131,15 +157,15 @@ def resolve_greedy(mentions: DataFrame, threshold: float = 0.8, rules: bool = Tr
         group = _groups(texts, pdf["entity_type"].iloc[0], threshold, rules)
         chosen: dict[int, str] = {}
         size: dict[int, int] = {}
-        for name, g in zip(texts, group):
-            size[g] = size.get(g, 0) + 1
+        for name, g, n in zip(texts, group, pdf["n"].tolist()):
+            size[g] = size.get(g, 0) + n
             if g not in chosen or len(name) > len(chosen[g]):
                 chosen[g] = name
         return pdf.assign(canonical_name=[chosen[g] for g in group], group_size=[size[g] for g in group])[
             ["document_id", "entity_type", "entity_text", "canonical_name", "group_size"]]
 
     grouped = names.groupBy("document_id", "entity_type").applyInPandas(work, schema)
-    confidence = F.when(F.col("group_size") == 1, 1.0).otherwise(0.8)
+    confidence = F.when(F.col("group_size") == 1, 1.0).otherwise(0.8) if rules else F.lit(0.7)
     return grouped.withColumns({"confidence": confidence, "resolution_method": F.when(confidence < 0.9, "fuzzy").otherwise("llm")})
 
 

@@ -78,6 +78,16 @@ def confidence_level(confidence: Column) -> Column:
     return F.when(confidence > 0.9, "high").when(confidence > 0.7, "medium").otherwise("low")
 
 
+def sanitized(mentions: DataFrame) -> DataFrame:
+    """Mentions with some text; confidence within 0 and 1; offsets that can't be
+    right (before the text, or ending where they start) become the whole text's."""
+    rows = mentions.where(F.length(F.trim("entity_text")) > 0)
+    bad = (F.col("start") < 0) | (F.col("stop") <= F.col("start")) | F.col("start").isNull() | F.col("stop").isNull()
+    return rows.withColumns({
+        "confidence": F.least(F.lit(1.0), F.greatest(F.lit(0.0), "confidence")),
+        "start": F.when(bad, 0).otherwise(F.col("start")), "stop": F.when(bad, F.length("entity_text")).otherwise(F.col("stop"))})
+
+
 def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """(key, rule) for every rule that a row breaks; a rule that is null holds."""
     broken = F.array_compact(F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]))

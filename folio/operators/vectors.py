@@ -101,3 +101,9 @@ def resolve_hybrid(entities: DataFrame, threshold: float = 0.75) -> DataFrame:
     score = 0.7 * cosine(F.col("x"), F.col("y")) + 0.3
     linked = pairs.where((F.col("b") <= F.col("a")) & ((F.col("a") == F.col("b")) | (score >= threshold)))
     return linked.groupBy("a").agg(F.min("b").alias("canonical")).withColumnRenamed("a", "vec_id")
+
+
+def blended(vectors: DataFrame, centers: DataFrame, by: str, own: float = 0.7) -> DataFrame:
+    """vectors with blend: `own` parts of each vector and the rest of its group's centroid."""
+    both = F.zip_with("embedding", "centroid", lambda x, c: own * x.cast("double") + (1 - own) * c)
+    return vectors.join(centers, by).withColumn("blend", both)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folio.operators import graph as g
@@ -54,26 +55,24 @@ def apply_resolution(spark, d):
     select keep_id as canonical_id, count(*) as mentions from scored join m on merge_id = canonical_id group by 1"""))
 def merge_canonicals(spark, d):
     scored = b.scored(spark, d)
-    from pyspark.sql import Window
-
     keep = F.min("canonical_id").over(Window.partitionBy(F.substring("canonical_id", 1, 15)))
     merges = scored.select("canonical_id").distinct().select(F.col("canonical_id").alias("merge_id"), keep.alias("keep_id")).where("merge_id <> keep_id")
     return r.merge_canonicals(scored, merges).groupBy("canonical_id").agg(F.count("*").alias("mentions"))
 
 
-@query("fuzzy_pair_join", sql("scored", """, n as (select distinct entity_type, canonical_id, lower(entity_text) as name from scored where entity_type = 'EMAIL')
-    select a.entity_type, a.canonical_id as source_id, z.canonical_id as target_id, levenshtein(a.name, z.name) as distance from n a join n z on a.canonical_id < z.canonical_id
-    where 100 * levenshtein(a.name, z.name) <= 20 * greatest(length(a.name), length(z.name))"""))
+@query("fuzzy_pair_join", sql("scored", """, n as (select distinct entity_type, canonical_id, lower(entity_text) as name from scored)
+    select a.entity_type, a.canonical_id as source_id, z.canonical_id as target_id, levenshtein(a.name, z.name) as distance from n a join n z on a.entity_type = z.entity_type and a.canonical_id < z.canonical_id
+    and abs(length(a.name) - length(z.name)) * 100 <= 20 * greatest(length(a.name), length(z.name)) where 100 * levenshtein(a.name, z.name) <= 20 * greatest(length(a.name), length(z.name))"""))
 def fuzzy_pair_join(spark, d):
-    names = b.scored(spark, d).where("entity_type = 'EMAIL'").select("entity_type", "canonical_id", F.lower("entity_text").alias("name")).distinct()
+    names = b.scored(spark, d).select("entity_type", "canonical_id", F.lower("entity_text").alias("name")).distinct()
     return r.similar_names(names)
 
 
-@query("edges_cooccurrence", sql("scored", """, e as (select distinct document_id, canonical_id from scored where entity_type <> 'PERSON')
-    select a.canonical_id as source_id, z.canonical_id as target_id, count(*) as documents from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id group by 1, 2"""))
+@query("edges_cooccurrence", sql("scored", """, e as (select distinct document_id, canonical_id from scored)
+    select a.canonical_id as source_id, z.canonical_id as target_id, count(*) as documents, 1.0 as confidence from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id group by 1, 2"""))
 def edges_cooccurrence(spark, d):
-    pairs = g.cooccurrence(b.scored(spark, d).where("entity_type <> 'PERSON'"))
-    return pairs.groupBy("source_id", "target_id").agg(F.count("*").alias("documents"))
+    pairs = g.cooccurrence(b.scored(spark, d))
+    return pairs.groupBy("source_id", "target_id").agg(F.count("*").alias("documents"), F.lit(1.0).alias("confidence"))
 
 
 @query("edges_structural", sql("scored", """, n as (select count(*) as c from chunks), f as (select count(*) - count(distinct document_id) as c from chunks)
@@ -83,14 +82,15 @@ def edges_structural(spark, d):
     return g.structural(b.chunks(spark, d), b.scored(spark, d)).groupBy("relationship_type").agg(F.count("*").alias("n"))
 
 
-@query("relation_union", sql("scored turns", """select 'NEXT_CHUNK' as relationship_type, count(*) as n from (select document_id, chunk_index, lead(chunk_index) over (partition by document_id order by chunk_index) as nxt from turns) where nxt is not null
-    union all select 'CO_OCCURS', count(*) from (select distinct document_id, canonical_id from scored where entity_type = 'NUMBER') a join (select distinct document_id, canonical_id from scored where entity_type = 'NUMBER') z
-    on a.document_id = z.document_id and a.canonical_id < z.canonical_id"""))
+@query("relation_union", sql("scored", """, n as (select count(*) as c from chunks), f as (select count(*) - count(distinct document_id) as c from chunks), e as (select distinct document_id, canonical_id from scored)
+    select 'BELONGS_TO' as relationship_type, (select c from n) + (select count(distinct document_id) from chunks) as n union all select 'CONTAINS_MENTION', count(*) from scored
+    union all select 'MEMBER_OF_CLUSTER', count(*) from scored union all select 'NEXT_CHUNK', c from f union all select 'PREVIOUS_CHUNK', c from f
+    union all select 'CO_OCCURS', count(*) from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id"""))
 def relation_union(spark, d):
-    from folio.operators.chunking import chunk_neighbours
-
-    nxt = chunk_neighbours(b.turns(spark, d)).where("next_chunk is not null").select(F.lit("NEXT_CHUNK").alias("relationship_type"))
-    both = nxt.unionByName(g.cooccurrence(b.scored(spark, d).where("entity_type = 'NUMBER'")).select("relationship_type"))
+    """All edge families in one table, counted by type."""
+    scored = b.scored(spark, d)
+    kinds = [g.structural(b.chunks(spark, d), scored), g.cooccurrence(scored)]
+    both = kinds[0].select("relationship_type").unionByName(kinds[1].select("relationship_type"))
     return both.groupBy("relationship_type").agg(F.count("*").alias("n"))
 
 
@@ -110,15 +110,24 @@ def dedup_keep_best(spark, d):
     return g.best_edges(edges)
 
 
-@query("edge_type_validity", sql("scored", """, e as (select distinct document_id, entity_type, canonical_id from scored where entity_type <> 'PERSON')
-    select a.entity_type as type1, z.entity_type as type2, count(*) as edges, (a.entity_type = 'EMAIL' and z.entity_type = 'NUMBER') or a.entity_type = z.entity_type as valid
-    from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id group by 1, 2, 4"""))
+#: Types that an edge may join; ANY in one of a relationship's rules lets every pair pass.
+EDGE_RULES = [("EMAIL", "NUMBER", "CO_OCCURS"), ("EMAIL", "PERSON", "CO_OCCURS"), ("PERSON", "PERSON", "CO_OCCURS"), ("PERSON", "ANY", "MENTIONED_WITH")]
+
+
+@query("edge_type_validity", sql("scored", f""", e as (select distinct document_id, entity_type, canonical_id from scored), r as (select * from (values {", ".join(map(str, EDGE_RULES))}) v(t1, t2, rel)),
+    p as (select a.entity_type as type1, z.entity_type as type2, count(*) as edges from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id group by 1, 2)
+    select type1, type2, rel as relationship_type, edges, exists (select 1 from r where r.rel = k.rel and ((t1 = type1 and t2 = type2) or t1 = 'ANY' or t2 = 'ANY')) as valid
+    from p, (select distinct rel from r) k"""))
 def edge_type_validity(spark, d):
-    rules = spark.createDataFrame([("EMAIL", "NUMBER"), ("EMAIL", "EMAIL"), ("NUMBER", "NUMBER")], "type1 string, type2 string").withColumn("valid", F.lit(True))
-    pairs = g.cooccurrence(b.scored(spark, d).where("entity_type <> 'PERSON'"))
+    """Of each pair of types, whether an edge of each relationship would be valid."""
+    rules = spark.createDataFrame(EDGE_RULES, "type1 string, type2 string, relationship_type string")
+    any_ = rules.groupBy("relationship_type").agg(F.max((F.col("type1") == "ANY") | (F.col("type2") == "ANY")).alias("open"))
     kind = lambda c: F.split(c, ":")[0]
-    rows = pairs.groupBy(kind("source_id").alias("type1"), kind("target_id").alias("type2")).agg(F.count("*").alias("edges"))
-    return rows.join(F.broadcast(rules), ["type1", "type2"], "left").withColumn("valid", F.coalesce("valid", F.lit(False)))  # three rules
+    pairs = g.cooccurrence(b.scored(spark, d)).groupBy(kind("source_id").alias("type1"), kind("target_id").alias("type2")).agg(F.count("*").alias("edges"))
+    every = pairs.join(F.broadcast(any_))  # a row for each relationship
+    listed = F.broadcast(rules.withColumn("listed", F.lit(True)))
+    rows = every.join(listed, ["type1", "type2", "relationship_type"], "left")
+    return rows.select("type1", "type2", "relationship_type", "edges", F.coalesce(F.col("open") | F.col("listed"), F.lit(False)).alias("valid"))
 
 
 @query("edges_pattern")
@@ -128,26 +137,36 @@ def edges_pattern(spark, d):
     return g.pattern_edges(chunks, names, {"NEAR": r"\b(?:the|of|de|la|und|mit)\b", "LISTED_WITH": r"\|"})
 
 
-@query("cosine_similarity", "select a.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 6) as similarity from embeddings a join embeddings z on z.vec_id = 0")
+_CENTER = """with p as (select label, i, avg(x) as x from (select label, unnest(cast(embedding as double[])) as x, generate_subscripts(embedding, 1) as i from embeddings) group by 1, 2),
+    c as (select label, list(x order by i) as centroid from p group by 1)"""
+
+
+@query("cosine_similarity", _CENTER + " select vec_id, round(list_cosine_similarity(cast(embedding as double[]), centroid), 6) as similarity from embeddings join c using (label)")
 def cosine_similarity(spark, d):
+    """Every vector against the mean of its label."""
     e = table(spark, d, "embeddings")
-    first = e.where("vec_id = 0").select(F.col("embedding").alias("q"))
-    return e.join(F.broadcast(first)).select("vec_id", F.round(r.cosine(F.col("embedding"), F.col("q")), 6).alias("similarity"))  # one query vector
+    return e.join(v.centroids(e, "label"), "label").select("vec_id", F.round(r.cosine(F.col("embedding"), F.col("centroid")), 6).alias("similarity"))
 
 
-@query("similar_chunks", """select query_id, vec_id, rank from (select z.vec_id as query_id, a.vec_id, row_number() over (partition by z.vec_id
-    order by round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 9) desc, a.vec_id) as rank
+@query("similar_chunks", """select query_id, vec_id, rank, s >= 0.7 as similar from (select z.vec_id as query_id, a.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 9) as s,
+    row_number() over (partition by z.vec_id order by round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 9) desc, a.vec_id) as rank
     from embeddings a join embeddings z on z.vec_id % 50 = 0 and a.vec_id <> z.vec_id) where rank <= 5""")
 def similar_chunks(spark, d):
+    """The five nearest, and whether they reach the similarity of alike chunks."""
     e = table(spark, d, "embeddings")
-    return v.nearest(e, e.where("vec_id % 50 = 0"), 5).select("query_id", "vec_id", "rank")
+    return v.nearest(e, e.where("vec_id % 50 = 0"), 5).select("query_id", "vec_id", "rank", (F.round("similarity", 9) >= 0.7).alias("similar"))
 
 
-@query("vector_range_join", """select z.vec_id as query_id, a.label, count(*) as near from embeddings a join embeddings z on z.vec_id % 50 = 0 and a.vec_id <> z.vec_id and a.label = z.label
-    where list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])) >= 0.3 group by 1, 2""")
+@query("vector_range_join", """select query_id, vec_id, label, rank, s >= 0.85 as sure from (select z.vec_id as query_id, a.vec_id, a.label, round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 9) as s,
+    row_number() over (partition by z.vec_id order by round(list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])), 9) desc, a.vec_id) as rank
+    from embeddings a join embeddings z on z.vec_id % 50 = 0 and a.vec_id <> z.vec_id and a.label = z.label
+    where list_cosine_similarity(cast(a.embedding as double[]), cast(z.embedding as double[])) >= 0.3) where rank <= 5""")
 def vector_range_join(spark, d):
+    """The five best of the same label in range; sure ones reach 0.85."""
     e = table(spark, d, "embeddings")
-    return v.within(e, e.where("vec_id % 50 = 0"), 0.3).groupBy("query_id", "label").agg(F.count("*").alias("near"))
+    near = v.within(e, e.where("vec_id % 50 = 0"), 0.3).withColumn("s", F.round("similarity", 9))
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s"), "vec_id")).cast("long")).where("rank <= 5")
+    return best.select("query_id", "vec_id", "label", "rank", (F.col("s") >= 0.85).alias("sure"))
 
 
 @query("link_cross_document", """select query_id, vec_id from (select z.vec_id as query_id, a.vec_id, row_number() over (partition by z.vec_id
@@ -170,9 +189,13 @@ def vector_normalize(spark, d):
     return v.normalize(table(spark, d, "embeddings")).select("vec_id", "rescaled")
 
 
-@query("vector_blend_mean")
+@query("vector_blend_mean", _CENTER + """ select vec_id, round(list_cosine_similarity(list_transform(list_zip(cast(embedding as double[]), centroid), lambda z: 0.7 * z[1] + 0.3 * z[2]), centroid), 6) as similarity
+    from embeddings join c using (label)""")
 def vector_blend_mean(spark, d):
-    return v.centroids(table(spark, d, "embeddings"), "label").select("label", F.transform("centroid", lambda x: F.round(x, 6)).alias("centroid"))
+    """How near to its label's mean each vector is after 0.3 of that is blended in."""
+    e = table(spark, d, "embeddings")
+    rows = v.blended(e, v.centroids(e, "label"), "label")
+    return rows.select("vec_id", F.round(r.cosine(F.col("blend"), F.col("centroid")), 6).alias("similarity"))
 
 
 @query("resolve_hybrid")

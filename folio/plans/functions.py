@@ -46,12 +46,10 @@ def naming_validate(spark, d):
     return n.naming_issues(b.files(spark, d).select("file_id", t.sanitize_filename(F.col("path")).alias("safe")))
 
 
-@query("guess_doc_type", """select doc_id, case when contains(lower(text), 'licen') then 'license' when contains(text, '@') then 'letter' when contains(text, ' | ') then 'table'
-    when regexp_matches(text, '[0-9]{8,}') then 'record' else 'other' end as kind from documents""")
+@query("guess_doc_type", "select doc_id, case " + " ".join(
+    "when " + " or ".join(f"contains(lower(text), '{p}')" for p in patterns) + f" then '{kind}'" for kind, patterns in n.DOC_TYPES.items()) + " else 'document' end as kind from documents")
 def guess_doc_type(spark, d):
-    text = F.col("text")
-    kind = F.when(F.lower(text).contains("licen"), "license").when(text.contains("@"), "letter").when(text.contains(" | "), "table").when(text.rlike("[0-9]{8,}"), "record").otherwise("other")
-    return table(spark, d, "documents").select("doc_id", kind.alias("kind"))
+    return table(spark, d, "documents").select("doc_id", n.doc_type(F.col("text")).alias("kind"))
 
 
 @query("parse_date_entity", sql("batches", "select batch_id, cast(created_at as date) as day, year(created_at) as year, month(created_at) as month from batches"))
@@ -74,12 +72,20 @@ def json_llm_response(spark, d):
     return table(spark, d, "events").select("event_id", t.json_response(wrapped, "k bigint")["k"].alias("k"))
 
 
-@query("labelled_response_parse", sql("batches", "select batch_id, lower(priority) as category, least(1.0, batch_id % 150 / 100.0) as confidence from batches"))
+#: Categories that a response may name in part.
+PRIORITIES = ("urgent", "high", "medium", "low", "not specified")
+
+
+@query("labelled_response_parse", sql("batches", "select batch_id, case " + " ".join(f"when contains(lower(priority), '{c}') or contains('{c}', lower(priority)) then '{c}'" for c in PRIORITIES)
+    + " else 'other' end as category, least(1.0, greatest(0.0, batch_id % 150 / 100.0 - 0.1)) as confidence, 'because of ' || lower(priority) as reasoning from batches"))
 def labelled_response_parse(spark, d):
-    response = F.concat(F.lit("CATEGORY: "), "priority", F.lit("\nCONFIDENCE: "), ((F.col("batch_id") % 150) / 100.0).cast("string"), F.lit("\nREASONING: none"))
+    given = ((F.col("batch_id") % 150) / 100.0 - 0.1).cast("string")
+    response = F.concat(F.lit("CATEGORY: "), "priority", F.lit("\nCONFIDENCE: "), given, F.lit("\nREASONING: because of "), F.lower("priority"))
     rows = b.batches(spark, d).select("batch_id", response.alias("r"))
     confidence = F.least(F.lit(1.0), F.greatest(F.lit(0.0), t.labelled_field(F.col("r"), "CONFIDENCE").try_cast("double")))
-    return rows.select("batch_id", F.lower(t.labelled_field(F.col("r"), "CATEGORY")).alias("category"), confidence.alias("confidence"))
+    named = F.lower(t.labelled_field(F.col("r"), "CATEGORY"))
+    category = F.coalesce(*[F.when(named.contains(c) | F.lit(c).contains(named), c) for c in PRIORITIES], F.lit("other"))
+    return rows.select("batch_id", category.alias("category"), confidence.alias("confidence"), t.labelled_field(F.col("r"), "REASONING").alias("reasoning"))
 
 
 _NAMES = """, p as (select distinct document_id, entity_text as name, lag(entity_text) over (partition by document_id, entity_type order by chunk_index, ordinal) as other from mentions where entity_type = 'PERSON')"""

@@ -100,12 +100,16 @@ def entity_record_valid(spark, d):
     return b.mentions(spark, d).groupBy("entity_type", confidence.alias("confidence")).agg(F.count("*").alias("n"))
 
 
-@query("mention_sanitize", sql("scored", """select document_id, chunk_index, entity_type, ordinal, least(greatest(confidence - 60, 0), 30) as clamped,
-    case when ordinal % 5 = 4 then 0 else ordinal end as start_at from scored where length(trim(entity_text)) > 0"""))
+@query("mention_sanitize", sql("scored", """, m as (select *, ordinal - 1 as a, ordinal + length(entity_text) - (ordinal % 3) * 8 as z, confidence / 60.0 - 0.9 as raw from scored where length(trim(entity_text)) > 0)
+    select document_id, chunk_index, entity_type, ordinal, least(1.0, greatest(0.0, raw)) as confidence, case when a < 0 or z <= a then 0 else a end as start,
+    case when a < 0 or z <= a then length(entity_text) else z end as stop from m"""))
 def mention_sanitize(spark, d):
-    rows = b.scored(spark, d).where(F.length(F.trim("entity_text")) > 0)
-    return rows.select("document_id", "chunk_index", "entity_type", "ordinal", F.least(F.greatest(F.col("confidence") - 60, F.lit(0)), F.lit(30)).alias("clamped"),
-                       F.when(F.col("ordinal") % 5 == 4, 0).otherwise(F.col("ordinal")).alias("start_at"))
+    """Raw offsets and scores are told from the ordinal, so that some are bad."""
+    size = F.length("entity_text")
+    rows = b.scored(spark, d).select(
+        "document_id", "chunk_index", "entity_type", "ordinal", "entity_text", (F.col("confidence") / 60.0 - 0.9).alias("confidence"),
+        (F.col("ordinal") - 1).alias("start"), (F.col("ordinal") + size - (F.col("ordinal") % 3) * 8).alias("stop"))
+    return r.sanitized(rows).drop("entity_text")
 
 
 @query("low_confidence_filter", sql("scored", "select document_id, chunk_index, entity_type, ordinal, confidence from scored where confidence >= 75"))
@@ -168,25 +172,38 @@ def row_validation_report(spark, d):
     return b.tasks(spark, d).groupBy("stage").agg(F.count("*").alias("total"), F.count_if(good).alias("valid"), F.count_if(short).alias("too_short"), F.count_if(wide).alias("out_of_range"))
 
 
-@query("preflight_checks", """select d.doc_id, l.doc_id is not null as labelled, d.n_chars between 100 and 20000 as sized,
-    case when length(d.text) = 0 then 'CRITICAL' when not d.n_chars between 100 and 20000 then 'IMPORTANT' when l.doc_id is null then 'OPTIONAL' else 'PASSED' end as severity
-    from documents d left join (select distinct doc_id from labels) l using (doc_id)""")
+@query("preflight_checks", """with n as (select doc_id, count(*) as copies from documents group by 1),
+    c as (select d.doc_id, d.text is not null as recorded, length(d.text) > 0 as filled, d.n_chars between 100 and 20000 as sized, d.n_chars = length(d.text) as counted, d.source <> 'src0' as active,
+    l.doc_id is not null as labelled, copies = 1 as single from documents d left join (select distinct doc_id from labels) l using (doc_id) join n using (doc_id))
+    select *, case when not (recorded and filled and single) then 'CRITICAL' when not (active and counted) then 'IMPORTANT' when not (sized and labelled) then 'OPTIONAL' else 'PASSED' end as severity,
+    not (recorded and filled and single) as blocked from c""")
 def preflight_checks(spark, d):
+    """Seven checks of a document in three levels; a failed critical one blocks it."""
     docs = table(spark, d, "documents")
     labels = table(spark, d, "labels").select("doc_id").distinct().withColumn("labelled", F.lit(True))
-    rows = docs.select("doc_id", F.length("text").alias("n"), F.col("n_chars").between(100, 20000).alias("sized")).join(labels, "doc_id", "left")
-    rows = rows.withColumn("labelled", F.coalesce("labelled", F.lit(False)))
-    severity = F.when(F.col("n") == 0, "CRITICAL").when(~F.col("sized"), "IMPORTANT").when(~F.col("labelled"), "OPTIONAL").otherwise("PASSED")
-    return rows.select("doc_id", "labelled", "sized", severity.alias("severity"))
-
-
-@query("manifest_validate", sql("files", """, dup as (select content_hash from files group by 1 having count(*) > 1)
-    select file_id, size > 15000 as oversized, content_hash in (select content_hash from dup) as duplicated from files where size > 15000 or content_hash in (select content_hash from dup)"""))
+    copies = docs.groupBy("doc_id").agg((F.count("*") == 1).alias("single"))
+    size = F.length("text")
+    rows = docs.select(
+        "doc_id", F.col("text").isNotNull().alias("recorded"), (size > 0).alias("filled"), F.col("n_chars").between(100, 20000).alias("sized"), (F.col("n_chars") == size).alias("counted"),
+        (F.col("source") != "src0").alias("active")).join(labels, "doc_id", "left").join(copies, "doc_id").withColumn("labelled", F.coalesce("labelled", F.lit(False)))
+    critical = ~(F.col("recorded") & F.col("filled") & F.col("single"))
+    level = F.when(critical, "CRITICAL").when(~(F.col("active") & F.col("counted")), "IMPORTANT").when(~(F.col("sized") & F.col("labelled")), "OPTIONAL").otherwise("PASSED")
+    return rows.withColumns({"severity": level, "blocked": critical})
+
+
+@query("manifest_validate", sql("files", """, dup as (select content_hash from files group by 1 having count(*) > 1), listed as (select distinct file_id + 7 as file_id from files),
+    f as (select file_id, false as missing, size > 15000 as oversized, content_hash in (select content_hash from dup) as duplicated, size * 15 as cost from files)
+    select * from f where oversized or duplicated union all select file_id, true, false, false, 0 from listed where file_id not in (select file_id from files)"""))
 def manifest_validate(spark, d):
+    """Files that are listed but missing (the list is shifted by seven), too large
+    or repeated, and what they would cost."""
     files = b.files(spark, d)
     dup = r.duplicate_keys(files, ["content_hash"]).select("content_hash", F.lit(True).alias("duplicated"))
     rows = files.join(dup, "content_hash", "left").withColumn("duplicated", F.coalesce("duplicated", F.lit(False)))
-    return rows.select("file_id", (F.col("size") > 15000).alias("oversized"), "duplicated").where("oversized or duplicated")
+    found = rows.select("file_id", F.lit(False).alias("missing"), (F.col("size") > 15000).alias("oversized"), "duplicated", (F.col("size") * 15).alias("cost")).where("oversized or duplicated")
+    listed = files.select((F.col("file_id") + 7).alias("file_id")).distinct()
+    no = F.lit(False)
+    return found.union(r.orphans(listed, files, "file_id").select("file_id", F.lit(True), no, no, F.lit(0).cast("long")))
 
 
 @query("status_fold", """select case when contains(s, 'fail') or contains(s, 'error') then 'failed' when contains(s, 'complet') or contains(s, 'success') or s = 'purchase' then 'completed'

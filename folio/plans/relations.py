@@ -124,22 +124,30 @@ def processing_stage_of(spark, d):
     return docs.join(found, "doc_id", "left").join(labels, "doc_id", "left").select("doc_id", stage.alias("stage"))
 
 
-@query("entity_pair_theta", sql("scored", """, e as (select distinct document_id, canonical_id from scored where entity_type <> 'PERSON')
+@query("entity_pair_theta", sql("scored", """, e as (select distinct document_id, canonical_id from scored)
     select a.document_id, a.canonical_id as source_id, z.canonical_id as target_id from e a join e z on a.document_id = z.document_id and a.canonical_id < z.canonical_id"""))
 def entity_pair_theta(spark, d):
     from folio.operators.graph import cooccurrence
 
-    return cooccurrence(b.scored(spark, d).where("entity_type <> 'PERSON'")).select("document_id", "source_id", "target_id")
+    return cooccurrence(b.scored(spark, d)).select("document_id", "source_id", "target_id")
 
 
-@query("duplicate_entity_pairs", sql("scored", """, n as (select distinct entity_type, canonical_id, lower(entity_text) as name from scored where entity_type <> 'PERSON')
-    select a.canonical_id as source_id, z.canonical_id as target_id, 95 as similarity from n a join n z on a.entity_type = z.entity_type
-    and a.canonical_id <> z.canonical_id and length(a.name) >= 4 and contains(z.name, a.name)"""))
+@query("duplicate_entity_pairs", sql("scored", """, n as (select distinct entity_type, canonical_id, lower(entity_text) as name from scored), e as (select distinct document_id, canonical_id from scored),
+    f as (select canonical_id, min(document_id) as first from e group by 1)
+    select a.canonical_id as source_id, z.canonical_id as target_id, null as document_id, 95 as similarity from n a join n z on a.entity_type = z.entity_type
+    and a.canonical_id <> z.canonical_id and contains(z.name, a.name) union all select canonical_id, canonical_id, document_id, 100 from e join f using (canonical_id) where document_id > first"""))
 def duplicate_entity_pairs(spark, d):
+    """Names of one type that contain each other (95), and the documents that
+    repeat an earlier document's name (100): a row each, not all their pairs."""
     from folio.operators.resolve import contained_names
 
-    names = b.scored(spark, d).where("entity_type <> 'PERSON'").select("entity_type", "canonical_id", F.lower("entity_text").alias("name")).distinct()
-    return contained_names(names, 4)
+    scored = b.scored(spark, d)
+    names = scored.select("entity_type", "canonical_id", F.lower("entity_text").alias("name")).distinct()
+    inner = contained_names(names, 3).select("source_id", "target_id", F.lit(None).cast("long").alias("document_id"), "similarity")
+    seen = scored.select("document_id", "canonical_id").distinct()
+    first = seen.groupBy("canonical_id").agg(F.min("document_id").alias("first"))
+    same = seen.join(first, "canonical_id").where("document_id > first")
+    return inner.union(same.select("canonical_id", "canonical_id", "document_id", F.lit(100)))
 
 
 @query("project_dim_join", "select n_name, count(*) as customers, sum(cast(round(c_acctbal * 100) as bigint)) as cents from nation left join customer on c_nationkey = n_nationkey group by 1")
@@ -249,13 +257,12 @@ def subset_check(spark, d):
     return one.union(docs.subtract(labels).agg(F.lit("documents in labels").alias("name"), F.count("*").alias("outside")))
 
 
-@query("overlap_resolution", sql("chunks", """, s as (select document_id, k.chunk_index, k.char_start, k.char_end, length(k.chunk_text) as score from chunks k where k.chunk_index % 3 <> 2),
+@query("overlap_resolution", sql("chunks", """, s as (select document_id, k.chunk_index, k.char_start, k.char_end, length(k.chunk_text) as score from chunks k),
     f as (select *, case when char_start >= coalesce(max(char_end) over (partition by document_id order by char_start, char_end desc rows between unbounded preceding and 1 preceding), char_start)
       then 1 else 0 end as fresh from s), i as (select *, sum(fresh) over (partition by document_id order by char_start, char_end desc rows unbounded preceding) as island from f)
     select document_id, island, chunk_index from (select *, row_number() over (partition by document_id, island order by score desc, chunk_index) as rn from i) where rn = 1"""))
 def overlap_resolution(spark, d):
-    rows = b.chunks(spark, d).where("chunk_index % 3 <> 2").withColumn("score", F.length("chunk_text"))
-    rows = w.islands(rows, ["document_id"], "char_start", "char_end")
+    rows = w.islands(b.chunks(spark, d).withColumn("score", F.length("chunk_text")), ["document_id"], "char_start", "char_end")
     best = w.top_k_per_group(rows, ["document_id", "island"], [F.desc("score"), F.col("chunk_index")], 1)
     return best.select("document_id", "island", "chunk_index")
 
@@ -287,14 +294,16 @@ def batch_summary(spark, d):
     return s.select("batch_id", "files", "size_mb", kind.alias("batch_type"), F.greatest(F.lit(5), F.floor(F.col("work") / 5)).cast("long").alias("minutes"))
 
 
-@query("recovery_plan", sql("items", """, s as (select batch_id, count(*) as files, count(*) filter (where status = 'failed') as failed from items group by 1)
-    select batch_id, failed, case when failed * 2 > files then 'delayed' when failed >= 3 then 'manual' else 'immediate' end as plan,
+@query("recovery_plan", sql("items", """, s as (select batch_id, count(*) as files, count(*) filter (where status = 'failed') as failed, max(document_id) % 5 as retries from items group by 1)
+    select batch_id, failed, retries, case when failed * 2 > files then 'delayed' when retries >= 3 then 'manual' else 'immediate' end as plan,
     5 * failed + case when failed * 2 > files then 10 else 0 end as minutes from s where failed > 0"""))
 def recovery_plan(spark, d):
-    s = b.items(spark, d).groupBy("batch_id").agg(F.count("*").alias("files"), F.count_if(F.col("status") == "failed").alias("failed")).where("failed > 0")
+    """How to go on with each batch that has failures; retries are told from the documents."""
+    s = b.items(spark, d).groupBy("batch_id").agg(
+        F.count("*").alias("files"), F.count_if(F.col("status") == "failed").alias("failed"), (F.max("document_id") % 5).alias("retries")).where("failed > 0")
     many = F.col("failed") * 2 > F.col("files")
-    plan = F.when(many, "delayed").when(F.col("failed") >= 3, "manual").otherwise("immediate")
-    return s.select("batch_id", "failed", plan.alias("plan"), (5 * F.col("failed") + F.when(many, 10).otherwise(0)).alias("minutes"))
+    plan = F.when(many, "delayed").when(F.col("retries") >= 3, "manual").otherwise("immediate")
+    return s.select("batch_id", "failed", "retries", plan.alias("plan"), (5 * F.col("failed") + F.when(many, 10).otherwise(0)).alias("minutes"))
 
 
 @query("intake_manifest", sql("files", """select host, count(*) as files, count(*) filter (where size <= 15000) as valid, count(*) filter (where size > 15000) as invalid,
@@ -305,8 +314,24 @@ def intake_manifest(spark, d):
         F.count("*").alias("files"), F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid"), F.coalesce(F.sum(F.when(good, F.col("size"))), F.lit(0)).alias("valid_size"))
 
 
-@query("graph_completeness", sql("turns", """, n as (select document_id, count(*) as turns, max(chunk_index) - min(chunk_index) as span from turns group by 1)
-    select document_id, turns, 2 * (turns - 1) as expected, 2 * span as found, span = turns - 1 as complete from n"""))
+@query("graph_completeness", sql("chunks scored", """, n as (select document_id, count(*) as chunks, 2 * (count(*) - 1) as expected from chunks group by 1),
+    q as (select document_id, count(nxt) * 2 as found from (select document_id, lead(chunk_index) over (partition by document_id order by chunk_index) as nxt from chunks) group by 1),
+    r as (select document_id, count(*) as mentions, count(*) filter (where confidence >= 70) as resolved from scored group by 1)
+    select document_id, chunks, 1 + chunks as belongs_to, coalesce(mentions, 0) as contains_mention, expected, found, coalesce(resolved * 100.0 / mentions, 100) as resolved,
+    found = expected and coalesce(resolved * 100.0 / mentions, 100) >= 70 as complete from n join q using (document_id) left join r using (document_id)"""))
 def graph_completeness(spark, d):
-    n = b.turns(spark, d).groupBy("document_id").agg(F.count("*").alias("turns"), (F.max("chunk_index") - F.min("chunk_index")).alias("span"))
-    return n.select("document_id", "turns", (2 * (F.col("turns") - 1)).alias("expected"), (2 * F.col("span")).alias("found"), (F.col("span") == F.col("turns") - 1).alias("complete"))
+    """Edges of each document by family against what its chunks and mentions call
+    for; mentions of 70 or more confidence are resolved, and 70 % should be."""
+    chunks, scored = b.chunks(spark, d), b.scored(spark, d)
+    from folio.operators.graph import structural
+
+    owner = F.regexp_extract("source_id", r"^d(\d+)", 1).cast("long")
+    edges = structural(chunks, scored).where("relationship_type <> 'MEMBER_OF_CLUSTER'").groupBy(owner.alias("document_id")).pivot(
+        "relationship_type", ["BELONGS_TO", "CONTAINS_MENTION", "NEXT_CHUNK", "PREVIOUS_CHUNK"]).count().na.fill(0)
+    n = chunks.groupBy("document_id").agg(F.count("*").alias("chunks"))
+    good = scored.groupBy("document_id").agg((F.count_if(F.col("confidence") >= 70) * 100.0 / F.count("*")).alias("resolved"))
+    rows = n.join(edges, "document_id").join(good, "document_id", "left").withColumn("resolved", F.coalesce("resolved", F.lit(100.0)))
+    found, expected = F.col("NEXT_CHUNK") + F.col("PREVIOUS_CHUNK"), 2 * (F.col("chunks") - 1)
+    return rows.select(
+        "document_id", "chunks", F.col("BELONGS_TO").alias("belongs_to"), F.col("CONTAINS_MENTION").alias("contains_mention"), expected.alias("expected"), found.alias("found"),
+        "resolved", ((found == expected) & (F.col("resolved") >= 70)).alias("complete"))
