@@ -190,9 +190,12 @@ def proper_nouns(chunks: DataFrame, first: int = 10, most: int = 20) -> DataFram
         grown = F.when(state["after"] & (n > 0), joined).otherwise(F.concat(names, F.array(word)))
         return F.struct(F.when(upper(word) & (F.length(word) > 2), grown).otherwise(names).alias("names"), upper(word).alias("after"))
 
-    rows = chunks.where(F.col("chunk_index") < first).select("document_id", "chunk_index", F.aggregate(words, begin, step, lambda s: s["names"]).alias("names"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "names"))), lambda v: v["names"])
-    return rows.groupBy("document_id").agg(F.slice(F.array_distinct(F.flatten(ordered)), 1, most).alias("nouns"))
+    # an empty word before each chunk, so that no name runs over from the one before
+    rows = chunks.where(F.col("chunk_index") < first).select("document_id", "chunk_index", F.concat(F.array(F.lit("")), words).alias("words"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "words"))), lambda v: v["words"])
+    whole = rows.groupBy("document_id").agg(F.flatten(ordered).alias("words"))
+    names = F.aggregate("words", begin, step, lambda s: s["names"])
+    return whole.select("document_id", F.slice(F.array_distinct(names), 1, most).alias("nouns"))
 
 
 #: Categories, the first whose pattern a lower-cased text holds.

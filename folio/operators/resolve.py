@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import itertools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,6 +113,8 @@ def _groups(names: list[str], kind: str, threshold: float, rules: bool) -> list[
     that can be alike are compared in full.
     """
     low = [n.lower().strip() for n in names]
+    if len(low) == 1:
+        return [0]
     letters, size = _letters(low), np.array([len(n) for n in low])
     initials = [_person(n) for n in low] if rules and kind == "PERSON" else []
     person = np.array([hash((last, first[:1])) if first else i for i, (last, first) in enumerate(initials)])
@@ -149,22 +153,30 @@ def resolve_greedy(mentions: DataFrame, threshold: float = 0.8, rules: bool = Tr
     """
     first = F.min(F.struct("chunk_index", "ordinal")).alias("first")
     names = mentions.groupBy("document_id", "entity_type", "entity_text").agg(first, F.count("*").alias("n"))
-    schema = "document_id long, entity_type string, entity_text string, canonical_name string, group_size long"
-
-    def work(pdf):
-        pdf = pdf.assign(c=[f["chunk_index"] for f in pdf["first"]], o=[f["ordinal"] for f in pdf["first"]]).sort_values(["c", "o", "entity_text"])
-        texts = pdf["entity_text"].tolist()
-        group = _groups(texts, pdf["entity_type"].iloc[0], threshold, rules)
-        chosen: dict[int, str] = {}
-        size: dict[int, int] = {}
-        for name, g, n in zip(texts, group, pdf["n"].tolist()):
-            size[g] = size.get(g, 0) + n
-            if g not in chosen or len(name) > len(chosen[g]):
-                chosen[g] = name
-        return pdf.assign(canonical_name=[chosen[g] for g in group], group_size=[size[g] for g in group])[
-            ["document_id", "entity_type", "entity_text", "canonical_name", "group_size"]]
-
-    grouped = names.groupBy("document_id", "entity_type").applyInPandas(work, schema)
+    keys = ["document_id", "entity_type"]
+    names = names.repartition(*keys).sortWithinPartitions(*keys, "first", "entity_text").select(*keys, "entity_text", "n")
+    out = ["document_id", "entity_type", "entity_text", "canonical_name", "group_size"]
+
+    def work(batches):
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+        held = []
+        for (document, kind), members in itertools.groupby(rows, key=lambda row: row[:2]):
+            _, _, texts, counts = zip(*members)
+            group = _groups(list(texts), kind, threshold, rules)
+            chosen: dict[int, str] = {}
+            size: dict[int, int] = {}
+            for name, g, n in zip(texts, group, counts):
+                size[g] = size.get(g, 0) + n
+                if g not in chosen or len(name) > len(chosen[g]):
+                    chosen[g] = name
+            held += [(document, kind, name, chosen[g], size[g]) for name, g in zip(texts, group)]
+            if len(held) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=out)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=out)
+
+    grouped = names.mapInArrow(work, "document_id long, entity_type string, entity_text string, canonical_name string, group_size long")
     confidence = F.when(F.col("group_size") == 1, 1.0).otherwise(0.8) if rules else F.lit(0.7)
     return grouped.withColumns({"confidence": confidence, "resolution_method": F.when(confidence < 0.9, "fuzzy").otherwise("llm")})
 

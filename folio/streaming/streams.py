@@ -22,22 +22,24 @@ def read_events(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def run(stream: DataFrame, mode: str, name: str) -> DataFrame:
+def run(stream: DataFrame, mode: str, name: str, folder: str | None = None) -> DataFrame:
     """Run a stream until it has read all input, and read what it wrote.
 
-    complete and update results replace or follow each other by batch; append
-    results accumulate.  Offsets and state are kept in the shared folder, so a
-    restarted query goes on where it was.
+    complete results replace each other; append and update results are kept by
+    batch, and a batch that is delivered again replaces itself.  Offsets, state
+    and results are in `folder` (by default a fresh one in the shared folder); a
+    query started again on the same folder goes on where it was.
     """
     spark = stream.sparkSession
-    path, state = shared_path(spark, f"stream-{name}"), shared_path(spark, f"state-{name}")
+    folder = folder or shared_path(spark, f"stream-{name}")
+    path = f"{folder}/result"
 
     def put(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        df.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={batch}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", state).foreachBatch(put).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def windowed(events: DataFrame, length: str, slide: str | None = None, *keys: str) -> DataFrame:
@@ -55,45 +57,79 @@ def first_deliveries(events: DataFrame, keys: list[str], within: str = "1 hour")
 
 
 STATUS = "document_id long, overall_status string, stages_completed string, error_count long, first_us long, last_us long"
+LAST_STAGE = "relationship_building"
+
+
+def overall_status(latest: str, stage: str, done: int) -> str:
+    """The first of PRECEDENCE that holds, for the latest event and the number of stages done."""
+    holds = {
+        "failed": latest == "failed", "cancelled": latest == "cancelled", "retrying": latest == "retrying", "completed": latest == "completed" and stage == LAST_STAGE,
+        "in_progress": done > 0 or latest == "started", "pending": True,
+    }
+    return next(s for s in PRECEDENCE if holds[s])
 
 
 def _fold(key, frames, state: GroupState):
     """Status of one document from all its events so far, whatever their order."""
-    stages, errors, first, last, latest = state.get if state.exists else ("", 0, 1 << 62, 0, "")
+    stages, errors, first, last, last_id, latest, stage = state.get if state.exists else ("", 0, 1 << 62, 0, -1, "", "")
     done = set(filter(None, stages.split(",")))
     for pdf in frames:
-        done |= set(pdf.loc[pdf["status"] == "completed", "stage"])
-        errors += int((pdf["status"] == "failed").sum())
+        done |= set(pdf.loc[pdf["state"] == "completed", "stage"])
+        errors += int((pdf["state"] == "failed").sum())
         first = min(first, int(pdf["us"].min()))
         top = pdf.sort_values(["us", "event_id"]).iloc[-1]
-        if int(top["us"]) >= last:
-            last, latest = int(top["us"]), top["status"]
-    state.update((",".join(sorted(done)), errors, first, last, latest))
-    overall = "failed" if latest == "failed" else "completed" if len(done) == 6 else "in_progress"
-    yield pd.DataFrame([(key[0], overall, ",".join(sorted(done)), errors, first, last)], columns=[c.split()[0] for c in STATUS.split(", ")])
+        if (int(top["us"]), int(top["event_id"])) > (last, last_id):
+            last, last_id, latest, stage = int(top["us"]), int(top["event_id"]), top["state"], top["stage"]
+    state.update((",".join(sorted(done)), errors, first, last, last_id, latest, stage))
+    yield pd.DataFrame([(key[0], overall_status(latest, stage, len(done)), ",".join(sorted(done)), errors, first, last)], columns=[c.split()[0] for c in STATUS.split(", ")])
 
 
 def status_fold(events: DataFrame) -> DataFrame:
-    """Current status by document, kept as state and given out at each change."""
+    """Current status by document, kept as state and given out at each change.
+
+    events has document_id, event_id, ts, stage and state (failed, cancelled,
+    retrying, started or completed).
+    """
     rows = events.withColumn("us", F.unix_micros("ts"))
-    state = "stages string, errors long, first long, last long, latest string"
+    state = "stages string, errors long, first long, last long, last_id long, latest string, stage string"
     return rows.groupBy("document_id").applyInPandasWithState(_fold, STATUS, state, "update", GroupStateTimeout.NoTimeout)
 
 
-def status_of(events: DataFrame) -> DataFrame:
-    """The same fold as a batch query."""
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = events.groupBy("document_id").agg(
-        F.max_by("status", F.struct("ts", "event_id")).alias("latest"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("status") == "completed", F.col("stage")))), ",").alias("stages_completed"),
-        F.countDistinct(F.when(F.col("status") == "completed", F.col("stage"))).alias("n"),
-        F.count_if(F.col("status") == "failed").alias("error_count"), F.min(us).alias("first_us"), F.max(us).alias("last_us"))
-    overall = F.when(F.col("latest") == "failed", "failed").when(F.col("n") == 6, "completed").otherwise("in_progress")
-    return rows.select("document_id", overall.alias("overall_status"), "stages_completed", "error_count", "first_us", "last_us")
+GATE = "document_id long, failures long, last_us long"
+
+
+def _gate(key, frames, state: GroupState):
+    """Failures since the last success of one document; a success resets them."""
+    failures, last, seen = state.get if state.exists else (0, 0, 0)
+    events = pd.concat(frames).sort_values(["us", "event_id"])
+    for status, us in zip(events["status"], events["us"]):
+        if us < seen:
+            continue  # older than what was counted
+        seen = int(us)
+        failures, last = (failures + 1, seen) if status == "failed" else (0, 0) if status == "completed" else (failures, last)
+    state.update((failures, last, seen))
+    yield pd.DataFrame([(key[0], failures, last)], columns=[c.split()[0] for c in GATE.split(", ")])
+
+
+def failure_gate(events: DataFrame) -> DataFrame:
+    """Failures in a row by document and when the last was, as state."""
+    rows = events.withColumn("us", F.unix_micros("ts")).select("document_id", "event_id", "status", "us")
+    return rows.groupBy("document_id").applyInPandasWithState(_gate, GATE, "failures long, last long, seen long", "update", GroupStateTimeout.NoTimeout)
+
+
+def blocked(gates: DataFrame, as_of: DataFrame, least: int = 3, seconds: int = 300) -> DataFrame:
+    """gates with blocked: `least` failures, the last at most `seconds` before as_of (one row)."""
+    fresh = F.col("as_of_us") - F.col("last_us") <= seconds * 1_000_000
+    return gates.join(F.broadcast(as_of)).withColumn("blocked", (F.col("failures") >= least) & fresh).drop("as_of_us")  # one row
+
+
+def streaks(events: DataFrame, gap: str, least: int, *keys: str) -> DataFrame:
+    """Sessions of events no further apart than `gap`, of at least `least`."""
+    rows = events.withWatermark("ts", WATERMARK)
+    found = rows.groupBy(F.session_window("ts", gap).alias("w"), *keys).agg(F.count("*").alias("events"))
+    return found.where(F.col("events") >= least).select(*keys, F.col("w.start").alias("start"), "events")
 
 
-def failure_streaks(events: DataFrame, gap: str, least: int, *keys: str) -> DataFrame:
-    """Sessions of failures no further apart than `gap`, of at least `least`."""
-    rows = events.where("status = 'failed'").withWatermark("ts", WATERMARK)
-    found = rows.groupBy(F.session_window("ts", gap).alias("w"), *keys).agg(F.count("*").alias("failures"))
-    return found.where(F.col("failures") >= least).select(*keys, F.col("w.start").alias("start"), "failures")
+def latest_states(events: DataFrame) -> DataFrame:
+    """A batch's documents with the status of their latest event."""
+    return events.groupBy("batch_id", "document_id").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"), F.min("ts").alias("first"), F.max("ts").alias("last"))
