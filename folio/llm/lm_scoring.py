@@ -44,10 +44,10 @@ WORD = wb.U(1 << 63)
 #: Most frequent words that travel to the tasks; the rest is looked up by a join.
 FREQUENT_WORDS = 1 << 18
 #: Distinct strings that a task counts before it hands them on.
-MEMO = 2_000_000
+MEMO = 1_000_000
 #: Kinds of counts: byte strings, pieces, words of the base, totals.
 GRAM, PIECE, BASE, TOTAL = range(4)
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 WORD_GATES = 40
 #: Steps of the word experts' log2 odds against the bytes, and steps to a bit.
 STEPS, FINENESS = 64, 2
@@ -258,6 +258,24 @@ def _packs(part: np.ndarray, parts: int):
     return order, [(q, a, b) for q, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
 
 
+def _bytes_of(numbers: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane, so that small ones compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers_of(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _keys_packed(keys: np.ndarray) -> bytes:
+    """Sorted keys by their distances."""
+    return _bytes_of(np.diff(keys, prepend=wb.U(0)))
+
+
+def _keys_of(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers_of(data), dtype=np.uint64)
+
+
 COUNTED = "kind int, part int, keys binary, n binary"
 
 
@@ -267,8 +285,8 @@ def _counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBa
         [
             pa.array(kinds, pa.int32()),
             pa.array(parts, pa.int32()),
-            pa.array([x.tobytes() for x in keys], pa.binary()),
-            pa.array([x.astype(np.int64).tobytes() for x in n], pa.binary()),
+            pa.array([_keys_packed(x) for x in keys], pa.binary()),
+            pa.array([_bytes_of(x.astype(np.int64)) for x in n], pa.binary()),
         ],
         names=["kind", "part", "keys", "n"],
     )
@@ -307,7 +325,7 @@ def _tally(parts: int):
             codes, unique = _distinct(keys)
             held[kind].append((unique, np.bincount(codes, weights=weights, minlength=len(unique))))
 
-        for batch in wb.text_chunks(batches, "text"):
+        for batch in wb.text_chunks(batches, "text", CHUNK):
             data, offsets = wb.utf8(batch.column(batch.schema.get_field_index("text")))
             learning = batch.column(batch.schema.get_field_index("learning")).to_numpy(zero_copy_only=False)
             code, first = symbols(data, offsets)
@@ -331,7 +349,7 @@ def _tally(parts: int):
 def _merge(batches):
     """One row for each kind and part, of batches in that order."""
     for (kind, part), table in group_rows(batches, ["kind", "part"]):
-        held = [(np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64)) for k, n in zip(*(table.column(c).to_pylist() for c in ("keys", "n")))]
+        held = [(_keys_of(k), _numbers_of(n).view(np.int64)) for k, n in zip(*(table.column(c).to_pylist() for c in ("keys", "n")))]
         yield _counted([(kind, part, *_sum_up(held))])
 
 
@@ -348,7 +366,7 @@ def tallied(docs: DataFrame) -> tuple[DataFrame, int]:
 def _unpacked(batches):
     for batch in batches:
         for keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("keys", "n"))):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(_keys_of(keys).view(np.int64)), pa.array(_numbers_of(n).view(np.int64))], names=["word", "n"])
 
 
 def words_in(counts: DataFrame, kind: int) -> DataFrame:
@@ -362,7 +380,7 @@ PACKED = "part int, grouped long, keys binary, numbers binary"
 def _pack_words(batches):
     for batch in batches:
         part, keys, n = (batch.column(batch.schema.get_field_index(c)) for c in ("part", "keys", "n"))
-        numbers = [np.frombuffer(x, np.int64).astype(np.float32).tobytes() for x in n.to_pylist()]
+        numbers = [_numbers_of(x).astype(np.float32).tobytes() for x in n.to_pylist()]
         yield pa.RecordBatch.from_arrays([part, pa.nulls(len(part), pa.int64()), keys, pa.array(numbers, pa.binary())], names=["part", "grouped", "keys", "numbers"])
 
 
@@ -401,7 +419,7 @@ def _ask(parts: int):
             {
                 "part": pa.array([q for q, _, _ in places], pa.int32()),
                 "grouped": pa.array([key[0].as_py()] * len(places), pa.int64()),
-                "keys": pa.array([keys[a:b].tobytes() for _, a, b in places], pa.binary()),
+                "keys": pa.array([_keys_packed(keys[a:b]) for _, a, b in places], pa.binary()),
                 "numbers": pa.nulls(len(places), pa.binary()),
             }
         )
@@ -417,13 +435,13 @@ def _answer(batches):
             if q != part:
                 part, table, known = q, [], None
             if grouped is None:
-                table.append((np.frombuffer(keys, np.uint64), np.frombuffer(given, np.float32)))
+                table.append((_keys_of(keys), np.frombuffer(given, np.float32)))
                 continue
             if known is None:
                 known, numbers = (np.concatenate(x) for x in zip(*table)) if table else (np.zeros(0, np.uint64), np.zeros(0, np.float32))
                 order = np.argsort(known)
                 known, numbers, table = np.append(known[order], wb.U(2**64 - 1)), np.append(numbers[order], np.float32(0)), []
-            asked = np.frombuffer(keys, np.uint64)
+            asked = _keys_of(keys)
             at = np.searchsorted(known, asked)
             found = np.where(known[at] == asked, numbers[at], np.float32(0))
             yield pa.RecordBatch.from_arrays(
@@ -511,7 +529,7 @@ def _parts(batches, short: Counts):
     """(part, strings, n, counts) of each part."""
     for batch in batches:
         for part, keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("part", "keys", "n"))):
-            grams, n = np.frombuffer(keys, np.uint64), np.frombuffer(n, np.int64)
+            grams, n = _keys_of(keys), _numbers_of(n).view(np.int64)
             yield part, grams, n, Counts(grams[n > 0], n[n > 0], short)
 
 
@@ -583,7 +601,7 @@ def _costs(model: Model):
         for part, grams, _, counts in _parts(batches, model.short):
             numbers = bit_costs(model.weights, model.refine, counts, grams).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.array([grams.tobytes()]), pa.array([numbers.tobytes()])],
+                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.array([_keys_packed(grams)]), pa.array([numbers.tobytes()])],
                 names=["part", "grouped", "keys", "numbers"],
             )
 
@@ -594,7 +612,7 @@ def _short(batches):
     """gram, n: counts of the strings of SHORT + 1 bytes."""
     for batch in batches:
         for keys, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("keys", "n"))):
-            keys, n = _sum_up([(np.frombuffer(keys, np.uint64) & Counts.mask(SHORT), np.frombuffer(n, np.int64))])
+            keys, n = _sum_up([(_keys_of(keys) & Counts.mask(SHORT), _numbers_of(n).view(np.int64))])
             yield pa.RecordBatch.from_arrays([pa.array(keys[n > 0].astype(np.int64)), pa.array(n[n > 0].astype(np.int64))], names=["gram", "n"])
 
 
