@@ -36,7 +36,7 @@ GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 RATE, STEADY = 0.1, 1000.0
 #: Bytes of text for each part of the count tables.
-PART_BYTES = 16 << 20
+PART_BYTES = 5 << 20
 #: Bytes of text that look up their grams and words together.
 GROUP_BYTES = 6 << 20
 #: Set in the keys of words, to tell them from grams (48 bits) in the lookup table.
