@@ -154,23 +154,23 @@ def chunk_semantic(docs: DataFrame, least: int = 300, most: int = 1500) -> DataF
 
 #: Rule patterns, by type, with their confidence.
 RULES = {
-    "DATE": (r"\b(?:\d{1,2}/\d{1,2}/\d{2,4}|(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4})\b", 0.8),
-    "MONEY": (r"\$[0-9][0-9,]*(?:\.[0-9]{2})?", 0.9),
-    "STATUTE": (r"\b\d+\s+U\.S\.C\.\s+§\s*\d+\b", 0.95),
+    "DATE": (r"(?i)\b(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d{4}\b", 0.8),
+    "MONEY": (r"\$[\d,]+(?:\.\d{2})?", 0.9),
+    "STATUTE": (r"\b\d+\s+U\.S\.C\.\s*§\s*\d+\b", 0.95),
     "EMAIL": (r"[a-z0-9.]+@[a-z0-9.]+", 0.9),
     "ADDRESS": (r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b", 0.9),
 }
 
 
 def rule_entities(chunks: DataFrame, rules: dict = RULES) -> DataFrame:
-    """Mentions by pattern with their place in the chunk."""
+    """Mentions by pattern with their place in chunk_text; other columns are kept."""
     def of(kind: str, pattern: str, confidence: float) -> Column:
         named = lambda v: F.struct(
             F.lit(kind).alias("entity_type"), v["match"].alias("entity_text"), v["start"].alias("start"), v["stop"].alias("stop"), F.lit(confidence).alias("confidence"))
         return F.transform(t.find_all(F.col("chunk_text"), pattern), named)
 
     kinds = [of(kind, *rule) for kind, rule in rules.items()]
-    return chunks.select("document_id", "chunk_index", F.inline(F.concat(*kinds)))
+    return chunks.select(*[c for c in chunks.columns if c != "chunk_text"], F.inline(F.concat(*kinds)))
 
 
 def proper_nouns(chunks: DataFrame, first: int = 10, most: int = 20) -> DataFrame:
@@ -214,17 +214,86 @@ def category(text: Column) -> Column:
     return F.coalesce(*[F.when(F.lower(text).rlike(p), name) for name, p in CATEGORIES.items()], F.lit("document"))
 
 
-#: Fact patterns.
-FACTS = {"allegation": r"(?:alleges|claims|asserts)\s+that\s+[^.]{5,200}", "amount": r"\$[0-9][0-9,.]*[^.]{0,80}", "event": r"\bon\s+\w+\s+\d{1,2},\s+\d{4}[^.]{0,100}", "license": r"(?i)licensed under [^.\n]{3,80}"}
+#: Fact patterns with their groups, in this order.
+FACTS = {
+    "allegation": (r"(?is)(plaintiff|petitioner)\s+alleges?\s+that\s+(.+?)(?:\.|;|,\s+and)", 2),
+    "amount": (r"(?is)amount\s+of\s+\$?([\d,]+\.?\d*)", 1),
+    "event": (r"(?is)on\s+or\s+about\s+(.+?),?\s+(.+?)(?:\.|;|,)", 2),
+    "legal_basis": (r"(?is)pursuant\s+to\s+(.+?)(?:\.|;|,)", 1),
+}
+
+
+def key_facts(rows: DataFrame, facts: dict = FACTS, most: int = 10, related: int = 5) -> DataFrame:
+    """At most `most` stated facts of a text, in the order of the patterns, with
+    the first `related` of the row's entities that a fact names.
+
+    rows has text and entities (an array of names); its other columns are kept.
+    """
+    def of(kind: str, pattern: str, groups: int) -> Column:
+        found = [F.regexp_extract_all("text", F.lit(pattern), F.lit(g)) for g in range(1, groups + 1)]
+        said = found[0] if groups == 1 else F.zip_with(found[0], found[1], lambda a, z: F.concat_ws(" ", a, z))
+        return F.transform(said, lambda v: F.struct(F.lit(kind).alias("fact_type"), t.strip(v).alias("fact")))
+
+    named = lambda fact: F.filter("entities", lambda e: F.lower(fact).contains(F.lower(e)))
+    found = F.slice(F.concat(*[of(kind, *fact) for kind, fact in facts.items()]), 1, most)
+    rest = [c for c in rows.columns if c not in ("text", "entities")]
+    out = rows.select(*rest, "entities", F.posexplode(found).alias("position", "f"))
+    return out.select(*rest, "position", "f.fact_type", F.substring("f.fact", 1, 500).alias("fact"), F.slice(named(F.col("f.fact")), 1, related).alias("related"))
+
+
+#: Words that hint at a document's type, and patterns of jurisdictions, in order.
+TYPE_HINTS = {
+    "contract": ("agreement", "contract", "terms", "conditions"),
+    "complaint": ("complaint", "plaintiff", "defendant", "alleges"),
+    "motion": ("motion", "move", "request", "order"),
+    "letter": ("dear", "sincerely", "regards", "letter"),
+}
+JURISDICTIONS = (r"(?i)(United States District Court)", r"(?i)(State of \w+)", r"(?i)(County of \w+)", r"(?i)(\w+ Circuit)")
+NUMERIC_DATE = r"\d{1,2}[-/]\d{1,2}[-/]\d{2,4}"
+NAMED_DATE = r"(?i)(January|February|March|April|May|June|July|August|September|October|November|December)\s+(\d{1,2}),?\s+(\d{4})"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
+def dates_in(text: Column) -> Column:
+    """Sorted different dates of a text: month first unless that is over 12, and
+    two-digit years from 1969 to 2068."""
+    def date(y: Column, m: Column, d: Column) -> Column:
+        return F.format_string("%04d-%02d-%02d", y, m, d).try_cast("date")
+
+    def numeric(v: Column) -> Column:
+        part = F.split(v, "[-/]")
+        a, b, y = (part[i].cast("int") for i in range(3))
+        year = F.when(F.length(part[2]) == 4, y).when(F.length(part[2]) == 2, y + F.when(y < 69, 2000).otherwise(1900))
+        return F.when(year.isNotNull(), date(year, F.when(a > 12, b).otherwise(a), F.when(a > 12, a).otherwise(b)))
+
+    def named(v: Column) -> Column:
+        group = lambda i: F.regexp_extract(v, NAMED_DATE, i)
+        month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(group(1), 1, 3)))
+        return date(group(3).cast("int"), month, group(2).cast("int"))
+
+    every = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(F.transform(every(NUMERIC_DATE), numeric), F.transform(every(NAMED_DATE), named)))))
+
+
+def metadata(rows: DataFrame) -> DataFrame:
+    """rows with the dates, the type hint and the jurisdiction of their text."""
+    text, low = F.col("text"), F.lower("text")
+    hint = F.coalesce(*[F.when(low.rlike("|".join(words)), kind) for kind, words in TYPE_HINTS.items()])
+    court = F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in JURISDICTIONS])
+    return rows.withColumns({"dates": dates_in(text), "document_type": hint, "jurisdiction": court}).drop("text")
+
 
+#: What the fallback looks for.
+FALLBACK = {"dates": r"\b\d{1,2}[-/]\d{1,2}[-/]\d{2,4}\b", "amounts": r"\$[\d,]+\.?\d*", "case_numbers": r"\b\d{2,}-\w+-\d{4,}\b|\bCase No\.\s*\d+\b"}
 
-def key_facts(docs: DataFrame, most: int = 10) -> DataFrame:
-    """At most `most` stated facts of a text, in the order of the patterns."""
-    def of(kind: str, pattern: str) -> Column:
-        return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), lambda v: F.struct(F.lit(kind).alias("fact_type"), F.substring(v, 1, 500).alias("fact")))
 
-    found = F.concat(*[of(k, p) for k, p in FACTS.items()])
-    return docs.select("doc_id", F.posexplode(F.slice(found, 1, most)).alias("position", "f")).select("doc_id", "position", "f.*")
+def fallback_structured(rows: DataFrame) -> DataFrame:
+    """rows with dates, amounts and case numbers of their text (arrays, in order),
+    the first date and case number, and the number of capitalised words."""
+    every = lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0))
+    names = F.filter(every(WORD), lambda w: w.rlike(r"^\p{Lu}") & (F.length(w) > 2))
+    found = rows.withColumns({k: every(p) for k, p in FALLBACK.items()} | {"names": F.size(names)}).drop("text")
+    return found.withColumns({"date": F.get("dates", F.lit(0)), "case_number": F.get("case_numbers", F.lit(0))})
 
 
 #: Anomalies of recognised texts and their severity.

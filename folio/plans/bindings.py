@@ -62,9 +62,21 @@ CTE = {
         l_shipdate as updated_at from lineitem)""",
     "files": """files as (select page_id as file_id, url as path, sha256(html) as content_hash, length(html) as size,
         regexp_extract(url, '://([^/?#]*)', 1) as host from pages)""",
+    "letters": """letters as (select letter_id, customer, vendor, place, day, case letter_id % 4
+        when 0 then 'AGREEMENT dated ' || day || chr(10) || 'Contract between ' || customer || ' and ' || vendor || ' under the laws of the State of ' || place || '. The amount of $' || amount
+            || ' is due, pursuant to Section 5 of the terms; see Case No. ' || letter_id || '.'
+        when 1 then 'COMPLAINT of ' || day || chr(10) || 'The plaintiff alleges that ' || customer || ' owes ' || vendor || ' the amount of $' || amount || '. On or about the first day, ' || customer || ' paid $'
+            || amount || ' to ' || vendor || '. See 12-cv-' || (10000 + letter_id % 1000) || ', United States District Court.'
+        when 2 then 'Dear Sir, ' || customer || ' works for ' || vendor || ' based in ' || place || ', County of Kings. ' || customer || ' joined on ' || day || '. Sincerely'
+        else customer || ' v. ' || vendor || ', 42 U.S.C. § 1983, in the Ninth Circuit' || chr(10) || 'The motion was filed on ' || day || ' by counsel.' end as text
+        from (select o_orderkey as letter_id, 'Customer' || o_custkey as customer, 'Vendor' || (o_orderkey % 97) as vendor, 'Ohio' as place,
+            case o_orderkey % 4 when 0 then month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) when 2 then month(o_orderdate) || '-' || day(o_orderdate) || '-' || year(o_orderdate)
+            else monthname(o_orderdate) || ' ' || day(o_orderdate) || ', ' || year(o_orderdate) end as day,
+            cast(round(o_totalprice * 100) as bigint) // 100 || '.' || lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as varchar), 2, '0') as amount from orders))""",
+    "writings": """writings as (select 'document' as kind, doc_id as id, text from documents where text is not null union all select 'letter', letter_id, text from letters)""",
     "turns": "turns as (select conv_id as document_id, turn as chunk_index, role, text from conversations)",
 }
-_NEEDS = {"mentions": ["chunks"], "scored": ["chunks", "mentions"]}
+_NEEDS = {"mentions": ["chunks"], "scored": ["chunks", "mentions"], "writings": ["letters"]}
 
 
 def sql(names: str, body: str) -> str:
@@ -158,3 +170,29 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     return c.select(F.col("conv_id").alias("document_id"), F.col("turn").alias("chunk_index"), "role", "text")
+
+
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short legal letter told from each order, with the names that stand in it."""
+    o, key = table(spark, sf_dir, "orders"), F.col("letter_id")
+    cents, date, on = F.round(F.col("o_totalprice") * 100).cast("long"), F.col("o_orderdate"), F.col("o_orderkey") % 4
+    parts = [F.month(date).cast("string"), F.day(date).cast("string"), F.year(date).cast("string")]
+    day = F.when(on == 0, F.concat_ws("/", *parts)).when(on == 2, F.concat_ws("-", *parts)).otherwise(F.date_format(date, "MMMM d, yyyy"))
+    amount = F.concat_ws(".", F.floor(cents / 100).cast("string"), F.lpad((cents % 100).cast("string"), 2, "0"))
+    rows = o.select(
+        F.col("o_orderkey").alias("letter_id"), F.concat(F.lit("Customer"), "o_custkey").alias("customer"), F.concat(F.lit("Vendor"), F.col("o_orderkey") % 97).alias("vendor"),
+        F.lit("Ohio").alias("place"), day.alias("day"), amount.alias("amount"))
+    agreement = F.concat(F.lit("AGREEMENT dated "), "day", F.lit("\nContract between "), "customer", F.lit(" and "), "vendor", F.lit(" under the laws of the State of "), "place",
+        F.lit(". The amount of $"), "amount", F.lit(" is due, pursuant to Section 5 of the terms; see Case No. "), key, F.lit("."))
+    complaint = F.concat(F.lit("COMPLAINT of "), "day", F.lit("\nThe plaintiff alleges that "), "customer", F.lit(" owes "), "vendor", F.lit(" the amount of $"), "amount", F.lit(". On or about the first day, "),
+        "customer", F.lit(" paid $"), "amount", F.lit(" to "), "vendor", F.lit(". See 12-cv-"), 10000 + key % 1000, F.lit(", United States District Court."))
+    letter = F.concat(F.lit("Dear Sir, "), "customer", F.lit(" works for "), "vendor", F.lit(" based in "), "place", F.lit(", County of Kings. "), "customer", F.lit(" joined on "), "day", F.lit(". Sincerely"))
+    motion = F.concat("customer", F.lit(" v. "), "vendor", F.lit(", 42 U.S.C. § 1983, in the Ninth Circuit\nThe motion was filed on "), "day", F.lit(" by counsel."))
+    text = F.when(key % 4 == 0, agreement).when(key % 4 == 1, complaint).when(key % 4 == 2, letter).otherwise(motion)
+    return rows.select("letter_id", "customer", "vendor", "place", "day", text.alias("text"))
+
+
+def writings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and letters."""
+    documents = table(spark, sf_dir, "documents").where("text is not null").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
+    return documents.unionByName(letters(spark, sf_dir).select(F.lit("letter").alias("kind"), F.col("letter_id").alias("id"), "text"))

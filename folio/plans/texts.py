@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from folio.functions import text as t
 from folio.operators import chunking as c
 from folio.operators import extract as x
+from folio.operators import checks as q
 from folio.operators import metrics as m
 from folio.plans import bindings as b
 from folio.plans.bindings import sql
@@ -168,9 +171,16 @@ def ocr_validation(spark, d):
     return x.quality_scores(_marked(spark, d)).select("doc_id", "passed", F.array_join("advice", "; ").alias("advice"))
 
 
-@query("extract_rule_entities")
+#: Matches of a rule, and where they start: behind what stands between the ones before.
+_RULED = " union all ".join(f"""select kind, id, '{k}' as entity_type, {confidence} as confidence, regexp_extract_all(text, '{p}') as m, string_split_regex(text, '{p}') as between from writings"""
+    for k, (p, confidence) in x.RULES.items())
+
+
+@query("extract_rule_entities", sql("writings", f""", r as ({_RULED}), p as (select *, unnest(range(1, len(m) + 1)) as i from r),
+    s as (select *, cast(list_sum(list_transform(between[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) as bigint) as start from p)
+    select kind, id, entity_type, m[i] as entity_text, start, start + length(m[i]) as stop, confidence from s"""))
 def extract_rule_entities(spark, d):
-    return x.rule_entities(b.chunks(spark, d)).select("document_id", "chunk_index", "entity_type", "entity_text", "start", "stop", "confidence")
+    return x.rule_entities(b.writings(spark, d).withColumnRenamed("text", "chunk_text"))
 
 
 @query("extract_proper_nouns")
@@ -178,25 +188,51 @@ def extract_proper_nouns(spark, d):
     return x.proper_nouns(b.chunks(spark, d))
 
 
-@query("extract_fallback_structured", """select doc_id, len(regexp_extract_all(text, '[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}')) as addresses,
-    len(regexp_extract_all(text, '[a-z0-9.]+@[a-z0-9.]+')) as emails, len(regexp_extract_all(text, '[0-9]{8,}')) as numbers from documents""")
+_ALL = ", ".join(f"regexp_extract_all(text, '{p}') as {k}" for k, p in x.FALLBACK.items())
+
+
+@query("extract_fallback_structured", sql("writings", f""", f as (select kind, id, {_ALL}, len(list_filter(regexp_extract_all(text, '{x.WORD}'), lambda w: regexp_matches(w, '^\\p{{Lu}}') and length(w) > 2)) as names from writings)
+    select kind, id, names, dates[1] as date, case_numbers[1] as case_number, array_to_string(dates, ';') as dates, array_to_string(amounts, ';') as amounts, array_to_string(case_numbers, ';') as case_numbers from f"""))
 def extract_fallback_structured(spark, d):
-    n = lambda p: F.size(F.regexp_extract_all("text", F.lit(p), F.lit(0)))
-    return _docs(spark, d).select("doc_id", n(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}").alias("addresses"), n(r"[a-z0-9.]+@[a-z0-9.]+").alias("emails"), n("[0-9]{8,}").alias("numbers"))
+    rows = x.fallback_structured(b.writings(spark, d))
+    return rows.select("kind", "id", "names", "date", "case_number", *[F.array_join(k, ";").alias(k) for k in x.FALLBACK])
+
+
+_HINT = "case " + " ".join(f"when regexp_matches(lower(text), '{'|'.join(words)}') then '{k}'" for k, words in x.TYPE_HINTS.items()) + " end"
+_COURT = "coalesce(" + ", ".join(f"nullif(regexp_extract(text, '{p}', 1), '')" for p in x.JURISDICTIONS) + ")"
 
 
-@query("extract_metadata", """select doc_id, nullif(regexp_extract(text, '[a-z0-9.]+@[a-z0-9.]+'), '') as contact,
-    case when contains(lower(text), 'licen') then 'license' when contains(text, ' | ') then 'table' when contains(text, '@') then 'contact' else 'prose' end as hint from documents""")
+@query("extract_metadata", sql("writings", f""", p as (select kind, id, text, list_transform(regexp_extract_all(text, '{x.NUMERIC_DATE}'), lambda v: string_split(replace(v, '-', '/'), '/')) as numeric,
+    regexp_extract_all(text, '{x.NAMED_DATE}') as named from writings),
+    k as (select *, list_transform(list_filter(numeric, lambda v: length(v[3]) <> 3), lambda v: [case when length(v[3]) = 4 then cast(v[3] as integer) when cast(v[3] as integer) < 69 then 2000 + cast(v[3] as integer)
+        else 1900 + cast(v[3] as integer) end, case when cast(v[1] as integer) > 12 then cast(v[2] as integer) else cast(v[1] as integer) end, case when cast(v[1] as integer) > 12 then cast(v[1] as integer) else cast(v[2] as integer) end])
+        || list_transform(named, lambda v: [cast(regexp_extract(v, '{x.NAMED_DATE}', 3) as integer), list_position({list(x.MONTHS)}, lower(substring(v, 1, 3))), cast(regexp_extract(v, '{x.NAMED_DATE}', 2) as integer)]) as parts from p)
+    select kind, id, array_to_string(list_sort(list_distinct(list_filter(list_transform(parts, lambda v: cast(try_cast(printf('%04d-%02d-%02d', v[1], v[2], v[3]) as date) as varchar)), lambda v: v is not null))), ',') as dates,
+    {_HINT} as document_type, {_COURT} as jurisdiction from k"""))
 def extract_metadata(spark, d):
-    contact = F.regexp_extract("text", r"[a-z0-9.]+@[a-z0-9.]+", 0)
-    text = F.col("text")
-    hint = F.when(F.lower(text).contains("licen"), "license").when(text.contains(" | "), "table").when(text.contains("@"), "contact").otherwise("prose")
-    return _docs(spark, d).select("doc_id", F.when(contact != "", contact).alias("contact"), hint.alias("hint"))
+    return x.metadata(b.writings(spark, d)).withColumn("dates", F.array_join(F.transform("dates", lambda v: v.cast("string")), ","))
+
+
+#: Names that facts may be about: letters' parties and addresses.
+_PARTY = "[A-Z][a-z]+[0-9]+|[a-z0-9.]+@[a-z0-9.]+"
+
+
+def _facts_sql(facts) -> str:
+    """A list of (type, fact) of all patterns."""
+    said = lambda p, n: f"regexp_extract_all(text, '{p}', 1)" if n == 1 else f"list_transform(list_zip(regexp_extract_all(text, '{p}', 1), regexp_extract_all(text, '{p}', 2)), lambda v: v[1] || ' ' || v[2])"
+    return " || ".join(f"list_transform({said(*fact)}, lambda v: ['{k}', regexp_replace(v, '^\\s+|\\s+$', '', 'g')])" for k, fact in facts.items())
+
+
+#: The tables' own kind of fact, beside the operator's.
+_ALL_FACTS = x.FACTS | {"license": (r"(?i)licensed under ([^.\n]{3,80})", 1)}
 
 
-@query("extract_key_facts")
+@query("extract_key_facts", sql("writings", f""", f as (select kind, id, regexp_extract_all(text, '{_PARTY}') as entities, ({_facts_sql(_ALL_FACTS)})[1:10] as found from writings),
+    p as (select kind, id, entities, unnest(found) as v, generate_subscripts(found, 1) - 1 as position from f)
+    select kind, id, position, v[1] as fact_type, substring(v[2], 1, 500) as fact, array_to_string(list_filter(entities, lambda e: contains(lower(v[2]), lower(e)))[1:5], ',') as related from p"""))
 def extract_key_facts(spark, d):
-    return x.key_facts(_docs(spark, d).select("doc_id", "text"))
+    rows = b.writings(spark, d).withColumn("entities", F.regexp_extract_all("text", F.lit(_PARTY), F.lit(0)))
+    return x.key_facts(rows, _ALL_FACTS).withColumn("related", F.array_join("related", ","))
 
 
 _CATEGORY = "case " + " ".join(f"when regexp_matches(lower(text), '{p}') then '{k}'" for k, p in x.CATEGORIES.items()) + " else 'document' end"
@@ -243,11 +279,12 @@ def extraction_completeness(spark, d):
     return v.withColumn("label", label)
 
 
-_FACT = "|".join(x.FACTS[k] for k in ("allegation", "amount", "event"))
+_FACT = [p for p, _ in _ALL_FACTS.values()]
+_HAS_FACT = " or ".join(f"regexp_matches(text, '{p}')" for p in _FACT)
 
 
 @query("extraction_completeness_score", sql("scored", f""", e as (select document_id, count(*) as entities, count(distinct canonical_id) as names from scored group by 1)
-    select doc_id, case when regexp_matches(text, '{_FACT}') or regexp_matches(text, '{x.FACTS["license"]}') then 0.3 else 0.0 end + case when coalesce(entities, 0) > 0 then 0.4 else 0.0 end
+    select doc_id, case when {_HAS_FACT} then 0.3 else 0.0 end + case when coalesce(entities, 0) > 0 then 0.4 else 0.0 end
     + case when coalesce(names, 0) > 1 then 0.2 else 0.0 end + case when {_CATEGORY} <> 'document' then 0.1 else 0.0 end as score from documents left join e on document_id = doc_id"""))
 def extraction_completeness_score(spark, d):
     """0.3 for facts, 0.4 for entities, 0.2 for relations (two entities that occur
@@ -256,7 +293,7 @@ def extraction_completeness_score(spark, d):
     rows = _docs(spark, d).join(e, "doc_id", "left")
     text = F.col("text")
     part = lambda on, value: F.when(on, value).otherwise(0.0)
-    facts = text.rlike(_FACT) | text.rlike(x.FACTS["license"])
+    facts = reduce(lambda a, z: a | z, [text.rlike(p) for p in _FACT])
     score = part(facts, 0.3) + part(F.col("entities") > 0, 0.4) + part(F.col("names") > 1, 0.2) + part(x.category(text) != "document", 0.1)
     return rows.select("doc_id", score.alias("score"))
 
@@ -277,34 +314,46 @@ def resolution_accuracy(spark, d):
         "resolved", "clusters", "shared", "avg_size", "conflicts", F.least(F.lit(100.0), F.greatest(F.lit(0.0), score)).alias("score"))
 
 
-_CONSISTENT = """, c as (select document_id, max(char_end) as covered, count(*) as chunks from chunks group by 1), e as (select distinct document_id from mentions),
-    r as (select doc_id, n_chars, coalesce(covered, 0) as covered, abs(coalesce(covered, 0) - length(text)) * 10 <= length(text) as near, c.chunks is not null as chunked,
-    e.document_id is not null as found, l.doc_id is not null as labelled from documents d left join c on c.document_id = d.doc_id left join e on e.document_id = d.doc_id
-    left join (select distinct doc_id from labels) l using (doc_id)),
-    v as (select doc_id, near, 50 + 50 * (cast(chunked as integer) + cast(found as integer) + cast(labelled as integer)) / 3.0 as completeness from r)"""
+_CONSISTENT = """, c as (select document_id, count(*) as chunks, sum(length(chunk_text)) as size from chunks group by 1),
+    e as (select s.document_id, count(*) as mentions, count(*) filter (where c.chunk_index is null) as lost, count(*) filter (where confidence >= 70) as resolved
+        from scored s left join chunks c on c.document_id = s.document_id and c.chunk_index = s.chunk_index group by 1),
+    r as (select doc_id, coalesce(length(text), 0) as size, c.size as chunk_size, coalesce(length(text), 0) > 0 as has_text, c.chunks is not null as has_chunks, e.mentions is not null as has_entities,
+        coalesce(e.resolved, 0) > 0 as has_resolution, e.lost from documents d left join c on c.document_id = d.doc_id left join e on e.document_id = d.doc_id),
+    k as (select *, case when has_text and has_chunks then abs(size - chunk_size) * 10 < size end as near, case when has_chunks and has_entities then lost = 0 end as placed, case when has_entities and has_resolution then true end as known from r),
+    v as (select *, 12.5 * (cast(has_text as integer) + cast(has_chunks as integer) + cast(has_entities as integer) + cast(has_resolution as integer))
+        + coalesce(50.0 * (coalesce(cast(near as integer), 0) + coalesce(cast(placed as integer), 0) + coalesce(cast(known as integer), 0))
+        / nullif(cast(near is not null as integer) + cast(placed is not null as integer) + cast(known is not null as integer), 0), 0) as completeness,
+        coalesce(near, placed, known) is not null and coalesce(near, true) and coalesce(placed, true) and coalesce(known, true) as consistent,
+        array_to_string(list_filter([case when not has_text then 'no source_document' end, case when not has_chunks then 'no chunks' end, case when not has_entities then 'no entities' end, case when not has_resolution then 'no resolution' end,
+        case when not near then 'source_to_chunks' end, case when not placed then 'chunks_to_entities' end, case when not known then 'entities_to_resolution' end], lambda i: i is not null), ';') as issues from k)"""
 
 
 def _consistency(spark, d):
-    chunks = b.chunks(spark, d).groupBy(F.col("document_id").alias("doc_id")).agg(F.max("char_end").alias("covered"))
-    found = b.mentions(spark, d).select(F.col("document_id").alias("doc_id")).distinct().withColumn("found", F.lit(1))
-    labels = table(spark, d, "labels").select("doc_id").distinct().withColumn("labelled", F.lit(1))
-    rows = _docs(spark, d).select("doc_id", F.length("text").alias("size")).join(chunks, "doc_id", "left").join(found, "doc_id", "left").join(labels, "doc_id", "left")
-    one = lambda c: F.when(F.col(c).isNotNull(), 1).otherwise(0)
-    near = F.abs(F.coalesce("covered", F.lit(0)) - F.col("size")) * 10 <= F.col("size")
-    return rows.select("doc_id", near.alias("near"), (50 + 50 * (one("covered") + one("found") + one("labelled")) / 3.0).alias("completeness"))
+    """Mentions of 70 or more confidence count as resolved."""
+    found = b.scored(spark, d)
+    named = found.select("document_id", "chunk_index", F.concat_ws(":", "chunk_index", "entity_type", "ordinal").alias("mention"), "confidence")
+    return q.consistency(_docs(spark, d).select("doc_id", "text"), b.chunks(spark, d), named, named.where("confidence >= 70"))
 
 
-@query("data_consistency", sql("mentions", _CONSISTENT + " select doc_id, near, completeness from v"))
+@query("data_consistency", sql("scored", _CONSISTENT + " select doc_id, consistent, completeness, issues from v"))
 def data_consistency(spark, d):
-    return _consistency(spark, d)
+    return _consistency(spark, d).select("doc_id", "consistent", "completeness", F.array_join("issues", ";").alias("issues"))
 
 
-@query("e2e_validation", sql("mentions", _CONSISTENT + " select near and completeness >= 85 as passed, count(*) as documents from v group by 1"))
+@query("e2e_validation", sql("tasks scored", _CONSISTENT + """, t as (select document_id, max_by(stage, event_id) as stage, max_by(status, event_id) as status, max_by(k, event_id) as minutes from tasks group by 1),
+    j as (select doc_id, completeness, coalesce(status, 'unknown') as status, stage, coalesce(minutes, 0) as minutes from v left join t on t.document_id = doc_id),
+    i as (select *, list_filter([case when status <> 'completed' then 'not completed: ' || status end, case when status = 'failed' then 'failed stages: ' || stage end,
+    case when completeness < 85 then 'low consistency' end, case when minutes > 30 then 'took too long' end], lambda y: y is not null) as found from j)
+    select doc_id, len(found) = 0 as passed, array_to_string(found, ';') as issues from i"""))
 def e2e_validation(spark, d):
-    return _consistency(spark, d).groupBy((F.col("near") & (F.col("completeness") >= 85)).alias("passed")).agg(F.count("*").alias("documents"))
+    """A document's status is that of its last task, whose key stands for its minutes."""
+    last = lambda c: F.max_by(c, "event_id").alias(c)
+    runs = b.tasks(spark, d).groupBy(F.col("document_id").alias("doc_id")).agg(last("stage"), last("status"), last("k"))
+    rows = q.validate_flow(_consistency(spark, d), runs.withColumnRenamed("k", "minutes"))
+    return rows.select("doc_id", "passed", F.array_join("issues", ";").alias("issues"))
 
 
-@query("document_fitness", sql("mentions", _CONSISTENT + """ select case when completeness > 95 then 'EXCELLENT' when completeness > 80 then 'GOOD' when completeness > 60 then 'FAIR' else 'POOR' end as fitness,
+@query("document_fitness", sql("scored", _CONSISTENT + """ select case when completeness > 95 then 'EXCELLENT' when completeness > 80 then 'GOOD' when completeness > 60 then 'FAIR' else 'POOR' end as fitness,
     count(*) as documents from v group by 1"""))
 def document_fitness(spark, d):
     level = F.when(F.col("completeness") > 95, "EXCELLENT").when(F.col("completeness") > 80, "GOOD").when(F.col("completeness") > 60, "FAIR").otherwise("POOR")
