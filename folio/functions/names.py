@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.operators.resolve import SUFFIXES
+from folio.operators.resolve import SUFFIXES, name_likeness
 
 
 def is_generic(name: Column, terms: tuple[str, ...], most: int) -> Column:
@@ -47,11 +48,22 @@ def naming_issues(files: DataFrame) -> DataFrame:
     return files.select("file_id", F.array_join(F.array_compact(F.array(*[F.when(mark, F.lit(k)) for k, mark in marks.items()])), ",").alias("issues"))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """1 if equal, 0.9 if one contains the other, else by edit distance."""
-    a, b = F.lower(a), F.lower(b)
+@F.pandas_udf("double")
+def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else name_likeness(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def similarity(a: Column, b: Column, ratio: bool = False) -> Column:
+    """1 if equal, 0.9 if one contains the other, else the larger of 0.8 of the
+    words in common and the edit distance's (with `ratio`: the matching ratio's,
+    which takes a Python worker) likeness."""
+    if ratio:
+        return _likeness(a, b)
+    a, b = F.lower(F.trim(a)), F.lower(F.trim(b))
     edit = 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
-    return F.when(a == b, 1.0).when(a.contains(b) | b.contains(a), 0.9).otherwise(edit)
+    words = lambda c: F.array_distinct(F.split(c, r"\s+"))
+    shared = 0.8 * F.size(F.array_intersect(words(a), words(b))) / F.greatest(F.size(words(a)), F.size(words(b)))
+    return F.when(a == b, 1.0).when(a.contains(b) | b.contains(a), 0.9).otherwise(F.greatest(edit, shared))
 
 
 def _person(name: Column) -> tuple[Column, Column]:

@@ -51,7 +51,7 @@ def simple_markdown(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\n\s*\n"), mark), "\n\n")
 
 
-def find_all(text: Column, pattern: str) -> Column:
+def find_all(text: Column, pattern: str | Column) -> Column:
     """Array of (match, start, end) from left to right, starts from 0."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<match:string,start:int,stop:int>>").alias("found"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.functions.text import find_all, strip
+
 
 def cooccurrence(mentions: DataFrame) -> DataFrame:
     """CO_OCCURS edges between the distinct canonicals of a document (a < b)."""
@@ -48,35 +50,87 @@ def best_edges(edges: DataFrame, confidence: str = "confidence") -> DataFrame:
     return best.select(*keys, "_best.*")
 
 
-#: Phrases between two entities and the edge they state.
-PATTERNS = {
-    "WORKS_FOR": "works for|employed by|employee of",
-    "REPRESENTS": "represents|attorney for|counsel for",
-    "LOCATED_IN": "located in|based in|headquartered in",
-    "OWNS": "owns|owner of|acquired",
-    "SIGNED": "signed|executed|entered into",
+#: Templates of stated relationships, their type and confidence.
+PATTERNS = (
+    (r"{entity1}\s+(?:v\.?|versus|against)\s+{entity2}", "OPPOSING_PARTY", 0.9),
+    (r"{entity1}.*?(?:plaintiff|petitioner|claimant).*?{entity2}.*?(?:defendant|respondent)", "PLAINTIFF_V_DEFENDANT", 0.85),
+    (r"{entity2}.*?(?:defendant|respondent).*?{entity1}.*?(?:plaintiff|petitioner|claimant)", "PLAINTIFF_V_DEFENDANT", 0.85),
+    (r"{entity1}\s+(?:represents?|represented\s+by|counsel\s+for)\s+{entity2}", "REPRESENTS", 0.8),
+    (r"{entity2}\s+(?:represented\s+by|retained)\s+{entity1}", "REPRESENTS", 0.8),
+    (r"{entity1}\s+(?:is|was|serves?\s+as)\s+(?:an?\s+)?(?:employee|officer|director)\s+(?:of|at)\s+{entity2}", "EMPLOYED_BY", 0.85),
+    (r"{entity1}\s+(?:works?|worked)\s+(?:for|at)\s+{entity2}", "EMPLOYED_BY", 0.8),
+    (r"{entity1}\s+(?:is|was)\s+(?:a\s+)?(?:subsidiary|division|unit)\s+of\s+{entity2}", "SUBSIDIARY_OF", 0.9),
+    (r"{entity1}\s+(?:owns?|owned|acquired)\s+{entity2}", "OWNS", 0.85),
+    (r"{entity1}\s+(?:located|based|headquartered)\s+(?:in|at)\s+{entity2}", "LOCATED_IN", 0.8),
+    (r"{entity1}.*?(?:a\s+)?{entity2}\s+(?:corporation|company|entity)", "INCORPORATED_IN", 0.75),
+    (r"{entity1}\s+(?:entered\s+into|signed|executed)\s+(?:a\s+)?(?:contract|agreement)\s+with\s+{entity2}", "CONTRACT_WITH", 0.85),
+    (r"(?:contract|agreement)\s+between\s+{entity1}\s+and\s+{entity2}", "CONTRACT_WITH", 0.9),
+    (r"{entity1}\s+(?:paid|pays|owed|owes)\s+.*?\s+to\s+{entity2}", "FINANCIAL_TRANSACTION", 0.8),
+    (r"{entity2}\s+(?:received|receives)\s+.*?\s+from\s+{entity1}", "FINANCIAL_TRANSACTION", 0.8),
+    (r"{entity1}.*?(?:on|dated?)\s+{entity2}", "OCCURRED_ON", 0.7),
+    (r"{entity1}.*?(?:filed|submitted|served).*?{entity2}", "FILED_ON", 0.75),
+)
+#: Types that a relationship may join; ANY lets every pair pass.
+TYPES_OF = {
+    "OPPOSING_PARTY": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "ORG")),
+    "PLAINTIFF_V_DEFENDANT": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "ORG")),
+    "REPRESENTS": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "PERSON"), ("ORG", "ORG")),
+    "EMPLOYED_BY": (("PERSON", "ORG"),),
+    "SUBSIDIARY_OF": (("ORG", "ORG"),),
+    "OWNS": (("PERSON", "ORG"), ("ORG", "ORG")),
+    "LOCATED_IN": (("PERSON", "LOCATION"), ("ORG", "LOCATION")),
+    "INCORPORATED_IN": (("ORG", "LOCATION"),),
+    "CONTRACT_WITH": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "ORG")),
+    "FINANCIAL_TRANSACTION": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "ORG")),
+    "OCCURRED_ON": (("ANY", "DATE"),),
+    "FILED_ON": (("PERSON", "DATE"), ("ORG", "DATE")),
+}
+#: Words near a match, each of which adds 0.05.
+BOOSTS = {
+    "OPPOSING_PARTY": ("plaintiff", "defendant", "petitioner", "respondent", "lawsuit"),
+    "REPRESENTS": ("attorney", "lawyer", "counsel", "law firm", "representation"),
+    "EMPLOYED_BY": ("employee", "worked", "position", "title", "department"),
+    "CONTRACT_WITH": ("agreement", "contract", "terms", "obligations", "parties"),
+    "FINANCIAL_TRANSACTION": ("paid", "payment", "invoice", "amount", "dollars", "$"),
 }
 
 
-def pattern_edges(chunks: DataFrame, entities: DataFrame, patterns: dict[str, str] = PATTERNS, reach: int = 40) -> DataFrame:
-    """Edges stated in a chunk: name, within `reach` characters a phrase, name.
+def _allowed(kind: str, pairs=TYPES_OF) -> Column:
+    if any("ANY" in pair for pair in pairs[kind]):
+        return F.lit(True)
+    return F.concat_ws(",", "type1", "type2").isin(*[",".join(pair) for pair in pairs[kind]])
+
+
+def pattern_edges(chunks: DataFrame, entities: DataFrame, least: float = 0.7, around: int = 50, apart: int = 100) -> DataFrame:
+    """Relationships stated in chunks, the most confident of each source, target
+    and type in a chunk, with what stands `around` the match.
 
     chunks has document_id, chunk_index, chunk_text; entities has document_id,
-    canonical_id, name.  Only pairs whose names both occur in a chunk are looked
-    at, and a pair's text is the piece from the first name to the second.
+    entity_id, entity_type and a name, a row for each name or alias.  Just names
+    that stand in the same chunk are paired, and a pair meets the templates its
+    types allow.  Words near by add 0.05 each, names over `apart` characters from
+    each other take 0.1; confidence is at most 0.95 and at least `least`.
     """
-    text = F.lower("chunk_text")
-    at = F.expr("instr(lower(chunk_text), name)")
-    seen = chunks.join(entities, "document_id").where(text.contains(F.col("name")))
-    seen = seen.select("document_id", "chunk_index", "chunk_text", "canonical_id", F.length("name").alias("size"), at.alias("at"))
-    a = seen.select("document_id", "chunk_index", "chunk_text", F.col("canonical_id").alias("source_id"), (F.col("at") + F.col("size")).alias("from_"))
-    z = seen.select("document_id", "chunk_index", F.col("canonical_id").alias("target_id"), F.col("at").alias("upto"))
-    pairs = a.join(z, ["document_id", "chunk_index"]).where((F.col("upto") >= F.col("from_")) & (F.col("upto") - F.col("from_") <= reach))
-    between = F.lower(F.substring("chunk_text", F.col("from_"), F.col("upto") - F.col("from_")))
-    kinds = F.array_compact(F.array(*[F.when(between.rlike(p), F.lit(k)) for k, p in patterns.items()]))
-    confidence = F.lit(0.7) + 0.3 * (1 - (F.col("upto") - F.col("from_")) / reach)
-    rows = pairs.where(F.col("source_id") != F.col("target_id"))
-    return rows.select("document_id", "chunk_index", "source_id", "target_id", F.explode(kinds).alias("relationship_type"), confidence.alias("confidence"))
+    seen = chunks.join(entities, "document_id").where(F.lower("chunk_text").contains(F.lower("name")) & (F.length("name") > 0))
+    keys = ["document_id", "chunk_index"]
+    side = lambda i: [F.col(c).alias(a) for c, a in (("entity_id", f"id{i}"), ("entity_type", f"type{i}"), ("name", f"name{i}"))]
+    pairs = seen.select(*keys, "chunk_text", *side(1)).join(seen.select(*keys, *side(2)), keys).where("id1 <> id2")
+    stated = [F.when(_allowed(kind), F.struct(F.lit(p).alias("template"), F.lit(kind).alias("relationship_type"), F.lit(base).alias("base"))) for p, kind, base in PATTERNS]
+    tried = pairs.select("*", F.inline(F.array_compact(F.array(*stated))))
+    quoted = lambda c: F.concat(F.lit("\\Q"), F.replace(F.col(c), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    pattern = F.replace(F.replace("template", F.lit("{entity1}"), quoted("name1")), F.lit("{entity2}"), quoted("name2"))
+    hits = tried.withColumn("hit", F.explode(find_all(F.col("chunk_text"), F.concat(F.lit("(?is)"), pattern))))
+    begin = F.greatest(F.col("hit.start") - around, F.lit(0))
+    context = strip(F.substring("chunk_text", begin + 1, F.col("hit.stop") + around - begin))
+    rows = hits.withColumn("context", context).withColumn("low", F.lower("context"))
+    near = {k: sum((F.col("low").contains(w).cast("int") for w in words[1:]), F.col("low").contains(words[0]).cast("int")) for k, words in BOOSTS.items()}
+    boost = F.coalesce(*[F.when(F.col("relationship_type") == k, n) for k, n in near.items()], F.lit(0))
+    at = lambda c: F.call_function("instr", F.col("low"), F.lower(c))
+    far = (at("name1") > 0) & (at("name2") > 0) & (F.abs(at("name1") - at("name2")) > apart)
+    confidence = F.least(F.lit(0.95), F.round(F.col("base") + 0.05 * boost - F.when(far, 0.1).otherwise(0.0), 6))
+    rows = rows.select(*keys, F.col("id1").alias("source_id"), F.col("id2").alias("target_id"), "relationship_type", confidence.alias("confidence"), "context").where(F.col("confidence") >= least)
+    best = rows.groupBy(*keys, "source_id", "target_id", "relationship_type").agg(F.max(F.struct("confidence", "context")).alias("best"))
+    return best.select(*keys, "source_id", "target_id", "relationship_type", "best.confidence", "best.context")
 
 
 def word_pair_edges(chunks: DataFrame, entities: DataFrame) -> DataFrame:

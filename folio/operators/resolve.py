@@ -155,30 +155,116 @@ def resolve_greedy(mentions: DataFrame, threshold: float = 0.8, rules: bool = Tr
     names = mentions.groupBy("document_id", "entity_type", "entity_text").agg(first, F.count("*").alias("n"))
     keys = ["document_id", "entity_type"]
     names = names.repartition(*keys).sortWithinPartitions(*keys, "first", "entity_text").select(*keys, "entity_text", "n")
-    out = ["document_id", "entity_type", "entity_text", "canonical_name", "group_size"]
+
+    def walk(document, kind, texts, counts):
+        group = _groups(list(texts), kind, threshold, rules)
+        chosen: dict[int, str] = {}
+        size: dict[int, int] = {}
+        for name, g, n in zip(texts, group, counts):
+            size[g] = size.get(g, 0) + n
+            if g not in chosen or len(name) > len(chosen[g]):
+                chosen[g] = name
+        return [(document, kind, name, chosen[g], size[g]) for name, g in zip(texts, group)]
+
+    grouped = _by_document(names, walk, "document_id long, entity_type string, entity_text string, canonical_name string, group_size long")
+    confidence = F.when(F.col("group_size") == 1, 1.0).otherwise(0.8) if rules else F.lit(0.7)
+    return grouped.withColumns({"confidence": confidence, "resolution_method": F.when(confidence < 0.9, "fuzzy").otherwise("llm")})
+
+
+def _by_document(names: DataFrame, walk, schema: str) -> DataFrame:
+    """What walk(document, type, *columns) gives for each document and type, of
+    rows sorted by these two."""
+    out = [field.split()[0] for field in schema.split(", ")]
 
     def work(batches):
         rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
         held = []
         for (document, kind), members in itertools.groupby(rows, key=lambda row: row[:2]):
-            _, _, texts, counts = zip(*members)
-            group = _groups(list(texts), kind, threshold, rules)
-            chosen: dict[int, str] = {}
-            size: dict[int, int] = {}
-            for name, g, n in zip(texts, group, counts):
-                size[g] = size.get(g, 0) + n
-                if g not in chosen or len(name) > len(chosen[g]):
-                    chosen[g] = name
-            held += [(document, kind, name, chosen[g], size[g]) for name, g in zip(texts, group)]
+            held += walk(document, kind, *list(zip(*members))[2:])
             if len(held) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=out)
                 held = []
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=out)
 
-    grouped = names.mapInArrow(work, "document_id long, entity_type string, entity_text string, canonical_name string, group_size long")
-    confidence = F.when(F.col("group_size") == 1, 1.0).otherwise(0.8) if rules else F.lit(0.7)
-    return grouped.withColumns({"confidence": confidence, "resolution_method": F.when(confidence < 0.9, "fuzzy").otherwise("llm")})
+    return names.mapInArrow(work, schema)
+
+
+def name_likeness(a: str, b: str) -> float:
+    """1 if equal, 0.9 if one holds the other, else the larger of matching ratio
+    and 0.8 of the words in common."""
+    a, b = a.lower().strip(), b.lower().strip()
+    if a == b:
+        return 1.0
+    if a in b or b in a:
+        return 0.9
+    words, words2 = set(a.split()), set(b.split())
+    shared = len(words & words2) / max(len(words), len(words2), 1)
+    return max(difflib.SequenceMatcher(None, a, b).ratio(), 0.8 * shared)
+
+
+def _hybrid_groups(names: list[str], vectors: list, threshold: float, weight: float) -> list[int]:
+    """The group of each name, greedily; names are compared letter by letter just
+    where vectors, or letters in common, leave room for the threshold."""
+    known = np.array([v is not None for v in vectors])
+    unit = np.zeros((len(names), max((len(v) for v in vectors if v is not None), default=1)))
+    for row, v in zip(unit, vectors):
+        if v is not None:
+            row[:] = v
+    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+    low = [n.lower().strip() for n in names]
+    letters, size = _letters(low), np.array([len(n) for n in low])
+    several = np.array([len(n.split()) > 1 for n in low])
+    group = np.full(len(low), -1)
+    for i in range(len(low)):
+        if group[i] >= 0:
+            continue
+        group[i] = i
+        rest = i + 1 + np.flatnonzero(group[i + 1 :] < 0)
+        if not len(rest):
+            break
+        near, both = unit[rest] @ unit[i], known[rest] & known[i]
+        common = np.minimum(letters[rest], letters[i]).sum(axis=1)
+        alike = (2 * common >= threshold * (size[rest] + size[i]) - 1e-9) | (common == np.minimum(size[rest], size[i])) | (several[rest] & several[i])
+        may = np.where(both, weight * near + 1 - weight >= threshold - 1e-9, alike)
+        for j, cosine_, vector in zip(rest[may].tolist(), near[may], both[may]):
+            letters_ = name_likeness(names[i], names[j])
+            if (weight * cosine_ + (1 - weight) * letters_ if vector else letters_) >= threshold:
+                group[j] = i
+    return group.tolist()
+
+
+def resolve_hybrid(mentions: DataFrame, threshold: float = 0.75, weight: float = 0.7) -> DataFrame:
+    """Greedy clusters by `weight` cosine and the rest name likeness, by likeness
+    alone where one of two names has no vector.
+
+    mentions has document_id, entity_type, chunk_index, ordinal, entity_text and
+    embedding (null if unknown; one vector for a name in a document).  Names are
+    taken in order of first appearance.  A group is named by its longest text, a
+    PERSON by the one of most words; confidence is the mentions' mean likeness to
+    that name, at least 0.8, or 0.95 for several mentions.  Returns document_id,
+    entity_type, entity_text, canonical_name, group_size, confidence.
+    """
+    keys = ["document_id", "entity_type"]
+    first = F.min(F.struct("chunk_index", "ordinal")).alias("first")
+    names = mentions.groupBy(*keys, "entity_text").agg(first, F.count("*").alias("n"), F.first("embedding", ignorenulls=True).alias("embedding"))
+    names = names.repartition(*keys).sortWithinPartitions(*keys, "first", "entity_text").select(*keys, "entity_text", "n", "embedding")
+
+    def walk(document, kind, texts, counts, vectors):
+        out = []
+        group = np.array(_hybrid_groups(list(texts), list(vectors), threshold, weight))
+        for seed in np.unique(group):
+            members = np.flatnonzero(group == seed).tolist()
+            chosen = max((texts[i] for i in members), key=len)
+            if kind == "PERSON":
+                chosen = max([chosen, *(texts[i] for i in members)], key=lambda name: len(name.split()))
+            size = sum(counts[i] for i in members)
+            likeness = sum(counts[i] * name_likeness(texts[i], chosen) for i in members) / size
+            confidence = max(0.95 if size > 1 else 0.8, likeness)
+            out += [(document, kind, texts[i], chosen, size, round(confidence, 6)) for i in members]
+        return out
+
+    return _by_document(names, walk, "document_id long, entity_type string, entity_text string, canonical_name string, group_size long, confidence double")
 
 
 def cosine(a: Column, b: Column) -> Column:

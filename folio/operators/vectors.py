@@ -6,8 +6,6 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.operators.resolve import cosine
-
 #: Query vectors that are held against the table in one pass.
 BLOCK = 4096
 
@@ -69,17 +67,48 @@ def centroids(vectors: DataFrame, by: str) -> DataFrame:
     return parts.groupBy(by).agg(ordered.alias("centroid"))
 
 
-def match_projects(vectors: DataFrame, projects: DataFrame, sure: float) -> DataFrame:
-    """Each vector's most similar project; under `sure` it is for review.
+def match_projects(vectors: DataFrame, projects: DataFrame) -> DataFrame:
+    """vec_id, project_id, confidence: each vector's most similar project and its
+    cosine, the smallest project on a tie.
 
-    projects are few and their table is checked: it is broadcast up to BLOCK rows.
+    projects has project_id and centroid.  BLOCK of them at a time go to the tasks
+    that read the vectors, each of which gives one row a vector and block.
     """
-    small = projects.count() <= BLOCK
-    p = projects.select(F.col("label").alias("project"), "centroid")
-    pairs = vectors.select("vec_id", "embedding").join(F.broadcast(p) if small else p, F.size("embedding") == F.size("centroid"))
-    scored = pairs.select("vec_id", "project", F.round(cosine(F.col("embedding"), F.col("centroid")), 6).alias("s"))
-    best = scored.groupBy("vec_id").agg(F.max(F.struct("s", (-F.col("project")).alias("p"))).alias("b"))
-    return best.select("vec_id", (-F.col("b.p")).alias("project"), F.col("b.s").alias("similarity"), (F.col("b.s") < sure).alias("review"))
+    blocks = max(1, -(-projects.count() // BLOCK))
+    out = None
+    for block in range(blocks):
+        part = projects.where(F.pmod(F.xxhash64("project_id"), F.lit(blocks)) == block).select("project_id", "centroid").orderBy("project_id").toPandas()
+        ids = part["project_id"].to_numpy()
+        q = np.array(part["centroid"].tolist(), dtype=np.float64).reshape(len(part), -1)
+        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
+
+        def work(batches, q=q, ids=ids):
+            for pdf in batches:
+                if not len(pdf) or not len(ids):
+                    continue
+                x = np.array(pdf["embedding"].tolist(), dtype=np.float64)
+                s = np.round((x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)) @ q.T, 6)
+                best = s.argmax(axis=1)
+                yield pdf.__class__({"vec_id": pdf["vec_id"], "project_id": ids[best], "confidence": s[np.arange(len(s)), best]})
+
+        one = vectors.select("vec_id", "embedding").mapInPandas(work, "vec_id long, project_id long, confidence double")
+        out = one if out is None else out.union(one)
+    best = out.groupBy("vec_id").agg(F.max(F.struct("confidence", (-F.col("project_id")).alias("p"))).alias("b")) if blocks > 1 else None
+    return out if best is None else best.select("vec_id", (-F.col("b.p")).alias("project_id"), "b.confidence")
+
+
+def checked_projects(suggested: DataFrame, projects: DataFrame, sure: float = 0.85) -> DataFrame:
+    """suggested(project_id, confidence) with confidence from 0 to 1; a project that
+    is not in projects gives way to the first one at 0.5 or less, and what is
+    under `sure` is for review."""
+    valid = projects.select("project_id").distinct().withColumn("known", F.lit(True))
+    first = projects.agg(F.min("project_id").alias("first"))
+    rows = suggested.join(valid, "project_id", "left").join(F.broadcast(first))  # one row
+    invalid = F.col("known").isNull()
+    rows = rows.withColumns({
+        "invalid": invalid, "project_id": F.when(invalid, F.col("first")).otherwise(F.col("project_id")),
+        "confidence": F.least(F.when(invalid, 0.5).otherwise(1.0), F.greatest(F.lit(0.0), "confidence"))})
+    return rows.withColumn("review", F.col("confidence") < sure).drop("known", "first")
 
 
 def normalize(vectors: DataFrame, slack: float = 0.1) -> DataFrame:
@@ -89,20 +118,6 @@ def normalize(vectors: DataFrame, slack: float = 0.1) -> DataFrame:
     return vectors.withColumn("rescaled", off).withColumn("embedding", F.when(off, F.transform("embedding", lambda x: (x / norm).cast("float"))).otherwise(F.col("embedding")))
 
 
-def resolve_hybrid(entities: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """Entities of one label joined when 0.7 cosine + 0.3 name agreement reaches
-    the threshold, compared within names' first word and number of the label.
-
-    entities has vec_id, label, embedding and name; the canonical is the smallest
-    vec_id an entity agrees with (itself included).
-    """
-    pairs = entities.select(F.col("vec_id").alias("a"), "label", "name", F.col("embedding").alias("x")).join(
-        entities.select(F.col("vec_id").alias("b"), "label", "name", F.col("embedding").alias("y")), ["label", "name"])
-    score = 0.7 * cosine(F.col("x"), F.col("y")) + 0.3
-    linked = pairs.where((F.col("b") <= F.col("a")) & ((F.col("a") == F.col("b")) | (score >= threshold)))
-    return linked.groupBy("a").agg(F.min("b").alias("canonical")).withColumnRenamed("a", "vec_id")
-
-
 def blended(vectors: DataFrame, centers: DataFrame, by: str, own: float = 0.7) -> DataFrame:
     """vectors with blend: `own` parts of each vector and the rest of its group's centroid."""
     both = F.zip_with("embedding", "centroid", lambda x, c: own * x.cast("double") + (1 - own) * c)

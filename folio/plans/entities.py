@@ -130,11 +130,20 @@ def edge_type_validity(spark, d):
     return rows.select("type1", "type2", "relationship_type", "edges", F.coalesce(F.col("open") | F.col("listed"), F.lit(False)).alias("valid"))
 
 
-@query("edges_pattern")
+@query("edges_pattern", sql("letters", """, e as (select letter_id, unnest(case letter_id % 4 when 0 then [{'s': customer, 't': vendor, 'r': 'CONTRACT_WITH', 'c': 0.95}]
+    when 1 then [{'s': customer, 't': vendor, 'r': 'FINANCIAL_TRANSACTION', 'c': 0.95}]
+    when 2 then [{'s': customer, 't': vendor, 'r': 'EMPLOYED_BY', 'c': 0.8}, {'s': vendor, 't': place, 'r': 'LOCATED_IN', 'c': 0.8}, {'s': customer, 't': day, 'r': 'OCCURRED_ON', 'c': 0.7},
+        {'s': vendor, 't': day, 'r': 'OCCURRED_ON', 'c': 0.7}, {'s': place, 't': day, 'r': 'OCCURRED_ON', 'c': 0.7}]
+    else [{'s': customer, 't': vendor, 'r': 'OPPOSING_PARTY', 'c': 0.9}, {'s': customer, 't': day, 'r': 'FILED_ON', 'c': 0.75}, {'s': vendor, 't': day, 'r': 'FILED_ON', 'c': 0.75},
+        {'s': customer, 't': day, 'r': 'OCCURRED_ON', 'c': 0.7}, {'s': vendor, 't': day, 'r': 'OCCURRED_ON', 'c': 0.7}] end) as v from letters)
+    select letter_id as document_id, v.s as source_id, v.t as target_id, v.r as relationship_type, cast(v.c as double) as confidence from e"""))
 def edges_pattern(spark, d):
-    chunks = b.chunks(spark, d).select("document_id", "chunk_index", "chunk_text")
-    names = b.scored(spark, d).where("entity_type = 'PERSON'").select("document_id", "canonical_id", F.lower("entity_text").alias("name")).distinct()
-    return g.pattern_edges(chunks, names, {"NEAR": r"\b(?:the|of|de|la|und|mit)\b", "LISTED_WITH": r"\|"})
+    """What letters state of the parties, places and days named in them."""
+    letters = b.letters(spark, d)
+    names = F.array(*[F.struct(F.lit(kind).alias("entity_type"), F.col(c).alias("name")) for c, kind in (("customer", "PERSON"), ("vendor", "ORG"), ("place", "LOCATION"), ("day", "DATE"))])
+    entities = letters.select(F.col("letter_id").alias("document_id"), F.inline(names)).withColumn("entity_id", F.col("name"))
+    chunks = letters.select(F.col("letter_id").alias("document_id"), F.lit(0).alias("chunk_index"), F.col("text").alias("chunk_text"))
+    return g.pattern_edges(chunks, entities).select("document_id", "source_id", "target_id", "relationship_type", "confidence")
 
 
 _CENTER = """with p as (select label, i, avg(x) as x from (select label, unnest(cast(embedding as double[])) as x, generate_subscripts(embedding, 1) as i from embeddings) group by 1, 2),
@@ -178,10 +187,16 @@ def link_cross_document(spark, d):
     return v.best_link(v.within(e, e.where("vec_id % 50 = 0"), 0.3)).select("query_id", "vec_id")
 
 
-@query("project_match")
+@query("project_match", _CENTER + """, k as (select vec_id, label, s, row_number() over (partition by vec_id order by s desc, label) as rank from (select vec_id, c.label, round(list_cosine_similarity(cast(embedding as double[]), centroid), 6) as s from embeddings, c)),
+    m as (select vec_id, vec_id % 11 = 0 as invalid, case when vec_id % 11 = 0 then (select min(label) from c) else label end as project_id,
+    case when vec_id % 11 = 0 then least(0.5, greatest(0.0, s)) else least(1.0, greatest(0.0, s)) end as confidence from k where rank = 1)
+    select vec_id, project_id, confidence, invalid, confidence < 0.85 as review from m""")
 def project_match(spark, d):
+    """Vectors' nearest labels; one suggestion in eleven names a project that there isn't."""
     e = table(spark, d, "embeddings")
-    return v.match_projects(e, v.centroids(e, "label"), 0.3)
+    projects = v.centroids(e, "label").withColumnRenamed("label", "project_id")
+    suggested = v.match_projects(e, projects).withColumn("project_id", F.col("project_id") + F.when(F.col("vec_id") % 11 == 0, 1_000_000).otherwise(0))
+    return v.checked_projects(suggested, projects.select("project_id")).select("vec_id", "project_id", "confidence", "invalid", "review")
 
 
 @query("vector_normalize", "select vec_id, abs(sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))) - 1) > 0.1 as rescaled from embeddings")
@@ -200,8 +215,14 @@ def vector_blend_mean(spark, d):
 
 @query("resolve_hybrid")
 def resolve_hybrid(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", "label", "embedding", F.concat(F.lit("entity "), F.col("vec_id") % 40).alias("name"))
-    return v.resolve_hybrid(e)
+    """Names by their letters and vectors: 0.7 of the mean of the documents that hold
+    a name and 0.3 of its own document's; documents without a vector by letters."""
+    mentions = b.scored(spark, d).select("document_id", "entity_type", "chunk_index", "ordinal", "entity_text", "canonical_id")
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("document_id"), "embedding")
+    named = mentions.select("document_id", "canonical_id").distinct().join(vectors, "document_id")
+    own = v.blended(named, v.centroids(named, "canonical_id"), "canonical_id", own=0.3)
+    rows = mentions.join(own.select("document_id", "canonical_id", F.col("blend").alias("embedding")), ["document_id", "canonical_id"], "left")
+    return r.resolve_hybrid(rows)
 
 
 @query("batch_balanced")

@@ -99,10 +99,18 @@ def _neighbours(spark, d):
     return rows.select("document_id", F.col("entity_text").alias("name"), other.alias("other")).distinct().where("other is not null")
 
 
-@query("string_similarity", sql("mentions", _NAMES + """ select document_id, name, other, case when lower(name) = lower(other) then 1.0 when contains(lower(name), lower(other)) or contains(lower(other), lower(name)) then 0.9
-    else round(1 - levenshtein(lower(name), lower(other)) * 1.0 / greatest(length(name), length(other)), 6) end as similarity from p where other is not null"""))
+def _similar(a: str, z: str) -> str:
+    a, z = f"lower(trim({a}))", f"lower(trim({z}))"
+    words = lambda c: f"list_distinct(string_split_regex({c}, '\\s+'))"
+    return f"""round(case when {a} = {z} then 1.0 when contains({a}, {z}) or contains({z}, {a}) then 0.9 else greatest(1 - levenshtein({a}, {z}) * 1.0 / greatest(length({a}), length({z})),
+        0.8 * len(list_intersect({words(a)}, {words(z)})) / greatest(len({words(a)}), len({words(z)}))) end, 6)"""
+
+
+@query("string_similarity", sql("mentions", _NAMES + f""" select document_id, name, other, {_similar("name", "other")} as similarity, {_similar("name || ' ' || other", "other || ' ' || name")} as turned from p where other is not null"""))
 def string_similarity(spark, d):
-    return _neighbours(spark, d).withColumn("similarity", F.round(n.similarity(F.col("name"), F.col("other")), 6))
+    """Of neighbouring names, and of the two of them against the two turned round."""
+    both, turned = F.concat_ws(" ", "name", "other"), F.concat_ws(" ", "other", "name")
+    return _neighbours(spark, d).withColumns({"similarity": F.round(n.similarity(F.col("name"), F.col("other")), 6), "turned": F.round(n.similarity(both, turned), 6)})
 
 
 @query("person_variation", sql("mentions", _NAMES + """ select count(*) as pairs, count(*) filter (where substring(name, 1, 1) = substring(other, 1, 1) and right(name, 3) = right(other, 3)) as varied from p where other is not null"""))
