@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from folio.operators.resolve import SUFFIXES, name_likeness
 
@@ -48,7 +49,7 @@ def naming_issues(files: DataFrame) -> DataFrame:
     return files.select("file_id", F.array_join(F.array_compact(F.array(*[F.when(mark, F.lit(k)) for k, mark in marks.items()])), ",").alias("issues"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else name_likeness(x, y) for x, y in zip(a, b)], dtype="float64")
 

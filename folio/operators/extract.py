@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -108,48 +109,117 @@ def chunk_fallback(docs: DataFrame, size: int = 1000, overlap: int = 200) -> Dat
     return parts.withColumn("method", F.lit("sections")).unionByName(fixed.withColumn("method", F.lit("fixed")))
 
 
-#: How a section's first line looks.
-SECTION = re.compile(r"^\s*(?:[IVXLC]+\.\s|\d+\.\s|[A-Z]\.\s|\([a-z0-9]\)\s|[A-Z][A-Z ]{6,}$|(?:ARTICLE|SECTION|WHEREAS|EXHIBIT)\b)")
-SIGNATURE = re.compile(r"_{4,}|^\s*(?:By|Signed|Dated):")
-
-
-def _semantic(text: str, least: int, most: int):
-    """(start, end, kind) of line groups: new sections open a chunk, signature
-    blocks and long chunks close one; short chunks take in the next."""
-    out, start, kind, at = [], 0, "text", 0
-    for line in text.split("\n"):
-        opens = bool(SECTION.match(line))
-        if at > start and (at - start >= most or (opens and at - start >= least)):
-            out.append([start, at, kind])
-            start, kind = at, "section" if opens else "text"
-        elif opens and at == start:
-            kind = "section"
-        if SIGNATURE.search(line):
-            kind = "signature"
-        at += len(line) + 1
-    if start < len(text):
-        out.append([start, len(text), kind])
-    merged = []
-    for piece in out:
-        if merged and merged[-1][1] - merged[-1][0] < least and piece[1] - merged[-1][0] <= 1.5 * most:
-            merged[-1][1] = piece[1]
+#: How a section's first line (stripped) looks, the first that fits.
+SECTIONS = (
+    ("roman_section", r"^[IVX]+\.\s+[A-Z][A-Z\s]+$"),
+    ("numbered_section", r"^\d+\.\s+[A-Z][A-Z\s]+$"),
+    ("colon_section", r"^[A-Z][A-Z\s]+:$"),
+    ("caps_heading", r"^[A-Z][A-Z\s]{10,}$"),
+    ("page_break", r"^\s*\[PAGE BREAK\]\s*$"),
+    ("letter_subsection", r"^[a-z]\.\s+"),
+    ("paren_subsection", r"^\(\d+\)\s+"),
+    ("bullet_point", r"^-\s+"),
+    ("contract_section", r"^(Section|Article|Clause)\s+\d+(\.\d+)*"),
+    ("contract_section_caps", r"^(SECTION|ARTICLE|CLAUSE)\s+\d+(\.\d+)*"),
+    ("signature_block", r"^(SIGNED|EXECUTED|WITNESS)"),
+    ("signature_line", r"^_{10,}"),
+    ("signature_by", r"^By:\s*_{5,}"),
+    ("signature_date", r"^(Date|Dated):\s*_{5,}"),
+)
+#: Sections that open a chunk, lines of signatures, citations that stay whole.
+MAJOR = ("roman_section", "numbered_section", "caps_heading", "page_break", "contract_section", "contract_section_caps")
+SIGNATURES = (r"^_{10,}", r"^By:\s*_{5,}", r"^Name:\s*", r"^Title:\s*", r"^Date:\s*", r"^WITNESS", r"^NOTARY", r"^Respectfully submitted", r"^Sincerely", r"^\s*/s/")
+CITATIONS = (r"\d+\s+[A-Z][a-z]+\.?\s*\d+d?\s+\d+", r"\d+\s+U\.S\.C\.\s*§\s*\d+", r"Fed\.\s*R\.\s*[A-Z][a-z]+\.\s*P\.\s*\d+", r"[A-Z][a-z]+\s+v\.\s+[A-Z][a-z]+", r"\d+\s+[A-Z]\.\s*Supp\.\s*\d+d?\s+\d+")
+_SECTION = [(kind, re.compile(p)) for kind, p in SECTIONS]
+_SIGNED = re.compile("|".join(SIGNATURES), re.IGNORECASE)
+_CITED = re.compile("|".join(CITATIONS))
+_NUMBERED = re.compile(r"^(\d+)\.\s+")
+_SUB_ITEM = re.compile(r"^\s+(?:[a-z]\.|\(\d+\))\s+")
+_LISTED = re.compile(r"^\d+\.")
+
+
+def _line_kinds(lines: list[str]) -> list[str | None]:
+    """What section each line opens; an empty line behind a full one ends a paragraph."""
+    kinds = []
+    for before, line in zip(["", *lines], map(str.strip, lines)):
+        kind = next((k for k, p in _SECTION if p.match(line)), None)
+        kinds.append("paragraph_break" if not line and before.strip() else kind)
+    return kinds
+
+
+def _in_lists(lines: list[str]) -> list[bool]:
+    """Whether each line goes on with a numbered list."""
+    inside, out = False, []
+    for before, line in zip(["", *lines], lines):
+        was, now = _NUMBERED.match(before.strip()), _NUMBERED.match(line.strip())
+        if was and (int(now[1]) == int(was[1]) + 1 if now else _SUB_ITEM.match(line)):
+            inside = True
+        elif not _LISTED.match(line.strip()):
+            inside = False
+        out.append(inside)
+    return out
+
+
+def _semantic(text: str, least: int, most: int) -> list[tuple[int, int, str, int]]:
+    """(start, end, kind, lines) of runs of lines.
+
+    A major section opens a chunk once there are `least` characters, each line of
+    a signature block stands alone, and from `most` characters on a chunk ends at
+    the next section or paragraph, or here if none is near; numbered lists and
+    citations hold a chunk together.  A short chunk is joined to the next one
+    (once) up to half as much again as `most`.
+    """
+    lines = text.split("\n")
+    starts = [0, *itertools.accumulate(len(line) + 1 for line in lines)]
+    kinds, listed = _line_kinds(lines), _in_lists(lines)
+    out, first, kind, signing = [], 0, "content", False
+    for i, line in enumerate(lines):
+        size, signed = starts[i] - starts[first], bool(_SIGNED.match(line.strip()))
+        signing |= signed
+        split = signing or (kinds[i] in MAJOR and size >= least and not listed[i])
+        if not split and size >= most and not listed[i] and not _CITED.search(text, starts[max(first, i - 3)], starts[i + 1] - 1):
+            ahead = range(i + 1, min(i + 10, len(lines)))
+            split = bool(kinds[i]) or (i + 1 < len(lines) and not any(kinds[j] and starts[j] - starts[first] <= most + 200 for j in ahead))
+        if split and i > first:
+            out.append((starts[first], starts[i] - 1, "signature_block" if signing else kind, i - first))
+            first, kind = i, kinds[i] or "content"
+            signing &= signed
+    out.append((starts[first], len(text), kind, len(lines) - first))
+    merged, i = [], 0
+    while i < len(out):
+        (a, z, *rest), after = out[i], out[i + 1 : i + 2]
+        if z - a < least and after and after[0][1] - a <= 1.5 * most:
+            merged.append((a, after[0][1], "merged", rest[1] + after[0][3]))
+            i += 2
         else:
-            merged.append(piece)
+            merged.append(out[i])
+            i += 1
     return merged
 
 
-def chunk_semantic(docs: DataFrame, least: int = 300, most: int = 1500) -> DataFrame:
-    """Chunks along sections and signature blocks of each document's lines.
+def chunk_semantic(docs: DataFrame, least: int = 300, most: int = 1500, beyond: int = 50) -> DataFrame:
+    """Chunks along sections, lists and signature blocks of each document's lines.
 
-    docs has doc_id and text.  A small line machine runs on whole documents; the
-    table itself is not shuffled.
+    docs has doc_id and text; page ends become lines of their own, and places
+    count in the text with these.  overlap is what follows, up to `beyond`
+    characters; empty texts have no chunks.  A small line machine runs on whole
+    documents; the table itself is not shuffled.
     """
     def work(batches):
+        columns = ["doc_id", "chunk_index", "chunk_text", "char_start", "char_end", "kind", "line_count", "overlap"]
         for pdf in batches:
-            rows = [(d, i, x[a:z], a, z, kind) for d, x in zip(pdf["doc_id"], pdf["text"]) for i, (a, z, kind) in enumerate(_semantic(x or "", least, most))]
-            yield pdf.__class__(rows, columns=["doc_id", "chunk_index", "chunk_text", "char_start", "char_end", "kind"])
-
-    return docs.mapInPandas(work, "doc_id long, chunk_index int, chunk_text string, char_start int, char_end int, kind string")
+            rows = []
+            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+                text = (text or "").replace(PAGE_END, "\n\n[PAGE BREAK]\n\n")
+                pieces = _semantic(text, least, most) if text else []
+                rows += [(doc, i, text[a:z], a, z, kind, n, text[z + 1 : z + 1 + beyond]) for i, (a, z, kind, n) in enumerate(pieces)]
+            yield pdf.__class__(rows, columns=columns)
+
+    cut = docs.mapInPandas(work, "doc_id long, chunk_index int, chunk_text string, char_start int, char_end int, kind string, line_count int, overlap string")
+    lines = F.transform(F.split("chunk_text", "\n"), t.strip)
+    return cut.withColumns({
+        "has_citations": F.col("chunk_text").rlike("|".join(CITATIONS)), "has_list": F.exists(lines, lambda v: v.rlike(r"^\d+\.")),
+        "has_signature": F.exists(lines, lambda v: v.rlike("(?i)" + "|".join(SIGNATURES)))})
 
 
 #: Rule patterns, by type, with their confidence.

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 
+def _unit(vectors) -> np.ndarray:
+    """The vectors of a column in rows of length 1; no rows, no columns."""
+    rows = np.array(vectors.tolist(), dtype=np.float64).reshape(len(vectors), -1 if len(vectors) else 0)
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+
+
 def _scored(vectors: DataFrame, queries: DataFrame, least: float, most: int | None, same: str | None) -> DataFrame:
     """(query_id, vec_id, label, similarity): each task compares its vectors with
     a block of queries by one matrix product and keeps what can still count."""
@@ -19,16 +25,14 @@ def _scored(vectors: DataFrame, queries: DataFrame, least: float, most: int | No
     out = None
     for block in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).select(*columns).toPandas()
-        q = np.array(part["embedding"].tolist(), dtype=np.float64).reshape(len(part), -1)
-        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
+        q = _unit(part["embedding"])
         ids, labels = part["vec_id"].to_numpy(), part["label"].to_numpy()
 
         def work(batches, q=q, ids=ids, labels=labels):
             for pdf in batches:
                 if not len(pdf) or not len(ids):
                     continue
-                x = np.array(pdf["embedding"].tolist(), dtype=np.float64)
-                s = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)) @ q.T
+                s = _unit(pdf["embedding"]) @ q.T
                 keep = (s >= least) & (pdf["vec_id"].to_numpy()[:, None] != ids[None, :])
                 if same:
                     keep &= pdf["label"].to_numpy()[:, None] == labels[None, :]
@@ -79,15 +83,13 @@ def match_projects(vectors: DataFrame, projects: DataFrame) -> DataFrame:
     for block in range(blocks):
         part = projects.where(F.pmod(F.xxhash64("project_id"), F.lit(blocks)) == block).select("project_id", "centroid").orderBy("project_id").toPandas()
         ids = part["project_id"].to_numpy()
-        q = np.array(part["centroid"].tolist(), dtype=np.float64).reshape(len(part), -1)
-        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
+        q = _unit(part["centroid"])
 
         def work(batches, q=q, ids=ids):
             for pdf in batches:
                 if not len(pdf) or not len(ids):
                     continue
-                x = np.array(pdf["embedding"].tolist(), dtype=np.float64)
-                s = np.round((x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)) @ q.T, 6)
+                s = np.round(_unit(pdf["embedding"]) @ q.T, 6)
                 best = s.argmax(axis=1)
                 yield pdf.__class__({"vec_id": pdf["vec_id"], "project_id": ids[best], "confidence": s[np.arange(len(s)), best]})
 

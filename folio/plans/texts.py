@@ -108,7 +108,8 @@ def chunk_fallback(spark, d):
 
 @query("chunk_semantic")
 def chunk_semantic(spark, d):
-    return x.chunk_semantic(_docs(spark, d).select("doc_id", "text")).select("doc_id", "chunk_index", "char_start", "char_end", "kind", F.md5("chunk_text").alias("digest"))
+    chunks = x.chunk_semantic(_docs(spark, d).select("doc_id", "text"))
+    return chunks.select("doc_id", "chunk_index", "char_start", "char_end", "kind", "line_count", "has_citations", "has_list", "has_signature", F.md5("chunk_text").alias("digest"))
 
 
 @query("regex_find_all", """select doc_id, m as match, instr(text, m) - 1 as first_start from (select doc_id, text, unnest(list_distinct(regexp_extract_all(text, '[a-z0-9.]+@[a-z0-9.]+'))) as m from documents)""")

@@ -1,11 +1,17 @@
 """Operators on small fixtures, with values worked out by hand."""
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folio.functions import names as n
 from folio.functions import text as t
+from folio.operators import checks as q
 from folio.operators import extract as x
+from folio.operators import graph as g
+from folio.operators import resolve as r
+from folio.operators import vectors as v
 from folio.operators.chunking import chunk_fixed
 from folio.operators.resolve import _groups, same_entity
 from folio.operators.rules import retry_strategy
@@ -62,9 +68,9 @@ def test_find_all_positions(spark):
 
 
 def test_rule_entities(spark):
-    text = "On January 1, 2024 the fee of $1,234.56 under 42 U.S.C. § 1983 fell due; also 12/31/2023."
+    text = "On January 1, 2024 the fee of $1,234.56 under 42 U.S.C. § 1983 fell due; also MARCH 5 2020, not 12/31/2023."
     rows = x.rule_entities(spark.createDataFrame([(1, 0, text)], "document_id long, chunk_index long, chunk_text string")).collect()
-    assert {(r.entity_type, r.entity_text) for r in rows} == {("DATE", "January 1, 2024"), ("DATE", "12/31/2023"), ("MONEY", "$1,234.56"), ("STATUTE", "42 U.S.C. § 1983")}
+    assert {(r.entity_type, r.entity_text) for r in rows} == {("DATE", "January 1, 2024"), ("DATE", "MARCH 5 2020"), ("MONEY", "$1,234.56"), ("STATUTE", "42 U.S.C. § 1983")}
     assert all(text[r.start : r.stop] == r.entity_text for r in rows)
 
 
@@ -161,3 +167,104 @@ def test_resolution_counts_mentions(spark):
                         expected[d, k, t] = (max(group, key=len), len(group), 0.7 if not rules else 1.0 if len(group) == 1 else 0.8)
         got = {(r.document_id, r.entity_type, r.entity_text): (r.canonical_name, r.group_size, r.confidence) for r in resolve_greedy(df, rules=rules).collect()}
         assert got == expected
+
+
+def test_semantic_chunks():
+    body = "word " * 70
+    text = "\n".join(["I. INTRODUCTION", body, "MEMORANDUM IN SUPPORT", body, "1. first", "2. second", "SECTION 3 more", "tail", "By: ________", "Name: Ann", "the end"])
+    pieces = x._semantic(text, 300, 1500)
+    assert [text[a : a + 15] for a, *_ in pieces] == ["I. INTRODUCTION", "MEMORANDUM IN S", "SECTION 3 more\n", "Name: Ann\nthe e"]
+    assert [kind for _, _, kind, _ in pieces] == ["content", "caps_heading", "merged", "merged"]
+    assert all(text[z] == "\n" and z + 1 == a for (_, z, *_), (a, *_) in zip(pieces, pieces[1:])) and pieces[-1][1] == len(text)
+
+
+def test_semantic_chunks_hold_lists_and_citations():
+    line = "Smith v. Jones " * 12
+    cited = "\n".join([line] * 12)
+    assert len(x._semantic(cited, 300, 500)) == 1  # a citation in each line
+    plain = "\n".join(["plain words " * 12] * 12)
+    assert len(x._semantic(plain, 300, 500)) > 1
+    listed = "\n".join(f"{i}. " + "plain words " * 12 for i in range(1, 13))
+    assert len(x._semantic(listed, 300, 500)) == 1
+
+
+def test_semantic_chunks_of_odd_texts(spark):
+    rows = [(1, None), (2, ""), (3, "one line"), (4, "a<END_OF_PAGE>b")]
+    got = x.chunk_semantic(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.chunk_text, r.has_list) for r in got] == [(3, "one line", False), (4, "a\n\n[PAGE BREAK]\n\nb", False)]
+
+
+def test_dates_in(spark):
+    text = "dated 3/4/99, 25-12-2001 and 1/2/123; march 5, 2020, February 30, 2020, 7/8/68"
+    df = spark.createDataFrame([(text,)], "text string").select(x.dates_in(F.col("text")).cast("array<string>").alias("d"))
+    assert df.first().d == ["1999-03-04", "2001-12-25", "2020-03-05", "2068-07-08"]
+
+
+def test_consistency(spark):
+    sources = spark.createDataFrame([(1, "x" * 20), (2, "y" * 20), (3, None)], "doc_id long, text string")
+    chunks = spark.createDataFrame([(1, 0, "x" * 20), (2, 0, "y" * 5)], "document_id long, chunk_index long, chunk_text string")
+    mentions = spark.createDataFrame([(1, 0, "a"), (2, 7, "b")], "document_id long, chunk_index long, mention string")
+    resolved = spark.createDataFrame([(1, "a"), (2, "z")], "document_id long, mention string")
+    got = {r.doc_id: (r.completeness, r.consistent, r.issues) for r in q.consistency(sources, chunks, mentions, resolved).collect()}
+    assert got[1] == (100.0, True, [])
+    assert got[2] == (50.0, False, ["source_to_chunks", "chunks_to_entities", "entities_to_resolution"])
+    assert got[3] == (0.0, False, ["no source_document", "no chunks", "no entities", "no resolution"])
+
+
+def test_pattern_edges(spark):
+    text = "Ann Lee v. Acme (Corp), by counsel. ACME (corp) is a subsidiary of Big Co. " + "pad " * 40 + "on May 1, 2020"
+    chunks = spark.createDataFrame([(1, 0, text), (2, 0, "nothing")], "document_id long, chunk_index long, chunk_text string")
+    names = [("p", "PERSON", "ann lee"), ("o", "ORG", "Acme (Corp)"), ("o", "ORG", "the firm"), ("b", "ORG", "Big Co"), ("d", "DATE", "May 1, 2020")]
+    entities = spark.createDataFrame([(1, *n) for n in names], "document_id long, entity_id string, entity_type string, name string")
+    got = {(r.source_id, r.target_id, r.relationship_type): r.confidence for r in g.pattern_edges(chunks, entities).collect()}
+    assert got == {("p", "o", "OPPOSING_PARTY"): 0.9, ("o", "b", "SUBSIDIARY_OF"): 0.9}  # days too far apart
+
+
+def test_checked_projects(spark):
+    rows = spark.createDataFrame([(1, 2, 0.9), (2, 9, 0.9), (3, 3, -0.1)], "vec_id long, project_id long, confidence double")
+    got = v.checked_projects(rows, spark.createDataFrame([(2,), (3,)], "project_id long")).orderBy("vec_id").collect()
+    assert [(r.project_id, r.confidence, r.invalid, r.review) for r in got] == [(2, 0.9, False, False), (2, 0.5, True, True), (3, 0.0, False, True)]
+
+
+def test_match_projects_over_blocks(spark, monkeypatch):
+    vectors = spark.createDataFrame([(i, [float(i % 3 == k) for k in range(3)]) for i in range(9)], "vec_id long, embedding array<float>")
+    projects = spark.createDataFrame([(k, [float(k == j) for j in range(3)]) for k in range(3)], "project_id long, centroid array<double>")
+    for block in (4096, 1):
+        monkeypatch.setattr(v, "BLOCK", block)
+        assert {r.vec_id: r.project_id for r in v.match_projects(vectors, projects).collect()} == {i: i % 3 for i in range(9)}
+
+
+def test_hybrid_groups_by_brute_force():
+    rng = np.random.default_rng(5)
+    names = ["".join(rng.choice(list("ab c"), size=rng.integers(1, 7))) + "x" for _ in range(60)]
+    vectors = [None if rng.random() < 0.3 else rng.normal(size=3).tolist() for _ in names]
+    expected = [-1] * len(names)
+    for i in range(len(names)):
+        if expected[i] < 0:
+            expected[i] = i
+            for j in range(i + 1, len(names)):
+                score = r.name_likeness(names[i], names[j])
+                if vectors[i] and vectors[j]:
+                    a, z = np.array(vectors[i]), np.array(vectors[j])
+                    score = 0.7 * (a @ z) / np.linalg.norm(a) / np.linalg.norm(z) + 0.3 * score
+                if expected[j] < 0 and score >= 0.75:
+                    expected[j] = i
+    assert r._hybrid_groups(names, vectors, 0.75, 0.7) == expected
+    assert len(set(expected)) < len(names)
+
+
+def test_resolve_hybrid_names(spark):
+    rows = [(1, "PERSON", 0, 0, "J. Smith", None), (1, "PERSON", 0, 1, "Mr J. Smith", None), (1, "PERSON", 1, 0, "J. Smith", None), (1, "ORG", 0, 0, "Acme", [1.0])]
+    df = spark.createDataFrame(rows, "document_id long, entity_type string, chunk_index long, ordinal long, entity_text string, embedding array<double>")
+    got = {(x_.entity_text, x_.canonical_name, x_.group_size, x_.confidence) for x_ in r.resolve_hybrid(df).collect()}
+    assert got == {("J. Smith", "Mr J. Smith", 3, 0.95), ("Mr J. Smith", "Mr J. Smith", 3, 0.95), ("Acme", "Acme", 1, 1.0)}
+
+
+def test_similarity_modes(spark):
+    import difflib
+
+    pairs = [("ann lee", "lee ann"), ("Ann", "ann"), ("anna", "ann"), ("kitten", "sitting")]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", n.similarity(F.col("a"), F.col("b")).alias("edit"), n.similarity(F.col("a"), F.col("b"), ratio=True).alias("ratio"))
+    got = {(r_.a, r_.b): (round(r_.edit, 4), round(r_.ratio, 4)) for r_ in df.collect()}
+    assert got[pairs[0]] == (0.8, 0.8) and got[pairs[1]] == (1.0, 1.0) and got[pairs[2]] == (0.9, 0.9)
+    assert got[pairs[3]] == (round(1 - 3 / 7, 4), round(difflib.SequenceMatcher(None, *pairs[3]).ratio(), 4))
