@@ -11,6 +11,7 @@ from folio.llm.lm_scoring import op3_lm_scoring
 from folio.llm.minhash import op9_minhash
 from folio.llm.mixing import op2_mixing
 from folio.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
+from folio.llm.simhash import op11_simhash
 from folio.llm.substring_dedup import op10_substring_dedup
 from folio.llm.toxicity import op8_toxicity
 from folio.llm.url_filter import op7_url_filter
@@ -26,5 +27,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_simhash": op11_simhash,
     "pipeline": corpus_pipeline.run,
 }
