@@ -11,14 +11,26 @@ from pyspark.sql import functions as F
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors see: under
-    spark.checkpoint.dir, or one of our own where that is unset."""
+    spark.checkpoint.dir.  Where that is unset, one of our own in local mode,
+    whose tasks share the driver's disk; an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="folio-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/folio/{name}-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """rows as a table in the shared folder: it ends the lineage where a lost
+    executor can't reach, and the planner knows its size."""
+    path = shared_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 #: Media types by file extension.
 MIME = {"pdf": "application/pdf", "txt": "text/plain", "html": "text/html", "json": "application/json", "csv": "text/csv", "docx": "application/msword", "png": "image/png"}
 
