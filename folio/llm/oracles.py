@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import string
 
 from folio.llm.line_dedup import LONG_LINE
 from folio.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, reach_of
@@ -59,4 +60,44 @@ def _license_scan() -> str:
     case when hit is not null then 1.0 else coalesce(best, 0.0) end as score from w left join base using (doc_id) left join found using (doc_id)"""
 
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP, "op6_license_scan": _license_scan(), "op10_substring_dedup": SUBSTRING_DEDUP}
+def _told(column: str, value: str | None = None) -> str:
+    value = value or f"cast({column} as varchar)"
+    return f"coalesce(cast(strlen({value}) as varchar) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join([*map(_told, ('doc_id', 'source', 'lang', 'n_chars')), _told('text', text)])})"
+
+
+#: DuckDB has no CRC-32; this is its table-free form, a step for each bit of the decimal digits.
+_CRC = """crc as (select v, cast(4294967295 as ubigint) as c, 0 as i from (select distinct cast(doc_id as varchar) as v from documents where doc_id is not null)
+    union all select v, list_reduce(list_prepend(xor(c, cast(ascii(v[i + 1]) as ubigint)), [cast(x as ubigint) for x in range(8)]), lambda a, _: case when a & 1 = 1 then xor(a >> 1, cast(3988292384 as ubigint)) else a >> 1 end), i + 1
+    from crc where i < strlen(v)),
+    checked as (select v, xor(c, cast(4294967295 as ubigint)) as crc from crc where i = strlen(v))"""
+
+_LOWER = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+MERKLE_MANIFEST = f"""with recursive {_CRC},
+    leaves as materialized (select row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n, * from
+        (select doc_id, source, {_leaf('text')} as leaf, case when crc % 5 = 0 then {_leaf(_LOWER)} else {_leaf('text')} end as altered from documents left join checked on v = cast(doc_id as varchar))),
+    nodes as (select source, 0 as level, pos, n, leaf as digest from leaves
+        union all select source, level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' order by pos)) from nodes where n > 1 group by source, level, pos // 16),
+    subroots as (select source, digest as subroot, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n from nodes where n = 1),
+    sources as (select 0 as level, place as pos, n, subroot as digest from subroots
+        union all select level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' order by pos)) from sources where n > 1 group by level, pos // 16),
+    top as (select digest as root from sources where n = 1),
+    runs as (select source, level, pos, digest from nodes where n > 1),
+    every as materialized (select l.*, subroot, place, row_number() over () as row from leaves l join subroots s on l.source is not distinct from s.source),
+    beside as (select row, level, r.pos as spot, digest, r.pos = e.pos // cast(16 ** level as bigint) as own from every e join runs r on r.source is not distinct from e.source and r.pos // 16 = e.pos // cast(16 ** (level + 1) as bigint)
+        union all select row, 100 + level, s.pos, digest, s.pos = place // cast(16 ** level as bigint) from every join sources s on s.n > 1 and s.pos // 16 = place // cast(16 ** (level + 1) as bigint)),
+    sides as (select row, dense_rank() over (partition by row order by level) - 1 as step, before, after from (select row, level, string_agg(digest, '' order by spot) filter (where not own and spot < mine) as before,
+        string_agg(digest, '' order by spot) filter (where not own and spot > mine) as after from (select *, max(spot) filter (where own) over (partition by row, level) as mine from beside) group by row, level)),
+    climb as (select row, 0 as step, altered as digest from every
+        union all select c.row, c.step + 1, sha256(coalesce(before, '') || digest || coalesce(after, '')) from climb c join sides s on s.row = c.row and s.step = c.step),
+    shown as (select row, sha256(string_agg(coalesce(before, '') || coalesce(after, ''), '' order by step)) as proof from sides group by row),
+    ended as (select row, arg_max(digest, step) as folded_root from climb group by row)
+    select doc_id, leaf, subroot, root, coalesce(proof, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
+    from every join ended using (row) left join shown using (row), top"""
+
+
+ORACLES = {"op1_line_dedup": LINE_DEDUP, "op6_license_scan": _license_scan(), "op10_substring_dedup": SUBSTRING_DEDUP, "op12_merkle_manifest": MERKLE_MANIFEST}

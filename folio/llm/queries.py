@@ -8,6 +8,7 @@ from folio.llm.fingerprints import op4_fingerprints
 from folio.llm.licenses import op6_license_scan
 from folio.llm.line_dedup import op1_line_dedup
 from folio.llm.lm_scoring import op3_lm_scoring
+from folio.llm.manifest import op12_merkle_manifest
 from folio.llm.minhash import op9_minhash
 from folio.llm.mixing import op2_mixing
 from folio.llm.oracles import ORACLES  # noqa: F401  (read by __spark_entry__)
@@ -28,5 +29,6 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_simhash": op11_simhash,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
