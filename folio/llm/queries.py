@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from folio.llm.alignment import op13_token_alignment
 from folio.llm.decontamination import op5_decontamination
 from folio.llm.fingerprints import op4_fingerprints
 from folio.llm.licenses import op6_license_scan
@@ -30,5 +31,6 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_simhash": op11_simhash,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
