@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordblocks as wb
-from folio.llm.common import documents, texts
+from folio.llm.common import cut, documents, texts
 
 TILE = 5
 COVERAGE = 0.5
@@ -72,8 +72,8 @@ def _ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
-def _search(ids: list[int], items: list[str], size: int, coverage: float):
-    """A task over document batches, for one block of benchmark items."""
+def _matching(ids: list[int], items: list[str], size: int, coverage: float):
+    """What finds the matches of a batch of documents with a block of benchmark items."""
     words = wb.split_words(*wb.utf8(pa.array(items, pa.string())), True, wb.NOT_ALNUM)
     item_hashes = words.hashes()
     seeds, at = wb.grams(item_hashes, words.first, size)
@@ -103,39 +103,47 @@ def _search(ids: list[int], items: list[str], size: int, coverage: float):
         covered = np.add.reduceat(np.minimum(ahead, size), first)
         return item[first][covered >= coverage * length[item[first]]]
 
+    def matches(batch, column: int):
+        """(row, item, words, tiled words, tiles) of the texts of a batch."""
+        text = wb.split_words(*wb.utf8(batch.column(column)), True, wb.NOT_ALNUM)
+        hashes = text.hashes()
+        h, begin = wb.grams(hashes, text.first, size)
+        likely = np.flatnonzero(quick[h >> wb.U(44)])
+        known = seeds[np.minimum(np.searchsorted(seeds, h[likely]), max(len(seeds) - 1, 0))] == h[likely] if len(seeds) else np.zeros(len(likely), bool)
+        likely = likely[known]
+        doc = np.searchsorted(begin, likely, "right") - 1
+        edge = np.flatnonzero(np.append(True, np.diff(doc) != 0)) if len(doc) else []
+        for a, b in zip(edge, [*edge[1:], len(doc)]):
+            d = int(doc[a])
+            spot, hit = likely[a:b] - begin[d], h[likely[a:b]]
+            for k in candidates(np.unique(hit)).tolist():
+                own = item_hashes[words.first[k] : words.first[k + 1]]
+                mine = spot[np.isin(hit, wb.grams(own, np.array([0, len(own)]), size)[0])]
+                near = np.unique(mine[:, None] + np.arange(size)[None, :])  # words in seeds of this item
+                tiles = tile(hashes[text.first[d] + near], near, own, size)
+                tiled = sum(t[2] for t in tiles)
+                if tiled >= coverage * len(own):
+                    yield d, ids[k], len(own), tiled, sorted(tiles)
+
+    return matches
+
+
+def _pairs(matches):
+    """The task that gives a row for each match."""
+
     def run(batches):
         for batch in wb.text_chunks(batches, "text"):
-            text = wb.split_words(*wb.utf8(batch.column(1)), True, wb.NOT_ALNUM)
-            hashes = text.hashes()
-            h, begin = wb.grams(hashes, text.first, size)
-            likely = np.flatnonzero(quick[h >> wb.U(44)])
-            known = seeds[np.minimum(np.searchsorted(seeds, h[likely]), max(len(seeds) - 1, 0))] == h[likely] if len(seeds) else np.zeros(len(likely), bool)
-            likely = likely[known]
-            doc = np.searchsorted(begin, likely, "right") - 1
-            edge = np.flatnonzero(np.append(True, np.diff(doc) != 0)) if len(doc) else []
-            out = []
-            for a, b in zip(edge, [*edge[1:], len(doc)]):
-                d = int(doc[a])
-                spot, hit = likely[a:b] - begin[d], h[likely[a:b]]
-                for k in candidates(np.unique(hit)).tolist():
-                    own = item_hashes[words.first[k] : words.first[k + 1]]
-                    mine = spot[np.isin(hit, wb.grams(own, np.array([0, len(own)]), size)[0])]
-                    near = np.unique(mine[:, None] + np.arange(size)[None, :])  # words in seeds of this item
-                    tiles = tile(hashes[text.first[d] + near], near, own, size)
-                    tiled = sum(t[2] for t in tiles)
-                    if tiled >= coverage * len(own):
-                        out.append((batch.column(0)[d].as_py(), ids[k], len(own), tiled, sorted(tiles), tiled / len(own)))
             yield pa.RecordBatch.from_pylist(
                 [
                     {
-                        "doc_id": d,
+                        "doc_id": batch.column(0)[d].as_py(),
                         "item_id": i,
                         "item_words": n,
                         "tiled_words": t,
                         "tiles": [{"doc_word": x, "item_word": y, "words": z} for x, y, z in tiles],
-                        "coverage": c,
+                        "coverage": t / n,
                     }
-                    for d, i, n, t, tiles, c in out
+                    for d, i, n, t, tiles in matches(batch, 1)
                 ],
                 schema=_SCHEMA,
             )
@@ -143,6 +151,24 @@ def _search(ids: list[int], items: list[str], size: int, coverage: float):
     return run
 
 
+def _search(ids: list[int], items: list[str], size: int, coverage: float):
+    """A task over document batches, for one block of benchmark items."""
+    return _pairs(_matching(ids, items, size, coverage))
+
+
+def _clean(matches, column: int):
+    """The task that lets through the rows, all columns of them, without a match."""
+
+    def run(batches):
+        for batch in batches:
+            for part in wb.text_chunks([batch], batch.schema.names[column], at=column):
+                keep = np.ones(part.num_rows, dtype=bool)
+                keep[[d for d, *_ in matches(part, column)]] = False
+                yield part.filter(pa.array(keep))
+
+    return run
+
+
 _SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -172,22 +198,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = TILE, coverage: flo
     item follows their words, however often these repeat.
     """
     docs = texts(docs)
+    found = docs.sparkSession.createDataFrame([], FOUND)
+    for n, matches in enumerate(_blocks(benchmark, size, coverage, block_chars)):
+        pairs = docs.mapInArrow(_pairs(matches), FOUND)
+        found = found.union(pairs) if n else pairs
+    return found
+
+
+def _blocks(benchmark: DataFrame, size: int, coverage: float, block_chars: int):
+    """What finds matches, for each block of items."""
     items = texts(benchmark, "item_id").withColumnRenamed("doc_id", "item_id").where("text is not null").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // block_chars)
-    found = docs.sparkSession.createDataFrame([], FOUND)
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow().sort_by("item_id")
-        search = _search(part.column("item_id").to_pylist(), part.column("text").to_pylist(), size, coverage)
-        pairs = docs.mapInArrow(search, FOUND)
-        found = pairs if block == 0 else found.union(pairs)
-    return found
+        yield _matching(part.column("item_id").to_pylist(), part.column("text").to_pylist(), size, coverage)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that hold no benchmark item (see leaks)."""
-    gone = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def without_leaks(docs: DataFrame, benchmark: DataFrame, size: int = TILE, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs that hold no benchmark item (see leaks), as they are.
+
+    Every row is judged by its own text, in the task that reads it, and dropped
+    or passed on there: neither a doc_id that is null or stands on several rows
+    nor any other column matters, repeated rows stay or go alike, and nothing is
+    shuffled.  Of a benchmark of several blocks each takes away its share; what
+    is left is written in between, so that no task carries two blocks.
+    """
+    column = docs.columns.index("text")
+    left = docs
+    for n, matches in enumerate(_blocks(benchmark, size, coverage, block_chars)):
+        left = (cut(left, "decontamination") if n else left).mapInArrow(_clean(matches, column), docs.schema)
+    return left
 
 
 def op5_decontamination(spark, sf_dir):

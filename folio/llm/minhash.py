@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import wordblocks as wb
-from folio.llm.common import cut, group_rows, texts
+from folio.llm.common import cut, group_rows, spare, texts
 from folio.llm.components import components
 
 SHINGLE = 5
@@ -298,9 +298,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its group (or null)."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of docs for each group of near duplicates (see near_duplicates).
+
+    Every row is a document of its own, told apart by doc_id and text: a doc_id
+    that is null or stands on several texts joins nothing.  The row of a group's
+    smallest doc_id stays (without doc_id last; on a tie, of its texts the one of
+    smallest hash).  Of rows repeated in doc_id and text one stays; which, if
+    their other columns differ, is open.  Rows whose text is null, empty or has
+    no words are linked with nothing and all stay.  Columns come back as they are.
+    """
+    own = spare(docs.columns, "_row")
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(key.alias("node"), "doc_id")
+    groups = cut(near_duplicates(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("node"), "n_shingles", "component_id"), "minhash-groups")
+    told = groups.where("n_shingles > 0").join(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "node")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    best = told.groupBy("component_id").agg(F.min_by("node", order).alias("stays"), F.count("*").alias("members"), F.max("copies").alias("most"))
+    # only groups with something to drop take part from here on
+    shared = told.join(best.where("members > 1 or most > 1"), "component_id")
+    shared = cut(shared.select(F.col("node").alias(own), (F.col("node") == F.col("stays")).alias("stays"), "copies"), "minhash-shared-rows")
+    keyed = docs.withColumn(own, key)
+    single = keyed.join(shared.where("not stays or copies > 1"), own, "left_anti")
+    several = keyed.join(shared.where("stays and copies > 1"), own, "left_semi").dropDuplicates([own])
+    return single.unionByName(several).select(*docs.columns)
 
 
 def op9_minhash(spark, sf_dir):

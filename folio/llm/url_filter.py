@@ -63,8 +63,14 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _grams(url: Column, order: int) -> Column:
-    padded = F.concat(F.lit(START * order), F.translate(url, UPPER, LOWER), F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(url) + 1), lambda i: F.substring(padded, i, F.lit(order + 1)))
+    """Every character of a URL (and its end) with the `order` before it: the
+    letters zipped with themselves, shifted, so that work follows the length."""
+    letters = F.split(F.concat(F.lit(START * order), F.translate(url, UPPER, LOWER), F.lit(END)), "")
+    count = F.length(url) + 1
+    grams = F.slice(letters, F.lit(1), count)
+    for shift in range(2, order + 2):
+        grams = F.zip_with(grams, F.slice(letters, F.lit(shift), count), lambda x, y: F.concat(x, y))
+    return grams
 
 
 def ratios(urls: DataFrame, order: int = ORDER, pseudo: float = PSEUDO_COUNT) -> DataFrame:
@@ -97,9 +103,11 @@ def ratios(urls: DataFrame, order: int = ORDER, pseudo: float = PSEUDO_COUNT) ->
 
 
 def scores(urls: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
-    """url, score: mean ratio over the characters of each url (and its end)."""
-    grams = urls.select("url", F.explode(_grams(F.col("url"), order)).alias("gram"))
-    return grams.join(model, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
+    """number, score: mean ratio over the characters of each url (and its end).
+
+    Grams carry their URL's number, not the URL, which may be long."""
+    grams = urls.select("number", F.explode(_grams(F.col("url"), order)).alias("gram"))
+    return grams.join(model, "gram").groupBy("number").agg(F.avg("ratio").alias("score"))
 
 
 def dealt(urls: DataFrame) -> DataFrame:
@@ -127,9 +135,10 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     fit = rule_of(F.col("host"), F.col("path"), rules)
     parted = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("fit", fit)
     urls = parted.groupBy("url").agg(F.first("fit.verdict").alias("judged"))
-    urls = dealt(cut(urls.withColumn("apart", F.pmod(F.xxhash64("url"), F.lit(5)) == 0), "urls"))
+    urls = urls.withColumn("apart", F.pmod(F.xxhash64("url"), F.lit(5)) == 0).withColumn("number", F.monotonically_increasing_id())
+    urls = dealt(cut(urls, "urls"))
     model = ratios(urls.select("url", F.when(~F.col("apart"), F.col("judged")).alias("label")), order)
-    scored = cut(scores(urls, model, order).join(urls, "url"), "urls-scored")
+    scored = cut(scores(urls, model, order).join(urls, "number"), "urls-scored")
     quantile = scored.where("apart").agg(
         F.percentile_approx(F.when(F.col("judged") == "allow", F.col("score")), 0.05, 10_000).alias("allow"),
         F.percentile_approx(F.when(F.col("judged") == "block", F.col("score")), 0.95, 10_000).alias("block"),
@@ -137,9 +146,10 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     low, high = quantile.first()
     threshold = (low + high) / 2 if low is not None and high is not None else float("-inf")
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return parted.join(scored.select("url", "score"), "url").select(
-        "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_model).alias("verdict"), "score"
-    )
+    # null and empty URLs may be most of all: their one score goes to them
+    blank = F.broadcast(scored.where("url = ''").select("score"))  # one row at most
+    named = parted.where("url <> ''").join(scored.select("url", "score"), "url").unionByName(parted.where("url = ''").join(blank))
+    return named.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_model).alias("verdict"), "score")
 
 
 def op7_url_filter(spark, sf_dir):

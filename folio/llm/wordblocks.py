@@ -124,15 +124,16 @@ def grams(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np
     return mix(out[keep]), np.concatenate(([0], np.cumsum(count)))
 
 
-def text_chunks(batches, text: str, limit: int = CHUNK_BYTES):
+def text_chunks(batches, text: str, limit: int = CHUNK_BYTES, at: int | None = None):
     """Cut Arrow batches into runs of rows of about `limit` bytes of text.
 
-    Long texts stay whole: a run holds at least one row.
+    Long texts stay whole: a run holds at least one row.  The text is in the
+    column of that name, or where names may repeat, number `at`.
     """
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(batch.schema.get_field_index(text) if at is None else at)
         size = np.asarray(pa.compute.binary_length(column).fill_null(0).cast(pa.int64()))
         group = (np.cumsum(size) - size) // limit
         edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
