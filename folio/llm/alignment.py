@@ -13,6 +13,7 @@ import hashlib
 import json
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from folio.llm.common import cut, documents, texts
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text that are aligned at a time, and whose link counts become one row.
 ALIGN_BYTES, COUNT_BYTES = 1 << 20, 16 << 20
+#: Bits of a byte offset within a document; its number in the batch is above them.
+END_BITS = 40
 #: Most id pairs whose counts are broadcast (16 bytes each); the others are joined.
 FREQUENT = 1 << 17
 
@@ -36,6 +39,11 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Characters outside blocks whose classes all Unicode versions of use agree on.
 _UNSETTLED = re.compile(r"[^\u0000-\u052f\u2000-\u206f\u3000-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]")
 
+#: A word with the spaces before it, or the spaces at the end.
+_SPACED = re.compile(" *[^ ]+| +")
+#: Words whose pieces a task remembers at most, and their length.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 40
+
 ROW = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<int>, times array<int>, counts array<long>"
 
 
@@ -84,42 +92,67 @@ def byte_level(model: str):
 
 @lru_cache(maxsize=2)
 def piece_level(model: bytes):
-    """(texts to piece ids, the bytes of each id) of a piece model."""
+    """(texts to piece ids, the bytes of each id) of a piece model.
+
+    Where no piece has a space behind another character, no merge crosses from a
+    word to the next space, so words with the spaces before them are encoded one
+    by one, and each just once while it is remembered.
+    """
     import sentencepiece
 
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-    spelled = []
+    spelled, apart = [], True
     for i in range(pieces.get_piece_size()):
         piece = pieces.id_to_piece(i)
+        apart &= "▁" not in piece.lstrip("▁")
         spelled.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda some: pieces.encode(some, num_threads=1), pa.array(spelled, pa.binary())
+    known: dict[str, list[int]] = {}
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        if not apart:
+            return pieces.encode(texts, num_threads=1)
+        words = [_SPACED.findall(" " + x) for x in texts]
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = [w for w in set().union(*words) if w not in known]
+        known.update(zip(new, pieces.encode([w[1:] for w in new], num_threads=1)))  # the model puts a space before each
+        out = [list(chain.from_iterable(map(known.__getitem__, own))) for own in words]
+        for w in new:
+            if len(w) > REMEMBERED_CHARS:
+                del known[w]
+        return out
+
+    return encode, pa.array(spelled, pa.binary())
 
 
 def token_ends(ids: pa.ListArray, spelled: pa.BinaryArray, name: str) -> tuple[pa.Table, pa.Array]:
-    """(document, end, id) of every token, and all tokens' bytes: the lists are
-    flattened, lengths are summed up, and what stood before a document is taken off."""
+    """(end, id) of every token, and all tokens' bytes: the lists are flattened,
+    lengths are summed up, and what stood before a document is taken off.  An end
+    is the document's number in the high bits and a byte offset in the low ones."""
     flat, doc = pc.list_flatten(ids), pc.list_parent_indices(ids)
     tokens = spelled.take(flat)
     total = pc.cumulative_sum(pc.binary_length(tokens).cast(pa.int64()))
     first = np.asarray(ids.offsets)[:-1] - ids.offsets[0].as_py()
-    before = pa.array(np.concatenate(([0], np.asarray(total)))[first])
-    return pa.table({"doc": doc, "end": pc.subtract(total, before.take(doc)), name: flat}), tokens
+    before = np.concatenate(([0], np.asarray(total)))[first]
+    start = pa.array((np.arange(len(ids)) << END_BITS) - before)
+    return pa.table({"end": pc.add(total, start.take(doc)), name: flat}), tokens
 
 
 def spells(ids: pa.ListArray, tokens: pa.BinaryArray, expected: list[bytes]) -> np.ndarray:
     """Which documents' tokens join to the expected bytes."""
-    at = np.concatenate(([0], np.cumsum(np.asarray(pc.binary_length(tokens)))))[np.asarray(ids.offsets) - ids.offsets[0].as_py()]
-    data = b"".join(tokens.to_pylist())
+    _, offsets, data = tokens.buffers()
+    at = np.frombuffer(offsets, np.int32)[tokens.offset + np.asarray(ids.offsets) - ids.offsets[0].as_py()] if offsets else np.zeros(len(expected) + 1, int)
+    data = data.to_pybytes() if data else b""
     return np.array([data[at[i] : at[i + 1]] == x for i, x in enumerate(expected)], dtype=bool)
 
 
 def links(a: pa.Table, b: pa.Table) -> pa.Table:
-    """doc, end, a, b in order, a row for each overlap of an A and a B token, with
+    """doc, a, b in order, a row for each overlap of an A and a B token, with
     a_ends and b_ends: whether the token ends there too."""
-    met = a.join(b, keys=["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")])
-    met = met.combine_chunks()
+    met = a.join(b, keys="end", join_type="full outer", use_threads=False).combine_chunks()
+    met = met.take(pc.sort_indices(met["end"]))
     return pa.table({
-        "doc": met["doc"], "end": met["end"], "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]),
+        "doc": pc.shift_right(met["end"], END_BITS), "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]),
         "a_ends": pc.is_valid(met["a"]), "b_ends": pc.is_valid(met["b"])})
 
 
@@ -180,8 +213,9 @@ def _align(models):
             groups, told = group_texts(found, n, digits)
             doc = np.asarray(found["doc"])
             pair = np.asarray(found["a"], dtype=np.int64) * width + np.asarray(found["b"])
-            own = pa.table({"doc": doc, "pair": pair.astype(np.int32)}).group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")])
-            own = own.rename_columns(["doc", "pair", "times"]).sort_by("doc").combine_chunks()
+            own = pa.table({"key": (doc << 31) + pair}).group_by("key", use_threads=False).aggregate([([], "count_all")]).sort_by("key").combine_chunks()
+            key = own["key"].to_numpy()
+            own = pa.table({"doc": key >> 31, "pair": (key & (1 << 31) - 1).astype(np.int32), "times": own["count_all"]})
             held.append(own.select(["pair", "times"]).group_by("pair", use_threads=False).aggregate([("times", "sum")]).rename_columns(["pair", "times"]))
 
             def spread(values):
@@ -193,8 +227,9 @@ def _align(models):
             for i, x in zip(place.tolist(), told.to_pylist()):
                 digest[i] = hashlib.sha256(x.encode()).hexdigest()
             kept = spread(np.bincount(np.asarray(own["doc"]), minlength=n))
+            tokens = [spread(np.bincount(np.asarray(e["end"]) >> END_BITS, minlength=n)) for e in (ends_a, ends_b)]
             columns = [
-                np.arange(row, row + batch.num_rows), batch.column(0), spread(np.bincount(np.asarray(ends_a["doc"]), minlength=n)), spread(np.bincount(np.asarray(ends_b["doc"]), minlength=n)),
+                np.arange(row, row + batch.num_rows), batch.column(0), *tokens,
                 spread(groups), spread(np.bincount(doc, minlength=n)), digest, _lists(np.asarray(own["pair"]), kept), _lists(np.asarray(own["times"]), kept), pa.nulls(batch.num_rows, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
