@@ -107,6 +107,7 @@ def piece_level(model: bytes):
         apart &= "▁" not in piece.lstrip("▁")
         spelled.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
     known: dict[str, list[int]] = {}
+    lone = [pieces.piece_to_id("▁")]
 
     def encode(texts: list[str]) -> list[list[int]]:
         if not apart:
@@ -114,6 +115,7 @@ def piece_level(model: bytes):
         words = [_SPACED.findall(" " + x) for x in texts]
         if len(known) > REMEMBERED:
             known.clear()
+        known[" "] = lone  # at the end of a text
         new = [w for w in set().union(*words) if w not in known]
         known.update(zip(new, pieces.encode([w[1:] for w in new], num_threads=1)))  # the model puts a space before each
         out = [list(chain.from_iterable(map(known.__getitem__, own))) for own in words]

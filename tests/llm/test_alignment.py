@@ -113,6 +113,21 @@ def test_both_libraries_encode_alike(data):
     assert encode(texts) == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_word_by_word(data, monkeypatch):
+    """Encoding word by word gives what the model gives for whole texts, also when little is remembered."""
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    from folio.llm import alignment as al
+
+    monkeypatch.setattr(al, "REMEMBERED", 10)
+    with open(PIECE_BPE, "rb") as f:
+        encode, _ = al.piece_level(f.read())
+    texts = [x for x in pq.read_table(f"{data}/documents.parquet").column("text").to_pylist() if x] + [x for _, x in given() if x] + ["end ", "end  ", "  two", " ", "   "]
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE).encode(texts)
+    assert [encode([x])[0] for x in texts] == whole == encode(texts)
+
+
 def test_empty_table(spark):
     from folio.llm.alignment import align
 
