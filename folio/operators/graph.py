@@ -8,38 +8,59 @@ from pyspark.sql import functions as F
 from folio.functions.text import find_all, strip
 
 
-def cooccurrence(mentions: DataFrame) -> DataFrame:
-    """CO_OCCURS edges between the distinct canonicals of a document (a < b)."""
+#: Entities of a document in one part; two parts are paired in one task.
+PART = 512
+
+
+def cooccurrence(mentions: DataFrame, part: int | None = None) -> DataFrame:
+    """CO_OCCURS edges between the distinct canonicals of a document (a < b).
+
+    A document's entities are dealt out into parts of about `part`, and each two
+    parts (or a part with itself) meet under a key of their own, so that the
+    pairs of a document with many entities are made in many tasks.
+    """
+    part = part or PART
     nodes = mentions.select("document_id", "canonical_id").distinct()
-    a = nodes.withColumnRenamed("canonical_id", "source_id")
-    z = nodes.withColumnRenamed("canonical_id", "target_id")
-    pairs = a.join(z, "document_id").where("source_id < target_id")
-    return pairs.withColumn("relationship_type", F.lit("CO_OCCURS"))
+    parts = nodes.groupBy("document_id").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    placed = nodes.join(parts, "document_id").withColumn("own", F.pmod(F.xxhash64("canonical_id"), F.col("parts")).cast("int"))
+    low = placed.select("document_id", F.col("own").alias("low"), F.explode(F.sequence("own", F.col("parts") - 1)).alias("high"), F.col("canonical_id").alias("a"))
+    high = placed.select("document_id", F.explode(F.sequence(F.lit(0), "own")).alias("low"), F.col("own").alias("high"), F.col("canonical_id").alias("z"))
+    pairs = low.join(high, ["document_id", "low", "high"]).where((F.col("low") < F.col("high")) | (F.col("a") < F.col("z")))
+    return pairs.select("document_id", F.least("a", "z").alias("source_id"), F.greatest("a", "z").alias("target_id"), F.lit("CO_OCCURS").alias("relationship_type"))
+
+
+def cooccurrence_counts(mentions: DataFrame) -> DataFrame:
+    """(type1, type2, edges): how many CO_OCCURS edges join entities of two types
+    (type1 <= type2), from each document's number of entities by type; no pair is made."""
+    nodes = mentions.select("document_id", "entity_type", "canonical_id").distinct()
+    n = nodes.groupBy("document_id", "entity_type").agg(F.count("*").alias("n"))
+    a, z = (n.select("document_id", F.col("entity_type").alias(f"type{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2))
+    both = a.join(z, "document_id").where("type1 <= type2")  # as many rows as a document has pairs of types
+    edges = F.when(F.col("type1") == F.col("type2"), F.expr("n1 * (n1 - 1) div 2")).otherwise(F.col("n1") * F.col("n2"))
+    return both.groupBy("type1", "type2").agg(F.sum(edges).alias("edges")).where("edges > 0")
 
 
 def structural(chunks: DataFrame, mentions: DataFrame, project: str = "source") -> DataFrame:
-    """BELONGS_TO, CONTAINS_MENTION, MEMBER_OF_CLUSTER and NEXT_/PREVIOUS_CHUNK."""
+    """BELONGS_TO, CONTAINS_MENTION, MEMBER_OF_CLUSTER and NEXT_/PREVIOUS_CHUNK: all
+    edges of a chunk, and of a mention, from one pass over each.  A document
+    belongs to the project of its first chunk."""
     doc = F.concat(F.lit("d"), F.col("document_id"))
     chunk = F.concat(doc, F.lit("c"), F.col("chunk_index"))
+    order = Window.partitionBy("document_id").orderBy("chunk_index")
+    there = F.concat(doc, F.lit("c"), F.lead("chunk_index").over(order))
+
+    def edge(source, target, kind, given=None):
+        made = F.struct(source.alias("source_id"), target.alias("target_id"), F.lit(kind).alias("relationship_type"))
+        return made if given is None else F.when(given, made)
+
+    rows = chunks.select(chunk.alias("here"), there.alias("there"), doc.alias("doc"), F.col(project).alias("project"), (F.row_number().over(order) == 1).alias("first"))
+    here, follows = F.col("here"), F.col("there").isNotNull()
+    of_chunks = F.array(
+        edge(here, F.col("doc"), "BELONGS_TO"), edge(F.col("doc"), F.col("project"), "BELONGS_TO", F.col("first")),
+        edge(here, F.col("there"), "NEXT_CHUNK", follows), edge(F.col("there"), here, "PREVIOUS_CHUNK", follows))
     mention = F.concat(chunk, F.col("entity_type"), F.col("ordinal"))
-    nxt = F.lead("chunk_index").over(Window.partitionBy("document_id").orderBy("chunk_index"))
-    follow = chunks.select(chunk.alias("here"), F.concat(doc, F.lit("c"), nxt).alias("there")).where("there is not null")
-
-    def edges(df, source, target, kind):
-        return df.select(source.alias("source_id"), target.alias("target_id"), F.lit(kind).alias("relationship_type"))
-
-    parts = [
-        edges(chunks.select("document_id", project).distinct(), doc, F.col(project), "BELONGS_TO"),
-        edges(chunks, chunk, doc, "BELONGS_TO"),
-        edges(mentions, chunk, mention, "CONTAINS_MENTION"),
-        edges(mentions, mention, F.col("canonical_id"), "MEMBER_OF_CLUSTER"),
-        edges(follow, F.col("here"), F.col("there"), "NEXT_CHUNK"),
-        edges(follow, F.col("there"), F.col("here"), "PREVIOUS_CHUNK"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    of_mentions = F.array(edge(chunk, mention, "CONTAINS_MENTION"), edge(mention, F.col("canonical_id"), "MEMBER_OF_CLUSTER"))
+    return rows.select(F.inline(F.array_compact(of_chunks))).unionByName(mentions.select(F.inline(of_mentions)))
 
 
 def best_edges(edges: DataFrame, confidence: str = "confidence") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.operators.ranking import numbered
+
 
 def rate(part: Column, whole: Column) -> Column:
     """part / whole in percent, 0 where there is nothing."""
@@ -61,10 +63,8 @@ def grouped_summary(df: DataFrame, *dimensions: str, measures: list[Column]) ->
 
 def nearest_rank(df: DataFrame, by: list[str], value: str, share: float) -> DataFrame:
     """The value at index floor(n * share) of each group's sorted values."""
-    order = Window.partitionBy(*by).orderBy(value)
-    n = F.count("*").over(Window.partitionBy(*by))
-    ranked = df.withColumn("_at", F.row_number().over(order) - 1).withColumn("_want", F.least(F.floor(n * share), n - 1))
-    return ranked.where("_at = _want").select(*by, F.col(value).alias("ranked_value"))
+    ranked = numbered(df.select(*by, value), by, [value], "_at", "_n")
+    return ranked.where(F.col("_at") == F.least(F.floor(F.col("_n") * share), F.col("_n") - 1)).select(*by, F.col(value).alias("ranked_value"))
 
 
 def shannon_entropy(df: DataFrame, by: list[str], category: str) -> DataFrame:

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Query vectors that are held against the table in one pass.
+from folio.sources.storage import written
+
+#: Projects that are held against the vectors in one pass.
 BLOCK = 4096
+#: Rows and queries of a tile, about; pivots of the inverted file, at most.
+TILE_ROWS, TILE_QUERIES, PIVOTS = 8192, 16384, 64
 
 
 def _unit(vectors) -> np.ndarray:
@@ -16,47 +22,97 @@ def _unit(vectors) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _scored(vectors: DataFrame, queries: DataFrame, least: float, most: int | None, same: str | None) -> DataFrame:
-    """(query_id, vec_id, label, similarity): each task compares its vectors with
-    a block of queries by one matrix product and keeps what can still count."""
-    columns = ["vec_id", "label", "embedding"]
-    total = queries.count()
-    blocks = max(1, -(-total // BLOCK))
-    out = None
-    for block in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).select(*columns).toPandas()
-        q = _unit(part["embedding"])
-        ids, labels = part["vec_id"].to_numpy(), part["label"].to_numpy()
+def _tiled(rows: DataFrame, queries: DataFrame, most: int | None = None) -> DataFrame:
+    """(query_id, vec_id, label, similarity) of rows(cell, vec_id, label, embedding)
+    and queries(cell, query_id, vector, bar) in the same cell: similarity at least
+    the query's bar, and with `most` just a tile's best for each query (ties stay).
 
-        def work(batches, q=q, ids=ids, labels=labels):
-            for pdf in batches:
-                if not len(pdf) or not len(ids):
-                    continue
-                s = _unit(pdf["embedding"]) @ q.T
-                keep = (s >= least) & (pdf["vec_id"].to_numpy()[:, None] != ids[None, :])
-                if same:
-                    keep &= pdf["label"].to_numpy()[:, None] == labels[None, :]
-                if most is not None and len(pdf) > most:
-                    bar = np.partition(np.where(keep, s, -2), len(pdf) - most, axis=0)[len(pdf) - most]
-                    keep &= s >= bar[None, :] - 1e-9  # a batch's best; ties stay in
-                i, j = np.nonzero(keep)
-                yield pdf.__class__({"query_id": ids[j], "vec_id": pdf["vec_id"].to_numpy()[i], "label": pdf["label"].to_numpy()[i], "similarity": s[i, j]})
-
-        one = vectors.select(*columns).mapInPandas(work, "query_id long, vec_id long, label int, similarity double")
-        out = one if out is None else out.union(one)
-    return out
+    Rows and queries of a cell are dealt out by hash, so that a tile of the two
+    has about TILE_ROWS and TILE_QUERIES of them, however many the cell holds; a
+    tile is one matrix product in one task.
+    """
+    both = rows.select("cell", F.lit(1).alias("r"), F.lit(0).alias("q")).union(queries.select("cell", F.lit(0), F.lit(1)))
+    n = both.groupBy("cell").agg(F.sum("r").alias("n_rows"), F.sum("q").alias("n_queries")).where("n_rows > 0 and n_queries > 0")
+    plan = written(n.select("cell", F.ceil(F.col("n_rows") / TILE_ROWS).cast("int").alias("across"), F.ceil(F.col("n_queries") / TILE_QUERIES).cast("int").alias("down")), "vector-tiles")
+    part = lambda key, parts: F.pmod(F.xxhash64(key), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    left = rows.join(plan, "cell").withColumn("i", part("vec_id", "across")).withColumn("j", every("down")).select("cell", "i", "j", "vec_id", "label", "embedding")
+    right = queries.join(plan, "cell").withColumn("j", part("query_id", "down")).withColumn("i", every("across")).select(F.col("cell").alias("place"), "i", "j", "query_id", "vector", "bar")
+
+    def work(own, asked):
+        if not len(own) or not len(asked):
+            return pd.DataFrame(columns=["query_id", "vec_id", "label", "similarity"])
+        vectors, ids = _unit(own["embedding"]), own["vec_id"].to_numpy()
+        out = []
+        for start in range(0, len(asked), 512):
+            some = asked.iloc[start : start + 512]
+            s = vectors @ _unit(some["vector"]).T
+            keep = (s >= some["bar"].to_numpy()[None, :]) & (ids[:, None] != some["query_id"].to_numpy()[None, :])
+            if most is not None and len(ids) > most:
+                bar = np.partition(np.where(keep, s, -2), len(ids) - most, axis=0)[len(ids) - most]
+                keep &= s >= bar[None, :] - 1e-9
+            i, j = np.nonzero(keep)
+            out.append(pd.DataFrame({"query_id": some["query_id"].to_numpy()[j], "vec_id": ids[i], "label": own["label"].to_numpy()[i], "similarity": s[i, j]}))
+        return pd.concat(out)
+
+    return left.groupBy("cell", "i", "j").cogroup(right.groupBy("place", "i", "j")).applyInPandas(work, "query_id long, vec_id long, label int, similarity double")
+
+
+def _placed(vectors: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """vectors with `cell`, the pivot nearest to each, and `angle` to it; the pivots.
+
+    The pivots are PIVOTS vectors at most, those of the smallest hashes: any would
+    give the same result, others just other work.
+    """
+    some = vectors.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).toPandas()
+    pivots = _unit(some["embedding"])
+
+    def work(batches):
+        for pdf in batches:
+            s = _unit(pdf["embedding"]) @ pivots.T if len(pdf) else np.zeros((0, max(len(pivots), 1)))
+            yield pdf.assign(cell=s.argmax(axis=1), angle=np.arccos(np.clip(s.max(axis=1), -1, 1)) if len(pdf) else [])
+
+    columns = vectors.select("vec_id", "label", "embedding")
+    return written(columns.mapInPandas(work, T.StructType([*columns.schema.fields, T.StructField("cell", T.LongType()), T.StructField("angle", T.DoubleType())])), "vector-cells"), pivots
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The k most similar vectors of each query, exactly, with their rank."""
+    """The k most similar vectors of each query, exactly, with their rank (ties by
+    vec_id, after rounding to nine digits).
+
+    An inverted file: vectors are in the cells of their nearest pivots.  A query
+    is first held against its own cell; its k-th best there is a bar that each
+    other cell must be able to reach: no member's angle to the query is less than
+    the pivot's less the cell's radius.  The cells left are searched in tiles.
+    """
+    rows, pivots = _placed(vectors)
+    asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").select("cell", F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 9)), "vec_id")
-    rows = _scored(vectors, queries, -2.0, k, None)
-    return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
+    home = _tiled(rows, asked.withColumn("bar", F.lit(-2.0)), k)
+    home = written(home.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "vector-home")
+    bars = home.where(F.col("rank") == k).select("query_id", F.col("similarity").alias("bar"))
+    cells = rows.groupBy("cell").agg(F.max("angle").alias("radius")).orderBy("cell").toPandas()  # PIVOTS rows at most
+    number, radius = cells["cell"].to_numpy(), cells["radius"].to_numpy()
+
+    def visits(batches):
+        for pdf in batches:
+            if len(pdf):
+                angle = np.arccos(np.clip(_unit(pdf["vector"]) @ pivots[number].T, -1, 1))
+                best = np.cos(np.maximum(angle - radius[None, :], 0))
+                i, j = np.nonzero((best >= pdf["bar"].to_numpy()[:, None] - 1e-9) & (number[None, :] != pdf["cell"].to_numpy()[:, None]))
+                yield pd.DataFrame({"cell": number[j], "query_id": pdf["query_id"].to_numpy()[i], "vector": pdf["vector"].to_numpy()[i], "bar": pdf["bar"].to_numpy()[i] - 1e-9})
+
+    barred = asked.join(bars, "query_id", "left").select("cell", "query_id", "vector", F.coalesce("bar", F.lit(-2.0)).alias("bar"))
+    away = _tiled(rows, barred.mapInPandas(visits, barred.schema), k)
+    return home.drop("rank").unionByName(away).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
 
 
 def within(vectors: DataFrame, queries: DataFrame, least: float) -> DataFrame:
-    """Vectors of the query's label whose cosine is at least `least`."""
-    return _scored(vectors, queries, least, None, "label")
+    """Vectors of the query's label whose cosine is at least `least`; a label is a
+    cell, and a label of many vectors many tiles."""
+    rows = vectors.select(F.col("label").alias("cell"), "vec_id", "label", "embedding")
+    asked = queries.select(F.col("label").alias("cell"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), F.lit(float(least)).alias("bar"))
+    return _tiled(rows, asked)
 
 
 def best_link(pairs: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.operators.ranking import numbered
+
 
 def _descending(columns: list[str]) -> list[Column]:
     return [F.desc(c) for c in columns]
@@ -54,10 +56,9 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     return df.withColumn("_fresh", fresh).withColumn("island", F.sum("_fresh").over(upto)).drop("_fresh")
 
 
-def fixed_batches(df: DataFrame, keys: list[str], order: list[Column], size: int) -> DataFrame:
+def fixed_batches(df: DataFrame, keys: list[str], order: list, size: int) -> DataFrame:
     """df with `batch`: runs of `size` rows of each key in that order, from 0."""
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(at / size).cast("long"))
+    return numbered(df, keys, order, "_at").withColumn("batch", F.floor(F.col("_at") / size).cast("long")).drop("_at")
 
 
 def trailing_count(df: DataFrame, key: str, seconds: int, ts: str = "ts") -> DataFrame:

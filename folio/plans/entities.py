@@ -89,9 +89,9 @@ def edges_structural(spark, d):
 def relation_union(spark, d):
     """All edge families in one table, counted by type."""
     scored = b.scored(spark, d)
-    kinds = [g.structural(b.chunks(spark, d), scored), g.cooccurrence(scored)]
-    both = kinds[0].select("relationship_type").unionByName(kinds[1].select("relationship_type"))
-    return both.groupBy("relationship_type").agg(F.count("*").alias("n"))
+    structural = g.structural(b.chunks(spark, d), scored).groupBy("relationship_type").agg(F.count("*").alias("n"))
+    together = g.cooccurrence_counts(scored).agg(F.lit("CO_OCCURS").alias("relationship_type"), F.coalesce(F.sum("edges"), F.lit(0)).alias("n"))
+    return structural.unionByName(together)
 
 
 _EDGES = """, e as (select canonical_id as source_id, source as target_id, entity_type as relationship_type, confidence, document_id from scored)"""
@@ -122,8 +122,7 @@ def edge_type_validity(spark, d):
     """Of each pair of types, whether an edge of each relationship would be valid."""
     rules = spark.createDataFrame(EDGE_RULES, "type1 string, type2 string, relationship_type string")
     any_ = rules.groupBy("relationship_type").agg(F.max((F.col("type1") == "ANY") | (F.col("type2") == "ANY")).alias("open"))
-    kind = lambda c: F.split(c, ":")[0]
-    pairs = g.cooccurrence(b.scored(spark, d)).groupBy(kind("source_id").alias("type1"), kind("target_id").alias("type2")).agg(F.count("*").alias("edges"))
+    pairs = g.cooccurrence_counts(b.scored(spark, d))
     every = pairs.join(F.broadcast(any_))  # a row for each relationship
     listed = F.broadcast(rules.withColumn("listed", F.lit(True)))
     rows = every.join(listed, ["type1", "type2", "relationship_type"], "left")
