@@ -111,3 +111,14 @@ def within_hours(df: DataFrame, hours: int, as_of: Column | None = None, ts: str
     latest = df.agg(F.max(ts).alias("_as_of"))
     start = F.col("_as_of") - F.expr(f"INTERVAL {hours} HOURS")
     return df.join(F.broadcast(latest), F.col(ts) > start).drop("_as_of")  # one row
+
+
+def listed_first(df: DataFrame, keys: list[str], value: str, k: int, name: str, separator: str = ",") -> DataFrame:
+    """keys and `name`, the k smallest values of each key in order, joined.
+
+    Ranks over k are cut off before the shuffle and after it, so what meets for a
+    key is bounded, however many rows it has.
+    """
+    order = Window.partitionBy(*keys).orderBy(value)
+    few = df.select(*keys, value).withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= k)
+    return few.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col(value).cast("string").alias("v")))), lambda x: x["v"]), separator).alias(name))

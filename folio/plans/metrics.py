@@ -148,11 +148,11 @@ def error_summary(spark, d):
     array_to_string(list_slice(list_sort(list(cast(document_id as varchar)) filter (where status = 'failed')), 1, 10), ',') as first_errors
     from items group by 1"""))
 def batch_result_summary(spark, d):
-    errors = F.collect_list(F.when(F.col("status") == "failed", F.col("document_id").cast("string")))
-    listed = F.array_join(F.slice(F.array_sort(errors), 1, 10), ",")
-    return b.items(spark, d).groupBy("batch_id").agg(
-        F.count("*").alias("total"), done().alias("completed"), failed().alias("failed"), m.rate(done(), done() + failed()).alias("success_rate"),
-        F.when(failed() > 0, listed).alias("first_errors"))
+    items = b.items(spark, d)
+    found = items.groupBy("batch_id").agg(
+        F.count("*").alias("total"), done().alias("completed"), failed().alias("failed"), m.rate(done(), done() + failed()).alias("success_rate"))
+    errors = items.where("status = 'failed'").select("batch_id", F.col("document_id").cast("string").alias("document_id"))
+    return found.join(m.listed_first(errors, ["batch_id"], "document_id", 10, "first_errors"), "batch_id", "left")
 
 
 @query("campaign_progress", sql("batches", """select project_id, count(*) as batches, count(*) filter (where status = 'completed') as completed,
@@ -422,12 +422,16 @@ def import_completeness(spark, d):
     return share.withColumn("verdict", F.when(F.col("share") >= 0.95, "PASS").when(F.col("share") >= 0.9, "WARN").otherwise("FAIL"))
 
 
-@query("duplicate_files", """select sha256(text) as content_hash, count(*) as copies, array_to_string(list_sort(list(cast(doc_id as varchar))), ',') as members
-    from documents group by 1 having count(*) > 1""")
+@query("duplicate_files", """with h as (select sha256(text) as content_hash, doc_id from documents),
+    g as (select content_hash, count(*) as copies, array_to_string(list_slice(list_sort(list(doc_id)), 1, 10), ',') as first_members from h group by 1 having count(*) > 1)
+    select content_hash, copies, first_members, doc_id as member from h join g using (content_hash)""")
 def duplicate_files(spark, d):
+    """A row for each member of a group of equal contents, with the number of
+    copies and the ten smallest members listed."""
     docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
-    return docs.groupBy("content_hash").agg(
-        F.count("*").alias("copies"), F.array_join(F.array_sort(F.collect_list(F.col("doc_id").cast("string"))), ",").alias("members")).where("copies > 1")
+    groups = docs.groupBy("content_hash").agg(F.count("*").alias("copies")).where("copies > 1")
+    listed = m.listed_first(docs.where("content_hash is not null"), ["content_hash"], "doc_id", 10, "first_members")
+    return docs.join(groups.join(listed, "content_hash"), "content_hash").select("content_hash", "copies", "first_members", F.col("doc_id").alias("member"))
 
 
 @query("import_error_patterns", sql("tasks", "select message, stage, count(*) as n from tasks where status = 'failed' group by 1, 2"))

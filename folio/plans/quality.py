@@ -9,6 +9,7 @@ from folio.operators import rules as r
 from folio.plans import bindings as b
 from folio.plans.bindings import sql
 from folio.plans.registry import query, table
+from folio.sources import storage as s
 
 
 def _case(column: str, patterns: dict[str, str], default: str) -> str:
@@ -165,11 +166,19 @@ def schema_conformance(spark, d):
     return r.conformance(table(spark, d, "documents"), {"doc_id": "bigint", "lang": "int", "title": "string"})
 
 
-@query("row_validation_report", sql("tasks", """select stage, count(*) as total, count(*) filter (where cents > 100 and k < 95) as valid,
-    count(*) filter (where cents <= 100) as too_short, count(*) filter (where k >= 95) as out_of_range from tasks group by 1"""))
+@query("row_validation_report", sql("tasks", """, w as (select *, case when event_id % 17 = 0 then 'malformed' when event_id % 13 = 0 then 'type: k' when event_id % 11 = 0 then 'missing: stage' end as broken from tasks),
+    e as (select unnest(case when broken is not null then [broken] else list_filter([case when cents <= 100 then 'rule: too_short' end, case when k >= 95 then 'rule: out_of_range' end], lambda x: x is not null) end) as name from w),
+    t as (select count(*) as n, count(*) filter (where broken is null and cents > 100 and k < 95) as good from w),
+    r as (select 'all' as name, n from t union all select 'valid', good from t union all select 'invalid', n - good from t union all select name, count(*) from e group by 1)
+    select 'tasks' as table, name, r.n, r.n * 100.0 / (select n from t) as share, case name when 'type: k' then 'convert k' when 'missing: stage' then 'add stage' else '' end as fix from r"""))
 def row_validation_report(spark, d):
-    good, short, wide = (F.col("cents") > 100) & (F.col("k") < 95), F.col("cents") <= 100, F.col("k") >= 95
-    return b.tasks(spark, d).groupBy("stage").agg(F.count("*").alias("total"), F.count_if(good).alias("valid"), F.count_if(short).alias("too_short"), F.count_if(wide).alias("out_of_range"))
+    """Task records as JSON lines, some cut off, of another type or without a
+    field, against a declared schema and two rules."""
+    tasks, at = b.tasks(spark, d), F.col("event_id")
+    told = lambda *columns: F.to_json(F.struct("event_id", *columns, "cents"))
+    line = F.when(at % 17 == 0, F.substring(told("stage", "k"), 2, 20)).when(at % 13 == 0, told("stage", F.lit("many").alias("k"))).when(at % 11 == 0, told("k")).otherwise(told("stage", "k"))
+    rows = s.checked(tasks.select(line.alias("value")), "event_id long, stage string, k long, cents long", {"too_short": "cents > 100", "out_of_range": "k < 95"})
+    return s.validation_report(rows, "tasks")
 
 
 @query("preflight_checks", """with n as (select doc_id, count(*) as copies from documents group by 1),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from folio.plans import bindings as b
@@ -115,19 +117,46 @@ def export_entities(spark, d):
     return spark.read.schema("canonical_id string, mentions bigint").json(path)
 
 
-@query("retention_filter", sql("tasks", "select cast(ts as date) as day, count(*) as n from tasks where cast(ts as date) > (select max(cast(ts as date)) from tasks) - 14 group by 1"))
-def retention_filter(spark, d):
-    tasks = b.tasks(spark, d).withColumn("day", F.to_date("ts"))
-    last = F.broadcast(tasks.agg(F.max("day").alias("last")))  # one row
-    return tasks.join(last, F.col("day") > F.date_sub("last", 14)).groupBy("day").agg(F.count("*").alias("n"))
+def _daily(spark, d, name):
+    """The tasks as a table by day; its path and the latest time in it."""
+    path = s.shared_path(spark, name)
+    tasks = b.tasks(spark, d).select("event_id", "document_id", "stage", "ts", F.to_date("ts").alias("day"))
+    tasks.write.partitionBy("day").parquet(path)
+    return path, tasks.agg(F.max("ts")).first()[0]
 
 
-@query("history_prune", sql("tasks", "select count(*) as total, count(*) filter (where ts < (select max(ts) from tasks) - interval 10 day) as prunable from tasks"))
+_BY_DAY = "event_id bigint, document_id bigint, stage string, ts timestamp_ntz, day date"
+
+
+@query("retention_filter", sql("tasks", """select case when cast(ts as date) > (select max(cast(ts as date)) from tasks) - 14 then 'kept' else 'archived' end as state,
+    cast(ts as date) as day, count(*) as n, sum(event_id) as event_sum from tasks group by 1, 2"""))
+def retention_filter(spark, d):
+    """Days older than a fortnight go to the archive and leave the table; both are read back."""
+    path, last = _daily(spark, d, "retention")
+    archive = s.shared_path(spark, "archive")
+    if last is not None:
+        s.retire(spark, path, archive, "day", (last.date() - datetime.timedelta(days=13)).isoformat())
+    out = None
+    for state, at in (("kept", path), ("archived", archive)):
+        rows = spark.read.schema(_BY_DAY).parquet(at) if s.exists(spark, at) else spark.createDataFrame([], _BY_DAY)
+        part = rows.groupBy(F.lit(state).alias("state"), "day").agg(F.count("*").alias("n"), F.sum("event_id").alias("event_sum"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("history_prune", sql("tasks", """, l as (select max(ts) - interval 10 day as bar from tasks) select count(*) as total, count(*) filter (where ts < bar) as prunable,
+    count(*) filter (where ts >= bar) as remaining, min(ts) filter (where ts >= bar) as oldest, sum(event_id) filter (where ts >= bar) as event_sum from tasks, l"""))
 def history_prune(spark, d):
-    tasks = b.tasks(spark, d)
-    last = F.broadcast(tasks.agg(F.max("ts").alias("last")))  # one row
-    old = F.col("ts") < F.col("last") - F.expr("INTERVAL 10 DAYS")
-    return tasks.join(last).agg(F.count("*").alias("total"), F.count_if(old).alias("prunable"))
+    """What a dry run would delete, and what is there after the real one."""
+    path, last = _daily(spark, d, "history")
+    total = spark.read.schema(_BY_DAY).parquet(path).count()
+    bar, prunable = None, 0
+    if last is not None:
+        bar = last - datetime.timedelta(days=10)
+        prunable = s.prune(spark, path, "day", "ts", bar, dry_run=True)
+        s.prune(spark, path, "day", "ts", bar)
+    left = spark.read.schema(_BY_DAY).parquet(path)
+    return left.agg(F.lit(total).cast("long").alias("total"), F.lit(prunable).cast("long").alias("prunable"), F.count("*").alias("remaining"), F.min("ts").alias("oldest"), F.sum("event_id").alias("event_sum"))
 
 
 @query("file_inventory_stats", sql("files", "select split_part(host, '.', -1) as kind, count(*) as files, sum(size) as size, min(file_id) as first_id, max(file_id) as last_id from files group by 1"))

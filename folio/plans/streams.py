@@ -81,14 +81,22 @@ def stream_status_fold(spark, d):
     return changes.groupBy("document_id").agg(F.max_by(F.struct(*changes.columns[1:]), F.struct("last_us", "error_count", F.length("stages_completed"))).alias("r")).select("document_id", "r.*")
 
 
-@query("stream_dedup", sql("chunks", "select count(*) as served, count(distinct digest) as texts from (select distinct document_id, chunk_index, md5(chunk_text) as digest from chunks)"))
+@query("stream_dedup", sql("chunks", """, k as (select distinct document_id, chunk_index, md5(chunk_text) as digest from chunks)
+    select 1 as delivery, count(*) as served, count(distinct digest) as texts from k union all select 4, count(*), count(distinct digest) from k where document_id % 5 = 0"""))
 def stream_dedup(spark, d):
-    """Chunks delivered twice are served once: the key is the chunk and its text's hash."""
-    docs = st.read_events(spark, f"{d}/documents*.parquet", table(spark, d, "documents").schema).select(F.col("doc_id").alias("document_id"), "text")
-    rows = chunk_fixed(docs).select("document_id", "chunk_index", F.md5("chunk_text").alias("digest"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"))
-    twice = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = st.run(st.first_deliveries(twice, ["document_id", "chunk_index", "digest"]).select("document_id", "chunk_index", "digest"), "append", "dedup")
-    return once.agg(F.count("*").alias("served"), F.countDistinct("digest").alias("texts"))
+    """Chunks are served once, however often they are delivered: the key is the
+    chunk and its text's hash.
+
+    Five deliveries: all chunks; all again half an hour later; one document in
+    three five hours later, while state still knows them; one in five after the
+    watermark has let go of them, which are served again; and late copies.
+    """
+    chunks = b.chunks(spark, d).select("document_id", "chunk_index", F.md5("chunk_text").alias("digest"))
+    sent = lambda n, minutes, every: chunks.where(F.col("document_id") % every == 0).select("*", F.lit(n).alias("delivery"), F.timestamp_seconds(F.lit(1_700_000_000 + 60 * minutes)).alias("ts"))
+    deliveries = [sent(1, 0, 1), sent(2, 30, 1), sent(3, 300, 3), sent(4, 310, 5), sent(5, 60, 1)]
+    keys = ["document_id", "chunk_index", "digest"]
+    once = st.delivered(deliveries, lambda rows: st.first_deliveries(rows, keys).select(*keys, "delivery"), "append", "dedup")
+    return once.groupBy("delivery").agg(F.count("*").alias("served"), F.countDistinct("digest").alias("texts"))
 
 
 @query("event_log_sink", sql("tasks", "select stage, cast(ts as date) as day, count(*) as n from tasks group by 1, 2"))
@@ -114,10 +122,14 @@ def warning_streak(spark, d):
     coalesce(epoch_us(max(ts) filter (where status = 'failed' and (good is null or struct_pack(a := ts, b := event_id) > good))), 0) as last_us from tasks join g using (document_id) group by 1)
     select document_id, failures, last_us, failures >= 3 and (select epoch_us(max(ts)) from tasks) - last_us <= 86400000000 as blocked from f"""))
 def failure_gate(spark, d):
-    """Documents with three failures in a row, the last in the day before the latest event."""
-    changes = st.run(st.failure_gate(_events(spark, d)), "update", "gate")
+    """Documents with three failures in a row, the last in the day before the
+    latest event; every second event comes a delivery late, up to ten days."""
+    tasks = b.tasks(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    due = F.floor((F.dayofmonth("ts") - 1) / 10) + F.col("event_id") % 2
+    deliveries = [tasks.where(due == n).select("event_id", "document_id", "status", "ts") for n in range(5)]
+    changes = st.delivered(deliveries, lambda rows: st.failure_gate(rows, "40 days"), "update", "gate")
     as_of = b.tasks(spark, d).agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("as_of_us"))
-    return st.blocked(changes, as_of, seconds=86_400)
+    return st.blocked(st.latest_gates(changes), as_of, seconds=86_400)
 
 
 @query("batch_progress", sql("tasks", """, l as (select batch_id, document_id, arg_max(status, struct_pack(a := ts, b := event_id)) as status, arg_max(stage, struct_pack(a := ts, b := event_id)) as stage from tasks group by 1, 2),

@@ -81,3 +81,108 @@ def upsert(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     rows = table.withColumn("_v", F.lit(0)).unionByName(new.withColumn("_v", F.lit(1)))
     rest = [c for c in table.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max(F.struct("_v", *rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest]).select(*table.columns)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _files(spark, path)
+    return system.exists(at)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    system, at = _files(spark, path)
+    system.delete(at, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values a table is partitioned by, in order: one name a partition."""
+    system, at = _files(spark, path)
+    names = [f.getPath().getName() for f in system.listStatus(at)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def _replace(rows: DataFrame, path: str, column: str) -> None:
+    """Put rows in place of those partitions of a table that rows has."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def retire(spark: SparkSession, path: str, archive: str, column: str, first: str) -> list[str]:
+    """Move the partitions before `first` from a table to its archive; their values.
+
+    They are copied as whole partitions and dropped once all are there, so a move
+    that was broken off can be made again: a partition replaces its own copy.
+    """
+    old = [v for v in partition_values(spark, path, column) if v < first]
+    if old:
+        rows = spark.read.parquet(path)
+        _replace(rows.where(F.col(column).cast("string") < first), archive, column)
+        drop_partitions(spark, path, column, old)
+    return old
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    for value in values:
+        drop(spark, f"{path}/{column}={value}")
+
+
+def prune(spark: SparkSession, path: str, column: str, ts: str, before, dry_run: bool = False) -> int:
+    """Delete the rows of a partitioned table whose ts is before a time; how many.
+
+    Partitions of whole days before it are dropped, the day it lies in is written
+    anew with the rows that stay, and no other is read.  A dry run just counts.
+    """
+    rows, day = spark.read.parquet(path), before.date().isoformat()
+    upto = rows.where((F.col(column).cast("string") <= day) & (F.col(ts) < F.lit(before)))
+    gone = upto.count()
+    if gone and not dry_run:
+        stay = written(rows.where((F.col(column).cast("string") == day) & (F.col(ts) >= F.lit(before))), "prune")
+        empty = stay.isEmpty()
+        drop_partitions(spark, path, column, [v for v in partition_values(spark, path, column) if v < day or (v == day and empty)])
+        if not empty:
+            _replace(stay, path, column)
+    return gone
+
+
+def checked(lines: DataFrame, schema: str, rules: dict[str, str], line: str = "value") -> DataFrame:
+    """JSON lines read by a declared schema: its fields, `corrupt` (the line, where
+    it doesn't fit) and `errors`, what is wrong with it.
+
+    A line that is no JSON object is `malformed`; a field that is absent or null
+    is `missing: field`, one whose value has another type `type: field`; a rule
+    that doesn't hold is `rule: name`.  Rules look at rows without other errors.
+    """
+    fields = schema_of(schema)
+    typed = F.from_json(line, f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = lines.select(typed.alias("t"), F.from_json(line, "map<string,string>").alias("raw"), F.col(line).alias("_line"))
+    malformed = F.col("raw").isNull() | (F.size("raw") == 0)
+    said = [F.when(malformed, F.lit("malformed"))]
+    for f in fields:
+        told = F.try_element_at("raw", F.lit(f))
+        said += [F.when(~malformed & told.isNull(), F.lit(f"missing: {f}")), F.when(told.isNotNull() & F.col(f"t.{f}").isNull(), F.lit(f"type: {f}"))]
+    rows = rows.withColumn("errors", F.array_compact(F.array(*said)))
+    rows = rows.select(*[F.col(f"t.{f}").alias(f) for f in fields], F.when(F.size("errors") > 0, F.col("_line")).alias("corrupt"), "errors")
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(F.expr(holds), F.lit(False)), F.lit(f"rule: {name}")) for name, holds in rules.items()]))
+    return rows.withColumn("errors", F.when(F.size("errors") == 0, broken).otherwise(F.col("errors")))
+
+
+def schema_of(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def validation_report(rows: DataFrame, table: str) -> DataFrame:
+    """name, n, share and fix of rows with `errors`: all, valid and invalid rows
+    with their share, and each kind of error with the rows that have it."""
+    bad = F.size("errors") > 0
+    totals = rows.agg(F.count("*").alias("all"), F.count_if(~bad).alias("valid"), F.count_if(bad).alias("invalid"))
+    share = lambda n: F.when(F.col("all") > 0, F.col(n) * 100.0 / F.col("all")).otherwise(0.0)
+    kinds = F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n"), share(n).alias("share"), F.lit("").alias("fix")) for n in ("all", "valid", "invalid")]))
+    errors = rows.select(F.explode("errors").alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    what = F.substring_index("name", ": ", -1)
+    fix = F.when(F.col("name").startswith("missing"), F.concat(F.lit("add "), what)).when(F.col("name").startswith("type"), F.concat(F.lit("convert "), what)).otherwise("")
+    errors = errors.join(F.broadcast(totals.select("all"))).select("name", "n", share("n").alias("share"), fix.alias("fix"))  # one row
+    return totals.select(kinds).unionByName(errors).select(F.lit(table).alias("table"), "*")

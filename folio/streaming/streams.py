@@ -6,12 +6,14 @@ drives a stream over what is there and gives its result as a table.
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from folio.sources.storage import shared_path
+from folio.sources.storage import drop, shared_path
 
 WATERMARK = "10 minutes"
 #: Overall status, the first that applies.
@@ -35,13 +37,31 @@ def run(stream: DataFrame, mode: str, name: str, folder: str | None = None) -> D
     path = f"{folder}/result"
 
     def put(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={batch}")
+        here = path if mode == "complete" else f"{path}/batch={batch}"
+        df.write.mode("overwrite").parquet(here)
+        if batch and mode != "complete" and spark.read.schema(df.schema).parquet(here).isEmpty():
+            drop(spark, here)  # of a batch that just moved the watermark
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(path)
 
 
+def delivered(deliveries: list[DataFrame], build, mode: str, name: str) -> DataFrame:
+    """What a stream over a folder gives when deliveries come in one after another.
+
+    build makes the stream of the events; each delivery is added to the folder and
+    taken in before the next, in micro-batches of its own, while state, offsets
+    and watermark go on from one to the next.
+    """
+    spark = deliveries[0].sparkSession
+    source, folder = shared_path(spark, f"deliveries-{name}"), shared_path(spark, f"stream-{name}")
+    for part in deliveries:
+        part.write.mode("append").parquet(source)
+        out = run(build(read_events(spark, source, part.schema)), mode, name, folder)
+    return out
+
+
 def windowed(events: DataFrame, length: str, slide: str | None = None, *keys: str) -> DataFrame:
     """Runs, failures and time by window (and key), late events up to WATERMARK."""
     window = F.window("ts", length, slide) if slide else F.window("ts", length)
@@ -52,7 +72,12 @@ def windowed(events: DataFrame, length: str, slide: str | None = None, *keys: st
 
 
 def first_deliveries(events: DataFrame, keys: list[str], within: str = "1 hour") -> DataFrame:
-    """Each key once, however often it is delivered within the watermark."""
+    """Each key once, however often it is delivered within the watermark.
+
+    A key is remembered until the watermark (the latest event time less `within`)
+    passes its first event by `within`; the next copy then counts as new.  A copy
+    older than the watermark is late and never given out.
+    """
     return events.withWatermark("ts", within).dropDuplicatesWithinWatermark(keys)
 
 
@@ -95,26 +120,51 @@ def status_fold(events: DataFrame) -> DataFrame:
     return rows.groupBy("document_id").applyInPandasWithState(_fold, STATUS, state, "update", GroupStateTimeout.NoTimeout)
 
 
-GATE = "document_id long, failures long, last_us long"
+GATE = "document_id long, failures long, last_us long, events long"
+
+
+def _counted(failures: int, last: int, events: list) -> tuple[int, int]:
+    """Failures since the last success, and when the last was, after more events."""
+    for us, _, status in sorted(events):
+        if status == "failed":
+            failures, last = failures + 1, us
+        elif status == "completed":
+            failures, last = 0, 0
+    return failures, last
 
 
 def _gate(key, frames, state: GroupState):
-    """Failures since the last success of one document; a success resets them."""
-    failures, last, seen = state.get if state.exists else (0, 0, 0)
-    events = pd.concat(frames).sort_values(["us", "event_id"])
-    for status, us in zip(events["status"], events["us"]):
-        if us < seen:
-            continue  # older than what was counted
-        seen = int(us)
-        failures, last = (failures + 1, seen) if status == "failed" else (0, 0) if status == "completed" else (failures, last)
-    state.update((failures, last, seen))
-    yield pd.DataFrame([(key[0], failures, last)], columns=[c.split()[0] for c in GATE.split(", ")])
-
-
-def failure_gate(events: DataFrame) -> DataFrame:
-    """Failures in a row by document and when the last was, as state."""
-    rows = events.withColumn("us", F.unix_micros("ts")).select("document_id", "event_id", "status", "us")
-    return rows.groupBy("document_id").applyInPandasWithState(_gate, GATE, "failures long, last long, seen long", "update", GroupStateTimeout.NoTimeout)
+    """The gate of one document.  Events behind the watermark, which none can come
+    before any more, are counted for good; later ones are held in order until
+    then, and give the result so far together with those."""
+    failures, last, seen, held = state.get if state.exists else (0, 0, 0, "[]")
+    held = [tuple(x) for x in json.loads(held)]
+    new = [] if state.hasTimedOut else [x for pdf in frames for x in zip(pdf["us"].tolist(), pdf["event_id"].tolist(), pdf["status"].tolist())]
+    held, settled = held + new, state.getCurrentWatermarkMs() * 1000
+    failures, last = _counted(failures, last, [x for x in held if x[0] < settled])
+    held = sorted(x for x in held if x[0] >= settled)
+    state.update((failures, last, seen + len(new), json.dumps(held)))
+    if held:
+        state.setTimeoutTimestamp(max(held[0][0] // 1000, state.getCurrentWatermarkMs()) + 1)
+    if new:
+        yield pd.DataFrame([(key[0], *_counted(failures, last, held), seen + len(new))], columns=[c.split()[0] for c in GATE.split(", ")])
+
+
+def failure_gate(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Failures in a row by document and when the last was, given out at each
+    change with the number of events counted so far.
+
+    Events may come in any order within `delay` of the latest: the result is that
+    of all of them in order of (ts, event_id).  Older ones are late and left out.
+    State holds a document's events of that span.
+    """
+    rows = events.withColumn("us", F.unix_micros("ts")).withWatermark("ts", delay).select("document_id", "event_id", "status", "us", "ts")
+    return rows.groupBy("document_id").applyInPandasWithState(_gate, GATE, "failures long, last long, seen long, held string", "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def latest_gates(changes: DataFrame) -> DataFrame:
+    """The last change of each document."""
+    return changes.groupBy("document_id").agg(F.max_by(F.struct("failures", "last_us"), "events").alias("r")).select("document_id", "r.*")
 
 
 def blocked(gates: DataFrame, as_of: DataFrame, least: int = 3, seconds: int = 300) -> DataFrame:
