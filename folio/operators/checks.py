@@ -56,3 +56,11 @@ def validate_flow(consistent: DataFrame, runs: DataFrame, least: float = LEAST_C
         F.when(status != "completed", F.concat(F.lit("not completed: "), status)), F.when(status == "failed", F.concat(F.lit("failed stages: "), "stage")),
         F.when(F.col("completeness") < least, "low consistency"), F.when(F.coalesce("minutes", F.lit(0)) > most, "took too long")))
     return rows.select("doc_id", (F.size(issues) == 0).alias("passed"), issues.alias("issues"))
+
+
+def coverage_score(entities: Column, pages: Column, size: Column, types: Column) -> Column:
+    """50, and up to 20 for two entities a page, 20 for three types and 10 for five
+    entities in 1,000 characters; at most 100."""
+    share = lambda part: F.least(F.lit(1.0), part)
+    dense = F.when(size > 0, share(entities * 1000.0 / size / 5) * 10).otherwise(0.0)
+    return F.round(F.least(F.lit(100.0), 50 + share(entities / pages / 2) * 20 + share(types / 3) * 20 + dense), 6)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import itertools
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as t
 from folio.operators.chunking import chunk_fixed
+from folio.sources.storage import written
 
 
 #: Patterns of legal elements, by kind.
@@ -284,6 +285,67 @@ def category(text: Column) -> Column:
     return F.coalesce(*[F.when(F.lower(text).rlike(p), name) for name, p in CATEGORIES.items()], F.lit("document"))
 
 
+#: Keywords by kind of document.
+KEYWORDS = {
+    "pleading": (
+        "complaint", "answer", "motion", "brief", "petition", "counterclaim", "cross-claim", "third-party complaint", "motion to dismiss",
+        "motion for summary judgment"),
+    "discovery": (
+        "interrogatories", "deposition", "request for production", "request for admission", "subpoena", "notice of deposition",
+        "discovery responses", "privilege log", "protective order"),
+    "evidence": (
+        "exhibit", "affidavit", "declaration", "witness statement", "expert report", "deposition transcript", "trial exhibit",
+        "demonstrative evidence", "chain of custody"),
+    "correspondence": (
+        "letter", "email", "memorandum", "notice", "demand letter", "settlement communication", "meet and confer", "status update",
+        "client communication", "opposing counsel letter"),
+    "financial": (
+        "invoice", "receipt", "statement", "tax return", "budget", "financial report", "expense report", "billing statement", "cost analysis",
+        "damages calculation"),
+    "contract": (
+        "agreement", "contract", "amendment", "addendum", "lease", "purchase agreement", "service agreement", "nda", "licensing agreement",
+        "settlement agreement"),
+    "regulatory": (
+        "regulatory filing", "compliance report", "permit", "license application", "regulatory notice", "inspection report",
+        "administrative order", "agency correspondence"),
+}
+
+
+def keyword_hits(rows: DataFrame, keys: list[str], keywords: dict = KEYWORDS) -> DataFrame:
+    """(*keys, category, keyword, place): the keywords that stand anywhere in the
+    lower-cased text of rows(*keys, text), with their place in the category's list.
+
+    An index of tokens is joined in place of a scan of each text for each keyword:
+    of each distinct token is told, once, which keywords' longest words it holds.
+    A keyword of one word is found by that; a text whose tokens hold the longest
+    word of a longer one is looked at for the whole of it.
+    """
+    spark = rows.sparkSession
+    listed = [(c, k, i, max(k.split(" "), key=len)) for c, ks in keywords.items() for i, k in enumerate(ks)]
+    words = F.broadcast(spark.createDataFrame(listed, "category string, keyword string, place int, word string"))  # a fixed list
+    low = rows.select(*keys, F.lower("text").alias("text"))
+    tokens = low.select(*keys, F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("token"))
+    index = written(tokens.select("token").distinct().join(words, F.col("token").contains(F.col("word"))).select("token", "category", "keyword", "place"), "keyword-index")
+    found = tokens.join(index, "token").drop("token").distinct()
+    whole = F.instr("keyword", " ") == 0
+    longer = low.join(found.where(~whole), keys).where(F.col("text").contains(F.col("keyword"))).select(*keys, "category", "keyword", "place")
+    return found.where(whole).unionByName(longer)
+
+
+def other_categories(rows: DataFrame, keys: list[str], keywords: dict = KEYWORDS, sure: float = 0.8, most: int = 5) -> DataFrame:
+    """For rows(*keys, text, category, confidence) less confident than `sure`: the
+    other categories whose keywords stand in the text, the first `most` of these,
+    and the category's rank by their number (then in the categories' order)."""
+    unsure = rows.where(F.col("confidence") < sure)
+    hits = keyword_hits(unsure, keys, keywords).withColumnRenamed("category", "suggested")
+    hits = hits.join(unsure.select(*keys, "category", "confidence"), keys).where(~F.col("suggested").eqNullSafe(F.col("category")))
+    few = F.slice(F.array_sort(F.collect_list(F.struct("place", "keyword"))), 1, most)  # of as many as a category has
+    found = hits.groupBy(*keys, "category", "confidence", "suggested").agg(few.alias("few"))
+    at = F.array_position(F.array(*map(F.lit, keywords)), F.col("suggested"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(F.size("few")), at)).cast("long")  # of as many as there are categories
+    return found.select(*keys, "category", "confidence", "suggested", F.array_join(F.transform("few", lambda x: x["keyword"]), ",").alias("keywords"), rank.alias("rank"))
+
+
 #: Fact patterns with their groups, in this order.
 FACTS = {
     "allegation": (r"(?is)(plaintiff|petitioner)\s+alleges?\s+that\s+(.+?)(?:\.|;|,\s+and)", 2),
@@ -419,11 +481,38 @@ def semantic_names(files: DataFrame) -> DataFrame:
 
 
 def assemble_parts(parts: DataFrame, separator: str = "\n\n") -> DataFrame:
-    """Texts of documents all of whose parts are there, in part order."""
+    """Texts of documents all of whose parts are completed, in part order, and the
+    sum of their pages.
+
+    parts has document_id, chunk_index, text, status, pages; a document whose
+    parts' numbers have gaps isn't complete.
+    """
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda v: v["text"])
+    done = F.bool_and(F.col("status") == "completed") & (F.max("chunk_index") - F.min("chunk_index") == F.count("*") - 1)
     rows = parts.groupBy("document_id").agg(
-        F.count("*").alias("parts"), (F.max("chunk_index") - F.min("chunk_index")).alias("span"), F.md5(F.array_join(ordered, separator)).alias("digest"))
-    return rows.where(F.col("span") == F.col("parts") - 1).drop("span")
+        F.count("*").alias("parts"), F.sum("pages").alias("pages"), done.alias("done"), F.md5(F.array_join(ordered, separator)).alias("digest"))
+    return rows.where("done").drop("done")
+
+
+#: Families of segments in the order of a document's text, and what joins a family's.
+FAMILIES = {"page": "\n\n", "image": "\n\n", "audio": " "}
+
+
+def combine_segments(segments: DataFrame) -> DataFrame:
+    """Each document's pages, texts found in images and spoken segments as one
+    text, with the number of each and the mean confidence of the pages.
+
+    segments has document_id, family, place, text, confidence; segments without
+    text count but join nothing.
+    """
+    filled = F.col("text").isNotNull() & (F.col("text") != "")
+    of = lambda f: F.array_sort(F.collect_list(F.when((F.col("family") == f) & filled, F.struct("place", "text"))))
+    rows = segments.groupBy("document_id").agg(
+        *[of(f).alias(f) for f in FAMILIES], *[F.count_if(F.col("family") == f).alias(f"{f}s") for f in FAMILIES],
+        F.avg(F.when(F.col("family") == "page", F.col("confidence").cast("double"))).alias("page_confidence"))
+    whole = [F.array_join(F.transform(f, lambda v: v["text"]), join) for f, join in FAMILIES.items()]
+    text = F.array_join(F.filter(F.array(*whole), lambda x: x != ""), "\n\n")
+    return rows.select("document_id", text.alias("text"), *[f"{f}s" for f in FAMILIES], "page_confidence")
 
 
 def blocks_to_text(lines: DataFrame, least: int = 80, blank: str = "[blank page]") -> DataFrame:

@@ -154,6 +154,38 @@ def pattern_edges(chunks: DataFrame, entities: DataFrame, least: float = 0.7, ar
     return best.select(*keys, "source_id", "target_id", "relationship_type", "best.confidence", "best.context")
 
 
+#: Relations between two words, in this order.
+WORD_PATTERNS = (
+    (r"(\w+)\s+v\.?\s+(\w+)", "opposing_party"),
+    (r"(\w+)\s+(?:is|was)\s+(?:an?\s+)?employee\s+of\s+(\w+)", "employment"),
+    (r"(\w+)\s+represent(?:s|ed|ing)\s+(\w+)", "represents"),
+    (r"(\w+)\s+(?:is|was)\s+a\s+subsidiary\s+of\s+(\w+)", "subsidiary"),
+)
+
+
+def word_relations(rows: DataFrame, most: int = 10, around: int = 20) -> DataFrame:
+    """The first `most` relations between two words of a text that are both among
+    its entities, in the order of the patterns, with confidence and context.
+
+    rows has text and names (an array of entity names, of any case; of names that
+    differ in case only, the last counts); its other columns are kept.
+    """
+    known = lambda word: F.element_at(F.filter("names", lambda n: F.lower(n) == F.lower(word)), -1)
+
+    def of(pattern: str, kind: str) -> Column:
+        one, two = (F.regexp_extract_all("text", F.lit(f"(?iU){pattern}"), F.lit(g)) for g in (1, 2))
+        return F.zip_with(one, two, lambda a, z: F.struct(a.alias("a"), z.alias("z"), F.lit(kind).alias("kind")))
+
+    words = rows.withColumn("found", F.concat(*[of(p, k) for p, k in WORD_PATTERNS]))
+    both = F.filter("found", lambda x: F.exists("names", lambda n: F.lower(n) == F.lower(x["a"])) & F.exists("names", lambda n: F.lower(n) == F.lower(x["z"])))
+    out = words.withColumn("x", F.explode(F.slice(both, 1, most)))
+    begin = F.greatest(F.call_function("instr", F.col("text"), F.col("x.a")) - 1 - around, F.lit(0))
+    end = F.call_function("instr", F.col("text"), F.col("x.z")) - 1 + around
+    context = F.substring("text", begin + 1, F.greatest(end - begin, F.lit(0)))
+    rest = [c for c in rows.columns if c not in ("text", "names")]
+    return out.select(*rest, known(F.col("x.a")).alias("source_entity"), F.col("x.kind").alias("relationship_type"), known(F.col("x.z")).alias("target_entity"), F.lit(0.8).alias("confidence"), context.alias("context"))
+
+
 def word_pair_edges(chunks: DataFrame, entities: DataFrame) -> DataFrame:
     """RELATED edges for "name of name", "name and name" and the like, where both
     names are known in the document.

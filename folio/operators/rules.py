@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 
 #: Message parts that decide an error's category, in this order.
 ERROR_PATTERNS = {
-    "transient": "ConnectionError TimeoutError NetworkError TemporaryUnavailable ServiceUnavailable ConnectionRefusedError BrokenPipeError",
-    "resource": "MemoryError OutOfMemory DiskSpace ResourceExhausted TooManyOpenFiles",
-    "configuration": "InvalidCredentials MissingAPIKey ConfigurationError AuthenticationError PermissionDenied",
-    "data": "CorruptFile InvalidFormat UnsupportedFormat DataError ValidationError PDFError",
-    "rate_limit": "RateLimitExceeded TooManyRequests 429 ThrottlingException QuotaExceeded",
+    "transient": ("ConnectionError", "TimeoutError", "NetworkError", "TemporaryUnavailable", "ServiceUnavailable", "ConnectionRefusedError", "BrokenPipeError"),
+    "resource": ("MemoryError", "OutOfMemory", "DiskSpace", "ResourceExhausted", "TooManyOpenFiles"),
+    "configuration": ("InvalidCredentials", "MissingAPIKey", "ConfigurationError", "AuthenticationError", "PermissionDenied"),
+    "data": ("CorruptFile", "InvalidFormat", "UnsupportedFormat", "DataError", "ValidationError", "PDFError"),
+    "rate_limit": ("RateLimitExceeded", "TooManyRequests", "429", "ThrottlingException", "QuotaExceeded"),
 }
 #: Entity type synonyms.
 ENTITY_TYPES = {
-    "PERSON": "PERSON PEOPLE NAME ATTORNEY JUDGE",
-    "ORG": "ORG ORGANIZATION COMPANY CORPORATION COURT LAW_FIRM",
-    "LOCATION": "LOCATION PLACE ADDRESS CITY STATE COUNTRY",
-    "DATE": "DATE TIME DATETIME YEAR",
+    "PERSON": ("PERSON", "PEOPLE", "NAME", "ATTORNEY", "JUDGE"),
+    "ORG": ("ORG", "ORGANIZATION", "COMPANY", "CORPORATION", "COURT", "LAW_FIRM"),
+    "LOCATION": ("LOCATION", "PLACE", "ADDRESS", "CITY", "STATE", "COUNTRY"),
+    "DATE": ("DATE", "TIME", "DATETIME", "YEAR"),
 }
 
 
-def first_match(text: Column, patterns: dict[str, str], default: str) -> Column:
+def first_match(text: Column, patterns: dict[str, tuple[str, ...]], default: str) -> Column:
     """The first label, in order, any of whose words the text contains."""
     out = None
     for label, words in patterns.items():
         hit = F.lit(False)
-        for word in words.split():
+        for word in words:
             hit = hit | F.lower(text).contains(word.lower())
         out = F.when(hit, label) if out is None else out.when(hit, label)
     return out.otherwise(default)
@@ -58,7 +58,7 @@ def entity_type_map(kind: Column) -> Column:
     """The canonical entity type of a synonym, null for any other."""
     out = None
     for name, words in ENTITY_TYPES.items():
-        hit = F.upper(kind).isin(words.split())
+        hit = F.upper(kind).isin(*words)
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out
 

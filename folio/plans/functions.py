@@ -147,8 +147,9 @@ def success_rate(spark, d):
     return b.items(spark, d).groupBy("document_id").agg(m.rate(done, done + failed).alias("success_rate"))
 
 
-@query("extract_relations_basic")
+@query("extract_relations_basic", sql("letters", """select letter_id as document_id, customer as source_entity, 'opposing_party' as relationship_type, vendor as target_entity, 0.8 as confidence,
+    substring(text, 1, instr(text, vendor) - 1 + 20) as context from letters where letter_id % 4 = 3"""))
 def extract_relations_basic(spark, d):
-    """Pairs of known names joined by one common word in a chunk."""
-    names = b.scored(spark, d).where("entity_type = 'PERSON'").select("document_id", "canonical_id", F.lower("entity_text").alias("name")).distinct()
-    return g.word_pair_edges(b.chunks(spark, d), names)
+    """Relations between the names in letters; those of other kinds hold none of the four patterns."""
+    rows = b.letters(spark, d).select(F.col("letter_id").alias("document_id"), "text", F.array("customer", "vendor", "place", "day").alias("names"))
+    return g.word_relations(rows)

@@ -239,7 +239,7 @@ def document_event_summary(spark, d):
 
 
 _CATEGORY = "case " + " ".join(
-    "when " + " or ".join(f"contains(lower(message), '{w.lower()}')" for w in words.split()) + f" then '{label}'" for label, words in rules.ERROR_PATTERNS.items()
+    "when " + " or ".join(f"contains(lower(message), '{w.lower()}')" for w in words) + f" then '{label}'" for label, words in rules.ERROR_PATTERNS.items()
 ) + " else 'permanent' end"
 #: What to do where a category holds this share of all failures or more, in percent.
 ADVICE = {"transient": (10, "retry later"), "resource": (10, "use smaller batches"), "rate_limit": (10, "slow down"), "data": (10, "check the input files")}

@@ -12,8 +12,8 @@ from folio.plans.registry import query, table
 from folio.sources import storage as s
 
 
-def _case(column: str, patterns: dict[str, str], default: str) -> str:
-    tests = [f"when {' or '.join(f'''contains(lower({column}), '{w.lower()}')''' for w in words.split())} then '{label}'" for label, words in patterns.items()]
+def _case(column: str, patterns: dict[str, tuple[str, ...]], default: str) -> str:
+    tests = [f"when {' or '.join(f'''contains(lower({column}), '{w.lower()}')''' for w in words)} then '{label}'" for label, words in patterns.items()]
     return f"case {' '.join(tests)} else '{default}' end"
 
 
@@ -51,7 +51,7 @@ def filter_media_files(spark, d):
     return b.files(spark, d).groupBy(F.col("path").rlike("(utm_source|#top)").alias("excluded")).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
 
 
-KINDS = {"forum": "blog. m.", "spam": "ads-track spam", "search": "page=", "archive": ".html"}
+KINDS = {"forum": ("blog.", "m."), "spam": ("ads-track", "spam"), "search": ("page=",), "archive": (".html",)}
 
 
 @query("document_kind_by_name", sql("files", f"select {_case('path', KINDS, 'default')} as kind, count(*) as n from files group by 1"))
@@ -80,7 +80,7 @@ def entity_input_valid(spark, d):
     return table(spark, d, "documents").where(F.col("text").rlike("[^ \t\n]") & (F.col("doc_id") >= 0) & (F.length("text") >= 50)).select("doc_id")
 
 
-_TYPE = "case " + " ".join(f"when upper(kind) in ({', '.join(repr(w) for w in words.split())}) then '{t}'" for t, words in r.ENTITY_TYPES.items()) + " end"
+_TYPE = "case " + " ".join(f"when upper(kind) in ({', '.join(repr(w) for w in words)}) then '{t}'" for t, words in r.ENTITY_TYPES.items()) + " end"
 
 
 @query("entity_type_map", sql("mentions", f""", k as (select ['name', 'company', 'city', 'year', 'thing'][length(entity_text) % 5 + 1] as kind from mentions)
@@ -222,7 +222,7 @@ def status_fold(spark, d):
     return table(spark, d, "events").groupBy(r.status_fold(raw).alias("folded")).agg(F.count("*").alias("n"))
 
 
-WORDS = {"ocr": "ocr page", "storage": "bucket", "network": "connection timeout", "validation": "validation header"}
+WORDS = {"ocr": ("ocr", "page"), "storage": ("bucket",), "network": ("connection", "timeout"), "validation": ("validation", "header")}
 
 
 @query("failure_stage", sql("tasks", f"select {_case('message', WORDS, 'unknown')} as guessed, count(*) as n from tasks where message is not null group by 1"))
@@ -235,7 +235,7 @@ def error_category(spark, d):
     return b.tasks(spark, d).where("message is not null").groupBy("message", r.error_category(F.col("message")).alias("category")).agg(F.count("*").alias("n"))
 
 
-BUCKETS = {"timeout": "timeout", "memory": "memory", "access": "denied permission", "format": "corrupt validation", "throttled": "429 toomany"}
+BUCKETS = {"timeout": ("timeout",), "memory": ("memory",), "access": ("denied", "permission"), "format": ("corrupt", "validation"), "throttled": ("429", "toomany")}
 
 
 @query("error_bucket", sql("tasks", f"select case when message is null then 'Unknown' else {_case('message', BUCKETS, 'Other')} end as bucket, count(*) as n from tasks group by 1"))

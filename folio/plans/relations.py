@@ -10,6 +10,7 @@ from folio.operators import windows as w
 from folio.plans import bindings as b
 from folio.plans.bindings import sql
 from folio.plans.registry import query, table
+from folio.sources.storage import shared_path
 
 LAST = ", last as (select * from (select *, row_number() over (partition by document_id order by ts desc, event_id desc) as rn from tasks) where rn = 1)"
 
@@ -307,11 +308,22 @@ def recovery_plan(spark, d):
 
 
 @query("intake_manifest", sql("files", """select host, count(*) as files, count(*) filter (where size <= 15000) as valid, count(*) filter (where size > 15000) as invalid,
-    coalesce(sum(size) filter (where size <= 15000), 0) as valid_size from files group by 1"""))
+    coalesce(sum(size) filter (where size <= 15000), 0) as valid_size, (count(*) filter (where size <= 15000) + 24) // 25 as batches, max(path) filter (where size > 15000) as last_invalid from files group by 1"""))
 def intake_manifest(spark, d):
-    good = F.col("size") <= 15000
-    return b.files(spark, d).groupBy("host").agg(
-        F.count("*").alias("files"), F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid"), F.coalesce(F.sum(F.when(good, F.col("size"))), F.lit(0)).alias("valid_size"))
+    """Valid files in batches of 25 and invalid ones with their error, written as a
+    manifest of JSON lines; its summary is taken from what is read back."""
+    files = b.files(spark, d).select("host", "file_id", "path", "size")
+    good = w.fixed_batches(files.where("size <= 15000"), ["host"], ["file_id"], 25)
+    lines = good.groupBy("host", "batch").agg(F.collect_list(F.struct("file_id", "path", "size")).alias("files"))  # 25 at most
+    invalid = files.where("size > 15000").select("host", F.lit(-1).cast("long").alias("batch"), F.array(F.struct("file_id", "path", "size")).alias("files"), F.lit("file is too large").alias("error"))
+    path = shared_path(spark, "intake-manifest")
+    lines.withColumn("error", F.lit(None).cast("string")).unionByName(invalid).write.json(path)
+    back = spark.read.schema("host string, batch bigint, error string, files array<struct<file_id: bigint, path: string, size: bigint>>").json(path)
+    valid, n = F.col("error").isNull(), F.size("files")
+    return back.groupBy("host").agg(
+        F.sum(n).alias("files"), F.sum(F.when(valid, n).otherwise(0)).alias("valid"), F.sum(F.when(~valid, n).otherwise(0)).alias("invalid"),
+        F.coalesce(F.sum(F.when(valid, F.aggregate("files", F.lit(0).cast("long"), lambda s, x: s + x["size"]))), F.lit(0)).alias("valid_size"), F.count_if(valid).alias("batches"),
+        F.max(F.when(~valid, F.col("files")[0]["path"])).alias("last_invalid"))
 
 
 @query("graph_completeness", sql("chunks scored", """, n as (select document_id, count(*) as chunks, 2 * (count(*) - 1) as expected from chunks group by 1),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folio.plans import bindings as b
@@ -14,11 +15,19 @@ from folio.sources import storage as s
 EVENT = "event_id bigint, document_id bigint, stage string, status string"
 
 
-@query("scan_corpus")
+EXTENSIONS = ["pdf", "png", "jpeg", "tiff", "txt", "doc", "docx", "zip"]
+_MIMES = " ".join(f"when '{k}' then '{v}'" for k, v in s.MIME.items())
+
+
+@query("scan_corpus", f"""with f as (select page_id // 100 as n, {EXTENSIONS}[page_id // 100 % 8 + 1] as extension, string_agg(replace(html, chr(10), ' ') || chr(10), '' order by page_id) as content from pages group by 1, 2)
+    select n || '.' || extension as name, strlen(content) as size, round(strlen(content) / 1048576.0, 2) as size_mb, sha256(content) as content_hash, case extension {_MIMES} end as mime, true as recent from f where extension <> 'zip'""")
 def scan_corpus(spark, d):
-    path = s.shared_path(spark, "corpus")
-    table(spark, d, "pages").select(F.regexp_replace("html", "\n", " ").alias("value")).write.text(path)
-    return s.scan_corpus(spark, path).groupBy("mime").agg((F.sum("size") > 0).alias("filled"), (F.count("*") > 0).alias("any"))
+    """Files of a hundred pages each, of all types that are taken in and one that isn't, catalogued by what was written."""
+    path, number = s.shared_path(spark, "corpus"), F.floor(F.col("page_id") / 100)
+    name = F.concat_ws(".", number.cast("string"), F.element_at(F.array(*map(F.lit, EXTENSIONS)), (number % 8 + 1).cast("int")))
+    began = datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(minutes=5)
+    s.write_files(table(spark, d, "pages").select(name.alias("file"), F.col("page_id").alias("place"), F.regexp_replace("html", "\n", " ").alias("value")), path)
+    return s.scan_corpus(spark, path).withColumn("recent", F.col("modified") > F.lit(began)).drop("modified")
 
 
 @query("scan_manifest_json", sql("items", "select batch_id, item, document_id, size_mb from items"))
@@ -96,18 +105,41 @@ def upsert_chunk(spark, d):
     return s.upsert(old, old.where("document_id % 4 = 0").withColumn("size", F.lit(-1)), ["document_id", "chunk_index"])
 
 
-@query("cascade_delete", sql("mentions", "select 'chunks' as name, count(*) as n from chunks where source <> 'src0' union all select 'mentions', count(*) from mentions where source <> 'src0'"))
+@query("cascade_delete", sql("mentions", """select 'chunks' as name, count(*) as n from chunks where source <> 'src0' union all select 'mentions', count(*) from mentions where source <> 'src0'
+    union all select 'relationships', count(*) - count(distinct document_id) from chunks where source <> 'src0'"""))
 def cascade_delete(spark, d):
+    """What is left of three tables once a source's documents are gone: relationships go first, then mentions and chunks."""
     gone = table(spark, d, "documents").where("source = 'src0'").select(F.col("doc_id").alias("document_id"))
-    left = [s.delete_rows(t, gone, ["document_id"]).agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n, t in (("chunks", b.chunks(spark, d)), ("mentions", b.mentions(spark, d)))]
-    return left[0].union(left[1])
+    chunks = b.chunks(spark, d)
+    follows = Window.partitionBy("document_id").orderBy("chunk_index")
+    relationships = chunks.select("document_id", F.col("chunk_index").alias("source_chunk"), F.lead("chunk_index").over(follows).alias("target_chunk")).where("target_chunk is not null")
+    left = s.cascade(gone, {"relationships": relationships, "mentions": b.mentions(spark, d), "chunks": chunks}, "document_id")
+    parts = [rows.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, rows in left.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+_TRAIL = "document_id bigint, timestamp_us bigint, event_type string, stage string, status string, message string, elapsed_seconds double, worker_id string"
 
 
-@query("export_audit_trail", sql("tasks", "select event_id, document_id, stage, status, message from tasks"))
+@query("export_audit_trail", sql("tasks", """, s as (select document_id, array_to_string(list_sort(list(distinct stage) filter (where status = 'completed')), ',') as stages_completed, sum(cents) / 100.0 as total_seconds,
+        count(*) filter (where status = 'failed') as error_count, count(*) as event_count from tasks group by 1)
+    select document_id, epoch_us(ts) as timestamp_us, case status when 'failed' then 'error' else 'processing' end as event_type, stage, status, message, cents / 100.0 as elapsed_seconds, 'worker' || event_id % 4 as worker_id,
+    coalesce(stages_completed, '') as stages_completed, total_seconds, error_count, event_count from tasks join s using (document_id)"""))
 def export_audit_trail(spark, d):
-    path = s.shared_path(spark, "audit")
-    b.tasks(spark, d).select("event_id", "document_id", "stage", "status", "message").write.option("header", "true").csv(path)
-    return spark.read.schema(EVENT + ", message string").option("header", "true").csv(path)
+    """Each document's events with seven fields as CSV, their summary as JSON; both read back."""
+    events, summary = s.shared_path(spark, "audit"), s.shared_path(spark, "audit-summary")
+    bad = F.col("status") == "failed"
+    trail = b.tasks(spark, d).select(
+        "document_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp_us"), F.when(bad, "error").otherwise("processing").alias("event_type"), "stage", "status", "message",
+        (F.col("cents") / 100.0).alias("elapsed_seconds"), F.concat(F.lit("worker"), F.col("event_id") % 4).alias("worker_id"), "cents")
+    trail.drop("cents").write.option("header", "true").csv(events)
+    told = trail.groupBy("document_id").agg(
+        F.sort_array(F.collect_set(F.when(F.col("status") == "completed", F.col("stage")))).alias("stages_completed"), (F.sum("cents") / 100.0).alias("total_seconds"),
+        F.count_if(bad).alias("error_count"), F.count("*").alias("event_count"))
+    told.write.json(summary)
+    back = spark.read.schema("document_id bigint, stages_completed array<string>, total_seconds double, error_count bigint, event_count bigint").json(summary)
+    rows = spark.read.schema(_TRAIL).option("header", "true").csv(events)
+    return rows.join(back.withColumn("stages_completed", F.array_join("stages_completed", ",")), "document_id")
 
 
 @query("export_entities", sql("scored", "select canonical_id, count(*) as mentions from scored group by 1"))

@@ -244,22 +244,31 @@ def categorize_text(spark, d):
     return _docs(spark, d).select("doc_id", x.category(F.col("text")).alias("category"))
 
 
-@query("category_keyword_matches", """with words as (select lang, unnest(['the', 'der', 'les', 'los']) as word, unnest(['en', 'de', 'fr', 'es']) as language, doc_id, text from documents),
-    hits as (select doc_id, lang, language from words where contains(lower(text), ' ' || word || ' '))
-    select lang, language, count(*) as documents from hits where lang <> language group by 1, 2""")
+_KIND_OF = {"contract": "contract", "affidavit": "evidence", "exhibit": "evidence", "correspondence": "correspondence", "deposition": "discovery", "legal_filing": "pleading", "financial": "financial"}
+_KEYWORDS = ", ".join(f"({i}, '{c}', [{', '.join(repr(k) for k in ks)}])" for i, (c, ks) in enumerate(x.KEYWORDS.items()))
+
+
+@query("category_keyword_matches", sql("writings", f""", c as (select kind, id, lower(text) as low, case when length(text) % 3 = 0 then 0.9 else 0.6 end as confidence,
+        case {_CATEGORY} {" ".join(f"when '{k}' then '{v}'" for k, v in _KIND_OF.items())} end as category from writings),
+    k as (select * from (values {_KEYWORDS}) v(at_, suggested, words)),
+    h as (select c.*, at_, suggested, list_slice(list_filter(words, lambda w: contains(low, w)), 1, 5) as hits from c, k where confidence < 0.8 and suggested is distinct from category)
+    select kind, id, category, confidence, suggested, array_to_string(hits, ',') as keywords, row_number() over (partition by kind, id order by len(hits) desc, at_) as rank from h where len(hits) > 0"""))
 def category_keyword_matches(spark, d):
-    words = spark.createDataFrame([("the", "en"), ("der", "de"), ("les", "fr"), ("los", "es")], "word string, language string")
-    rows = _docs(spark, d).select("doc_id", "lang", F.lower("text").alias("text"))
-    hits = rows.join(F.broadcast(words), rows["text"].contains(F.concat(F.lit(" "), "word", F.lit(" "))))  # four words
-    return m.counts_by(hits.where("lang <> language"), "lang", "language", name="documents")
+    """Other categories for writings whose own one is not sure; two in three aren't (by their length)."""
+    own = F.create_map(*[F.lit(x_) for pair in _KIND_OF.items() for x_ in pair])
+    rows = b.writings(spark, d).select("kind", "id", "text", F.try_element_at(own, x.category(F.col("text"))).alias("category"), F.when(F.length("text") % 3 == 0, 0.9).otherwise(0.6).alias("confidence"))
+    return x.other_categories(rows, ["kind", "id"])
 
 
-@query("extraction_coverage_score", sql("mentions", """select document_id, 50 + least(20, n) + least(20, 5 * types) + least(10, n // 10) as score from (
-    select document_id, count(*) as n, count(distinct entity_type) as types from mentions group by 1)"""))
+@query("extraction_coverage_score", sql("mentions", """, n as (select document_id, count(*) as n, count(distinct entity_type) as types from mentions group by 1),
+    s as (select doc_id, coalesce(n, 0) as n, coalesce(types, 0) as types, coalesce(length(text), 0) as size, greatest(1, ceil(coalesce(length(text), 0) / 3000.0)) as pages from documents left join n on document_id = doc_id)
+    select doc_id as document_id, round(least(100.0, 50 + least(1, n / pages / 2.0) * 20 + least(1, types / 3.0) * 20 + case when size > 0 then least(1, n * 1000.0 / size / 5) * 10 else 0 end), 6) as score from s"""))
 def extraction_coverage_score(spark, d):
-    s = b.mentions(spark, d).groupBy("document_id").agg(F.count("*").alias("n"), F.countDistinct("entity_type").alias("types"))
-    score = 50 + F.least(F.lit(20), "n") + F.least(F.lit(20), 5 * F.col("types")) + F.least(F.lit(10), F.floor(F.col("n") / 10))
-    return s.select("document_id", score.cast("long").alias("score"))
+    """From mentions per page, their types and their density; a page has 3,000 characters."""
+    found = b.mentions(spark, d).groupBy(F.col("document_id").alias("doc_id")).agg(F.count("*").alias("n"), F.countDistinct("entity_type").alias("types"))
+    docs = _docs(spark, d).select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
+    rows = docs.join(found, "doc_id", "left").na.fill(0, ["n", "types"])
+    return rows.select(F.col("doc_id").alias("document_id"), q.coverage_score(F.col("n"), F.greatest(F.lit(1), F.ceil(F.col("size") / 3000)), F.col("size"), F.col("types")).alias("score"))
 
 
 _FOUND = """, f as (select document_id, count(*) as n, count(distinct entity_type) as types, sum(confidence) * 1.0 / count(*) as avg_confidence, count(*) filter (where confidence < 70) as low,
@@ -379,16 +388,25 @@ def throughput_rating(spark, d):
     return h.withColumn("rating", F.when(n >= 15, "excellent").when(n >= 11, "good").when(n >= 8, "fair").when(n >= 4, "slow").otherwise("critical"))
 
 
-@query("assemble_parts", sql("turns", """select document_id, count(*) as parts, md5(string_agg(text, chr(10) || chr(10) order by chunk_index)) as digest from turns group by 1
-    having max(chunk_index) - min(chunk_index) = count(*) - 1"""))
+@query("assemble_parts", sql("turns", """select document_id, count(*) as parts, sum(1 + length(text) % 4) as pages, md5(string_agg(text, chr(10) || chr(10) order by chunk_index)) as digest from turns group by 1
+    having max(chunk_index) - min(chunk_index) = count(*) - 1 and bool_and(length(text) % 11 <> 0)"""))
 def assemble_parts(spark, d):
-    return x.assemble_parts(b.turns(spark, d))
+    """Conversations put together from their turns; a turn's length tells its pages and whether it failed."""
+    size = F.length("text")
+    return x.assemble_parts(b.turns(spark, d).withColumn("pages", 1 + size % 4).withColumn("status", F.when(size % 11 == 0, "failed").otherwise("completed")))
 
 
-@query("combine_segments", sql("turns", "select document_id, role, md5(string_agg(text, ' ' order by chunk_index)) as digest, count(*) as segments from turns group by 1, 2"))
+@query("combine_segments", sql("turns", """, s as (select document_id, ['page', 'image', 'audio'][chunk_index % 3 + 1] as family, chunk_index, case when chunk_index % 6 = 4 then null else text end as text, 70 + length(text) % 30 as confidence from turns),
+    f as (select document_id, string_agg(text, chr(10) || chr(10) order by chunk_index) filter (where family = 'page' and text <> '') as p, string_agg(text, chr(10) || chr(10) order by chunk_index) filter (where family = 'image' and text <> '') as i,
+    string_agg(text, ' ' order by chunk_index) filter (where family = 'audio' and text <> '') as a, count(*) filter (where family = 'page') as pages, count(*) filter (where family = 'image') as images, count(*) filter (where family = 'audio') as audios,
+    avg(confidence) filter (where family = 'page') as page_confidence from s group by 1)
+    select document_id, md5(concat_ws(chr(10) || chr(10), p, i, a)) as digest, pages, images, audios, page_confidence from f"""))
 def combine_segments(spark, d):
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda v: v["text"])
-    return b.turns(spark, d).groupBy("document_id", "role").agg(F.md5(F.array_join(ordered, " ")).alias("digest"), F.count("*").alias("segments"))
+    """Turns as pages, images (every second without text) and speech."""
+    at = F.col("chunk_index")
+    family = F.element_at(F.array(*map(F.lit, x.FAMILIES)), (at % 3 + 1).cast("int"))
+    rows = b.turns(spark, d).select("document_id", family.alias("family"), at.alias("place"), F.when(at % 6 != 4, F.col("text")).alias("text"), (70 + F.length("text") % 30).alias("confidence"))
+    return x.combine_segments(rows).select("document_id", F.md5("text").alias("digest"), "pages", "images", "audios", "page_confidence")
 
 
 @query("ocr_blocks_to_text")

@@ -31,19 +31,43 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-#: Media types by file extension.
-MIME = {"pdf": "application/pdf", "txt": "text/plain", "html": "text/html", "json": "application/json", "csv": "text/csv", "docx": "application/msword", "png": "image/png"}
+#: Media types that are taken in, by file extension.
+MIME = {
+    "pdf": "application/pdf",
+    "png": "image/png",
+    "jpg": "image/jpeg",
+    "jpeg": "image/jpeg",
+    "tif": "image/tiff",
+    "tiff": "image/tiff",
+    "txt": "text/plain",
+    "doc": "application/msword",
+    "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+}
 
 
 def scan_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue of the files under path whose type is known: name, size, hash,
-    media type, time.  Contents are hashed where they are read."""
+    """Catalogue of the files under path whose type is taken in: name, size in
+    bytes and MB, hash, media type, time.  Contents are hashed where they are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    kind = F.create_map(*[F.lit(x) for pair in MIME.items() for x in pair])[F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))]
-    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("content_hash"), kind.alias("mime"), F.col("modificationTime").alias("modified"))
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for pair in MIME.items() for x in pair]), F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1)))
+    rows = files.select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.round(F.col("length") / 1048576, 2).alias("size_mb"), F.sha2("content", 256).alias("content_hash"),
+        kind.alias("mime"), F.col("modificationTime").alias("modified"))
     return rows.where("mime is not null")
 
 
+def write_files(lines: DataFrame, path: str) -> None:
+    """Write lines(file, place, value) as text files of the given names; a file's
+    lines are in the order of place, in one task."""
+    spark = lines.sparkSession
+    lines.repartition("file").sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(path)
+    for name in partition_values(spark, path, "file"):
+        system, at = _files(spark, f"{path}/file={name}")
+        part = next(f.getPath() for f in system.listStatus(at) if f.getPath().getName().startswith("part-"))
+        system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+        drop(spark, f"{path}/file={name}")
+
+
 def read_manifest(spark: SparkSession, path: str, item: str) -> DataFrame:
     """A row for each file of import manifests with a nested list of files."""
     schema = f"batch_id bigint, project_id bigint, files array<struct<{item}>>"
@@ -67,6 +91,11 @@ def delete_rows(table: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame
     return table.join(gone.select(*keys).distinct(), keys, "left_anti")
 
 
+def cascade(gone: DataFrame, tables: dict[str, DataFrame], key: str) -> dict[str, DataFrame]:
+    """The tables, in the order given, without the rows of keys that are gone."""
+    return {name: delete_rows(rows, gone, [key]) for name, rows in tables.items()}
+
+
 def insert_ignore(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """table and those rows of new whose key it lacks; of rows with one new key
     the smallest stays."""
