@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -30,3 +31,12 @@ def pack(rows: DataFrame, keys: list[str], order: list[str], size: str = "size_m
             yield pdf.assign(batch=numbers)
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(walk, schema)
+
+
+def renumbered(packed: DataFrame, keys: list[str], priority: str) -> DataFrame:
+    """Rows packed within (keys, priority) with `batch` counted on, from 1, from
+    one priority of the keys to the next."""
+    n = packed.groupBy(*keys, priority).agg((F.max("batch") + 1).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(priority).rowsBetween(Window.unboundedPreceding, -1)  # a row for each priority
+    n = n.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return packed.join(n, [*keys, priority]).withColumn("batch", F.col("batch") + F.col("_before") + 1).select(*packed.columns)

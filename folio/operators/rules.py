@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,69 @@ ENTITY_TYPES = {
     "LOCATION": ("LOCATION", "PLACE", "ADDRESS", "CITY", "STATE", "COUNTRY"),
     "DATE": ("DATE", "TIME", "DATETIME", "YEAR"),
 }
+#: Words in a file's name that tell its kind, the first that holds.
+NAME_KINDS = {
+    "tax": ("tax", "1040", "1065", "w2", "form", "schedule"),
+    "certificate": ("death", "certificate", "birth", "marriage"),
+    "email": ("email", "eml", "msg", "gmail", "yahoo"),
+    "legal": ("affidavit", "complaint", "motion", "order", "judgment", "plea"),
+    "financial": ("receipt", "payment", "invoice", "bill"),
+    "property": ("deed", "title", "mortgage"),
+}
+#: Words in a path's first part that tell its category, the first that holds.
+FOLDER_CATEGORIES = {
+    "pleadings": ("plead",),
+    "medical_records": ("medical", "health"),
+    "discovery": ("discovery",),
+    "correspondence": ("correspondence",),
+    "exhibits": ("exhibit",),
+    "depositions": ("depo",),
+    "expert_reports": ("expert",),
+    "financial_records": ("financial",),
+}
+#: Endings and types of audio and video files.
+MEDIA_ENDINGS = (".m4a", ".mp3", ".wav", ".mov", ".mp4", ".avi", ".wmv")
+MEDIA_TYPES = ("audio/", "video/", "application/octet-stream")
+#: Characters of a page by kind of document, texts that say nothing, a marker that extraction may leave.
+LEAST_CHARS = {"tax": 500, "legal": 300, "email": 200, "death": 800}
+LEAST_CHARS_ELSE = 100
+TRIVIAL = ("y", "EXHIBIT V", "")
+ARTIFACT = "<|im_end|>"
+
+
+def is_media(name: Column, mime: Column) -> Column:
+    """Whether a file is audio or video, by its name's ending or its type."""
+    by_name = [F.lower(name).endswith(e) for e in MEDIA_ENDINGS]
+    by_type = [F.coalesce(F.lower(mime), F.lit("")).startswith(t) for t in MEDIA_TYPES]
+    return reduce(or_, by_name + by_type)
+
+
+def without_media(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """files(path, mime, size, cost_cents) without audio and video, and one row on
+    what is left and what went: files, sizes, and costs in proportion to files."""
+    marked = files.withColumn("_media", is_media(F.col("path"), F.col("mime")))
+    kept, n = F.count_if(~F.col("_media")), F.count("*")
+    size = lambda media: F.coalesce(F.sum(F.when(F.col("_media") == media, F.col("size"))), F.lit(0))
+    cost = F.when(n > 0, F.sum("cost_cents") * kept / n).otherwise(0.0)
+    report = marked.agg(kept.alias("files"), size(False).alias("size"), (n - kept).alias("excluded"), size(True).alias("excluded_size"), cost.alias("cost_cents"))
+    return marked.where(~F.col("_media")).drop("_media"), report
+
+
+def sufficient(text: Column, name: Column, pages: Column) -> Column:
+    """Struct (sufficient, reason) of an extracted text: half of what its kind and
+    pages lead to expect, nothing trivial, at most two artifacts a page."""
+    clean = F.trim(F.replace(text, F.lit(ARTIFACT), F.lit("")))
+    least = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in LEAST_CHARS.items() for x in pair]), first_match(name, NAME_KINDS, "default")), F.lit(LEAST_CHARS_ELSE))
+    expected = least * pages
+    artifacts = (F.length(text) - F.length(F.replace(text, F.lit(ARTIFACT), F.lit("")))) / len(ARTIFACT)
+    told = lambda ok, *reason: F.struct(F.lit(ok).alias("sufficient"), F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in reason]).alias("reason"))
+    return (
+        F.when(text.isNull() | (text == ""), told(False, "No text extracted"))
+        .when(F.length(clean) < expected * 0.5, told(False, "Extracted only ", F.length(clean).cast("string"), " chars, expected ~", expected.cast("string")))
+        .when(clean.isin(*TRIVIAL), told(False, "Extraction appears incomplete"))
+        .when(artifacts > pages * 2, told(False, "Too many OCR artifacts detected"))
+        .otherwise(told(True, "Valid extraction"))
+    )
 
 
 def first_match(text: Column, patterns: dict[str, tuple[str, ...]], default: str) -> Column:

@@ -26,6 +26,13 @@ MESSAGES = [
     "TimeoutError after 30 seconds",
 ]
 TYPES = {"EMAIL": r"[a-z0-9.]+@[a-z0-9.]+", "NUMBER": r"[0-9]{4,}", "PERSON": r"\b[A-Z][a-z]{6,}"}
+#: Names that records of a law office's files are told with.
+FOLDERS = ("Pleadings 2024", "Medical", "Health Records", "DISCOVERY", "Correspondence", "Exhibits A-C", "Depositions", "Expert reports", "Financial", "Misc")
+NAMES = ("Tax_Return", "Form_1040", "Death_Certificate", "gmail_export", "Affidavit", "Final_Order", "Invoice", "Warranty_Deed", "photo", "Schedule_C", "Birth", "notes", "Complaint")
+EXTENSIONS = {
+    ".pdf": "application/pdf", ".MOV": "video/quicktime", ".mp3": "audio/mpeg", ".docx": "application/msword", ".txt": "text/plain", ".wav": "application/pdf", ".jpg": "image/jpeg",
+    ".eml": "message/rfc822", ".mp4": "video/mp4", ".dat": "audio/basic", ".avi": "video/avi",
+}
 
 
 def _list(values) -> str:
@@ -74,6 +81,9 @@ CTE = {
             else monthname(o_orderdate) || ' ' || day(o_orderdate) || ', ' || year(o_orderdate) end as day,
             cast(round(o_totalprice * 100) as bigint) // 100 || '.' || lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as varchar), 2, '0') as amount from orders))""",
     "writings": """writings as (select 'document' as kind, doc_id as id, text from documents where text is not null union all select 'letter', letter_id, text from letters)""",
+    "records": f"""records as (select o_orderkey as file_id, {_list(FOLDERS)}[o_orderkey % {len(FOLDERS)} + 1] || '/' || {_list(NAMES)}[o_orderkey % {len(NAMES)} + 1] || '_' || o_orderkey || extension as path,
+        case when o_orderkey % 23 = 0 then 'application/octet-stream' else mime end as mime, cents as size, cents % 1000 as cost_cents
+        from (select *, {_list(EXTENSIONS)}[o_orderkey % {len(EXTENSIONS)} + 1] as extension, {_list(EXTENSIONS.values())}[o_orderkey % {len(EXTENSIONS)} + 1] as mime, cast(round(o_totalprice * 100) as bigint) as cents from orders))""",
     "turns": "turns as (select conv_id as document_id, turn as chunk_index, role, text from conversations)",
 }
 _NEEDS = {"mentions": ["chunks"], "scored": ["chunks", "mentions"], "writings": ["letters"]}
@@ -167,6 +177,16 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a law office, with folders, names and types told from the orders."""
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (key % len(values) + 1).cast("int"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    path = F.concat(pick(FOLDERS), F.lit("/"), pick(NAMES), F.lit("_"), key.cast("string"), pick(EXTENSIONS))
+    mime = F.when(key % 23 == 0, "application/octet-stream").otherwise(pick(list(EXTENSIONS.values())))
+    return o.select(key.alias("file_id"), path.alias("path"), mime.alias("mime"), cents.alias("size"), (cents % 1000).alias("cost_cents"))
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     return c.select(F.col("conv_id").alias("document_id"), F.col("turn").alias("chunk_index"), "role", "text")

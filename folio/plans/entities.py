@@ -224,19 +224,41 @@ def resolve_hybrid(spark, d):
     return r.resolve_hybrid(rows)
 
 
-@query("batch_balanced")
+def _packed(rows: str, keys: str, order: str, size: str, most: int, count: int) -> str:
+    """rows walked in order within keys, each batch closed when it would get too large."""
+    on = " and ".join(f"w.{k} = r.{k}" for k in keys.split(", "))
+    full = f"filled + r.{size} > {most} or n >= {count}"
+    return f"""r as (select *, row_number() over (partition by {keys} order by {order}) as at_ from {rows}),
+    w as (select {keys}, at_, 0 as batch, {size} as filled, 1 as n from r where at_ = 1 union all
+        select {", ".join("r." + k for k in keys.split(", "))}, r.at_, case when {full} then batch + 1 else batch end, case when {full} then r.{size} else filled + r.{size} end, case when {full} then 1 else n + 1 end
+        from w join r on {on} and r.at_ = w.at_ + 1)"""
+
+
+_WORK = "work as (select project_id, priority, batch_id, item, document_id, size_mb from items join batches using (batch_id))"
+
+
+def _recursive(names: str, body: str) -> str:
+    return sql(names, body).replace("with ", "with recursive ", 1)
+
+
+@query("batch_balanced", _recursive("items batches", f""", {_WORK}, {_packed("work", "project_id", "priority, size_mb, batch_id, item, document_id", "size_mb", 100, 25)}
+    select project_id, priority, batch_id, item, document_id, size_mb, batch from r join w using (project_id, at_)"""))
 def batch_balanced(spark, d):
     rows = b.items(spark, d).join(b.batches(spark, d).select("batch_id", "priority", "project_id"), "batch_id")
     return p.pack(rows.select("project_id", "priority", "batch_id", "item", "document_id", "size_mb"), ["project_id"], ["priority", "size_mb", "batch_id", "item", "document_id"])
 
 
-@query("batch_by_priority")
+@query("batch_by_priority", _recursive("items batches", f""", {_WORK}, {_packed("work", "project_id, priority", "size_mb, batch_id, item, document_id", "size_mb", 100, 25)}
+    select project_id, priority, batch_id, item, document_id, size_mb, dense_rank() over (partition by project_id order by priority, batch) as batch from r join w using (project_id, priority, at_)"""))
 def batch_by_priority(spark, d):
+    """Packed within each priority; batches are numbered on through a project's priorities."""
     rows = b.items(spark, d).join(b.batches(spark, d).select("batch_id", "priority", "project_id"), "batch_id")
-    return p.pack(rows.select("project_id", "priority", "batch_id", "item", "document_id", "size_mb"), ["project_id", "priority"], ["size_mb", "batch_id", "item", "document_id"])
+    packed = p.pack(rows.select("project_id", "priority", "batch_id", "item", "document_id", "size_mb"), ["project_id", "priority"], ["size_mb", "batch_id", "item", "document_id"])
+    return p.renumbered(packed, ["project_id"], "priority")
 
 
-@query("embedding_batches")
+@query("embedding_batches", _recursive("chunks", f""", c as (select document_id, chunk_index, length(chunk_text) // 4 as tokens from chunks), {_packed("c", "document_id", "chunk_index", "tokens", 8000, 50)}
+    select document_id, chunk_index, tokens, batch from r join w using (document_id, at_)"""))
 def embedding_batches(spark, d):
     rows = b.chunks(spark, d).select("document_id", "chunk_index", F.floor(F.length("chunk_text") / 4).cast("long").alias("tokens"))
     return p.pack(rows, ["document_id"], ["chunk_index"], size="tokens", most=8000, count=50)

@@ -46,33 +46,39 @@ def should_process_file(spark, d):
     return b.files(spark, d).where((F.col("size") >= 100) & ~F.col("host").contains("ads-track") & ~F.col("path").rlike(r"\.(mp3|mp4|zip)$")).select("file_id", "size")
 
 
-@query("filter_media_files", sql("files", """select regexp_matches(path, '(utm_source|#top)') as excluded, count(*) as n, sum(size) as size from files group by 1"""))
-def filter_media_files(spark, d):
-    return b.files(spark, d).groupBy(F.col("path").rlike("(utm_source|#top)").alias("excluded")).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+_MEDIA = " or ".join([f"lower(path) like '%{e}'" for e in r.MEDIA_ENDINGS] + [f"mime like '{t}%'" for t in r.MEDIA_TYPES])
 
 
-KINDS = {"forum": ("blog.", "m."), "spam": ("ads-track", "spam"), "search": ("page=",), "archive": (".html",)}
+@query("filter_media_files", sql("records", f"""select count(*) filter (where not media) as files, sum(size) filter (where not media) as size, count(*) filter (where media) as excluded, sum(size) filter (where media) as excluded_size,
+    sum(cost_cents) * (count(*) filter (where not media)) / count(*) as cost_cents from (select *, {_MEDIA} as media from records)"""))
+def filter_media_files(spark, d):
+    return r.without_media(b.records(spark, d))[1]
 
 
-@query("document_kind_by_name", sql("files", f"select {_case('path', KINDS, 'default')} as kind, count(*) as n from files group by 1"))
+@query("document_kind_by_name", sql("records", f"select file_id, {_case('split_part(path, chr(47), 2)', r.NAME_KINDS, 'default')} as kind from records"))
 def document_kind_by_name(spark, d):
-    return b.files(spark, d).groupBy(r.first_match(F.col("path"), KINDS, "default").alias("kind")).agg(F.count("*").alias("n"))
+    return b.records(spark, d).select("file_id", r.first_match(F.element_at(F.split("path", "/"), -1), r.NAME_KINDS, "default").alias("kind"))
 
 
-@query("folder_category", sql("files", """select case split_part(regexp_extract(path, '://[^/]*/([^?#]*)', 1), '/', 1) when 'en' then 'english' when 'de' then 'german'
-    when 'fr' then 'french' when 'es' then 'spanish' else 'other' end as folder, count(*) as n from files group by 1"""))
+@query("folder_category", sql("records", f"select file_id, {_case('split_part(path, chr(47), 1)', r.FOLDER_CATEGORIES, 'miscellaneous')} as category from records"))
 def folder_category(spark, d):
-    part = F.split(F.regexp_extract("path", "://[^/]*/([^?#]*)", 1), "/")[0]
-    folder = F.when(part == "en", "english").when(part == "de", "german").when(part == "fr", "french").when(part == "es", "spanish").otherwise("other")
-    return b.files(spark, d).groupBy(folder.alias("folder")).agg(F.count("*").alias("n"))
+    return b.records(spark, d).select("file_id", r.first_match(F.split("path", "/")[0], r.FOLDER_CATEGORIES, "miscellaneous").alias("category"))
+
+
+_NAMED = f"{b._list(b.NAMES)}[doc_id % {len(b.NAMES)} + 1]"
 
 
-@query("extraction_sufficient", """select case when length(trim(text)) = 0 then 'empty' when length(text) < 0.5 * 400 * greatest(1, n_chars // 2000) then 'short'
-    when regexp_matches(text, '[#$&*%]{3}') then 'artifacts' else 'sufficient' end as reason, count(*) as n from documents group by 1""")
+@query("extraction_sufficient", f"""with k as (select doc_id, text, greatest(1, cast(ceil(n_chars / 2000.0) as bigint)) as pages, {_case(_NAMED, r.NAME_KINDS, 'default')} as kind,
+        trim(replace(text, '{r.ARTIFACT}', ''), ' ') as clean from documents),
+    m as (select *, pages * case kind {" ".join(f"when '{k}' then {n}" for k, n in r.LEAST_CHARS.items())} else {r.LEAST_CHARS_ELSE} end as expected, (length(text) - length(replace(text, '{r.ARTIFACT}', ''))) / {len(r.ARTIFACT)}.0 as artifacts from k),
+    v as (select doc_id, case when text is null or text = '' then 'No text extracted' when length(clean) < expected * 0.5 then 'Extracted only ' || length(clean) || ' chars, expected ~' || expected
+        when clean in ({", ".join(map(repr, r.TRIVIAL))}) then 'Extraction appears incomplete' when artifacts > pages * 2 then 'Too many OCR artifacts detected' else 'Valid extraction' end as reason from m)
+    select doc_id, reason = 'Valid extraction' as sufficient, reason from v""")
 def extraction_sufficient(spark, d):
-    want = 0.5 * 400 * F.greatest(F.lit(1), F.floor(F.col("n_chars") / 2000))
-    reason = F.when(F.length(F.trim("text")) == 0, "empty").when(F.length("text") < want, "short").when(F.col("text").rlike("[#$&*%]{3}"), "artifacts").otherwise("sufficient")
-    return table(spark, d, "documents").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+    """Documents under the names of a law office's files; a page has 2,000 characters."""
+    name = F.element_at(F.array(*map(F.lit, b.NAMES)), (F.col("doc_id") % len(b.NAMES) + 1).cast("int"))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("n_chars") / 2000))
+    return table(spark, d, "documents").select("doc_id", r.sufficient(F.col("text"), name, pages).alias("v")).select("doc_id", "v.*")
 
 
 @query("entity_input_valid", "select doc_id from documents where text is not null and regexp_matches(text, '[^ \\t\\n]') and doc_id >= 0 and length(text) >= 50")
