@@ -348,9 +348,9 @@ def top_error_types(spark, d):
     return m.top_k(b.tasks(spark, d).where("message is not null"), ["message"], 10)
 
 
-@query("dominant_types", sql("mentions", "select entity_text, count(*) as n from mentions where entity_type = 'PERSON' group by 1 order by n desc, entity_text limit 5"))
+@query("dominant_types", sql("mentions", "select entity_type, count(*) as n from mentions group by 1 order by n desc, entity_type limit 5"))
 def dominant_types(spark, d):
-    return m.top_k(b.mentions(spark, d).where("entity_type = 'PERSON'"), ["entity_text"], 5)
+    return m.top_k(b.mentions(spark, d), ["entity_type"], 5)
 
 
 @query("pipeline_throughput", sql("tasks", f""", r as (select stage, cents as p95_cents from (select stage, cents,

@@ -88,12 +88,12 @@ def pending_ocr_jobs(spark, d):
     return rows.orderBy(F.desc("ts"), "event_id").limit(10).select("event_id", "document_id", "ts")
 
 
-@query("mentions_of_document", sql("mentions", """select d.doc_id, c.chunk_index, m.entity_text from documents d join chunks c on c.document_id = d.doc_id
-    join mentions m on m.document_id = c.document_id and m.chunk_index = c.chunk_index where d.lang = 'es' and m.entity_type <> 'PERSON'"""))
+@query("mentions_of_document", sql("mentions", """select d.doc_id, c.chunk_index, m.entity_type, m.entity_text from documents d join chunks c on c.document_id = d.doc_id
+    join mentions m on m.document_id = c.document_id and m.chunk_index = c.chunk_index"""))
 def mentions_of_document(spark, d):
-    docs = table(spark, d, "documents").where("lang = 'es'").select(F.col("doc_id").alias("document_id"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("document_id"))
     keys = b.chunks(spark, d).select("document_id", "chunk_index").join(docs, "document_id")
-    rows = keys.join(b.mentions(spark, d).where("entity_type <> 'PERSON'").select("document_id", "chunk_index", "entity_text"), ["document_id", "chunk_index"])
+    rows = keys.join(b.mentions(spark, d).select("document_id", "chunk_index", "entity_type", "entity_text"), ["document_id", "chunk_index"])
     return rows.withColumnRenamed("document_id", "doc_id")
 
 
@@ -245,9 +245,9 @@ def distinct_preserving_order(spark, d):
     return b.turns(spark, d).groupBy("document_id").agg(F.array_join(F.slice(F.array_distinct(ordered), 1, 20), ",").alias("roles"))
 
 
-@query("set_union_aliases", sql("scored", """select canonical_id, array_to_string(list_sort(list(distinct entity_text)), ',') as aliases from scored where entity_type <> 'NUMBER' group by 1"""))
+@query("set_union_aliases", sql("scored", """select canonical_id, array_to_string(list_sort(list(distinct entity_text)), ',') as aliases from scored group by 1"""))
 def set_union_aliases(spark, d):
-    per_doc = b.scored(spark, d).where("entity_type <> 'NUMBER'").groupBy("canonical_id", "document_id").agg(F.collect_set("entity_text").alias("names"))
+    per_doc = b.scored(spark, d).groupBy("canonical_id", "document_id").agg(F.collect_set("entity_text").alias("names"))
     return per_doc.groupBy("canonical_id").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))), ",").alias("aliases"))
 
 
