@@ -8,6 +8,8 @@ so passages in another order, or broken up, count in full.
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,45 +28,81 @@ FOUND = (
 )
 
 
+#: Base of the running hash of word windows, and its inverse.
+_RUN = wb.U(0xD1342543DE82EF95)
+_RUN_INVERSE = wb.U(pow(int(_RUN), -1, 1 << 64))
+
+
+class _Windows:
+    """Karp-Rabin hashes of runs of words, of any length, and what is not yet marked."""
+
+    def __init__(self, words: np.ndarray, follows: np.ndarray):
+        self.words, self.follows = words, follows
+        self.free = np.ones(len(words), dtype=bool)
+        self.back = wb.powers(_RUN_INVERSE, len(words))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * wb.powers(_RUN, len(words)), dtype=np.uint64)))
+
+    def room(self) -> np.ndarray:
+        """How many unmarked words stand in a row from each word on."""
+        n = len(self.words)
+        ends = np.flatnonzero(np.append(~self.free | ~self.follows, True))  # a run stops before each
+        stop = ends[np.searchsorted(ends, np.arange(n), "right")]
+        return np.where(self.free, stop - np.arange(n), 0)
+
+    def hashes(self, length: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the unmarked windows of a length: a difference of
+        two running sums, turned back by the place."""
+        at = np.flatnonzero(room >= length)
+        return at, (self.sums[at + length] - self.sums[at]) * self.back[at]
+
+    def open(self, at: int, length: int) -> bool:
+        return bool(self.free[at] and self.free[at + length - 1])  # marks of a round are as long, so ends tell
+
+
 def tile(doc: np.ndarray, place: np.ndarray, item: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (doc word, item word, length) of a document's and an item's
     word hashes; place has the document words' numbers, with gaps where words
     that are in no shared seed were left out.
 
-    Each round finds the longest runs of words not yet marked that are equal in
-    both, by the run lengths that end at each document word, held for one item
-    word at a time; all of that length are marked, earliest in the document (then
-    in the item) first, until none of `size` words is left.  So memory follows
-    the document's words, not the pairs of places where seeds agree; every round
-    has a smaller length, so there are at most sqrt(2 * item words) of them.
+    Running Karp-Rabin, from long to short: the greatest length at which an
+    unmarked window of the document has the hash of one of the item is found by
+    halving (a match holds shorter ones), and all matches of that length are
+    marked, earliest in the document (then in the item) first, until none of
+    `size` words is left.  Windows whose hashes agree are compared word by word.
+    Time and memory follow the words of both for each length that occurs, and
+    there are at most sqrt(2 * item words) of these.
     """
-    follows = np.zeros(len(doc), dtype=bool)
-    follows[1:] = np.diff(place) == 1
-    free, open_ = np.ones(len(doc), dtype=bool), np.ones(len(item), dtype=bool)
-    tiles = []
+    left = _Windows(doc, np.append(False, np.diff(place) == 1)[: len(doc)])
+    right = _Windows(item, np.append(False, np.ones(max(len(item) - 1, 0), dtype=bool))[: len(item)])
+    tiles, longest = [], len(item)
     while True:
-        best, ends = size, []
-        run = np.zeros(len(doc), dtype=np.int32)
-        for j, word in enumerate(item.tolist()):
-            if not open_[j]:
-                run[:] = 0
-                continue
-            before = np.concatenate(([0], run[:-1])) * follows
-            run = np.where((doc == wb.U(word)) & free, before + 1, 0).astype(np.int32)
-            longest = int(run.max(initial=0))
-            if longest > best:
-                best, ends = longest, []
-            if longest == best:
-                ends.append((np.flatnonzero(run == best), j))
-        if not ends:
+        rooms = left.room(), right.room()
+
+        def shared(length: int):
+            (at, mine), (to, other) = left.hashes(length, rooms[0]), right.hashes(length, rooms[1])
+            return at[np.isin(mine, other)], to
+
+        low, high = size - 1, min(longest, int(rooms[0].max(initial=0)), int(rooms[1].max(initial=0)))
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(shared(middle)[0]) else (low, middle - 1)
+        if low < size:
             return tiles
-        at, last = np.concatenate([e for e, _ in ends]), np.concatenate([np.full(len(e), j) for e, j in ends])
-        for k in np.lexsort((last, at)).tolist():
-            d, i = int(at[k]) - best + 1, int(last[k]) - best + 1
-            if free[d] and free[d + best - 1] and open_[i] and open_[i + best - 1]:  # tiles are as long, so ends tell
-                tiles.append((int(place[d]), i, best))
-                free[d : d + best] = False
-                open_[i : i + best] = False
+        at, to = shared(low)
+        queues: dict[int, deque] = {}
+        for i, h in zip(to.tolist(), right.hashes(low, rooms[1])[1].tolist()):
+            queues.setdefault(h, deque()).append(i)
+        marked = len(tiles)
+        for d, h in zip(at.tolist(), ((left.sums[at + low] - left.sums[at]) * left.back[at]).tolist()):
+            waiting = queues[h]
+            while waiting and not right.open(waiting[0], low):
+                waiting.popleft()
+            if waiting and left.open(d, low) and (doc[d : d + low] == item[waiting[0] : waiting[0] + low]).all():
+                i = waiting.popleft()
+                tiles.append((int(place[d]), i, low))
+                left.free[d : d + low] = False
+                right.free[i : i + low] = False
+        longest = low if len(tiles) > marked else low - 1
 
 
 def _ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
