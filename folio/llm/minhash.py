@@ -21,9 +21,11 @@ from folio.llm.components import components
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 48, 6
-#: Members of a bucket that are held against each other in one task; of larger
-#: buckets just those whose rarest shingles meet are.
-TILE_DOCUMENTS = 2048
+#: Members of a bucket that are held against each other in one task, and their
+#: shingles; of larger buckets just those whose rarest shingles meet are.
+TILE_DOCUMENTS, TILE_SHINGLES = 2048, 1 << 20
+#: Rows whose shared shingles are counted at a time, and cells of a block of shingles.
+STRIP, BLOCK_CELLS = 256, 4_000_000
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -113,7 +115,12 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> Da
 
 
 def _apart(percent: int):
-    """Links between different components within each tile of a bucket."""
+    """Links between different components within each tile of a bucket.
+
+    Every pair of different components has a member outside the tile's most
+    frequent one, so those members are held against all, in strips of rows: what
+    is in memory is the tile's sets, a strip's counts and a block of shingles.
+    """
 
     def run(batches):
         for (_, a, b), group in group_rows(batches, ["band", "a", "b"]):
@@ -125,20 +132,30 @@ def _apart(percent: int):
             owner = np.repeat(np.arange(len(ids)), size)
             often = times[shingle] > 1
             owner, shingle = owner[often], (np.cumsum(times > 1) - 1)[shingle[often]]
-            both = np.zeros((len(ids), len(ids)), dtype=np.float32)
-            width = max(1, 20_000_000 // len(ids))
-            for start in range(0, int(shingle.max(initial=-1)) + 1, width):
-                part = (shingle >= start) & (shingle < start + width)
-                grid = np.zeros((len(ids), min(width, int(shingle.max()) + 1 - start)), dtype=np.float32)
-                grid[owner[part], shingle[part] - start] = 1
-                both += grid @ grid.T
-            either = size[:, None] + size[None, :] - both
-            ask = (component[:, None] < component[None, :]) & (100 * both >= percent * either) & (both > 0)
-            if a != b:
-                ask &= mine[:, None] != mine[None, :]
-            x, y = np.nonzero(ask)
-            _, one = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[x[one]]), pa.array(ids[y[one]])], names=["hub", "doc_id"])
+            order = np.argsort(shingle, kind="stable")  # a block of shingles is a slice
+            owner, shingle = owner[order], shingle[order]
+            kinds, n = np.unique(component, return_counts=True)
+            most = kinds[n.argmax()]
+            rows = np.flatnonzero(component != most)
+            total, width = int(shingle.max(initial=-1)) + 1, max(1, BLOCK_CELLS // len(ids))
+            for strip in np.array_split(rows, -(-len(rows) // STRIP)) if len(rows) else ():
+                both = np.zeros((len(strip), len(ids)), dtype=np.float32)
+                for start in range(0, total, width):
+                    part = slice(*np.searchsorted(shingle, (start, start + width)))
+                    who, what = owner[part], shingle[part] - start
+                    grid = np.zeros((len(ids), min(width, total - start)), dtype=np.float32)
+                    grid[who, what] = 1
+                    both += grid[strip] @ grid.T
+                both = both.astype(np.int64)
+                either = size[strip, None] + size[None, :] - both
+                ask = (100 * both >= percent * either) & (both > 0) & (component[strip, None] != component[None, :])
+                ask &= (component == most)[None, :] | (component[strip, None] < component[None, :])
+                if a != b:
+                    ask &= mine[strip, None] != mine[None, :]
+                x, y = np.nonzero(ask)
+                x = strip[x]
+                _, one = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x[one]]), pa.array(ids[y[one]])], names=["hub", "doc_id"])
 
     return run
 
@@ -248,7 +265,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
     labels = components(links.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "minhash")
 
     placed = shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
     )
     placed = cut(placed, "minhash-placed")
     mixed = (
@@ -257,12 +274,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS, band
             F.min("component").alias("low"),
             F.max("component").alias("high"),
             F.count("*").alias("size"),
+            F.sum("n_shingles").alias("shingles"),
             F.bit_xor(F.xxhash64("doc_id")).alias("who"),
         )
         .where("low < high")
         .groupBy("size", "who")  # buckets of the same documents are compared once
-        .agg(F.min("band").alias("band"))
-        .select("band", F.ceil(F.col("size") / TILE_DOCUMENTS).cast("int").alias("tiles"))
+        .agg(F.min("band").alias("band"), F.max("shingles").alias("shingles"))
+        .select("band", F.ceil(F.greatest(F.col("size") / TILE_DOCUMENTS, F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"))
     )
     mixed = cut(mixed, "minhash-mixed")
     spread, large = placed.join(mixed.where("tiles = 1"), "band"), mixed.where("tiles > 1")
