@@ -35,10 +35,10 @@ def resolve_fuzzy(spark, d):
     return r.resolve_greedy(b.scored(spark, d), rules=False)
 
 
-@query("resolve_from_groupings", sql("scored", """, n as (select distinct document_id, entity_text, substring(lower(entity_text), 1, 8) as stem from scored where entity_type = 'PERSON')
+@query("resolve_from_groupings", sql("scored", """, n as (select distinct document_id, entity_text, substring(lower(entity_text), 1, 8) as stem from scored)
     select document_id, entity_text, min(entity_text) over (partition by document_id, stem) as canonical_name from n"""))
 def resolve_from_groupings(spark, d):
-    names = b.scored(spark, d).where("entity_type = 'PERSON'").select("document_id", "entity_text").distinct()
+    names = b.scored(spark, d).select("document_id", "entity_text").distinct()
     stem = F.substring(F.lower("entity_text"), 1, 8)
     groups = names.groupBy("document_id", stem.alias("stem")).agg(F.collect_list("entity_text").alias("members"))
     listed = groups.groupBy("document_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.array_min("members"), "members")))).alias("response"))
