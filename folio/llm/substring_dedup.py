@@ -24,6 +24,9 @@ SEED = 5
 SHARD_DOCUMENTS = 2048
 #: Words of the shard's first document whose seeds make up one shard.
 REGION = 512
+#: Words an automaton holds (some 350 bytes each); what it held before is kept as
+#: the hashes of its windows (16 bytes each).
+AUTOMATON_WORDS = 200_000
 SPAN = "shard long, split int, salt int, doc_id long, key long, start int, words binary"
 FRESH = "doc_id long, key long, start int, stop int, words binary"
 
@@ -125,6 +128,47 @@ def _spans(window: int, seed: int, per_shard: int):
     return run
 
 
+def _window_hashes(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every window of a run of words."""
+    bounds = np.array([0, len(words)])
+    return wb.grams(words, bounds, window)[0], wb.grams(wb.mix(words ^ wb.U(0x5851F42D4C957F2D)), bounds, window)[0]
+
+
+class _Reference:
+    """What a shard's earlier documents brought: an automaton of bounded size, and
+    the window hashes of what filled the automata before it."""
+
+    def __init__(self, window: int):
+        self.window, self.held, self.one, self.two = window, [], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.automaton, self.size = SuffixAutomaton(), 0
+
+    def seen(self, words: np.ndarray) -> np.ndarray:
+        """Which windows of a document occur in it."""
+        out = np.zeros(max(len(words) - self.window + 1, 0), dtype=bool)
+        if self.size:
+            out[self.automaton.windows(words.tolist(), self.window)] = True
+        if len(self.one) and len(out):
+            one, two = _window_hashes(words, self.window)
+            at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+            out |= (self.one[at] == one) & (self.two[at] == two)
+        return out
+
+    def add(self, words: np.ndarray) -> None:
+        if len(words) > AUTOMATON_WORDS + self.window:  # in pieces that share all windows
+            for start in range(0, len(words) - self.window + 1, AUTOMATON_WORDS):
+                self.add(words[start : start + AUTOMATON_WORDS + self.window - 1])
+            return
+        if self.size >= AUTOMATON_WORDS:
+            hashes = [(self.one, self.two), *[_window_hashes(x, self.window) for x in self.held]]
+            one, two = (np.concatenate(x) for x in zip(*hashes))
+            order = np.argsort(one)
+            self.one, self.two = one[order], two[order]
+            self.held, self.automaton, self.size = [], SuffixAutomaton(), 0
+        self.automaton.add(words.tolist())
+        self.held.append(words)
+        self.size += len(words)
+
+
 def _match(window: int):
     """Stream each shard's spans, in document order, through its automaton.
 
@@ -135,7 +179,7 @@ def _match(window: int):
 
     def run(batches):
         for (_, split, _), group in group_rows(batches, ["shard", "split", "salt"]):
-            automaton = SuffixAutomaton()
+            earlier = _Reference(window)
             out = {"doc_id": [], "key": [], "start": [], "stop": [], "words": []}
 
             def put(*row):
@@ -148,21 +192,19 @@ def _match(window: int):
                 fresh = []
                 doc = ids[i]
                 while i < len(ids) and ids[i] == doc:
-                    words = np.frombuffer(texts_[i], dtype=np.uint64).tolist()
-                    seen = np.zeros(max(len(words) - window + 1, 0), dtype=bool)
-                    if len(automaton.step) > 1:
-                        seen[automaton.windows(words, window)] = True
+                    words = np.frombuffer(texts_[i], dtype=np.uint64)
+                    seen = earlier.seen(words)
                     for a, b in _runs(seen):
                         put(doc, keys[i], starts[i] + a, starts[i] + b + window - 1, None)
                     for a, b in _runs(~seen):
                         piece = words[a : b + window - 1]
                         fresh.append(piece)
                         if split:
-                            put(doc, keys[i], starts[i] + a, None, np.array(piece, dtype=np.uint64).tobytes())
+                            put(doc, keys[i], starts[i] + a, None, piece.tobytes())
                     i += 1
                 if i < len(ids):  # nothing reads what the last document adds
                     for piece in fresh:
-                        automaton.add(piece)
+                        earlier.add(piece)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[k], t) for k, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
                 names=list(out),
@@ -178,9 +220,7 @@ def _fresh_windows(window: int):
         for batch in batches:
             for doc, key, start, _, words in zip(*[c.to_pylist() for c in batch.columns]):
                 h = np.frombuffer(words, dtype=np.uint64)
-                bounds = np.array([0, len(h)])
-                one, _ = wb.grams(h, bounds, window)
-                two, _ = wb.grams(wb.mix(h ^ wb.U(0x5851F42D4C957F2D)), bounds, window)
+                one, two = _window_hashes(h, window)
                 n = len(one)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -279,7 +319,8 @@ def remove_repeated_substrings(docs: DataFrame, window: int = WINDOW) -> DataFra
     the seed's shard, so all documents that share a window meet in one shard
     with the words around it, and a shard does not grow with that document's
     length.  There an automaton of what earlier documents brought answers each
-    document's matching statistics.  Seeds in more than SHARD_DOCUMENTS documents
+    document's matching statistics; an automaton that is full makes way for an
+    empty one, and its windows stay as hashes.  Seeds in more than SHARD_DOCUMENTS documents
     are matched in salted parts; the windows that are new in each part are
     settled by the least doc_id of every window, an aggregation.
     """

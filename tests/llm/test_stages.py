@@ -4,6 +4,7 @@ import collections
 import random
 import time
 
+import numpy as np
 import pytest
 
 from tests.llm.test_operators import SCHEMA, sets_of, words_of
@@ -113,3 +114,30 @@ def test_a_very_long_url_takes_no_longer_than_its_length(spark):
         took.append(time.time() - began)
     assert len(rows) == len(urls) + 1 and all(r.score is not None for r in rows)
     assert took[1] - took[0] < 5
+
+
+@pytest.mark.parametrize("full", [1, 40, 300])
+def test_full_automata_make_way(spark, monkeypatch, full):
+    """Whatever an automaton may hold, the same words go."""
+    from folio.llm import substring_dedup as sd
+    from tests.llm.test_operators import brute_windows
+
+    rnd = random.Random(3)
+    shared = [prose(400 + i, 25) for i in range(4)]
+    rows = [(i, f"{prose(500 + i, rnd.randrange(30))} {rnd.choice(shared)} {prose(600 + i, rnd.randrange(40))} {rnd.choice(shared)}") for i in range(40)]
+    rows += [(50, prose(700, 900)), (51, prose(700, 900)), (52, " ".join(prose(700, 900).split()[300:500])), (None, shared[0]), (53, None), (53, shared[1])]
+    monkeypatch.setattr(sd, "AUTOMATON_WORDS", full)
+    reference = sd._Reference(13)
+    expected = set()
+    for i, x in rows:
+        words = np.array([hash(w) & (1 << 63) - 1 for w in (x or "").split()], np.uint64)
+        seen = reference.seen(words)
+        own = [tuple(words[j : j + 13].tolist()) for j in range(max(len(words) - 12, 0))]
+        assert [w in expected for w in own] == seen.tolist()
+        for a, b in sd._runs(~seen):
+            reference.add(words[a : b + 12])
+        expected |= set(own)
+    if full == 1:  # and through the whole operator
+        gone = brute_windows(rows)
+        got = sd.remove_repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert collections.Counter((r.doc_id, r.n_removed) for r in got) == collections.Counter((i, gone[i, x][1]) for i, x in rows)
