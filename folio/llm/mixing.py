@@ -8,6 +8,10 @@ calibrated to a share of all tokens.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +26,10 @@ MOST_ROUNDS = 40
 #: Cells that one task rakes without a shuffle; more are raked across tasks.
 ONE_TASK_CELLS = 65_536
 SEED = 2
-#: Word classes that stand for topics, and letters from which a word is a content word.
-TOPICS, CONTENT_LETTERS = 8, 5
+#: Topics, classes of words whose counts tell them, and letters from which a word is a content word.
+TOPICS, CLASSES, CONTENT_LETTERS = 8, 32, 5
+#: Rounds in which topics are fitted, and words of the corpus that each is given beside its own.
+TOPIC_ROUNDS, TOPIC_PRIOR = 6, 1000.0
 NO_TOPIC = "none"
 
 
@@ -32,27 +38,51 @@ def words_of(text: Column) -> Column:
 
 
 def classes_of(words: Column) -> Column:
-    """How many content words of a text are in each word class.
+    """How many content words of a text are in each of CLASSES classes, by hash.
 
-    A word's class is its hash: TOPICS classes of words, equal for all corpora.
-    The digits of all words are written down once and counted as text.
+    The classes of all words are written down once, a letter each, and counted
+    as text.
     """
-    digits = F.array_join(
-        F.transform(words, lambda w: F.when(F.length(w) >= CONTENT_LETTERS, F.pmod(F.hash(w), F.lit(TOPICS)).cast("string")).otherwise("")), ""
+    letters = F.array_join(
+        F.transform(words, lambda w: F.when(F.length(w) >= CONTENT_LETTERS, F.char(F.pmod(F.hash(w), F.lit(CLASSES)) + 64)).otherwise("")), ""
     )
-    size = F.length(digits)
-    return F.array(*[(size - F.length(F.replace(digits, F.lit(str(k)), F.lit("")))).cast("long") for k in range(TOPICS)])
+    size = F.length(letters)
+    return F.array(*[(size - F.length(F.replace(letters, F.lit(chr(64 + c)), F.lit("")))).cast("long") for c in range(CLASSES)])
+
+
+def topic_of(classes: Column, topics: list[list[float]]) -> Column:
+    """The number of the topic under which a text's words are likeliest; ties go to
+    the lower one, and a text without content words has none."""
+    scores = [reduce(add, (classes[c] * math.log(x) for c, x in enumerate(shares))) for shares in topics]
+    best = F.greatest(*[F.struct(score.alias("by"), F.lit(-k).alias("k")) for k, score in enumerate(scores)])["k"] if len(topics) > 1 else F.lit(0)
+    return F.when(reduce(add, (classes[c] for c in range(CLASSES))) > 0, -best)
 
 
-def topic_of(classes: Column, shares: list[float]) -> Column:
-    """The word class that a text has most in excess of the corpus's share, in
-    standard deviations of a text of its length; ties go to the lower class."""
-    n = F.aggregate(classes, F.lit(0).cast("long"), lambda a, b: a + b)
-    excess = [
-        F.struct(((classes[k] - n * p) / F.sqrt(F.greatest(n * p, F.lit(1e-9)))).alias("by"), F.lit(-k).alias("k"), F.lit(f"words{k}").alias("topic"))
-        for k, p in enumerate(shares)
-    ]
-    return F.when(n > 0, F.greatest(*excess)["topic"]).otherwise(NO_TOPIC)
+def fit_topics(known: DataFrame, count: int = TOPICS, rounds: int = TOPIC_ROUNDS) -> list[list[float]]:
+    """The class shares of `count` topics, fitted to all rows of known(classes) by
+    classification EM of a mixture of unigrams.
+
+    Topics begin as the corpus, each with every count-th class quadrupled.  Each
+    round gives every text its likeliest topic and every topic the shares of its
+    texts' words (and TOPIC_PRIOR words of the corpus): one aggregation to a row
+    for each topic.
+    """
+    sums = [F.coalesce(F.sum(F.col("classes")[c]), F.lit(0)).alias(f"c{c}") for c in range(CLASSES)]
+    total = [x + 1 for x in known.agg(*sums).first()]
+    corpus = [x / sum(total) for x in total]
+    raised = [[p * (4 if c % count == k else 1) for c, p in enumerate(corpus)] for k in range(count)]
+    topics = [[p / sum(shares) for p in shares] for shares in raised]
+    for _ in range(rounds):
+        found = known.groupBy(topic_of(F.col("classes"), topics).alias("topic")).agg(*sums).collect()  # a row for each topic
+        before = topics
+        topics = list(topics)
+        for row in found:
+            if row.topic is not None:
+                own = [row[f"c{c}"] for c in range(CLASSES)]
+                topics[row.topic] = [(n + TOPIC_PRIOR * p) / (sum(own) + TOPIC_PRIOR) for n, p in zip(own, corpus)]
+        if topics == before:
+            break
+    return topics
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -159,9 +189,8 @@ def chances(docs: DataFrame, dimensions=DIMENSIONS, targets: dict | None = None,
     """
     rows = described(docs)
     known = cut(rows.select("source", "lang", "tokens", "classes"), "mix-documents")
-    totals = known.agg(*[F.coalesce(F.sum(F.col("classes")[k]), F.lit(0)) for k in range(TOPICS)]).first()
-    shares = [t / max(sum(totals), 1) for t in totals]
-    topic = topic_of(F.col("classes"), shares)
+    number = topic_of(F.col("classes"), fit_topics(known))
+    topic = F.coalesce(F.concat(F.lit("topic"), number), F.lit(NO_TOPIC))
     names = list(dimensions)
     cells = cut(known.withColumn("topic", topic).groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mix-counts")
     weights = cut(rake(cells, dimensions, targets), "mix-raked")

@@ -524,17 +524,36 @@ def test_topics_against_brute_force(spark):
     from folio.llm import mixing as m
 
     rnd = random.Random(6)
-    words = [f"content{i}" for i in range(60)] + ["a", "bc", "Of"]
-    docs = make(spark, [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 30)))) for i in range(60)] + [(61, None), (62, " \n ")])
+    kinds = [[f"content{i}" for i in range(a, a + 25)] + ["a", "bc", "Of"] for a in (0, 40, 80)]
+    docs = make(spark, [(i, " ".join(rnd.choice(kinds[i % 3]) for _ in range(rnd.randrange(0, 60)))) for i in range(90)] + [(91, None), (92, " \n ")])
     got = {r.row.doc_id: r for r in m.chances(docs).collect()}
-    kind = {r.w: r.k for r in spark.createDataFrame([(w.lower(),) for w in words], "w string").selectExpr("w", "pmod(hash(w), 8) as k").collect()}
-    count = {i: collections.Counter(kind[w.lower()] for w in (got[i].row.text or "").split() if len(w) >= 5) for i in got}
-    total = sum((c for c in count.values()), collections.Counter())
-    for i, c in count.items():
-        n = sum(c.values())
-        by = {k: (c[k] - n * total[k] / sum(total.values())) / math.sqrt(max(n * total[k] / sum(total.values()), 1e-9)) for k in range(8)}
+    words = {w.lower() for ws in kinds for w in ws}
+    kind = {r.w: r.k for r in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "pmod(hash(w), 32) as k").collect()}
+    count = {i: np.array([sum(kind[w.lower()] == k for w in (got[i].row.text or "").split() if len(w) >= 5) for k in range(32)], float) for i in got}
+    corpus = sum(count.values()) + 1
+    corpus = corpus / corpus.sum()
+    topics = np.array([np.where(np.arange(32) % 8 == k, 4 * corpus, corpus) for k in range(8)])
+    topics /= topics.sum(axis=1, keepdims=True)
+    likeliest = lambda n: int(np.argmax(np.round(np.log(topics) @ n, 9)))
+    for _ in range(6):
+        by = {k: [n for n in count.values() if n.sum() and likeliest(n) == k] for k in range(8)}
+        topics = np.array([(sum(by[k]) + 1000 * corpus) / (np.sum(by[k]) + 1000) if by[k] else topics[k] for k in range(8)])
+    for i, n in count.items():
         assert got[i].tokens == len((got[i].row.text or "").split())
-        assert got[i].topic == (f"words{max(by, key=lambda k: (by[k], -k))}" if n else "none")
+        assert got[i].topic == (f"topic{likeliest(n)}" if n.sum() else "none")
+
+
+def test_topics_tell_vocabularies_apart(spark):
+    """Texts of different words get different topics, whatever their source."""
+    from folio.llm import mixing as m
+
+    rnd = random.Random(7)
+    kinds = [[f"{stem}{rnd.randrange(10**6)}" for _ in range(12)] for stem in ("alphas", "betas", "gammas")]
+    docs = make(spark, [(i, " ".join(rnd.choice(kinds[i % 3]) for _ in range(200))) for i in range(240)])
+    by = collections.defaultdict(collections.Counter)
+    for r in m.chances(docs).collect():
+        by[r.row.doc_id % 3][r.topic] += 1
+    assert all(c.most_common(1)[0][1] >= 76 for c in by.values()) and len({c.most_common(1)[0][0] for c in by.values()}) == 3
 
 
 def test_lm_scores(spark, rows, monkeypatch):
