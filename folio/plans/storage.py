@@ -19,11 +19,11 @@ EXTENSIONS = ["pdf", "png", "jpeg", "tiff", "txt", "doc", "docx", "zip"]
 _MIMES = " ".join(f"when '{k}' then '{v}'" for k, v in s.MIME.items())
 
 
-@query("scan_corpus", f"""with f as (select page_id // 100 as n, {EXTENSIONS}[page_id // 100 % 8 + 1] as extension, string_agg(replace(html, chr(10), ' ') || chr(10), '' order by page_id) as content from pages group by 1, 2)
+@query("scan_corpus", f"""with f as (select page_id // 20 as n, {EXTENSIONS}[page_id // 20 % 8 + 1] as extension, string_agg(replace(html, chr(10), ' ') || chr(10), '' order by page_id) as content from pages group by 1, 2)
     select n || '.' || extension as name, strlen(content) as size, round(strlen(content) / 1048576.0, 2) as size_mb, sha256(content) as content_hash, case extension {_MIMES} end as mime, true as recent from f where extension <> 'zip'""")
 def scan_corpus(spark, d):
-    """Files of a hundred pages each, of all types that are taken in and one that isn't, catalogued by what was written."""
-    path, number = s.shared_path(spark, "corpus"), F.floor(F.col("page_id") / 100)
+    """Files of twenty pages each, of all types that are taken in and one that isn't, catalogued by what was written."""
+    path, number = s.shared_path(spark, "corpus"), F.floor(F.col("page_id") / 20)
     name = F.concat_ws(".", number.cast("string"), F.element_at(F.array(*map(F.lit, EXTENSIONS)), (number % 8 + 1).cast("int")))
     began = datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(minutes=5)
     s.write_files(table(spark, d, "pages").select(name.alias("file"), F.col("page_id").alias("place"), F.regexp_replace("html", "\n", " ").alias("value")), path)
