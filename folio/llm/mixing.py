@@ -9,7 +9,6 @@ calibrated to a share of all tokens.
 from __future__ import annotations
 
 import math
-from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,10 +51,16 @@ def classes_of(words: Column) -> Column:
 
 def topic_of(classes: Column, topics: list[list[float]]) -> Column:
     """The number of the topic under which a text's words are likeliest; ties go to
-    the lower one, and a text without content words has none."""
-    scores = [reduce(add, (classes[c] * math.log(x) for c, x in enumerate(shares))) for shares in topics]
-    best = F.greatest(*[F.struct(score.alias("by"), F.lit(-k).alias("k")) for k, score in enumerate(scores)])["k"] if len(topics) > 1 else F.lit(0)
-    return F.when(reduce(add, (classes[c] for c in range(CLASSES))) > 0, -best)
+    the lower one, and a text without content words has none.
+
+    The topics' logarithms are one constant array, so the plan is as small for
+    many of them.
+    """
+    logs = F.array(*[F.array(*[F.lit(math.log(x)) for x in shares]) for shares in topics])
+    score = lambda shares: F.aggregate(F.zip_with(classes, shares, lambda n, x: n * x), F.lit(0.0), add)
+    best = F.transform(F.array(F.transform(logs, score)), lambda scores: F.array_position(scores, F.array_max(scores)))[0]  # bound once
+    words = F.aggregate(classes, F.lit(0).cast("long"), add)
+    return F.when(words > 0, (best - 1).cast("int"))
 
 
 def fit_topics(known: DataFrame, count: int = TOPICS, rounds: int = TOPIC_ROUNDS) -> list[list[float]]:

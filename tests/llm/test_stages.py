@@ -107,11 +107,12 @@ def test_a_very_long_url_takes_no_longer_than_its_length(spark):
     few = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     many = spark.createDataFrame(list(enumerate([*urls, "http://a.io/" + word(1_000_000)])), "page_id long, url string")
     judge_urls(few).collect()
-    took = []
-    for df in (few, many):
-        began = time.time()
-        rows = judge_urls(df).collect()
-        took.append(time.time() - began)
+    took = [9e9, 9e9]  # the best of three: other work on the machine counts for nothing
+    for _ in range(3):
+        for k, df in enumerate((few, many)):
+            began = time.time()
+            rows = judge_urls(df).collect()
+            took[k] = min(took[k], time.time() - began)
     assert len(rows) == len(urls) + 1 and all(r.score is not None for r in rows)
     assert took[1] - took[0] < 5
 
