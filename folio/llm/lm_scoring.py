@@ -18,7 +18,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ WORD = wb.U(1 << 63)
 #: Most frequent words that travel to the tasks; the rest is looked up by a join.
 FREQUENT_WORDS = 1 << 18
 #: Distinct strings that a task counts before it hands them on.
-MEMO = 1_000_000
+MEMO = 2_000_000
 #: Kinds of counts: byte strings, pieces, words of the base, totals.
 GRAM, PIECE, BASE, TOTAL = range(4)
 CHUNK = 1 << 20
@@ -166,9 +165,31 @@ def bit_costs(weights: np.ndarray, refine: np.ndarray, counts: Counts, grams: np
     return out
 
 
-def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    codes, unique = pd.factorize(grams)
-    return codes, unique
+def _new(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys differ from the one before."""
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return new
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each key among the distinct ones; these in order).
+
+    Sorting 64-bit numbers takes a fraction of the time that hashing them does.
+    """
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = _new(ordered)
+    codes = np.empty(len(keys), dtype=np.int32)
+    codes[order] = np.cumsum(new, dtype=np.int32) - 1
+    return codes, ordered[new]
+
+
+def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, in order, and how often each stands."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(_new(keys))
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
 _LAST = np.zeros(256, dtype=bool)  # bytes that end a piece: white space, and the end
@@ -203,13 +224,16 @@ def pieces_of(code: np.ndarray) -> Pieces:
     return Pieces(h, stood, start, np.concatenate(([0], np.cumsum(byte == END)[:-1]))[start])
 
 
-def _earlier(key: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """How often each key stood earlier in its text."""
-    codes = pd.factorize(wb.mix(key + text.astype(np.uint64) * wb.U(0x9E3779B97F4A7C15)))[0]
-    order = np.argsort(codes, kind="stable")
-    first = np.flatnonzero(np.diff(codes[order], prepend=-1))
-    out = np.empty(len(key), dtype=np.int64)
-    out[order] = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
+def _earlier(text: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """How often each piece's keys stood earlier in its text; texts are in order."""
+    order = None
+    for key in keys:  # small numbers of 16 bits are sorted by digits
+        key = key.astype(np.uint16) if key.max(initial=0) < 1 << 16 else key
+        order = np.argsort(key, kind="stable") if order is None else order[np.argsort(key[order], kind="stable")]
+    new = np.logical_or.reduce([_new(x[order]) for x in (text, *keys)])
+    first = np.flatnonzero(new)
+    out = np.empty(len(text), dtype=np.int64)
+    out[order] = np.arange(len(text)) - np.repeat(first, np.diff(np.append(first, len(text))))
     return out
 
 
@@ -224,10 +248,11 @@ def own_chances(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     fresh = np.concatenate(([True], p.text[1:] != p.text[:-1]))
     first = np.flatnonzero(fresh)
     n = np.arange(len(p.h)) - np.repeat(first, np.diff(np.append(first, len(p.h))))
-    before = np.where(fresh, wb.U(1), np.concatenate(([wb.U(1)], p.h[:-1])))
-    followed = _earlier(before, p.text)
-    own = _earlier(p.h, p.text) / np.maximum(n, 1)
-    pair = _earlier(wb.mix(before) * wb.U(31) + p.h, p.text) / np.maximum(followed, 1)
+    piece = _distinct(p.h)[0] + 1
+    before = np.where(fresh, 0, np.concatenate(([0], piece[:-1])))
+    followed = _earlier(p.text, before)
+    own = _earlier(p.text, piece) / np.maximum(n, 1)
+    pair = _earlier(p.text, piece, before) / np.maximum(followed, 1)
     gate = np.minimum(np.log2(n + 1).astype(np.int64), 9) * 4 + np.minimum(followed, 3)
     return own, pair, gate
 
@@ -295,8 +320,10 @@ def _counted(rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBa
 def _sum_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and the sums of their counts."""
     keys, n = (np.concatenate(x) for x in zip(*held))
-    keys, at = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(at, weights=n, minlength=len(keys))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(_new(keys))
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
 def _tally(parts: int):
@@ -321,24 +348,23 @@ def _tally(parts: int):
                 some.clear()
             return _counted(rows)
 
-        def put(kind, keys, weights=None):
-            codes, unique = _distinct(keys)
-            held[kind].append((unique, np.bincount(codes, weights=weights, minlength=len(unique))))
-
         for batch in wb.text_chunks(batches, "text", CHUNK):
             data, offsets = wb.utf8(batch.column(batch.schema.get_field_index("text")))
             learning = batch.column(batch.schema.get_field_index("learning")).to_numpy(zero_copy_only=False)
             code, first = symbols(data, offsets)
-            put(GRAM, code, np.repeat(learning.astype(np.float64), np.diff(first)))
+            marked = np.sort((code << wb.U(1)) | np.repeat(learning, np.diff(first)))  # with a bit for learning
+            at = np.flatnonzero(_new(marked >> wb.U(1)))
+            learnt = np.concatenate(([0], np.cumsum(marked & wb.U(1), dtype=np.int64)))
+            held[GRAM].append((marked[at] >> wb.U(1), learnt[np.append(at[1:], len(marked))] - learnt[at]))
             p = pieces_of(code)
             own = learning[p.text]
-            put(PIECE, p.key[own] | WORD)
+            held[PIECE].append(_tallied(p.key[own] | WORD))
             stood = np.bincount(p.stood[own], minlength=5)
             stood[4] = learning.sum()  # ends of texts
             held[TOTAL].append((np.arange(5, dtype=np.uint64), stood))
-            del code, p
+            del code, p, marked, learnt
             words = wb.split_words(data, offsets, True)
-            put(BASE, words.hashes()[learning[words.row]])
+            held[BASE].append(_tallied(words.hashes()[learning[words.row]]))
             if sum(len(x[0]) for some in held.values() for x in some) > MEMO:
                 yield packed()
         yield packed()
@@ -388,8 +414,8 @@ class Taken(NamedTuple):
     """A run of texts, its symbols and pieces with the distinct ones' numbers."""
 
     batch: pa.RecordBatch
+    code: np.ndarray
     pieces: Pieces
-    gram_at: np.ndarray
     grams: np.ndarray
     word_at: np.ndarray
     words: np.ndarray
@@ -400,14 +426,13 @@ def _take_apart(table: pa.Table, columns: list[str]) -> list[Taken]:
     for batch in wb.text_chunks(table.select(columns).to_batches(), "text", CHUNK):
         code, _ = symbols(*wb.utf8(batch.column(batch.schema.get_field_index("text"))))
         p = pieces_of(code)
-        (gram_at, grams), (word_at, words) = _distinct(code), _distinct(p.key | WORD)
-        out.append(Taken(batch, p, gram_at.astype(np.int32), grams, word_at.astype(np.int32), words))
+        out.append(Taken(batch, code, p, _tallied(code)[0], *_distinct(p.key | WORD)))
     return out
 
 
 def _group_keys(taken: list[Taken]) -> np.ndarray:
     """Sorted distinct keys of a group's strings and words."""
-    return np.sort(pd.unique(np.concatenate([x for t in taken for x in (t.grams, t.words)]))) if taken else np.zeros(0, np.uint64)
+    return _tallied(np.concatenate([x for t in taken for x in (t.grams, t.words)]))[0] if taken else np.zeros(0, np.uint64)
 
 
 def _ask(parts: int):
@@ -476,6 +501,22 @@ class Numbers:
     def of(self, keys: np.ndarray) -> np.ndarray:
         return self.numbers[np.searchsorted(self.keys, keys)]
 
+    def of_symbols(self, code: np.ndarray) -> np.ndarray:
+        """Costs of a run of symbols.
+
+        A symbol has 48 bits; 2**16 at a time are sorted with their places below
+        them, so that neighbours are looked up after one another.
+        """
+        out = np.empty(len(code), dtype=np.float32)
+        place = np.arange(1 << 16, dtype=np.uint64)
+        for a in range(0, len(code), 1 << 16):
+            some = code[a : a + (1 << 16)]
+            some = np.sort((some << wb.U(16)) | place[: len(some)])
+            key = some >> wb.U(16)
+            new = _new(key)
+            out[a + (some & wb.U(0xFFFF)).astype(np.int64)] = self.of(key[new])[np.cumsum(new) - 1]
+        return out
+
 
 def steps_of(chance: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """A chance's log2 odds against the bytes', 1 / FINENESS bits at a time.
@@ -488,11 +529,16 @@ def steps_of(chance: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return np.clip(steps, 0, STEPS - 1).astype(np.int32)
 
 
+#: The odds of every step.
+_ODDS = np.where(np.arange(STEPS) > 0, np.exp2((np.arange(STEPS) - STEPS // 2) / FINENESS), 0.0)
+
+
 def odds_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(gate, chances of bytes, dictionary, text and pair, relative to bytes)."""
-    steps = np.stack([codes // STEPS**2, codes // STEPS, codes], axis=1) % STEPS
-    odds = np.where(steps > 0, np.exp2((steps - STEPS // 2) / FINENESS), 0.0)
-    return codes // STEPS**3, np.concatenate([np.ones((len(codes), 1)), odds], axis=1)
+    odds = np.ones((len(codes), 4))
+    for j, unit in enumerate((STEPS**2, STEPS, 1), 1):
+        odds[:, j] = _ODDS[codes // unit % STEPS]
+    return codes // STEPS**3, odds
 
 
 def fit_gate(scored: DataFrame) -> np.ndarray:
@@ -651,10 +697,10 @@ def _score(totals: np.ndarray, frequent: np.ndarray, counts: np.ndarray, ends: i
     def rows(table: pa.Table, numbers: pa.Table):
         logs = np.log10(counts + 1.0)
         taken = _take_apart(table, ["doc_id", "text", "key", "learning"])
-        known = Numbers(taken, numbers, parts)
+        known, fitted = Numbers(taken, numbers, parts), []
         while taken:
-            batch, p, gram_at, grams, word_at, words = taken.pop()
-            bits = np.add.reduceat(known.of(grams)[gram_at], p.start).astype(np.float64)
+            batch, code, p, _, word_at, words = taken.pop()
+            bits = np.add.reduceat(known.of_symbols(code), p.start).astype(np.float64)
             n_words = known.of(words)[word_at].astype(np.float64)
             own, pair, gate = own_chances(p)
             late = steps_of(own, bits) * STEPS + steps_of(pair, bits)
@@ -662,24 +708,25 @@ def _score(totals: np.ndarray, frequent: np.ndarray, counts: np.ndarray, ends: i
             codes = (gate + steps_of(dictionary_chance(p, n_words, totals), bits)) * STEPS**2 + late
             learning = batch.column(3).to_numpy(zero_copy_only=False)[p.text]
             fit = ((gate + steps_of(dictionary_chance(p, n_words, totals, 1), bits)) * STEPS**2 + late)[learning]
-            fit_at, fit = _distinct(fit)
-            n = np.bincount(fit_at, minlength=len(fit))
+            fitted.append(_tallied(fit))
             edge = np.searchsorted(p.text, np.arange(batch.num_rows + 1))
             total = np.bincount(p.text, weights=bits, minlength=batch.num_rows)
             blobs = [codes[a:b].tobytes() for a, b in zip(edge, edge[1:])]
             # before the next arrays of a run's size
-            del p, gram_at, word_at, own, pair, gate, bits, n_words, codes, learning, late, fit_at
+            del code, p, word_at, own, pair, gate, bits, n_words, codes, learning, late, fit
             data, offsets = wb.utf8(batch.column(1))
             words = wb.split_words(data, offsets, True)
             h, row = words.hashes(), words.row
-            place = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-            hit = frequent[place] == h
+            at, distinct = _distinct(h)
+            place = np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)
+            hit, place = (frequent[place] == distinct)[at], place[at]
             size = np.diff(words.first)
             base = np.bincount(row[hit], weights=logs[place[hit]], minlength=len(size)) + np.log10(ends + 1.0)
             found = np.bincount(row[hit], minlength=len(size)) + int(ends > 0)
             rare = pa.ListArray.from_arrays(
                 pa.array(np.searchsorted(row[~hit], np.arange(len(size) + 1)).astype(np.int32)), pa.array(h[~hit].astype(np.int64))
             )
+            fit = [x.tobytes() for x in _sum_up(fitted)] if not taken else [None] * 2  # a group's, with its last run
             nothing = [None] * (len(size) - 1)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -689,8 +736,7 @@ def _score(totals: np.ndarray, frequent: np.ndarray, counts: np.ndarray, ends: i
                     pa.array(blobs, pa.binary()),
                     *map(pa.array, (size + 1, found, base)),
                     rare,
-                    pa.array([fit.astype(np.int32).tobytes(), *nothing], pa.binary()),
-                    pa.array([n.astype(np.int64).tobytes(), *nothing], pa.binary()),
+                    *(pa.array([x, *nothing], pa.binary()) for x in fit),
                 ],
                 names=["doc_id", "key", "n_bytes", "bits", "codes", "n_tokens", "n_known", "base", "rare", "fit_codes", "fit_n"],
             )

@@ -34,11 +34,23 @@ def mix(h: np.ndarray) -> np.ndarray:
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64) * U(0xA24BAED4963EE407))
 
 
+#: The longest run of each base's powers yet, up to KEEP of them.
+_POWERS: dict[int, np.ndarray] = {}
+KEEP = 2 << 20
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
+    kept = _POWERS.get(int(base))
+    if kept is not None and len(kept) >= n:
+        return kept[:n]
     out = np.full(n, base, dtype=np.uint64)
     if n:
         out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.multiply.accumulate(out)
+    if n <= KEEP:
+        out.flags.writeable = False
+        _POWERS[int(base)] = out
+    return out
 
 
 @dataclass
