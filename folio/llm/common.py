@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Spark's setting to delete a query's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir.
 
@@ -35,10 +39,17 @@ def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
 
     The written table ends the lineage where a lost executor can't reach, and
     its size is known to the planner when it chooses between join strategies.
+    The shuffle files of the write are deleted with its end, as nothing reads
+    them again.
     """
     spark = df.sparkSession
     path = f"{written_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,8 @@ REGION = 512
 #: Words an automaton holds (some 350 bytes each); what it held before is kept as
 #: the hashes of its windows (16 bytes each).
 AUTOMATON_WORDS = 200_000
-SPAN = "shard long, split int, salt int, doc_id long, key long, start int, words binary"
+SPAN = "shard long, split int, salt int, doc_id long, key long, start int, words binary, seeds binary"
+FRESH_WINDOWS = "one long, two long, doc_id long, key long, starts array<int>"
 FRESH = "doc_id long, key long, start int, stop int, words binary"
 
 
@@ -80,7 +81,7 @@ def _spans(window: int, seed: int, per_shard: int):
             h, row, place = selected_seeds(words, window, seed)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
             known = batch.column(3)
-            out = {"shard": [], "split": [], "salt": [], "doc_id": [], "key": [], "start": [], "words": []}
+            out = {"shard": [], "split": [], "salt": [], "doc_id": [], "key": [], "start": [], "words": [], "seeds": []}
             for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 shared = known[i].values
                 if shared is None or not len(shared):
@@ -117,10 +118,11 @@ def _spans(window: int, seed: int, per_shard: int):
                     out["key"].append(text)
                     out["start"].append(int(begin[a]))
                     out["words"].append(hashes[base + begin[a] : base + end[b]].tobytes())
+                    out["seeds"].append((at[a : b + 1] - begin[a]).tobytes() if split[a] else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(out[k], t)
-                    for k, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))
+                    for k, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))
                 ],
                 names=list(out),
             )
@@ -128,6 +130,15 @@ def _spans(window: int, seed: int, per_shard: int):
     return run
 
 
+def _selecting(words: np.ndarray, seeds: np.ndarray, window: int, seed: int) -> np.ndarray:
+    """Which windows of a run of words select one of the seeds at these places."""
+    runs, _ = wb.grams(words, np.array([0, len(words)]), seed)
+    first = np.lib.stride_tricks.sliding_window_view(runs, window - seed + 1).argmin(axis=1)
+    marked = np.zeros(len(runs), dtype=bool)
+    marked[seeds] = True
+    return marked[first + np.arange(len(first))]
+
+
 def _window_hashes(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of every window of a run of words."""
     bounds = np.array([0, len(words)])
@@ -169,12 +180,14 @@ class _Reference:
         self.size += len(words)
 
 
-def _match(window: int):
+def _match(window: int, seed: int):
     """Stream each shard's spans, in document order, through its automaton.
 
     Yields the removed word ranges.  What was new in the shard is what a later
     document can repeat, so only that enters the automaton.  The new words of
     salted parts are yielded as well (with words), to meet the other parts'.
+    Only windows that select one of the shard's seeds count there: the others
+    round a hot passage meet in the shards of the seeds they do select.
     """
 
     def run(batches):
@@ -186,7 +199,7 @@ def _match(window: int):
                 for k, v in zip(out, row):
                     out[k].append(v)
 
-            ids, keys, starts, texts_ = (group.column(k).to_pylist() for k in ("doc_id", "key", "start", "words"))
+            ids, keys, starts, texts_, seeds = (group.column(k).to_pylist() for k in ("doc_id", "key", "start", "words", "seeds"))
             i = 0
             while i < len(ids):
                 fresh = []
@@ -196,11 +209,11 @@ def _match(window: int):
                     seen = earlier.seen(words)
                     for a, b in _runs(seen):
                         put(doc, keys[i], starts[i] + a, starts[i] + b + window - 1, None)
-                    for a, b in _runs(~seen):
-                        piece = words[a : b + window - 1]
-                        fresh.append(piece)
-                        if split:
-                            put(doc, keys[i], starts[i] + a, None, piece.tobytes())
+                    fresh += [words[a : b + window - 1] for a, b in _runs(~seen)]
+                    if split:
+                        own = _selecting(words, np.frombuffer(seeds[i], np.int64), window, seed)
+                        for a, b in _runs(~seen & own):
+                            put(doc, keys[i], starts[i] + a, None, words[a : b + window - 1].tobytes())
                     i += 1
                 if i < len(ids):  # nothing reads what the last document adds
                     for piece in fresh:
@@ -214,23 +227,27 @@ def _match(window: int):
 
 
 def _fresh_windows(window: int):
-    """Every window of the parts' new words, as a 128-bit hash and its place."""
+    """The windows of the parts' new words: a 128-bit hash and its places, once
+    for each run of words however often it repeats itself."""
 
     def run(batches):
         for batch in batches:
             for doc, key, start, _, words in zip(*[c.to_pylist() for c in batch.columns]):
                 h = np.frombuffer(words, dtype=np.uint64)
                 one, two = _window_hashes(h, window)
-                n = len(one)
+                order = np.lexsort((two, one))
+                one, two = one[order], two[order]
+                first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]))))
+                one, two, n = one[first], two[first], len(first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one.astype(np.int64)),
                         pa.array(two.astype(np.int64)),
                         pa.array(np.full(n, doc, np.int64)),
                         pa.array(np.full(n, key, np.int64)),
-                        pa.array((start + np.arange(n)).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), pa.array((start + order).astype(np.int32))),
                     ],
-                    names=["one", "two", "doc_id", "key", "start"],
+                    names=["one", "two", "doc_id", "key", "starts"],
                 )
 
     return run
@@ -265,11 +282,13 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED, per_s
     spans = docs.join(by_doc, ["doc_id", "key"]).select("doc_id", "text", "key", "shared").mapInArrow(_spans(window, seed, per_shard), SPAN)
     parts = ["shard", "split", "salt"]
     spans = spans.repartition(*parts).sortWithinPartitions(*parts, "doc_id", "key", "start")
-    matched = cut(spans.mapInArrow(_match(window), FRESH), "substring-matched")
+    matched = cut(spans.mapInArrow(_match(window, seed), FRESH), "substring-matched")
     # windows that were new in several salted parts: the first document keeps them
-    fresh = matched.where("words is not null").mapInArrow(_fresh_windows(window), "one long, two long, doc_id long, key long, start int")
-    first = fresh.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    again = fresh.join(cut(first, "substring-fresh"), ["one", "two"]).where("first < doc_id")
+    fresh = matched.where("words is not null").mapInArrow(_fresh_windows(window), FRESH_WINDOWS)
+    # dealt out once: with all columns and conditions on either side, Spark reuses the shuffle
+    fresh = fresh.where("one is not null and two is not null and doc_id is not null").repartition("one", "two")
+    first = fresh.groupBy("one", "two").agg(F.min(F.struct("doc_id", "key", "starts"))["doc_id"].alias("first"))
+    again = fresh.join(first, ["one", "two"]).where("first < doc_id").select("doc_id", "key", F.explode("starts").alias("start"))
     found = matched.where("words is null").select("doc_id", "key", "start", "stop")
     return found.union(again.select("doc_id", "key", "start", (F.col("start") + window).cast("int").alias("stop")))
 
