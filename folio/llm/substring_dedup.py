@@ -288,7 +288,7 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED, per_s
     # dealt out once: with all columns and conditions on either side, Spark reuses the shuffle
     fresh = fresh.where("one is not null and two is not null and doc_id is not null").repartition("one", "two")
     first = fresh.groupBy("one", "two").agg(F.min(F.struct("doc_id", "key", "starts"))["doc_id"].alias("first"))
-    again = fresh.join(first, ["one", "two"]).where("first < doc_id").select("doc_id", "key", F.explode("starts").alias("start"))
+    again = fresh.join(first, ["one", "two"]).where("first < doc_id").select("doc_id", "key", F.explode_outer("starts").alias("start"))
     found = matched.where("words is null").select("doc_id", "key", "start", "stop")
     return found.union(again.select("doc_id", "key", "start", (F.col("start") + window).cast("int").alias("stop")))
 
