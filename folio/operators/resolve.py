@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import difflib
 import itertools
+import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,29 +40,137 @@ def contained_names(names: DataFrame, shortest: int) -> DataFrame:
     return pairs.select("source_id", "target_id", F.lit(95).alias("similarity"))
 
 
+#: Keys of one name at most, and long names of one part of a gram's names.
+KEYS = 1024
+PART = 2048
+
+
+def _room(length, percent: int):
+    """How many edits names may differ by, the longer one having this length."""
+    return length * (100 - percent) // 100
+
+
+def _longest(length, percent: int):
+    """The length of the longest name that one of this length can be similar to."""
+    return length * 100 // percent
+
+
+def _shortened(percent: int, edge: int):
+    """Rows (entity_type, canonical_id, name) with a key for each way to shorten the
+    name as in a pair whose longer name has fewer than edge letters.
+
+    Two names of lengths n and n - gone within d edits keep n - d letters in common,
+    in order, so they are equal once d letters of the one and d - gone of the other
+    are left out.  A key is the hash of what is left, of type and n.
+    """
+
+    def work(batches):
+        for batch in batches:
+            kinds, names = batch.column("entity_type").to_pylist(), batch.column("name").to_pylist()
+            by_length: dict[int, list[int]] = {}
+            for i, name in enumerate(names):
+                by_length.setdefault(len(name), []).append(i)
+            for n, rows in by_length.items():
+                letters = np.array([[ord(c) for c in names[i]] for i in rows], np.uint64).reshape(len(rows), n)
+                seeds = np.array([zlib.crc32(kinds[i].encode()) for i in rows], np.uint64)[:, None] << np.uint64(32)
+                for length in range(n, min(_longest(n, percent) + 1, edge)):
+                    kept = length - _room(length, percent)
+                    picks = list(itertools.combinations(range(n), kept))
+                    picks = np.array(picks, int).reshape(len(picks), kept)
+                    step = max(1, (1 << 18) // len(picks))
+                    for at in range(0, len(rows), step):
+                        some = letters[at : at + step]
+                        keys = np.repeat(seeds[at : at + step] + np.uint64(length), len(picks), axis=1)
+                        for place in picks.T:
+                            keys = (keys + some[:, place]) * np.uint64(0x9E3779B97F4A7C15)
+                            keys ^= keys >> np.uint64(29)
+                        keys.sort(axis=1)
+                        new = np.ones(keys.shape, bool)
+                        new[:, 1:] = keys[:, 1:] != keys[:, :-1]
+                        mine = batch.take(pa.array(np.array(rows[at : at + step])[np.nonzero(new)[0]]))
+                        yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(keys[new].view(np.int64)), pa.array(np.full(len(mine), length - n, np.int32))], names=[*mine.schema.names, "key", "gone"])
+
+    return work
+
+
+def _grams(percent: int, edge: int, gram: int):
+    """Rows (entity_type, canonical_id, name) with each gram of a name that can be
+    similar to one of edge letters or more, and the parity of each letter's count as
+    64 bits (letters share bits), which an edit changes in two places at most."""
+
+    def work(batches):
+        for batch in batches:
+            place, grams, parity = [], [], []
+            for i, name in enumerate(batch.column("name").to_pylist()):
+                if _longest(len(name), percent) < edge:
+                    continue
+                bits = 0
+                for c in name:
+                    bits ^= 1 << ord(c) % 64
+                padded = f"^{name}$"
+                found = {padded[j : j + gram] for j in range(len(padded) - gram + 1)}
+                place += [i] * len(found)
+                grams += found
+                parity += [bits - (1 << 64) if bits >> 63 else bits] * len(found)
+            mine = batch.take(pa.array(place, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(grams, pa.string()), pa.array(parity, pa.int64())], names=[*mine.schema.names, "gram", "parity"])
+
+    return work
+
+
 def similar_names(names: DataFrame, percent: int = 80, gram: int = 3) -> DataFrame:
     """Pairs of one type whose names are within an edit distance of 100 - percent
     hundredths of the longer name.
 
-    d edits destroy at most d * gram grams, so two such names share a gram unless
-    they are very short; candidates come from an equi-join on the rarest grams
-    that this bound leaves room for, and all are verified.
+    Names meet where they are equal once as many letters are left out as they may
+    differ by, in each way there is (see _shortened): hardly more pairs than are
+    similar.  From the length on where that makes over KEYS ways, d edits destroy at
+    most d * gram grams, and candidates come from an equi-join on the rarest grams
+    that this bound leaves room for, those of a frequent gram in parts that meet each
+    other; they are told apart by their letters' parities first.  All are verified.
     """
-    padded = F.concat(F.lit("^"), F.col("name"), F.lit("$"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - gram + 1), lambda i: F.substring(padded, i, F.lit(gram))))
-    rows = names.where(F.length("name") >= 2).select("entity_type", "canonical_id", "name", F.explode(grams).alias("gram"))
+    edge = next((n for n in range(1, 1000) if math.comb(n, _room(n, percent)) > KEYS), 1000)
+    gram = max(1, min(gram, 99 // max(100 - percent, 1)))  # so few that some gram stays
+    names = names.select("entity_type", "canonical_id", "name").where("entity_type is not null and canonical_id is not null and name is not null")
+    names = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "canonical_id")  # few bytes, many keys
+    longer = F.greatest(F.length("name1"), F.length("name2"))
+    room = F.floor(longer * (100 - percent) / 100).cast("int")
+    schema = f"entity_type string, canonical_id {names.schema['canonical_id'].dataType.simpleString()}, name string"
+
+    # a name with those before it that have its key, of which one at least is a longer one
+    keyed = names.mapInArrow(_shortened(percent, edge), f"{schema}, key long, gone int")
+    before = Window.partitionBy("key", "entity_type").orderBy("gone", "canonical_id").rowsBetween(Window.unboundedPreceding, -1)
+    others = F.collect_list(F.when(F.col("gone") == 0, F.struct(F.col("canonical_id").alias("canonical_id1"), F.col("name").alias("name1")))).over(before)
+    short = keyed.select("entity_type", F.col("canonical_id").alias("canonical_id2"), F.col("name").alias("name2"), others.alias("others")).select("entity_type", "canonical_id2", "name2", F.inline("others"))
+
+    rows = names.mapInArrow(_grams(percent, edge, gram), f"{schema}, gram string, parity long")
     often = rows.groupBy("entity_type", "gram").agg(F.count("*").alias("often"))
-    rows = rows.join(often, ["entity_type", "gram"])
-    rank = F.row_number().over(Window.partitionBy("entity_type", "canonical_id").orderBy("often", "gram"))
-    room = F.floor(F.length("name") * (100 - percent) / percent) * gram + 1
-    lead = rows.withColumn("rank", rank).where(F.col("rank") <= room)
-    a = lead.select("entity_type", "gram", F.col("canonical_id").alias("source_id"), F.col("name").alias("source_name"))
-    z = lead.select("entity_type", "gram", F.col("canonical_id").alias("target_id"), F.col("name").alias("target_name"))
-    longer = F.greatest(F.length("source_name"), F.length("target_name"))
-    size = F.abs(F.length("source_name") - F.length("target_name")) * 100 <= (100 - percent) * longer
-    pairs = a.join(z, ["entity_type", "gram"]).where((F.col("source_id") < F.col("target_id")) & size).drop("gram").distinct()
-    distance = F.levenshtein("source_name", "target_name")
-    return pairs.where(100 * distance <= (100 - percent) * longer).select("entity_type", "source_id", "target_id", distance.cast("long").alias("distance"))
+    # a bit for each of the most frequent grams: where both names have one before, they have met there
+    top = often.orderBy(F.desc("often"), "entity_type", "gram").limit(63).agg(F.array_sort(F.collect_list(F.struct("entity_type", "gram"))).alias("top"))
+    bits = top.select(F.posexplode("top").alias("bit", "g")).select("g.*", F.expr("shiftleft(1L, bit)").alias("bit"))
+    order = Window.partitionBy("entity_type", "canonical_id", "name").orderBy("often", "gram")
+    met = F.coalesce(F.sum("bit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("met")
+    most = F.floor(F.length("name") * (100 - percent) / percent) * gram + 1
+    parts = F.ceil(F.col("often") / PART).cast("int")
+    lead = rows.join(often, ["entity_type", "gram"]).join(F.broadcast(bits), ["entity_type", "gram"], "left").select(
+        *rows.columns, met, F.row_number().over(order).alias("rank"), parts.alias("parts"), F.pmod(F.xxhash64("canonical_id", "name"), parts).cast("int").alias("own")).where(F.col("rank") <= most)
+    side = lambda end: [F.col(c).alias(c + end) for c in ("canonical_id", "name", "parity", "met")]
+    low = lead.select("entity_type", "gram", F.col("own").alias("low"), F.explode(F.sequence("own", F.col("parts") - 1)).alias("high"), *side("1"))
+    high = lead.select("entity_type", "gram", F.explode(F.sequence(F.lit(0), "own")).alias("low"), F.col("own").alias("high"), *side("2"))
+    long = low.hint("merge").join(high, ["entity_type", "gram", "low", "high"]).where((F.col("low") < F.col("high")) | (F.col("canonical_id1") < F.col("canonical_id2")))
+    apart = F.bit_count(F.col("parity1").bitwiseXOR(F.col("parity2"))) > 2 * room
+
+    def verified(pairs: DataFrame, may: Column) -> DataFrame:
+        turned = F.col("canonical_id1") > F.col("canonical_id2")
+        pick = lambda c, one, two: F.when(turned, F.col(c + two)).otherwise(F.col(c + one)).alias(c + one)
+        distance = F.when(may, F.call_function("levenshtein", "name1", "name2", room).cast("long"))  # in this order, as where() keeps none
+        near = pairs.withColumn("distance", distance).where("distance >= 0")
+        both = [pick(c, one, two) for c in ("canonical_id", "name") for one, two in ("12", "21")]
+        return near.select("entity_type", *both, "distance").distinct()
+
+    found = verified(short, F.col("canonical_id1") != F.col("canonical_id2")).unionByName(
+        verified(long, (F.col("met1").bitwiseAND(F.col("met2")) == 0) & (F.col("canonical_id1") != F.col("canonical_id2")) & (longer >= edge) & ~apart))
+    return found.select("entity_type", F.col("canonical_id1").alias("source_id"), F.col("canonical_id2").alias("target_id"), "distance")
 
 
 def _digits(text: str) -> str:
