@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import add, and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.functions.text import find_all, strip
+from folio.functions.text import find_all
 
 
 #: Entities of a document in one part; two parts are paired in one task.
@@ -91,6 +95,28 @@ PATTERNS = (
     (r"{entity1}.*?(?:on|dated?)\s+{entity2}", "OCCURRED_ON", 0.7),
     (r"{entity1}.*?(?:filed|submitted|served).*?{entity2}", "FILED_ON", 0.75),
 )
+#: White space, as patterns know it.
+WHITE = " \t\n\x0b\f\r"
+#: For each template, words of whose groups one each stands wherever it does.
+WORDS = (
+    (("v", "against"),),
+    (("plaintiff", "petitioner", "claimant"), ("defendant", "respondent")),
+    (("plaintiff", "petitioner", "claimant"), ("defendant", "respondent")),
+    (("represent", "counsel"),),
+    (("represented", "retained"),),
+    (("employee", "officer", "director"),),
+    (("work",),),
+    (("subsidiary", "division", "unit"),),
+    (("own", "acquired"),),
+    (("located", "based", "headquartered"),),
+    (("corporation", "company", "entity"),),
+    (("entered", "signed", "executed"),),
+    (("contract", "agreement"), ("between",)),
+    (("paid", "pays", "owed", "owes"),),
+    (("receive",),),
+    (("on", "date"),),
+    (("filed", "submitted", "served"),),
+)
 #: Types that a relationship may join; ANY lets every pair pass.
 TYPES_OF = {
     "OPPOSING_PARTY": (("PERSON", "PERSON"), ("PERSON", "ORG"), ("ORG", "ORG")),
@@ -116,42 +142,102 @@ BOOSTS = {
 }
 
 
-def _allowed(kind: str, pairs=TYPES_OF) -> Column:
-    if any("ANY" in pair for pair in pairs[kind]):
-        return F.lit(True)
-    return F.concat_ws(",", "type1", "type2").isin(*[",".join(pair) for pair in pairs[kind]])
+def _allowed(type1: str, type2: str) -> Column:
+    """Bits of the templates that may join entities of two types."""
+    bits: dict[str, int] = {}
+    always = 0
+    for k, (_, kind, _) in enumerate(PATTERNS):
+        if any("ANY" in pair for pair in TYPES_OF[kind]):
+            always |= 1 << k
+        for pair in TYPES_OF[kind]:
+            bits[",".join(pair)] = bits.get(",".join(pair), 0) | 1 << k
+    listed = F.create_map(*[F.lit(x) for item in bits.items() for x in item])
+    return F.coalesce(F.try_element_at(listed, F.concat_ws(",", type1, type2)), F.lit(0)).bitwiseOR(F.lit(always))
 
 
-def pattern_edges(chunks: DataFrame, entities: DataFrame, least: float = 0.7, around: int = 50, apart: int = 100) -> DataFrame:
+def stated_edges(chunks: DataFrame, least: float = 0.7, around: int = 50, apart: int = 100) -> DataFrame:
     """Relationships stated in chunks, the most confident of each source, target
     and type in a chunk, with what stands `around` the match.
 
-    chunks has document_id, chunk_index, chunk_text; entities has document_id,
-    entity_id, entity_type and a name, a row for each name or alias.  Just names
-    that stand in the same chunk are paired, and a pair meets the templates its
-    types allow.  Words near by add 0.05 each, names over `apart` characters from
-    each other take 0.1; confidence is at most 0.95 and at least `least`.
+    chunks has document_id, chunk_index, chunk_text and names, an array of
+    (entity_id, entity_type, name) with an element for each name or alias.  Just
+    names that stand in the chunk are paired, and a pair meets the templates its
+    types allow, whose words stand in the chunk, and whose middle stands between
+    the first of the one name and the last of the other; the few that are left are
+    searched for in full.  Words near by add 0.05 each, names over `apart`
+    characters from each other take 0.1; confidence is at most 0.95 and at least
+    `least`.
     """
-    seen = chunks.join(entities, "document_id").where(F.lower("chunk_text").contains(F.lower("name")) & (F.length("name") > 0))
     keys = ["document_id", "chunk_index"]
-    side = lambda i: [F.col(c).alias(a) for c, a in (("entity_id", f"id{i}"), ("entity_type", f"type{i}"), ("name", f"name{i}"))]
-    pairs = seen.select(*keys, "chunk_text", *side(1)).join(seen.select(*keys, *side(2)), keys).where("id1 <> id2")
-    stated = [F.when(_allowed(kind), F.struct(F.lit(p).alias("template"), F.lit(kind).alias("relationship_type"), F.lit(base).alias("base"))) for p, kind, base in PATTERNS]
-    tried = pairs.select("*", F.inline(F.array_compact(F.array(*stated))))
+    rows = chunks.select(*keys, "chunk_text", "names", F.lower("chunk_text").alias("low"), F.length("chunk_text").alias("size"))
+    stands = [[[F.col("low").contains(w) for w in words] for words in groups] for groups in WORDS]
+    open_ = [reduce(and_, [reduce(or_, words) for words in groups]) for groups in stands]
+    # lower case keeps places, but where it makes two letters of one or looks at those beside it
+    plain = (F.length("low") == F.col("size")) & ~F.col("chunk_text").contains("\u03a3")
+    rows = rows.select(
+        *keys, "chunk_text", "names", "low", "size", F.reverse("low").alias("back"), plain.alias("plain"),
+        reduce(add, [F.when(o, 1 << k).otherwise(0) for k, o in enumerate(open_)]).alias("open"))
+
+    def place(n: Column) -> Column:
+        """Where the first and the last of a name are: start from 0, stop, last and end from 1."""
+        name, length = F.lower(n["name"]), F.length(n["name"])
+        first, back = F.call_function("instr", F.col("low"), name), F.call_function("instr", F.col("back"), F.reverse(name))
+        last = F.col("size") - back - length + 2
+        spot = [(first - 1, 0, "start"), (first + length, 1, "stop"), (last, F.col("size") + 1, "last"), (last + length - 1, 0, "end"), (first == last, False, "once")]
+        return F.struct(n["entity_id"].alias("id"), n["entity_type"].alias("type"), n["name"].alias("name"), *[F.when(F.col("plain"), x).otherwise(y).alias(c) for x, y, c in spot])
+
+    seen = F.transform(F.filter("names", lambda n: F.col("low").contains(F.lower(n["name"])) & (F.length(n["name"]) > 0)), place)
+    rows = rows.select(*keys, "chunk_text", "open", F.when(F.col("open") != 0, seen).alias("seen"))
+    # explode() would have seen made once more, for a filter on its size
+    pairs = rows.select("*", F.explode_outer("seen").alias("a")).select(*keys, "chunk_text", "open", "a", F.explode_outer("seen").alias("z")).where("a.id <> z.id")
+    between = lambda x, y: F.when(F.col(f"{x}.stop") <= F.col(f"{y}.last"), F.substring(F.col("chunk_text"), F.col(f"{x}.stop"), F.col(f"{y}.last") - F.col(f"{x}.stop")))
+    side = lambda x, i: [F.col(f"{x}.{c}").alias(f"{c}{i}") for c in ("id", "type", "name", "start", "end")]
+    # bits of the templates whose types and words are right
+    turned = [template.index("{entity1}") > template.index("{entity2}") for template, _, _ in PATTERNS]
+    backward = sum(1 << k for k, x in enumerate(turned) if x)
+    may = F.col("open").bitwiseAND(_allowed("a.type", "z.type"))
+    pairs = pairs.select("*", may.alias("may")).where("may <> 0")
+    pairs = pairs.select(*keys, "chunk_text", "may", *side("a", 1), *side("z", 2), between("a", "z").alias("ahead"),
+        F.when(F.col("may").bitwiseAND(F.lit(backward)) != 0, between("z", "a")).alias("behind"), (F.col("a.once") & F.col("z.once")).alias("once"))
+    tried, bare = [], []
+    for k, (template, _, _) in enumerate(PATTERNS):
+        before, middle, behind = re.split(r"\{entity[12]\}", template)
+        bare.append(not before and not behind)
+        over, loose = F.col("behind" if turned[k] else "ahead"), middle.removeprefix(".*?").removesuffix(".*?")
+        stands_between = over.rlike(f"(?is){loose}")
+        if bare[k]:  # where both names stand once, all of what is between them is the middle
+            stands_between = F.when(F.col("once"), over.rlike(rf"(?is)\A{middle}\z")).otherwise(stands_between)
+        tried.append(F.when((F.col("may").bitwiseAND(F.lit(1 << k)) != 0) & stands_between, k))
+    tried = pairs.select(*keys, "chunk_text", "id1", "id2", "name1", "name2", "start1", "end1", "start2", "end2", "once", F.explode(F.array(*tried)).alias("k")).where("k is not null")
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("k") + 1)
+    template, kind, base = map(pick, zip(*PATTERNS))
+    start, stop = (F.when(pick(turned), F.col(two)).otherwise(F.col(one)) for one, two in (("start1", "start2"), ("end2", "end1")))
+    tried = tried.select("*", template.alias("template"), kind.alias("relationship_type"), base.alias("base"), (F.col("once") & pick(bare)).alias("sure"), F.struct(start.alias("start"), stop.alias("stop")).alias("only"))
     quoted = lambda c: F.concat(F.lit("\\Q"), F.replace(F.col(c), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
     pattern = F.replace(F.replace("template", F.lit("{entity1}"), quoted("name1")), F.lit("{entity2}"), quoted("name2"))
-    hits = tried.withColumn("hit", F.explode(find_all(F.col("chunk_text"), F.concat(F.lit("(?is)"), pattern))))
+    every = F.transform(find_all(F.col("chunk_text"), F.concat(F.lit("(?is)"), pattern)), lambda x: F.struct(x["start"], x["stop"]))
+    hits = tried.withColumn("hit", F.explode_outer(F.when(F.col("sure"), F.array("only")).otherwise(every))).where("hit.start is not null")
     begin = F.greatest(F.col("hit.start") - around, F.lit(0))
-    context = strip(F.substring("chunk_text", begin + 1, F.col("hit.stop") + around - begin))
+    context = F.trim(F.substring("chunk_text", begin + 1, F.col("hit.stop") + around - begin), F.lit(WHITE))
     rows = hits.withColumn("context", context).withColumn("low", F.lower("context"))
     near = {k: sum((F.col("low").contains(w).cast("int") for w in words[1:]), F.col("low").contains(words[0]).cast("int")) for k, words in BOOSTS.items()}
     boost = F.coalesce(*[F.when(F.col("relationship_type") == k, n) for k, n in near.items()], F.lit(0))
     at = lambda c: F.call_function("instr", F.col("low"), F.lower(c))
     far = (at("name1") > 0) & (at("name2") > 0) & (F.abs(at("name1") - at("name2")) > apart)
     confidence = F.least(F.lit(0.95), F.round(F.col("base") + 0.05 * boost - F.when(far, 0.1).otherwise(0.0), 6))
-    rows = rows.select(*keys, F.col("id1").alias("source_id"), F.col("id2").alias("target_id"), "relationship_type", confidence.alias("confidence"), "context").where(F.col("confidence") >= least)
-    best = rows.groupBy(*keys, "source_id", "target_id", "relationship_type").agg(F.max(F.struct("confidence", "context")).alias("best"))
-    return best.select(*keys, "source_id", "target_id", "relationship_type", "best.confidence", "best.context")
+    rows = rows.select(*keys, F.col("id1").alias("source_id"), F.col("id2").alias("target_id"), "relationship_type", confidence.alias("confidence"), "context")
+    best = F.max(F.struct("confidence", "context"))["context"].alias("context")  # not needed for the confidence
+    return rows.groupBy(*keys, "source_id", "target_id", "relationship_type").agg(F.max("confidence").alias("confidence"), best).where(F.col("confidence") >= least)
+
+
+def pattern_edges(chunks: DataFrame, entities: DataFrame, least: float = 0.7, around: int = 50, apart: int = 100) -> DataFrame:
+    """stated_edges of chunks whose names are in another table.
+
+    chunks has document_id, chunk_index, chunk_text; entities has document_id,
+    entity_id, entity_type and a name, a row for each name or alias.
+    """
+    names = entities.where(F.length("name") > 0).groupBy("document_id").agg(F.collect_list(F.struct("entity_id", "entity_type", "name")).alias("names"))
+    return stated_edges(chunks.join(names, "document_id"), least, around, apart)
 
 
 #: Relations between two words, in this order.
